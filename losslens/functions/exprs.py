@@ -114,5 +114,8 @@ def weekday_mon0(ts_col) -> Column:
 
 
 def rnd(c, digits: int) -> Column:
-    """Half-even rounding (pandas ``round``), Q13."""
-    return F.bround(col(c), digits)
+    """pandas / numpy ``round``: half-even on the binary value, i.e.
+    ``rint(x * 10^d) / 10^d`` (Q13).  ``bround`` rounds the shortest
+    decimal string instead and differs on values like 2.675."""
+    scale = float(10 ** digits)
+    return F.rint(col(c).cast("double") * F.lit(scale)) / F.lit(scale)

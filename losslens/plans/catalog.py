@@ -76,8 +76,7 @@ def returned_items(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
 EROSION_DOUBLES = ["return_rate", "total_profit_erosion", "mean_profit_erosion_per_return",
                    "median_profit_erosion_per_return", "var_profit_erosion_per_return",
                    "total_margin_reversal", "total_process_cost"]
-EROSION_DIGITS = {"total_profit_erosion": 2, "total_margin_reversal": 2, "total_process_cost": 2,
-                  "var_profit_erosion_per_return": 0}
+EROSION_DIGITS: dict = {}
 
 
 def _erosion_sql(col: str, min_rows: int = 200) -> str:
@@ -105,3 +104,11 @@ def _erosion_query(level: str):
 for _lv in ("category", "brand", "department"):
     register(f"a6_erosion_by_{_lv}", _erosion_sql(_lv), EROSION_DOUBLES, EROSION_DIGITS)(
         _erosion_query(_lv))
+
+
+def _load_all():
+    # entry modules register themselves on import
+    from losslens.plans import q_aggregates, q_concentration  # noqa: F401
+
+
+_load_all()

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from losslens.functions.exprs import rnd
 from losslens.sources.adapter import DRIVER_TIERS, ITEMS_SQL
 
 DEFAULT_DIGITS = 4
@@ -35,16 +36,45 @@ f AS (
 
 def with_features(body: str) -> str:
     """Prefix a query body with ``WITH items AS (..), f AS (..)``."""
-    return "WITH " + FEATURES_SQL + ("," if not body.lstrip().upper().startswith("SELECT") else "") \
-        + "\n" + body
+    b = body.strip()
+    if b.startswith(","):
+        b = b[1:].strip()
+    sep = "\n" if b.upper().startswith("SELECT") else ",\n"
+    return "WITH " + FEATURES_SQL + sep + b
+
+
+# Cut point of the comparison quantiser, as a fraction of one 1e-4 step:
+# 1 - 0.618034 (golden ratio), far from the decimal (.5, .25, .125) and
+# dyadic points where exact money sums and their averages sit.
+CUT = 0.381966011250105
+STEP = 10000.0
+
+
+def quantize(c):
+    """Compare form of a double: 4 decimals with the cut off the tie points.
+
+    Money values are exact 4-decimal numbers and means divide them by
+    counts, so ordinary rounding (decimal or float32) lands on exact ties
+    where two engines that sum in a different order fall on different
+    sides.  ``floor(x * 1e4 + CUT) / 1e4`` is made of single IEEE steps that
+    both engines compute bit-identically, and its cuts are far from such
+    ties.  NaN / inf / huge values pass through unchanged.
+    """
+    x = F.col(c).cast("double") if isinstance(c, str) else c.cast("double")
+    q = F.floor(x * F.lit(STEP) + F.lit(CUT)).cast("double") / F.lit(STEP)
+    return F.when(F.isnan(x) | (F.abs(x) >= F.lit(1e14)), x).otherwise(q)
 
 
 def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAULT_DIGITS) -> DataFrame:
+    """Comparison form of a Spark result: doubles quantised, small ints as
+    bigint.  ``digits`` first applies the reference's own decimal rounding
+    where the operator itself rounds (pandas ``round``)."""
     digits = digits or {}
     out = []
     for name, typ in df.dtypes:
         if typ in ("double", "float"):
-            out.append(F.bround(F.col(name).cast("double"), digits.get(name, default)).alias(name))
+            c = rnd(name, digits[name]) if name in digits else F.col(name)
+            out.append(quantize(c).alias(name))
         elif typ in ("int", "smallint", "tinyint"):
             out.append(F.col(name).cast("bigint").alias(name))
         else:
@@ -52,10 +82,18 @@ def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAUL
     return df.select(*out)
 
 
+def quantize_sql(expr: str) -> str:
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"CASE WHEN isnan({x}) OR abs({x}) >= CAST('1e14' AS DOUBLE) THEN {x} ELSE "
+            f"CAST(floor({x} * CAST('{STEP}' AS DOUBLE) + CAST('{CUT}' AS DOUBLE)) AS DOUBLE)"
+            f" / CAST('{STEP}' AS DOUBLE) END")
+
+
 def round_sql(sql: str, double_cols: list[str], digits: dict | None = None,
               int_cols: list[str] = (), default: int = DEFAULT_DIGITS) -> str:
     digits = digits or {}
-    reps = [f"round_even(CAST({c} AS DOUBLE), {digits.get(c, default)}) AS {c}" for c in double_cols]
+    reps = [f"{quantize_sql(f'round_even(CAST({c} AS DOUBLE), {digits[c]})' if c in digits else c)}"
+            f" AS {c}" for c in double_cols]
     reps += [f"CAST({c} AS BIGINT) AS {c}" for c in int_cols]
     if not reps:
         return sql
