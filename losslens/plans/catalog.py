@@ -112,3 +112,10 @@ def _load_all():
 
 
 _load_all()
+
+
+def _load_more():
+    from losslens.plans import q_quality  # noqa: F401
+
+
+_load_more()
