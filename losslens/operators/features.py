@@ -87,8 +87,9 @@ def engineer_temporal_features(df: DataFrame) -> DataFrame:
         out = out.withColumn("days_to_delivery",
                              X.day_floor_diff("item_delivered_at", "order_created_at"))
     if "item_delivered_at" in df.columns and "item_returned_at" in df.columns:
+        # float like pandas: ``.dt.days`` of a missing return date is NaN
         out = out.withColumn("days_to_return",
-                             X.day_floor_diff("item_returned_at", "item_delivered_at"))
+                             X.day_floor_diff("item_returned_at", "item_delivered_at").cast("double"))
     return out
 
 
@@ -136,10 +137,10 @@ def drop_leakage_columns_item_level(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in ITEM_LEAKAGE_COLUMNS if c in df.columns])
 
 
-def build_customer_modeling_dataset(customer: DataFrame) -> DataFrame:
-    """P20: customer table + ``has_returns``."""
-    require_columns(customer, ["user_id", "return_frequency"], "customer_modeling")
-    return customer.withColumn("has_returns", (F.col("return_frequency") > 0).cast("int"))
+def build_customer_modeling_dataset(customer: DataFrame, count_col: str = "return_rows") -> DataFrame:
+    """P20: customer erosion summary + ``has_returns``."""
+    require_columns(customer, ["user_id", count_col], "customer_modeling")
+    return customer.withColumn("has_returns", (F.col(count_col) > 0).cast("int"))
 
 
 def item_return_classification_base(df: DataFrame) -> DataFrame:

@@ -119,3 +119,10 @@ def _load_more():
 
 
 _load_more()
+
+
+def _load_features():
+    from losslens.plans import q_features  # noqa: F401
+
+
+_load_features()
