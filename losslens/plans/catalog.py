@@ -126,3 +126,10 @@ def _load_features():
 
 
 _load_features()
+
+
+def _load_stats():
+    from losslens.plans import q_stats  # noqa: F401
+
+
+_load_stats()
