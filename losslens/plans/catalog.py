@@ -29,14 +29,15 @@ class Entry:
     doubles: list = field(default_factory=list)
     digits: dict = field(default_factory=dict)
     ints: list = field(default_factory=list)
+    scale: dict = field(default_factory=dict)
 
 
 QUERIES: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None = None, doubles=(), digits=None, ints=()):
+def register(name: str, sql: str | None = None, doubles=(), digits=None, ints=(), scale=None):
     def deco(fn):
-        QUERIES[name] = Entry(fn, sql, list(doubles), dict(digits or {}), list(ints))
+        QUERIES[name] = Entry(fn, sql, list(doubles), dict(digits or {}), list(ints), dict(scale or {}))
         return fn
     return deco
 
@@ -45,7 +46,7 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     e = QUERIES[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_spark(e.fn(spark, sf_dir), e.digits)
+        return round_spark(e.fn(spark, sf_dir), e.digits, scale=e.scale)
     run.__name__ = name
     return run
 
@@ -54,7 +55,7 @@ def oracle(name: str) -> str | None:
     e = QUERIES[name]
     if e.sql is None:
         return None
-    return round_sql(e.sql, e.doubles, e.digits, e.ints)
+    return round_sql(e.sql, e.doubles, e.digits, e.ints, scale=e.scale)
 
 
 # ---------------------------------------------------------------- helpers
@@ -102,7 +103,8 @@ def _erosion_query(level: str):
 
 
 for _lv in ("category", "brand", "department"):
-    register(f"a6_erosion_by_{_lv}", _erosion_sql(_lv), EROSION_DOUBLES, EROSION_DIGITS)(
+    register(f"a6_erosion_by_{_lv}", _erosion_sql(_lv), EROSION_DOUBLES, EROSION_DIGITS,
+             scale={"var_profit_erosion_per_return": 4})(
         _erosion_query(_lv))
 
 

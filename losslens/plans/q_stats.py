@@ -42,7 +42,8 @@ FROM t CROSS JOIN ties""")
 
 for _g in ("category", "brand", "department"):
     register(f"t2_anova_erosion_by_{_g}", anova_sql(_g),
-             ["ss_between", "ss_within", "f_stat", "eta_squared"])(
+             ["ss_between", "ss_within", "f_stat", "eta_squared"],
+             scale={"ss_between": 6, "ss_within": 6})(
         (lambda g: lambda spark, sf: S.anova_table(returned_items(spark, sf), g, "profit_erosion"))(_g))
     register(f"t4_kruskal_erosion_by_{_g}", kruskal_sql(_g), ["h_stat", "epsilon_squared"])(
         (lambda g: lambda spark, sf: S.kruskal_table(returned_items(spark, sf), g, "profit_erosion"))(_g))

@@ -65,16 +65,21 @@ def quantize(c):
     return F.when(F.isnan(x) | (F.abs(x) >= F.lit(1e14)), x).otherwise(q)
 
 
-def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAULT_DIGITS) -> DataFrame:
+def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAULT_DIGITS,
+                scale: dict | None = None) -> DataFrame:
     """Comparison form of a Spark result: doubles quantised, small ints as
     bigint.  ``digits`` first applies the reference's own decimal rounding
     where the operator itself rounds (pandas ``round``)."""
-    digits = digits or {}
+    digits, scale = digits or {}, scale or {}
     out = []
     for name, typ in df.dtypes:
         if typ in ("double", "float"):
             c = rnd(name, digits[name]) if name in digits else F.col(name)
-            out.append(quantize(c).alias(name))
+            if name in scale:  # large magnitudes: quantise x / 10^s, then scale back
+                f = F.lit(float(10 ** scale[name]))
+                out.append((quantize(c.cast("double") / f) * f).alias(name))
+            else:
+                out.append(quantize(c).alias(name))
         elif typ in ("int", "smallint", "tinyint"):
             out.append(F.col(name).cast("bigint").alias(name))
         else:
@@ -90,10 +95,16 @@ def quantize_sql(expr: str) -> str:
 
 
 def round_sql(sql: str, double_cols: list[str], digits: dict | None = None,
-              int_cols: list[str] = (), default: int = DEFAULT_DIGITS) -> str:
-    digits = digits or {}
-    reps = [f"{quantize_sql(f'round_even(CAST({c} AS DOUBLE), {digits[c]})' if c in digits else c)}"
-            f" AS {c}" for c in double_cols]
+              int_cols: list[str] = (), default: int = DEFAULT_DIGITS, scale: dict | None = None) -> str:
+    digits, scale = digits or {}, scale or {}
+
+    def one(c):
+        e = f"round_even(CAST({c} AS DOUBLE), {digits[c]})" if c in digits else c
+        if c in scale:
+            f = f"CAST('{float(10 ** scale[c])}' AS DOUBLE)"
+            return f"({quantize_sql(f'CAST({e} AS DOUBLE) / {f}')}) * {f}"
+        return quantize_sql(e)
+    reps = [f"{one(c)} AS {c}" for c in double_cols]
     reps += [f"CAST({c} AS BIGINT) AS {c}" for c in int_cols]
     if not reps:
         return sql
