@@ -171,3 +171,20 @@ def average_ranks(df: DataFrame, keys: list[str], value: str, out: str = "rank",
                     F.col("_n").alias(f"{out}__n"))
     base = df.withColumn("_rv", F.col(value).cast("double"))
     return base.join(rk, keys + ["_rv"], "left").drop("_rv")
+
+
+def feature_ranks(df: DataFrame, id_col: str, cols, prefix: str = "_r_",
+                  n_buckets: int | None = None) -> DataFrame:
+    """Average ranks of several columns in ONE pass: unpivot to
+    (id, feature, value), positions keyed by feature, join back, pivot by id.
+    The plan stays linear in the number of columns (chaining per-column
+    rank joins would duplicate the input plan at every step)."""
+    cols = list(cols)
+    long = df.select(F.col(id_col), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_f"), F.col(c).cast("double").alias("_val")) for c in cols
+    ])).alias("_kv")).select(id_col, "_kv._f", "_kv._val")
+    pos = positions(long, ["_f"], "_val", n_buckets=n_buckets).select(
+        "_f", F.col("_v").alias("_val"), (F.col("_cum") - (F.col("_c") - 1) / 2.0).alias("_rank"))
+    lr = long.join(pos, ["_f", "_val"], "left")
+    wide = lr.groupBy(id_col).pivot("_f", cols).agg(F.first("_rank"))
+    return wide.select(id_col, *[F.col(c).alias(prefix + c) for c in cols])

@@ -242,12 +242,13 @@ def point_biserial(df: DataFrame, x: str, y: str) -> dict:
 
 def spearman(df: DataFrame, x: str, y: str, id_col: str) -> DataFrame:
     """Spearman = Pearson of average ranks (rank primitive for both)."""
+    from losslens.operators.ordered import feature_ranks
     d = df.select(id_col, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
           .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    rx = average_ranks(d, [], "_x", out="_rx")
-    rxy = average_ranks(rx, [], "_y", out="_ry")
-    return rxy.agg(F.corr("_x", "_y").alias("pearson"), F.corr("_rx", "_ry").alias("spearman"),
-                   F.count(F.lit(1)).alias("n"))
+    rk = feature_ranks(d, id_col, ["_x", "_y"])
+    j = d.join(rk, [id_col])
+    return j.agg(F.corr("_x", "_y").alias("pearson"), F.corr("_r__x", "_r__y").alias("spearman"),
+                 F.count(F.lit(1)).alias("n"))
 
 
 def pairwise_t_bonferroni(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -292,14 +293,14 @@ def feature_separation(df: DataFrame, cluster: str, features) -> DataFrame:
     ])).alias("_kv")).select(cluster, "_kv.feature", "_kv.x").where(F.col("x").isNotNull())
     m = long.groupBy("feature", cluster).agg(F.count("x").alias("n"), F.avg("x").alias("mean"),
                                              (F.var_pop("x") * F.count("x")).alias("ss"))
-    g = m.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"),
+    g = m.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("_tot"),
                                  (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_g"))
     j = m.join(g, ["feature"])
-    t = j.groupBy("feature").agg(F.first("k").alias("k"), F.first("N").alias("N"),
+    t = j.groupBy("feature").agg(F.first("k").alias("k"), F.first("_tot").alias("_tot"),
                                  F.sum(F.col("n") * (F.col("mean") - F.col("_g")) ** 2).alias("ssb"),
                                  F.sum("ss").alias("ssw"))
-    out = t.select("feature", F.col("k").cast("long").alias("k"), F.col("N").cast("long").alias("n"),
-                   ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("N") - F.col("k"))))
+    out = t.select("feature", F.col("k").cast("long").alias("k"), F.col("_tot").cast("long").alias("n"),
+                   ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("_tot") - F.col("k"))))
                    .alias("f_stat"),
                    F.when(F.col("ssb") + F.col("ssw") > 0, F.col("ssb") / (F.col("ssb") + F.col("ssw")))
                    .otherwise(0.0).alias("eta_squared"))

@@ -135,3 +135,10 @@ def _load_stats():
 
 
 _load_stats()
+
+
+def _load_segment():
+    from losslens.plans import q_segment  # noqa: F401
+
+
+_load_segment()

@@ -24,6 +24,7 @@ DEFAULT_CONF = {
     # dimension tables below this size are broadcast by the planner; larger
     # ones fall back to a sort-merge join (a checked size, not a hint)
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.driver.memory": "8g",
 }
 
 
