@@ -140,16 +140,20 @@ def top_share(df: DataFrame, value: str, x: float = 0.2, keys=()) -> DataFrame:
 def _row_order(df: DataFrame, value: str, id_col: str, descending: bool) -> DataFrame:
     """Per row: 1-based position in (value asc|desc, id asc) order and the
     cumulative value through it."""
-    d = df.select(F.col(id_col), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_x"))
+    numeric_id = dict(df.dtypes)[id_col] in ("int", "bigint", "smallint", "tinyint", "double", "float")
+    # tie order inside equal values: the id itself when numeric, else a
+    # deterministic 64-bit hash of it (pandas leaves tie order unspecified)
+    tb = F.col(id_col).cast("double") if numeric_id else F.xxhash64(F.col(id_col)).cast("double")
+    d = df.select(F.col(id_col), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_x"),
+                  tb.alias("_tb"))
     d = d.withColumn("_k", -F.col("_x") if descending else F.col("_x"))
     lv = positions(d, [], "_k", sums=["_x"]).select(
         F.col("_v").alias("_k"), F.col("_c").alias("_vc"), F.col("_cum").alias("_vcum"),
         (F.col("_cs__x") - F.col("_s__x")).alias("_before"), F.col("_t__x").alias("_total"),
         F.col("_n").alias("_n"))
-    tie = positions(d, ["_k"], id_col).select("_k", F.col("_v").alias("_idv"),
-                                               F.col("_cum").alias("_tr"))
-    rows = (d.withColumn("_idv", F.col(id_col).cast("double"))
-            .join(lv, ["_k"]).join(tie, ["_k", "_idv"]))
+    tie = positions(d, ["_k"], "_tb").select("_k", F.col("_v").alias("_tb"),
+                                              F.col("_cum").alias("_tr"))
+    rows = d.join(lv, ["_k"]).join(tie, ["_k", "_tb"])
     return rows.select(
         id_col, F.col("_x").alias(value),
         (F.col("_vcum") - F.col("_vc") + F.col("_tr")).alias("rank"),

@@ -39,6 +39,8 @@ def default_buckets(df: DataFrame) -> int:
 
 def value_splits(df: DataFrame, v: str, n_buckets: int) -> list[float]:
     """Order-preserving bucket edges (an action on ``df``; bounded memory)."""
+    if n_buckets <= 1:
+        return []
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.approxQuantile(v, probs, 1.0 / (4 * n_buckets))
     return sorted({float(q) for q in qs
