@@ -142,3 +142,17 @@ def _load_segment():
 
 
 _load_segment()
+
+
+def _load_model():
+    from losslens.plans import q_model  # noqa: F401
+
+
+_load_model()
+
+
+def _load_ols():
+    from losslens.plans import q_ols  # noqa: F401
+
+
+_load_ols()

@@ -20,6 +20,7 @@ from losslens.operators import joins as J
 from losslens.operators import segment as SG
 from losslens.operators import stats as S
 from losslens.plans.catalog import featured_items, returned_items
+from losslens.session import cut_lineage
 
 SEG_FEATURES = ["total_items_purchased", "avg_order_value", "avg_basket_size", "order_frequency",
                 "customer_return_rate", "customer_tenure_days", "purchase_recency_days",
@@ -38,7 +39,8 @@ def segmentation_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def returners(spark: SparkSession, sf: str) -> DataFrame:
-    return segmentation_table(spark, sf).where(F.col("returned_items") > 0)
+    # customer-grain stage boundary (reliable checkpoint in the shared folder)
+    return cut_lineage(segmentation_table(spark, sf).where(F.col("returned_items") > 0))
 
 
 def scaled_returners(spark: SparkSession, sf: str, cols=None):
