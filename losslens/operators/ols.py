@@ -173,11 +173,11 @@ def fit_ols_hc3(design: DataFrame, names, y: str = "y") -> dict:
     coef.sort(key=lambda r: -abs(r[1]))
     return {"params": dict(zip(names, b.tolist())), "bse": dict(zip(names, se.tolist())), "cov": V,
             "xtx": xtx, "coefficients": coef, "n_obs": int(n), "k": k, "r_squared": float(r2),
-            "adj_r_squared": float(adj), "f_statistic": fval, "f_pvalue": fp,
+            "adj_r_squared": float(adj), "f_statistic": float(fval), "f_pvalue": float(fp),
             "aic": float(-2 * llf + 2 * k), "bic": float(-2 * llf + k * math.log(n)),
-            "jarque_bera": {"statistic": float(jb), "pvalue": dist.chi2_sf(jb, 2), "skewness": float(skew),
+            "jarque_bera": {"statistic": float(jb), "pvalue": float(dist.chi2_sf(jb, 2)), "skewness": float(skew),
                             "kurtosis": float(kurt)},
-            "breusch_pagan": {"statistic": float(lm), "pvalue": dist.chi2_sf(lm, k - 1),
+            "breusch_pagan": {"statistic": float(lm), "pvalue": float(dist.chi2_sf(lm, k - 1)),
                               "f_statistic": float(bp_f)},
             "condition_number": float(cond), "residual_expr": e}
 

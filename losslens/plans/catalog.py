@@ -156,3 +156,10 @@ def _load_ols():
 
 
 _load_ols()
+
+
+def _load_external():
+    from losslens.plans import q_external  # noqa: F401
+
+
+_load_external()

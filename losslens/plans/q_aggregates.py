@@ -359,3 +359,9 @@ SELECT arg_min(month, (-return_rate, month)) AS peak_month, max(return_rate) AS
        avg(return_rate) AS mean_monthly_return_rate FROM m"""),
          ["peak_return_rate", "mean_monthly_return_rate"])(
     lambda spark, sf: A.peak_month(A.monthly_return_rate(featured_items(spark, sf, ["order_created_at"]))))
+
+# ------------------------------------------------------------------ W14 (streaming form)
+register("w14_monthly_return_rate_streaming", with_features(MONTHLY_SQL.replace("\n, m AS", "m AS", 1) + """
+SELECT month, items, returned_items, return_rate FROM m"""), ["return_rate"])(
+    lambda spark, sf: __import__("losslens.streaming.monthly", fromlist=["x"])
+    .monthly_return_rate_stream(spark, sf).select("month", "items", "returned_items", "return_rate"))

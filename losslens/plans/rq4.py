@@ -40,10 +40,9 @@ def run_rq4(spark: SparkSession, sf: str) -> dict:
         "linear_summary": O.fit_summary(spark, lin_fit),
         "vif": spark.createDataFrame(log_fit["vif"], "feature string, vif double"),
         "diagnostics": spark.createDataFrame(
-            [("log", log_fit["jarque_bera"]["statistic"], log_fit["breusch_pagan"]["statistic"],
-              log_fit["breusch_pagan"]["pvalue"], log_fit["durbin_watson"]),
-             ("linear", lin_fit["jarque_bera"]["statistic"], lin_fit["breusch_pagan"]["statistic"],
-              lin_fit["breusch_pagan"]["pvalue"], lin_fit["durbin_watson"])],
+            [(m, float(f["jarque_bera"]["statistic"]), float(f["breusch_pagan"]["statistic"]),
+              float(f["breusch_pagan"]["pvalue"]), float(f["durbin_watson"]))
+             for m, f in (("log", log_fit), ("linear", lin_fit))],
             "model string, jarque_bera double, breusch_pagan_lm double, breusch_pagan_p double, "
             "durbin_watson double"),
         "fit": log_fit,
