@@ -163,3 +163,10 @@ def _load_external():
 
 
 _load_external()
+
+
+def _load_jobs():
+    from losslens.plans import q_jobs  # noqa: F401
+
+
+_load_jobs()
