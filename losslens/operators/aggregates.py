@@ -298,10 +298,12 @@ def segment_summary(profile: DataFrame) -> DataFrame:
 
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:
-    """Value counts with share of the total (window over
-    the tiny counted table, not over the rows)."""
+    """Value counts with share of the total.  The total is
+    a one-row aggregate cross-joined back (no single-partition window, so a
+    high-cardinality column stays distributed)."""
     c = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    return c.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    tot = df.agg(F.count(F.lit(1)).alias("_tot"))
+    return c.crossJoin(F.broadcast(tot)).select(col, "count", (F.col("count") / F.col("_tot")).alias("share"))
 
 
 def distribution_summary(df: DataFrame, value: str, top_n: int = 10,

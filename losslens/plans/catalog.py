@@ -59,14 +59,21 @@ def oracle(name: str) -> str | None:
 
 
 # ---------------------------------------------------------------- helpers
-ITEM_FEATURE_INPUT = ["order_item_id", "order_id", "user_id", "product_id", "item_status",
-                      "order_status", "retail_price", "sale_price", "cost", "category",
-                      "brand", "department"]
+ITEM_CORE = ["order_item_id", "order_id", "product_id", "item_status", "retail_price",
+             "sale_price", "cost", "category", "brand", "department"]
+ORDER_INPUT = ["user_id", "order_status"]
+ITEM_FEATURE_INPUT = ITEM_CORE + ORDER_INPUT
 
 
-def featured_items(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
-    """Item grain + P3 / P4 / P5 (driver tier map on the category)."""
-    cols = list(dict.fromkeys(ITEM_FEATURE_INPUT + list(extra)))
+def featured_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool = True) -> DataFrame:
+    """Item grain + P3 / P4 / P5 (driver tier map on the category).
+
+    ``with_orders=False`` leaves out the customer / order-status columns, and
+    with them the lineitem x orders join (the largest shuffle at scale), for
+    product-level queries that never use them.
+    """
+    base = ITEM_FEATURE_INPUT if with_orders else ITEM_CORE
+    cols = list(dict.fromkeys(base + list(extra)))
     return FE.add_item_features(items(spark, sf_dir, cols), category_multipliers=DRIVER_TIERS)
 
 
@@ -97,7 +104,8 @@ FROM f WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) >= {min_rows}""")
 
 def _erosion_query(level: str):
     def fn(spark, sf_dir):
-        long = A.product_profit_erosion_metrics(featured_items(spark, sf_dir), min_rows=200)
+        long = A.product_profit_erosion_metrics(featured_items(spark, sf_dir, with_orders=False),
+                                                min_rows=200)
         return A.erosion_level(long, level)
     return fn
 

@@ -35,7 +35,7 @@ SELECT category, count(order_id) AS returned_items, sum(sale_price) AS total_los
 FROM f WHERE is_returned_item = 1 AND category IS NOT NULL GROUP BY category"""),
          ["total_lost_sales", "total_lost_margin", "avg_margin_per_return",
           "median_margin_per_return"], M2)(
-    lambda spark, sf: A.margin_loss_by_group(featured_items(spark, sf), ["category"]))
+    lambda spark, sf: A.margin_loss_by_group(featured_items(spark, sf, with_orders=False), ["category"]))
 
 # ------------------------------------------------------------------ A3
 register("a3_customer_margin_exposure", with_features("""
@@ -71,7 +71,7 @@ SELECT level, grp, count(*) AS item_rows, CAST(sum(is_returned_item) AS BIGINT)
 FROM long WHERE grp IS NOT NULL GROUP BY level, grp HAVING count(*) >= 200""".lstrip()
                                                          .replace(", long", "long", 1)),
          ["return_rate"])(
-    lambda spark, sf: A.product_return_behavior_metrics(featured_items(spark, sf), 200))
+    lambda spark, sf: A.product_return_behavior_metrics(featured_items(spark, sf, with_orders=False), 200))
 
 register("a7_return_rate_validation", with_features("""
 , long AS (SELECT 'by_category' AS level, CAST(category AS VARCHAR) AS grp, is_returned_item FROM f
