@@ -143,3 +143,36 @@ def _m20(spark, sf):
 
 
 register("m20_m21_directional_validation", None)(_m20)
+
+
+# ---------------------------------------------------------------- Q-7, S5, S7
+register("q7_deep_clean_report", None)(
+    lambda spark, sf: QL.deep_clean(
+        featured_items(spark, sf, ["item_shipped_at", "item_delivered_at", "item_returned_at"]),
+        outlier_cols=["sale_price", "cost"], variance_threshold=0.01)[1])
+
+
+def _s5_s7(spark, sf):
+    """S5 + S7: write the feature table and the three model-ready views
+    (item classification, returned-item regression, customer segmentation)
+    and read the row counts back."""
+    from losslens.operators import features as FE
+    out = _scratch(spark, "views")
+    f = featured_items(spark, sf, ["item_returned_at", "age", "country", "traffic_source"])
+    views = {"feature_table": f,
+             "rq3_item_classification": FE.item_return_classification_base(f),
+             "rq4_returned_item_regression": FE.returned_item_regression_base(f),
+             "rq2_customer_segmentation": A.rq2_customer_segmentation_base(f.drop("profit_erosion"))}
+    rows = []
+    for name, v in views.items():
+        p = os.path.join(out, name)
+        v.write.mode("overwrite").parquet(p)
+        rows.append((name, spark.read.parquet(p).count()))
+    return spark.createDataFrame(rows, "view string, rows long")
+
+
+register("s5_s7_write_model_views", with_features("""
+SELECT 'feature_table' AS view, count(*) AS rows FROM f UNION ALL
+SELECT 'rq3_item_classification', count(*) FROM f UNION ALL
+SELECT 'rq4_returned_item_regression', count(*) FROM f WHERE is_returned_item = 1 UNION ALL
+SELECT 'rq2_customer_segmentation', count(DISTINCT user_id) FROM f"""))(_s5_s7)
