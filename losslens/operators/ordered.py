@@ -118,6 +118,43 @@ def _interp(name: str):
     return (lo + (hi - lo) * f).alias(name)
 
 
+def _targeted_quantiles(df: DataFrame, keys: list[str], value: str, specs, n_buckets=None) -> DataFrame:
+    """Exact quantiles touching only the buckets that hold a target rank.
+
+    Same first steps as ``positions`` (tie collapse, global splits, per
+    (key, bucket) totals with a bounded prefix window); then, per key and
+    target, only the one or two buckets containing ranks floor(p(n-1)) and
+    ceil(p(n-1)) are kept, and only their values are sorted -- about n / B
+    rows per target instead of n.
+    """
+    d = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    cond = F.col("_v").isNotNull() & ~F.isnan("_v")
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    d = d.where(cond)
+    vc = d.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    nb = n_buckets or default_buckets(df)
+    vb = bucketize(vc, "_v", value_splits(d, "_v", nb))
+    tot = vb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    wk = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
+    wall = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    tot = tot.select(*keys, "_b", "_bc",
+                     F.coalesce(F.sum("_bc").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).alias("_off"),
+                     F.sum("_bc").over(wall).alias("_n"))
+    hit = F.lit(False)
+    for _, _, p in specs:
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        for k in (F.floor(pos), F.ceil(pos)):
+            hit = hit | ((F.col("_off") <= k) & (k < F.col("_off") + F.col("_bc")))
+    tgt = tot.where(hit).select(*keys, "_b", "_off", "_n")
+    cand = vb.join(tgt if keys else F.broadcast(tgt), keys + ["_b"])  # no keys: <= 2 x targets rows
+    wl = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(_UNB, 0)
+    pos = cand.select(*keys, "_v", "_c", "_n", (F.sum("_c").over(wl) + F.col("_off")).alias("_cum"))
+    aggs = [e for n, _, p in specs for e in _quantile_exprs(p, n)]
+    res = pos.groupBy(*keys).agg(*aggs) if keys else pos.agg(*aggs)
+    return res.select(*keys, *[_interp(n) for n, _, _ in specs])
+
+
 def group_quantiles(df: DataFrame, keys: list[str], specs: list[tuple[str, str, float]],
                     method: str = "exact", accuracy: int = 10000,
                     n_buckets: int | None = None) -> DataFrame:
@@ -137,26 +174,22 @@ def group_quantiles(df: DataFrame, keys: list[str], specs: list[tuple[str, str,
         return (df.where(cond).groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs))
     cols = list(dict.fromkeys(c for _, c, _ in specs))
     if len(cols) == 1:
-        pos = positions(df, keys, cols[0], n_buckets=n_buckets)
-        aggs = [e for n, _, p in specs for e in _quantile_exprs(p, n)]
-        res = pos.groupBy(*keys).agg(*aggs) if keys else pos.agg(*aggs)
-        return res.select(*keys, *[_interp(n) for n, _, _ in specs])
+        return _targeted_quantiles(df, keys, cols[0], specs, n_buckets)
     # several value columns: unpivot once, one pass for all of them
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_val")) for c in cols
     ])).alias("_kv")).select(*keys, "_kv._m", "_kv._val")
-    pos = positions(long, keys + ["_m"], "_val", n_buckets=n_buckets)
-    aggs = []
-    for n, c, p in specs:
-        for e in _quantile_exprs(p, n):
-            aggs.append(e)
-    per = pos.groupBy(*keys, "_m").agg(*aggs)
+    per_col = []
+    for c in cols:
+        per_col.append([(n, "_val", p) for n, cc, p in specs if cc == c])
+    all_specs = [(f"{n}__{i}", "_val", p) for i, sp in enumerate(per_col) for n, _, p in sp]
+    q = _targeted_quantiles(long, keys + ["_m"], "_val", all_specs, n_buckets)
     back = []
-    for n, c, p in specs:
-        for part in ("__lo", "__hi", "__f"):
-            back.append(F.max(F.when(F.col("_m") == c, F.col(n + part))).alias(n + part))
-    res = per.groupBy(*keys).agg(*back) if keys else per.agg(*back)
-    return res.select(*keys, *[_interp(n) for n, _, _ in specs])
+    for i, (c, sp) in enumerate(zip(cols, per_col)):
+        for n, _, _ in sp:
+            back.append(F.max(F.when(F.col("_m") == c, F.col(f"{n}__{i}"))).alias(n))
+    res = q.groupBy(*keys).agg(*back) if keys else q.agg(*back)
+    return res.select(*keys, *[n for n, _, _ in specs])
 
 
 def average_ranks(df: DataFrame, keys: list[str], value: str, out: str = "rank",
