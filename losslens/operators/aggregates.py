@@ -96,7 +96,10 @@ EROSION_LEVELS = {"by_category": "category", "by_brand": "brand", "by_department
 
 def product_profit_erosion_metrics(df: DataFrame, min_rows: int = X.MIN_ROWS_THRESHOLD,
                                    levels: dict | None = None) -> DataFrame:
-    """A6 for several levels in ONE pass: long table keyed by (level, group).
+    """A6 (+ J2) for several levels in ONE pass: long table keyed by (level, group).
+
+    J2 (group rates LEFT group erosion) is folded in: rates and returned-only
+    erosion come from the same ``groupBy`` with filtered aggregates.
 
     Rate context on all items, erosion measures on returned items only
     (filtered aggregates); erosion columns are null when a group had no
@@ -226,7 +229,7 @@ def summarize_profit_erosion(returned: DataFrame) -> DataFrame:
 
 def customer_behavioral_features(df: DataFrame, reference_date=None,
                                  order_key: str = "order_item_id") -> DataFrame:
-    """RFM features.  Two-level aggregation (order, then customer) with
+    """A12 (+ J6): RFM features.  Two-level aggregation (order, then customer) with
     partial aggregation at both levels; the reference date (max order date
     unless given) is a one-row aggregate cross-joined as a scalar.
     """
@@ -271,8 +274,9 @@ def customer_behavioral_features(df: DataFrame, reference_date=None,
 def rq2_customer_segmentation_base(df: DataFrame, order_key: str = "order_item_id",
                                    demographics=("age", "user_gender", "country", "state",
                                                  "city", "traffic_source")) -> DataFrame:
-    """Customer grain incl. the null user (``dropna=False``), rate,
-    average erosion per return, first observed demographics (Q14)."""
+    """A13 (+ J8): customer grain incl. the null user (``dropna=False``), rate,
+    average erosion per return, first observed demographics (Q14) taken in
+    the same ``groupBy`` instead of a separate join."""
     d = FE.ensure_profit_erosion(FE.ensure_return_flag(df))
     demo = [c for c in demographics if c in d.columns]
     agg = d.groupBy("user_id").agg(

@@ -119,12 +119,16 @@ def screen_features(train: DataFrame, features, target: str = RQ3_TARGET,
 def build_model_configs(n_train: int, seed: int = 42, grid: str = "full"):
     """M3: the reference's grids as Spark ML ParamMaps.  ``C`` maps to
     ``regParam = 1 / (C n)``; ``max_depth=None`` to 30 (Spark maximum);
-    ``grid='small'`` keeps one point per model (tests / quick runs)."""
+    ``grid='small'`` keeps one point per model (tests / quick runs),
+    ``grid='ablation'`` a lighter forest for variant comparisons."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w",
                             maxIter=500, standardization=False)
     rf = RandomForestClassifier(featuresCol="raw_features", labelCol="label", weightCol="w", seed=seed)
     gb = GBTClassifier(featuresCol="raw_features", labelCol="label", weightCol="w", seed=seed)
-    if grid == "small":
+    if grid == "ablation":  # variant-vs-variant comparisons: a lighter forest
+        cs, l1s, trees, depths, leaves = [1.0], [0.0], [50], [8], [5]
+        g_iter, g_depth, g_lr, g_sub = [20], [3], [0.1], [1.0]
+    elif grid == "small":
         cs, l1s, trees, depths, leaves = [1.0], [0.0], [100], [10], [5]
         g_iter, g_depth, g_lr, g_sub = [20], [3], [0.1], [1.0]
     else:

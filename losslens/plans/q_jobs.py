@@ -176,3 +176,20 @@ SELECT 'feature_table' AS view, count(*) AS rows FROM f UNION ALL
 SELECT 'rq3_item_classification', count(*) FROM f UNION ALL
 SELECT 'rq4_returned_item_regression', count(*) FROM f WHERE is_returned_item = 1 UNION ALL
 SELECT 'rq2_customer_segmentation', count(DISTINCT user_id) FROM f"""))(_s5_s7)
+
+
+register("m10_m14_ablation_studies", None)(
+    lambda spark, sf: rq3.ablation_studies(spark, sf, grid="ablation", folds=3))
+
+
+def _s9_s11(spark, sf):
+    out = _scratch(spark, "external")
+    paths = rq1.build_external_artifacts(spark, sf, out)
+    tp = os.path.join(out, "customer_targets")
+    rq3.customer_targets(spark, sf).write.mode("overwrite").parquet(tp)
+    t = rq1.load_customer_targets(spark, tp)
+    rows = [(k, spark.read.parquet(v).count()) for k, v in paths.items()] + [("customer_targets", t.count())]
+    return spark.createDataFrame(rows, "artifact string, rows long")
+
+
+register("s9_s11_external_artifacts_and_targets", None)(_s9_s11)

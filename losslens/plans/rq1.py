@@ -77,3 +77,32 @@ def customer_erosion(df: DataFrame) -> DataFrame:
         d = FE.calculate_profit_erosion(d, category_multipliers=DRIVER_TIERS)
     d = d.drop(*[c for c in ("total_profit_erosion", "returned_items") if c in d.columns])
     return A.profit_erosion_by_customer(d.where(F.col("is_returned_item") == 1))
+
+
+def build_external_artifacts(spark: SparkSession, sf: str, out_dir: str) -> dict:
+    """S9 + S10: external raw -> engineered lines, canonical base, returned
+    rows and the category group table, written as parquet."""
+    from losslens.operators import external as EX
+    from losslens.sources.external import external_lines
+    eng = EX.preprocess(EX.load_lines(external_lines(spark, sf)))
+    base = EX.canonical_base(eng)
+    paths = {}
+    for name, df in {"engineered": eng, "canonical_base": base,
+                     "returned": base.where(F.col("is_returned_item") == 1),
+                     "by_category": EX.group_metrics(base)}.items():
+        p = os.path.join(out_dir, name)
+        df.write.mode("overwrite").parquet(p)
+        paths[name] = p
+    return paths
+
+
+def load_customer_targets(spark: SparkSession, path: str, target: str = "total_profit_erosion") -> DataFrame:
+    """Read the customer targets; one aggregate asserts it is non-empty
+    and that every erosion value is positive."""
+    df = spark.read.parquet(path)
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(target).alias("mn")).first()
+    if not r["n"]:
+        raise ValueError("customer targets are empty")
+    if r["mn"] is None or r["mn"] <= 0:
+        raise ValueError(f"{target} must be > 0 for every customer")
+    return df

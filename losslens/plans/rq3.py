@@ -71,3 +71,69 @@ def run_rq3(spark: SparkSession, sf: str, grid: str = "small", ablation_top_n: i
     frame.unpersist()
     return {"screening": screen, "survivors": survivors, "comparison": comp, "importance": imp,
             "hypothesis": hyp, "ablation": abl}
+
+
+# ------------------------------------------------------------------ M10-M14 ablations
+# feature families / sets of the candidate list (fixed for the ablations)
+FAMILIES = {
+    "frequency": ["order_frequency", "return_frequency", "customer_return_rate"],
+    "monetary": ["avg_order_value", "total_sales", "total_margin", "avg_item_price", "avg_item_margin"],
+    "basket": ["avg_basket_size", "total_items"],
+    "temporal": ["customer_tenure_days", "purchase_recency_days"],
+}
+BEHAVIOURAL = FAMILIES["frequency"] + FAMILIES["basket"] + FAMILIES["temporal"]
+ECONOMIC = FAMILIES["monetary"]
+
+
+def _rf_auc(prep: DataFrame, feats, grid: str = "small", folds: int = 3) -> dict:
+    frame = M.model_frame(prep, feats, folds=folds)
+    n = prep.where("is_test = 0").count()
+    cfg = {"Random Forest": M.build_model_configs(n, grid=grid)["Random Forest"]}
+    return M.train_and_evaluate(frame, feats, cfg, folds=folds)["Random Forest"]
+
+
+def ablation_studies(spark: SparkSession, sf: str, grid: str = "small", folds: int = 3) -> DataFrame:
+    """M10 preprocessing gates, M11 drop-one-family, M12 target construction,
+    M13 behavioural / economic / both, M14 top-5 / top-3 subsets.  Each
+    variant screens on its training rows and refits the random forest."""
+    base = customer_targets(spark, sf)
+    prep = prepared(spark, sf)
+    train = prep.where("is_test = 0")
+    rows = []
+
+    def run(study, variant, feats):
+        feats = [f for f in feats if f in prep.columns]
+        if not feats:
+            return
+        r = _rf_auc(prep, feats, grid, folds)
+        rows.append((study, variant, len(feats), float(r["test_auc"]), float(r["f1"])))
+        return r
+    # Screening switches
+    for name, sw in [("all_gates", {}), ("no_variance", {"use_variance_gate": False}),
+                     ("no_correlation", {"use_correlation_gate": False}),
+                     ("no_univariate", {"use_univariate_gate": False})]:
+        surv, _ = M.screen_features(train, M.RQ3_CANDIDATE_FEATURES, **sw)
+        run("preprocessing", name, surv)
+    # Drop one family at a time
+    for fam, cols in FAMILIES.items():
+        run("feature_family", f"without_{fam}", [c for c in M.RQ3_CANDIDATE_FEATURES if c not in cols])
+    # Target built from another erosion column (W1 on it)
+    for col in ("total_profit_erosion", "total_margin_reversal", "total_process_cost"):
+        t = C.create_profit_erosion_targets(base.drop("is_high_erosion_customer", "erosion_percentile_rank",
+                                                      "profit_erosion_quartile"), erosion_column=col)
+        p2 = cut_lineage(M.prepare_modeling_data(t, M.RQ3_CANDIDATE_FEATURES))
+        r = _rf_auc(p2, M.RQ3_CANDIDATE_FEATURES, grid, folds)
+        rows.append(("target_construction", col, len(M.RQ3_CANDIDATE_FEATURES), float(r["test_auc"]),
+                     float(r["f1"])))
+    # Feature sets
+    full = None
+    for name, cols in [("behavioural", BEHAVIOURAL), ("economic", ECONOMIC),
+                       ("both", M.RQ3_CANDIDATE_FEATURES)]:
+        r = run("feature_set", name, cols)
+        if name == "both":
+            full = r
+    # Operational subsets by importance of the full model
+    ranked = [f for f, _ in sorted(full["importance"].items(), key=lambda kv: -kv[1])]
+    for k in (5, 3):
+        run("operational", f"top_{k}", ranked[:k])
+    return spark.createDataFrame(rows, "study string, variant string, n_features int, test_auc double, f1 double")
