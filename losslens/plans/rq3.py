@@ -85,55 +85,59 @@ BEHAVIOURAL = FAMILIES["frequency"] + FAMILIES["basket"] + FAMILIES["temporal"]
 ECONOMIC = FAMILIES["monetary"]
 
 
-def _rf_auc(prep: DataFrame, feats, grid: str = "small", folds: int = 3) -> dict:
-    frame = M.model_frame(prep, feats, folds=folds)
-    n = prep.where("is_test = 0").count()
-    cfg = {"Random Forest": M.build_model_configs(n, grid=grid)["Random Forest"]}
-    return M.train_and_evaluate(frame, feats, cfg, folds=folds)["Random Forest"]
-
-
-def ablation_studies(spark: SparkSession, sf: str, grid: str = "small", folds: int = 3) -> DataFrame:
+def _rf_auc(frame: DataFrame, feats, n_train: int, grid: str = "small", folds: int = 3) -> dict:
+    """Random-forest refit on a feature subset of an already built model
+    frame (weights, folds, split fixed): only the vector is re-assembled."""
+    from pyspark.ml.feature import VectorAssembler
+    sub = VectorAssembler(inputCols=list(feats), outputCol="raw_features").transform(
+        frame.drop("raw_features"))
+    cfg = {"Random Forest": M.build_model_configs(n_train, grid=grid)["Random Forest"]}
+    return M.train_and_evaluate(sub, feats, cfg, folds=folds)["Random Forest"]
+
+
+def ablation_studies(spark: SparkSession, sf: str, grid: str = "small", folds: int = 3,
+                     parallel: int = 4) -> DataFrame:
     """M10 preprocessing gates, M11 drop-one-family, M12 target construction,
     M13 behavioural / economic / both, M14 top-5 / top-3 subsets.  Each
     variant screens on its training rows and refits the random forest."""
     base = customer_targets(spark, sf)
     prep = prepared(spark, sf)
     train = prep.where("is_test = 0")
-    rows = []
-
-    def run(study, variant, feats):
-        feats = [f for f in feats if f in prep.columns]
-        if not feats:
-            return
-        r = _rf_auc(prep, feats, grid, folds)
-        rows.append((study, variant, len(feats), float(r["test_auc"]), float(r["f1"])))
-        return r
-    # Screening switches
+    n_train = train.count()
+    frame = M.model_frame(prep, M.RQ3_CANDIDATE_FEATURES, folds=folds)  # built once
+    # the full feature set first: its importances define the M14 subsets
+    full = _rf_auc(frame, M.RQ3_CANDIDATE_FEATURES, n_train, grid, folds)
+    ranked = [f for f, _ in sorted(full["importance"].items(), key=lambda kv: -kv[1])]
+    tasks = []  # (study, variant, frame, features)
     for name, sw in [("all_gates", {}), ("no_variance", {"use_variance_gate": False}),
                      ("no_correlation", {"use_correlation_gate": False}),
-                     ("no_univariate", {"use_univariate_gate": False})]:
+                     ("no_univariate", {"use_univariate_gate": False})]:   # M10
         surv, _ = M.screen_features(train, M.RQ3_CANDIDATE_FEATURES, **sw)
-        run("preprocessing", name, surv)
-    # Drop one family at a time
-    for fam, cols in FAMILIES.items():
-        run("feature_family", f"without_{fam}", [c for c in M.RQ3_CANDIDATE_FEATURES if c not in cols])
-    # Target built from another erosion column (W1 on it)
-    for col in ("total_profit_erosion", "total_margin_reversal", "total_process_cost"):
+        tasks.append(("preprocessing", name, frame, surv))
+    for fam, cols in FAMILIES.items():                                     # M11
+        tasks.append(("feature_family", f"without_{fam}", frame,
+                      [c for c in M.RQ3_CANDIDATE_FEATURES if c not in cols]))
+    for col in ("total_profit_erosion", "total_margin_reversal", "total_process_cost"):  # M12
         t = C.create_profit_erosion_targets(base.drop("is_high_erosion_customer", "erosion_percentile_rank",
                                                       "profit_erosion_quartile"), erosion_column=col)
         p2 = cut_lineage(M.prepare_modeling_data(t, M.RQ3_CANDIDATE_FEATURES))
-        r = _rf_auc(p2, M.RQ3_CANDIDATE_FEATURES, grid, folds)
-        rows.append(("target_construction", col, len(M.RQ3_CANDIDATE_FEATURES), float(r["test_auc"]),
-                     float(r["f1"])))
-    # Feature sets
-    full = None
-    for name, cols in [("behavioural", BEHAVIOURAL), ("economic", ECONOMIC),
-                       ("both", M.RQ3_CANDIDATE_FEATURES)]:
-        r = run("feature_set", name, cols)
-        if name == "both":
-            full = r
-    # Operational subsets by importance of the full model
-    ranked = [f for f, _ in sorted(full["importance"].items(), key=lambda kv: -kv[1])]
-    for k in (5, 3):
-        run("operational", f"top_{k}", ranked[:k])
+        tasks.append(("target_construction", col, M.model_frame(p2, M.RQ3_CANDIDATE_FEATURES, folds=folds),
+                      M.RQ3_CANDIDATE_FEATURES))
+    for name, cols in [("behavioural", BEHAVIOURAL), ("economic", ECONOMIC)]:  # M13
+        tasks.append(("feature_set", name, frame, cols))
+    for k in (5, 3):                                                        # M14
+        tasks.append(("operational", f"top_{k}", frame, ranked[:k]))
+    tasks = [(st, v, fr, [f for f in fs if f in prep.columns]) for st, v, fr, fs in tasks]
+
+    def fit(task):
+        st, v, fr, fs = task
+        r = _rf_auc(fr, fs, n_train, grid, folds)
+        return (st, v, len(fs), float(r["test_auc"]), float(r["f1"]))
+    # independent refits: submitted concurrently (Spark schedules jobs from
+    # several threads); results keep the task order
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        rows = list(ex.map(fit, [t for t in tasks if t[3]]))
+    rows.append(("feature_set", "both", len(M.RQ3_CANDIDATE_FEATURES), float(full["test_auc"]),
+                 float(full["f1"])))
     return spark.createDataFrame(rows, "study string, variant string, n_features int, test_auc double, f1 double")
