@@ -30,14 +30,16 @@ class Entry:
     digits: dict = field(default_factory=dict)
     ints: list = field(default_factory=list)
     scale: dict = field(default_factory=dict)
+    ts: list = field(default_factory=list)
 
 
 QUERIES: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None = None, doubles=(), digits=None, ints=(), scale=None):
+def register(name: str, sql: str | None = None, doubles=(), digits=None, ints=(), scale=None, ts=()):
     def deco(fn):
-        QUERIES[name] = Entry(fn, sql, list(doubles), dict(digits or {}), list(ints), dict(scale or {}))
+        QUERIES[name] = Entry(fn, sql, list(doubles), dict(digits or {}), list(ints), dict(scale or {}),
+                              list(ts))
         return fn
     return deco
 
@@ -55,7 +57,7 @@ def oracle(name: str) -> str | None:
     e = QUERIES[name]
     if e.sql is None:
         return None
-    return round_sql(e.sql, e.doubles, e.digits, e.ints, scale=e.scale)
+    return round_sql(e.sql, e.doubles, e.digits, e.ints, scale=e.scale, ts_cols=e.ts)
 
 
 # ---------------------------------------------------------------- helpers

@@ -351,17 +351,17 @@ MONTHLY_SQL = """
         sum(is_returned_item) / count(*) AS return_rate FROM f GROUP BY 1)"""
 register("w14_monthly_return_rate", with_features(MONTHLY_SQL.replace("\n, m AS", "m AS", 1) + """
 SELECT *, avg(return_rate) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
-          AS rolling_3m_return_rate FROM m"""), ["return_rate", "rolling_3m_return_rate"])(
+          AS rolling_3m_return_rate FROM m"""), ["return_rate", "rolling_3m_return_rate"], ts=["month"])(
     lambda spark, sf: A.monthly_return_rate(featured_items(spark, sf, ["order_created_at"])))
 
 register("a35_peak_month", with_features(MONTHLY_SQL.replace("\n, m AS", "m AS", 1) + """
 SELECT arg_min(month, (-return_rate, month)) AS peak_month, max(return_rate) AS peak_return_rate,
        avg(return_rate) AS mean_monthly_return_rate FROM m"""),
-         ["peak_return_rate", "mean_monthly_return_rate"])(
+         ["peak_return_rate", "mean_monthly_return_rate"], ts=["peak_month"])(
     lambda spark, sf: A.peak_month(A.monthly_return_rate(featured_items(spark, sf, ["order_created_at"]))))
 
 # ------------------------------------------------------------------ W14 (streaming form)
 register("w14_monthly_return_rate_streaming", with_features(MONTHLY_SQL.replace("\n, m AS", "m AS", 1) + """
-SELECT month, items, returned_items, return_rate FROM m"""), ["return_rate"])(
+SELECT month, items, returned_items, return_rate FROM m"""), ["return_rate"], ts=["month"])(
     lambda spark, sf: __import__("losslens.streaming.monthly", fromlist=["x"])
     .monthly_return_rate_stream(spark, sf).select("month", "items", "returned_items", "return_rate"))

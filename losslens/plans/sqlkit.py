@@ -82,6 +82,9 @@ def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAUL
                 out.append(quantize(c).alias(name))
         elif typ in ("int", "smallint", "tinyint"):
             out.append(F.col(name).cast("bigint").alias(name))
+        elif typ in ("timestamp", "timestamp_ntz", "date"):
+            # ISO text: engines differ in timestamp precision / zone handling
+            out.append(F.date_format(F.col(name), "yyyy-MM-dd HH:mm:ss").alias(name))
         else:
             out.append(F.col(name))
     return df.select(*out)
@@ -95,7 +98,8 @@ def quantize_sql(expr: str) -> str:
 
 
 def round_sql(sql: str, double_cols: list[str], digits: dict | None = None,
-              int_cols: list[str] = (), default: int = DEFAULT_DIGITS, scale: dict | None = None) -> str:
+              int_cols: list[str] = (), default: int = DEFAULT_DIGITS, scale: dict | None = None,
+              ts_cols: list[str] = ()) -> str:
     digits, scale = digits or {}, scale or {}
 
     def one(c):
@@ -106,6 +110,7 @@ def round_sql(sql: str, double_cols: list[str], digits: dict | None = None,
         return quantize_sql(e)
     reps = [f"{one(c)} AS {c}" for c in double_cols]
     reps += [f"CAST({c} AS BIGINT) AS {c}" for c in int_cols]
+    reps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in ts_cols]
     if not reps:
         return sql
     return f"SELECT * REPLACE ({', '.join(reps)}) FROM (\n{sql}\n) q"
