@@ -12,7 +12,8 @@ from losslens.functions import exprs as X
 from losslens.operators.ordered import group_quantiles
 
 # fixed values: loss candidates in priority order, date columns
-LOSS_CANDIDATES = ["total_loss", "gross_financial_loss", "total_return_cogs", "Total Return COGS",
+LOSS_CANDIDATES = ["total_loss", "gross_financial_loss", "Gross Financial Loss",
+                   "gross_financial_loss_amt", "total_return_cogs", "Total Return COGS",
                    "gross_financial_loss_total", "Gross Profit", "Product Cost", "CreditReturn Sales",
                    "Credit Return Sales"]
 DATE_COLS = ["Booked Date", "Billed Date", "Reference Booked Date", "Prev_Return_Date"]
