@@ -35,8 +35,8 @@ RQ3_CANDIDATE_FEATURES = [
     "total_sales", "total_margin", "avg_item_price", "avg_item_margin",
 ]
 RQ3_LEAKAGE_COLUMNS = ["total_profit_erosion", "total_margin_reversal", "total_process_cost",
-                       "is_high_erosion_customer", "erosion_percentile_rank",
-                       "profit_erosion_quartile", "high_erosion_customer"]
+                       "is_high_erosion_customer", "profit_erosion_quartile",
+                       "erosion_percentile_rank", "user_id"]
 AUC_THRESHOLD = 0.70
 
 

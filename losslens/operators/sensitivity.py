@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from losslens.functions import exprs as X
 from losslens.operators.ordered import group_quantiles
 
+# fixed values: sensitivity scenarios (base cost per return, label percentile)
+SENSITIVITY_BASE_COSTS = [8.0, 10.0, 12.0, 14.0, 18.0]
+SENSITIVITY_THRESHOLDS = [0.50, 0.60, 0.70, 0.75, 0.80, 0.90]
+
 
 def erosion_under_costs(returned: DataFrame, base_costs, category_multipliers: dict | None = None,
                         key: str = "user_id") -> DataFrame:

@@ -117,7 +117,7 @@ register("m7_a28_feature_importance", None)(lambda spark, sf: _rq3(spark, sf)["i
 register("m9_ablation_drop_top3", None)(lambda spark, sf: _rq3(spark, sf)["ablation"])
 
 # Label part for every scenario in one job
-_COSTS = [8.0, 10.0, 12.0, 14.0, 18.0]
+_COSTS = SE.SENSITIVITY_BASE_COSTS
 register("m16_cost_sensitivity_labels", with_features(
     "c AS (SELECT * FROM (VALUES " + ", ".join(f"(CAST({c} AS DOUBLE))" for c in _COSTS) +
     ") v(base_cost)),\ne AS (SELECT base_cost, user_id, sum(item_margin + base_cost * " + tier_case_sql() +
@@ -135,7 +135,7 @@ FROM l JOIN b USING (user_id) GROUP BY l.base_cost"""), ["base_cost", "flip_rate
         SE.labels_by_scenario(SE.erosion_under_costs(returned_items(spark, sf), _COSTS, DRIVER_TIERS),
                               "base_cost"), "base_cost", 12.0))
 
-_PCTS = [0.5, 0.6, 0.7, 0.75, 0.8, 0.9]
+_PCTS = SE.SENSITIVITY_THRESHOLDS
 register("m17_threshold_sensitivity_labels", with_features(
     _CE + ",\np AS (SELECT * FROM (VALUES " + ", ".join(f"(CAST({p} AS DOUBLE))" for p in _PCTS) +
     """) v(pct)),
