@@ -67,7 +67,8 @@ ORDER_INPUT = ["user_id", "order_status"]
 ITEM_FEATURE_INPUT = ITEM_CORE + ORDER_INPUT
 
 
-def featured_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool = True) -> DataFrame:
+def featured_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool = True,
+                   returned_only: bool = False) -> DataFrame:
     """Item grain + P3 / P4 / P5 (driver tier map on the category).
 
     ``with_orders=False`` leaves out the customer / order-status columns, and
@@ -76,11 +77,14 @@ def featured_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool
     """
     base = ITEM_FEATURE_INPUT if with_orders else ITEM_CORE
     cols = list(dict.fromkeys(base + list(extra)))
-    return FE.add_item_features(items(spark, sf_dir, cols), category_multipliers=DRIVER_TIERS)
+    return FE.add_item_features(items(spark, sf_dir, cols, returned_only=returned_only),
+                                category_multipliers=DRIVER_TIERS)
 
 
 def returned_items(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
-    return featured_items(spark, sf_dir, extra).where(F.col("is_returned_item") == 1)
+    # the scan-level predicate prunes non-returned lines before the joins;
+    # the flag filter states the semantics (and is a no-op after it)
+    return featured_items(spark, sf_dir, extra, returned_only=True).where(F.col("is_returned_item") == 1)
 
 
 EROSION_DOUBLES = ["return_rate", "total_profit_erosion", "mean_profit_erosion_per_return",

@@ -8,6 +8,7 @@ from losslens.operators import aggregates as A
 from losslens.operators import features as FE
 from losslens.plans.catalog import featured_items, register, returned_items
 from losslens.plans.sqlkit import with_features
+from losslens.session import cut_lineage
 
 # money columns are exact 4-decimal sums: rounding on that grid (4) is
 # robust to summation order, rounding to 2 would hit decimal ties
@@ -165,7 +166,9 @@ def rfm_sql(tail: str) -> str:
 
 
 def rfm(spark, sf):
-    return A.customer_behavioral_features(featured_items(spark, sf, RFM_EXTRA))
+    # customer grain, read by several passes (moments, exact quantiles,
+    # correlations): materialised once with a reliable checkpoint
+    return cut_lineage(A.customer_behavioral_features(featured_items(spark, sf, RFM_EXTRA)))
 
 
 register("a12_customer_rfm_features", rfm_sql("SELECT * FROM rfm"), RFM_DOUBLES, M2)(rfm)

@@ -10,6 +10,7 @@ from losslens.operators.ordered import average_ranks
 from losslens.plans.catalog import featured_items, register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL
 from losslens.plans.sqlkit import with_features
+from losslens.session import cut_lineage
 
 CE = CUSTOMER_EROSION_SQL.replace("SELECT user_id", "ce AS (SELECT user_id", 1) + ")"
 
@@ -19,7 +20,10 @@ def ce_sql(tail: str) -> str:
 
 
 def customers(spark, sf):
-    return A.profit_erosion_by_customer(returned_items(spark, sf))
+    # one row per customer: materialised once (reliable checkpoint) so the
+    # several ordered passes of Pareto / Lorenz / Gini / ranks read it
+    # instead of re-running the item join
+    return cut_lineage(A.profit_erosion_by_customer(returned_items(spark, sf)))
 
 
 QUARTILE_SQL = ("1 + CAST(e1 > e0 AND v > e1 AS INTEGER) + CAST(e2 > e1 AND v > e2 AS INTEGER)"
