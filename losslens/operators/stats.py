@@ -70,8 +70,13 @@ def anova(df: DataFrame, group: str, value: str) -> dict:
 
 def kruskal_parts(df: DataFrame, group: str, value: str):
     """Per-group (n_i, rank sum R_i) with global average ranks, and the tie
-    term sum(t^3 - t) -- ranks from the bucketed positions primitive."""
-    d = _clean(df, group, value)
+    term sum(t^3 - t) -- ranks from the bucketed positions primitive.
+
+    The three passes (split sketch, tie counts, group counts) read one
+    checkpoint of the two projected columns instead of re-running the
+    upstream item pipeline three times."""
+    from losslens.session import cut_lineage
+    d = cut_lineage(_clean(df, group, value))
     pos = positions(d, [], value)
     ranks = pos.select(F.col("_v"), (F.col("_cum") - (F.col("_c") - 1) / 2.0).alias("_r"),
                        (F.col("_c").cast("double") ** 3 - F.col("_c")).alias("_tie"))
