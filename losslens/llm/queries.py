@@ -3,7 +3,7 @@ to whole tables with production parameters, and their SQL twins."""
 
 from __future__ import annotations
 
-from losslens.llm import quality_rules
+from losslens.llm import quality_rules, simhash
 from losslens.llm.common import read_table
 
 
@@ -13,8 +13,14 @@ def op1_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "failed_rules")
 
 
+def op6_simhash(spark, sf_dir):
+    out = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
+    return out.selectExpr("doc_id", f"{simhash.hexadecimal('fp')} AS fingerprint", "component_id")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
