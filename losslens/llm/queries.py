@@ -3,9 +3,13 @@ to whole tables with production parameters, and their SQL twins."""
 
 from __future__ import annotations
 
-from losslens.llm import quality_rules, simhash
+import public_tokenizers
+
+from losslens.llm import byte_bpe, quality_rules, simhash
 from losslens.llm.common import read_table
 
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_quality_rules(spark, sf_dir):
     out = quality_rules.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -13,6 +17,12 @@ def op1_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "failed_rules")
 
 
+def op4_byte_bpe(spark, sf_dir):
+    out = byte_bpe.encode_and_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                     public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    return out.select("doc_id", *byte_bpe.digests(out))
+
+
 def op6_simhash(spark, sf_dir):
     out = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
     return out.selectExpr("doc_id", f"{simhash.hexadecimal('fp')} AS fingerprint", "component_id")
@@ -20,6 +30,7 @@ def op6_simhash(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_byte_bpe": op4_byte_bpe,
     "op6_simhash": op6_simhash,
 }
 
