@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, quality_rules, simhash
+from losslens.llm import byte_bpe, chat_format, quality_rules, simhash
 from losslens.llm.common import read_table
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,30 @@ def op4_byte_bpe(spark, sf_dir):
     return out.select("doc_id", *byte_bpe.digests(out))
 
 
+#: both turns of conversation -1 say what could pass for markup
+MARKUP = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_format(spark, sf_dir):
+    chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", MARKUP), (-1, 1, "assistant", MARKUP)], chats.schema)
+    return chat_format.read_back(chat_format.format_chats(chat_format.message_events(chats.union(own))))
+
+
+OP5_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{MARKUP}' UNION ALL SELECT -1, 1, 'assistant', '{MARKUP}')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  cast(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS bigint) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  cast(sum(length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|'))
+    + {len(chat_format.START + chat_format.SEP + chat_format.END)}) AS bigint) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def op6_simhash(spark, sf_dir):
     out = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
     return out.selectExpr("doc_id", f"{simhash.hexadecimal('fp')} AS fingerprint", "component_id")
@@ -31,7 +55,8 @@ def op6_simhash(spark, sf_dir):
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_chat_format": op5_chat_format,
     "op6_simhash": op6_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL}
