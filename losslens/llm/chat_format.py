@@ -6,8 +6,8 @@ the conversation and seq orders the events of a conversation:
 * ``message`` begins a new message in its slot,
 * ``delta`` appends its text to the slot's latest message (or begins one),
 * ``edit`` replaces the text of that message so far; later deltas append,
-* ``regenerate`` clears it like an edit, and every later slot whose last
-  event came before goes, as its context no longer exists.
+* ``regenerate`` clears it like an edit, and every message of a later slot
+  whose last event came before goes, as its context no longer exists.
 
 Events are grouped by (conversation, slot) first, so that the slots of one
 very long conversation fold in many tasks, and the folded messages are then
@@ -56,7 +56,7 @@ def fold_events(events: DataFrame) -> DataFrame:
                            F.coalesce("text", F.lit("")).alias("text"))
              .groupBy("conv_id", "turn")
              .agg(F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("ev"),
-                  F.max("seq").alias("last"), F.expr("max(seq) FILTER (WHERE kind = 'regenerate')").alias("regen")))
+                  F.expr("max(seq) FILTER (WHERE kind = 'regenerate')").alias("regen")))
     slots = (slots
              .withColumn("at", F.expr("""filter(transform(ev, (e, i) -> if(i = 0
                  OR e.kind NOT IN ('delta', 'edit', 'regenerate'), i, -1)), i -> i >= 0)"""))
@@ -66,13 +66,15 @@ def fold_events(events: DataFrame) -> DataFrame:
                      greatest(0, array_max(transform(p, (e, i) -> if(e.kind IN ('edit', 'regenerate'), i, 0)))) AS c)),
                  x -> struct(
                      coalesce(get(filter(x.p, e -> e.role IS NOT NULL), 0).role, '') AS role,
-                     array_join(transform(slice(x.p, x.c + 1, size(x.p)), e -> e.text), '') AS text))""")))
+                     array_join(transform(slice(x.p, x.c + 1, size(x.p)), e -> e.text), '') AS text,
+                     array_max(transform(x.p, e -> e.seq)) AS last))""")))
     return (slots.groupBy("conv_id")
-            .agg(F.sort_array(F.collect_list(F.struct("turn", "last", "regen", "messages"))).alias("slots"))
+            .agg(F.sort_array(F.collect_list(F.struct("turn", "regen", "messages"))).alias("slots"))
             .withColumn("redone", F.expr("filter(slots, s -> s.regen IS NOT NULL)"))
-            .selectExpr("conv_id", """flatten(transform(if(size(redone) = 0, slots, filter(slots, s ->
-                NOT exists(redone, r -> coalesce(r.turn < s.turn, false) AND r.regen > s.last))),
-                s -> s.messages)) AS messages"""))
+            .selectExpr("conv_id", """flatten(transform(slots, s -> transform(
+                if(size(redone) = 0, s.messages, filter(s.messages, m -> NOT exists(redone, r ->
+                    coalesce(r.turn < s.turn AND r.regen > m.last, false)))),
+                m -> struct(m.role AS role, m.text AS text)))) AS messages"""))
 
 
 def render(conversations: DataFrame) -> DataFrame:
