@@ -139,7 +139,8 @@ class Encoder:
         self.first = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
         self.table = PairTable({(self.ids[t[:i]], self.ids[t[i:]]): r for t, r in self.ids.items()
                                 for i in range(1, len(t)) if t[:i] in self.ids and t[i:] in self.ids})
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.seen: dict[str, tuple[int, ...]] = {}  # of chunks with a blank before them
+        self.heads: dict[str, tuple[int, ...]] = {}  # of chunks that begin a text
 
     def pieces(self, todo: set[bytes]) -> dict[bytes, tuple[int, ...]]:
         out = {p: (self.ids[p],) for p in todo if p in self.ids}
@@ -162,19 +163,18 @@ class Encoder:
         """Ids of each text."""
         if len(self.seen) > CACHE:
             self.seen.clear()
-        # a cut chunk stands for itself with a blank before it, marked by its absence; the first one has none
-        parts = [_CUT.split(t) for t in texts]
-        new = set().union(*(p[1:] for p in parts)) if parts else set()
-        new = {" " + c for c in new}.union(p[0] for p in parts).difference(self.seen)
-        split = {c: [m.encode("utf-8", "surrogatepass") for m in self.split.findall(c)] for c in new}
-        found = self.pieces(set(chain.from_iterable(split.values())))
-        self.seen |= {c: tuple(chain.from_iterable(found[m] for m in ms)) for c, ms in split.items()}
-        seen = self.seen
-        out = []
-        for p in parts:
-            ids = chain(seen[p[0]], chain.from_iterable([seen[" " + c] for c in p[1:]]))
-            out.append(np.fromiter(ids, np.int32))
-        return out
+            self.heads.clear()
+        parts = [_CUT.split(t) for t in texts]  # all but the first of each lost their blank
+        new = set().union(*[p[1:] for p in parts]).difference(self.seen)
+        heads = {p[0] for p in parts}.difference(self.heads)
+        split = [[m.encode("utf-8", "surrogatepass") for m in self.split.findall(c)]
+                 for c in chain(heads, (" " + c for c in new))]
+        found = self.pieces(set(chain.from_iterable(split)))
+        ids = [tuple(chain.from_iterable([found[m] for m in ms])) for ms in split]
+        self.heads |= zip(heads, ids)
+        self.seen |= zip(new, ids[len(heads):])
+        head, seen = self.heads, self.seen.__getitem__
+        return [np.fromiter(chain(head[p[0]], chain.from_iterable(map(seen, p[1:]))), np.int32) for p in parts]
 
 
 @lru_cache(2)

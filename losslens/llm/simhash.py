@@ -44,6 +44,7 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 BUCKET = 4096
+ROWS = 128
 BLOCK = 1 << 18
 
 
@@ -93,16 +94,18 @@ def linked_stars(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray
     """(members, smallest fingerprint of their group) of the groups linked
     inside one bucket, without the smallest itself."""
     fps = np.unique(fps)
-    near = differing_bits(fps[:, None], fps[None, :]) <= distance
     label = np.full(len(fps), -1)
     for i in range(len(fps)):
         if label[i] < 0:
-            reached = np.zeros(len(fps), bool)
-            front = np.array([i])
-            while len(front):
-                reached[front] = True
-                front = np.flatnonzero(near[front].any(0) & ~reached)
-            label[reached] = i
+            label[i] = i
+            front = [i]
+            while len(front):  # a block of the front against all that are free yet
+                free = np.flatnonzero(label < 0)
+                block, front = front[:ROWS], front[ROWS:]
+                near = differing_bits(fps[block][:, None], fps[free][None, :]) <= distance
+                new = free[near.any(0)]
+                label[new] = i
+                front = np.concatenate([front, new]).astype(np.int64)
     member = label != np.arange(len(fps))
     return fps[member], fps[label[member]]
 
