@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, chat_format, quality_rules, simhash
+from losslens.llm import byte_bpe, chat_format, exact_substrings, quality_rules, simhash
 from losslens.llm.common import read_table
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -52,11 +52,17 @@ def op6_simhash(spark, sf_dir):
     return out.selectExpr("doc_id", f"{simhash.hexadecimal('fp')} AS fingerprint", "component_id")
 
 
+def op10_suffix_array(spark, sf_dir):
+    out = exact_substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
     "op6_simhash": op6_simhash,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL}
