@@ -25,7 +25,7 @@ import base64
 import heapq
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,15 @@ WIDE = 1024
 CELLS = 1 << 20
 CACHE = 300_000
 _CUT = re.compile(r" (?=\S)")
+_ODD = re.compile(r" (?:\s|\Z)")
+
+
+def _cut(text: str) -> list[str]:
+    """The chunks of a text, each without the blank before it.  The first has
+    none and gets one as a mark, since no other chunk begins with a blank."""
+    parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    parts[0] = " " + parts[0]
+    return parts
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -80,25 +89,23 @@ class PairTable:
         return flat.reshape(out.shape)
 
 
-def merge_matrix(ids: np.ndarray, table: PairTable) -> list[np.ndarray]:
-    """Merged ids of each row of a matrix padded with -1 on the right."""
-    done: list[np.ndarray | None] = [None] * len(ids)
+def merge_matrix(ids: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """(merged ids of all rows in row order, ids per row) of a matrix padded
+    with -1 on the right."""
+    done = np.full(ids.shape, -1, np.int32)
     rows = np.arange(len(ids))
     rank = table.ranks(ids[:, :-1], ids[:, 1:])
     while len(rows):
-        if rank.shape[1] == 0:
-            least, best = np.full(len(rows), NONE), None
-        else:
-            best = rank.argmin(1)  # the leftmost of the least
-            least = rank[np.arange(len(rows)), best]
+        n = np.arange(len(rows))
+        best = rank.argmin(1) if rank.shape[1] else np.zeros(len(rows), np.int64)  # the leftmost of the least
+        least = rank[n, best] if rank.shape[1] else np.full(len(rows), NONE)
         ended = least == NONE
-        for r, row in zip(rows[ended], ids[ended]):
-            done[r] = row[row >= 0]
+        done[rows[ended], : ids.shape[1]] = ids[ended]
         if ended.all():
             break
         on = ~ended
         rows, ids, rank, best, least = rows[on], ids[on], rank[on], best[on], least[on]
-        n = np.arange(len(rows))
+        n = n[: len(rows)]
         ids[n, best] = least  # a merged id is its rank
         keep = np.arange(ids.shape[1] - 1)
         ids = np.take_along_axis(ids, keep + (keep > best[:, None]), 1)
@@ -108,7 +115,7 @@ def merge_matrix(ids: np.ndarray, table: PairTable) -> list[np.ndarray]:
         rank[n[has], best[has]] = table.ranks(ids[n[has], best[has]], ids[n[has], best[has] + 1])
         has = best > 0  # the pair that ends with it
         rank[n[has], best[has] - 1] = table.ranks(ids[n[has], best[has] - 1], ids[n[has], best[has]])
-    return done
+    return done[done >= 0], (done >= 0).sum(1)
 
 
 def merge_wide(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -132,6 +139,42 @@ def merge_wide(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in part if p is not None]
 
 
+class Numbering(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+    def since(self, n: int):
+        return list(islice(self, n, None))
+
+
+class Runs:
+    """Rows of ids of different length, end to end."""
+
+    def __init__(self):
+        self.flat = np.zeros(0, np.int32)
+        self.start = np.zeros(1, np.int64)
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the rows' ids end to end, ids per row)."""
+        return gather(self.flat, self.start, rows)
+
+
+def gather(flat: np.ndarray, start: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = start[rows]
+    size = start[rows + 1] - first
+    after = np.cumsum(size)
+    at = np.repeat(first - after + size, size)
+    at += np.arange(len(at))
+    return flat[at], size
+
+
 class Encoder:
     def __init__(self, path: str, pattern: str):
         self.ids = load_ranks(path)
@@ -139,42 +182,74 @@ class Encoder:
         self.first = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
         self.table = PairTable({(self.ids[t[:i]], self.ids[t[i:]]): r for t, r in self.ids.items()
                                 for i in range(1, len(t)) if t[:i] in self.ids and t[i:] in self.ids})
-        self.seen: dict[str, tuple[int, ...]] = {}  # of chunks with a blank before them
-        self.heads: dict[str, tuple[int, ...]] = {}  # of chunks that begin a text
-
-    def pieces(self, todo: set[bytes]) -> dict[bytes, tuple[int, ...]]:
-        out = {p: (self.ids[p],) for p in todo if p in self.ids}
-        out |= {p: tuple(merge_wide(p, self.ids)) for p in todo if len(p) > WIDE and p not in out}
-        rest = sorted((p for p in todo if p not in out), key=len)
+        self._forget()
+
+    def _forget(self):
+        self.seen, self.chunks = Numbering(), Runs()
+
+    def merge(self, pieces: list[bytes]) -> Runs:
+        """Ids of each piece, in order."""
+        order, flat, sizes = [], [], []
+
+        def add(rows, ids, size):
+            order.append(rows)
+            flat.append(ids)
+            sizes.append(size)
+
+        whole = np.fromiter((self.ids.get(p, -1) for p in pieces), np.int32, len(pieces))
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        rows = np.flatnonzero(whole >= 0)
+        add(rows, whole[rows], np.ones(len(rows), np.int64))
+        for row in np.flatnonzero((whole < 0) & (size > WIDE)):
+            ids = merge_wide(pieces[row], self.ids)
+            add([row], ids, [len(ids)])
+        rest = np.flatnonzero((whole < 0) & (size <= WIDE))
+        rest = rest[np.argsort(size[rest], kind="stable")]
         k = 0
         while k < len(rest):
-            width = max(4, 1 << (len(rest[k]) - 1).bit_length())  # lengths up to the next power of two
-            n = k
-            while n < len(rest) and len(rest[n]) <= width and (n - k) * width < CELLS:
-                n += 1
-            group, k = rest[k:n], n
-            ids = np.full((len(group), len(group[-1])), -1, np.int32)
-            size = np.fromiter(map(len, group), np.int64, len(group))
-            ids[np.arange(ids.shape[1]) < size[:, None]] = self.first[np.frombuffer(b"".join(group), np.uint8)]
-            out |= zip(group, (tuple(x.tolist()) for x in merge_matrix(ids, self.table)))
+            width = max(4, 1 << (int(size[rest[k]]) - 1).bit_length())  # lengths up to the next power of two
+            n = min(int(np.searchsorted(size[rest], width, "right")), k + max(1, CELLS // width))
+            rows, k = rest[k:n], n
+            ids = np.full((len(rows), int(size[rows[-1]])), -1, np.int32)
+            raw = np.frombuffer(b"".join([pieces[r] for r in rows.tolist()]), np.uint8)
+            ids[np.arange(ids.shape[1]) < size[rows][:, None]] = self.first[raw]
+            add(rows, *merge_matrix(ids, self.table))
+        out, runs = Runs(), Runs()
+        runs.extend(np.concatenate(flat), np.concatenate(sizes).astype(np.int64))
+        place = np.empty(len(pieces), np.int64)
+        place[np.concatenate(order).astype(np.int64)] = np.arange(len(pieces))
+        out.extend(*runs.gather(place))
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
+    def learn(self, chunks: list[str]) -> None:
+        """Appends the ids of new chunks."""
+        pieces = Numbering()
+        rows, count = [], np.ones(len(chunks), np.int64)
+        for i, c in enumerate(chunks):
+            if c[1:].isalpha() and c[0] == " ":  # blank and letters: one match
+                rows.append(pieces[c])
+            else:
+                found = self.split.findall(c)
+                rows += map(pieces.__getitem__, found)
+                count[i] = len(found)
+        runs = self.merge([p.encode("utf-8", "surrogatepass") for p in pieces])
+        flat, size = runs.gather(np.asarray(rows, np.int64))
+        ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(count)))]
+        self.chunks.extend(flat, np.diff(ends))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, ids per text)."""
         if len(self.seen) > CACHE:
-            self.seen.clear()
-            self.heads.clear()
-        parts = [_CUT.split(t) for t in texts]  # all but the first of each lost their blank
-        new = set().union(*[p[1:] for p in parts]).difference(self.seen)
-        heads = {p[0] for p in parts}.difference(self.heads)
-        split = [[m.encode("utf-8", "surrogatepass") for m in self.split.findall(c)]
-                 for c in chain(heads, (" " + c for c in new))]
-        found = self.pieces(set(chain.from_iterable(split)))
-        ids = [tuple(chain.from_iterable([found[m] for m in ms])) for ms in split]
-        self.heads |= zip(heads, ids)
-        self.seen |= zip(new, ids[len(heads):])
-        head, seen = self.heads, self.seen.__getitem__
-        return [np.fromiter(chain(head[p[0]], chain.from_iterable(map(seen, p[1:]))), np.int32) for p in parts]
+            self._forget()
+        known, rows, count = len(self.seen), [], []
+        for t in texts:
+            parts = _cut(t)
+            rows.append(np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts)))
+            count.append(len(parts))
+        self.learn([c[1:] if c[0] == " " else " " + c for c in self.seen.since(known)])
+        flat, size = self.chunks.gather(np.concatenate(rows))
+        total = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(count)))]
+        return flat, np.diff(total)
 
 
 @lru_cache(2)
@@ -183,12 +258,13 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 @lru_cache(2)
-def vocabulary(path: str) -> list[bytes]:
+def vocabulary(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all ids end to end, start of each)."""
     ranks = load_ranks(path)
     table: list[bytes] = [b""] * (max(ranks.values()) + 1)
     for t, r in ranks.items():
         table[r] = t
-    return table
+    return np.frombuffer(b"".join(table), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in table])))
 
 
 def _blocks(texts: list[str], chars: int = 1 << 23):
@@ -208,10 +284,11 @@ def encode_column(text, path: str, pattern: str):
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         enc = encoder(path, pattern)
-        found = [x for block in _blocks([t or "" for t in texts.to_pylist()]) for x in enc.encode(block)]
-        at = np.zeros(len(found) + 1, np.int32)
-        np.cumsum([len(x) for x in found], out=at[1:])
-        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+        found = [enc.encode(block) for block in _blocks([t or "" for t in texts.to_pylist()])]
+        at = np.zeros(len(texts) + 1, np.int32)
+        if found:
+            np.cumsum(np.concatenate([size for _, size in found]), out=at[1:])
+        flat = np.concatenate([ids for ids, _ in found]) if found else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(at), pa.array(flat, pa.int32()))
     return ids(text)
 
@@ -220,14 +297,12 @@ def decode_column(ids, path: str):
     """Column of binary with the bytes of an array<int> column of ids."""
     @F.arrow_udf("binary")
     def text(lists: pa.Array) -> pa.Array:
-        table = vocabulary(path)
+        raw, start = vocabulary(path)
         flat = lists.values.to_numpy(zero_copy_only=False)
-        at = lists.offsets.to_numpy()
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(table)):
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(start) - 1):
             raise ValueError("id outside the vocabulary")
-        size = (lists.value_lengths().fill_null(0)).to_numpy()
-        return pa.array([b"".join(map(table.__getitem__, flat[a:a + n].tolist())) for a, n in zip(at, size)],
-                        pa.binary())
+        at, size = lists.offsets.to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
+        return pa.array([gather(raw, start, flat[a:a + n])[0].tobytes() for a, n in zip(at, size)], pa.binary())
     return text(ids)
 
 
