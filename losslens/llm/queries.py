@@ -5,9 +5,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, chat_format, exact_substrings, quality_rules, simhash
+from losslens.llm import byte_bpe, chat_format, exact_substrings, quality_rules, simhash, token_files
 from losslens.llm.common import read_table
 
+WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -17,6 +18,14 @@ def op1_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "failed_rules")
 
 
+def op3_token_files(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    folder = token_files.new_folder(spark)
+    token_files.write_token_files(docs, public_tokenizers.path(WORD_BPE), folder)
+    out = token_files.read_tokens(token_files.keys_of(docs), folder)
+    return out.select("doc_id", "start", "n_tokens", token_files.crc32(out["ids"]).alias("ids_crc32"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     out = byte_bpe.encode_and_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                      public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
@@ -59,6 +68,7 @@ def op10_suffix_array(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_token_files": op3_token_files,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
     "op6_simhash": op6_simhash,
