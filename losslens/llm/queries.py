@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, chat_format, exact_substrings, quality_rules, simhash, token_files
+from losslens.llm import byte_bpe, chat_format, exact_substrings, html_extract, quality_rules, simhash, token_files
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,6 +18,11 @@ def op1_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "failed_rules")
 
 
+def op2_html(spark, sf_dir):
+    out = html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
+    return out.selectExpr("page_id", "url", "text", "cast(char_length(text) AS bigint) AS n_chars", "path")
+
+
 def op3_token_files(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     folder = token_files.new_folder(spark)
@@ -68,6 +73,7 @@ def op10_suffix_array(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_html": op2_html,
     "op3_token_files": op3_token_files,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
