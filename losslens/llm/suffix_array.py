@@ -44,7 +44,7 @@ class _Buckets:
         """Appends positions to the buckets of their symbols, in order."""
         if not len(at):
             return
-        symbol = t[at]
+        symbol = t[at].astype(np.uint16)  # 16 bits sort by radix
         order = np.argsort(symbol, kind="stable")
         at, symbol = at[order], symbol[order]
         ends = np.flatnonzero(np.diff(symbol)) + 1
@@ -112,19 +112,29 @@ def _names(t: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def _doubled(t: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling."""
-    rank, k, n = t.astype(np.int64), 1, len(t)
+    """Suffix array by prefix doubling; suffixes that are alone in their rank
+    are not sorted again."""
+    n = len(t)
+    order = np.argsort(t, kind="stable")
+    key = t[order]
+    # the rank of a group is the place of its first member
+    head = np.concatenate(([True], key[1:] != key[:-1]))
+    rank, k = np.empty(n, np.int64), 1
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     while True:
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - k)] = rank[k:] + 1
-        key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
+        alone = head & np.append(head[1:], True)
+        place = np.flatnonzero(~alone)
+        if not len(place):
             return order.astype(np.int32)
+        todo = order[place]
+        after = todo + k
+        key = rank[todo] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        todo, key = todo[by], key[by]
+        order[place] = todo
+        differs = np.concatenate(([True], key[1:] != key[:-1]))
+        head[place] = differs
+        rank[todo] = np.maximum.accumulate(np.where(differs, place, 0))
         k *= 2
 
 
