@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, chat_format, exact_substrings, html_extract, quality_rules, simhash, token_files
+from losslens.llm import byte_bpe, chat_format, exact_substrings, html_extract, quality_rules, simhash, token_files, toxicity
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -66,6 +66,13 @@ def op6_simhash(spark, sf_dir):
     return out.selectExpr("doc_id", f"{simhash.hexadecimal('fp')} AS fingerprint", "component_id")
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    out = toxicity.score_documents(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
+    return out.select("doc_id", (~toxicity.learning_rows()).alias("held_out"), "score",
+                      (out["score"] >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
+
+
 def op10_suffix_array(spark, sf_dir):
     out = exact_substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -78,6 +85,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op10_suffix_array": op10_suffix_array,
 }
 
