@@ -25,7 +25,6 @@ import base64
 import heapq
 import re
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -142,12 +141,19 @@ def merge_wide(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Numbering(dict):
     """Numbers keys in the order in which they are first asked for."""
 
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
     def __missing__(self, key):
         self[key] = n = len(self)
+        self.new.append(key)
         return n
 
-    def since(self, n: int):
-        return list(islice(self, n, None))
+    def take(self) -> list:
+        """The keys numbered since the last call."""
+        new, self.new = self.new, []
+        return new
 
 
 class Runs:
@@ -241,12 +247,12 @@ class Encoder:
         """(ids of all texts end to end, ids per text)."""
         if len(self.seen) > CACHE:
             self._forget()
-        known, rows, count = len(self.seen), [], []
+        rows, count = [], []
         for t in texts:
             parts = _cut(t)
             rows.append(np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts)))
             count.append(len(parts))
-        self.learn([c[1:] if c[0] == " " else " " + c for c in self.seen.since(known)])
+        self.learn([c[1:] if c[0] == " " else " " + c for c in self.seen.take()])
         flat, size = self.chunks.gather(np.concatenate(rows))
         total = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(count)))]
         return flat, np.diff(total)

@@ -100,13 +100,13 @@ class WordEncoder:
         """(ids of all texts end to end, ids per text), each with the end id."""
         if len(self.seen) > CACHE:
             self._forget()
-        known, rows, count = len(self.seen), [], []
+        rows, count = [], []
         for t in texts:
             parts = t.split(" ")
             row = np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts))
             rows.append(np.append(row + 1, 0))
             count.append(len(parts) + 1)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(self.seen.since(known), add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(self.seen.take(), add_special_tokens=False)]
         self.runs.extend(np.fromiter((i for ids in found for i in ids), np.int64),
                          np.fromiter(map(len, found), np.int64, len(found)))
         flat, size = self.runs.gather(np.concatenate(rows))

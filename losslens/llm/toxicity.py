@@ -183,7 +183,7 @@ class Tagger:
             if len(self.seen) > len(self.emit):
                 self.emit = np.concatenate([self.emit, np.zeros(max(len(self.emit), len(self.seen)))])
             get = self.features.get
-            for k, word in enumerate(self.seen.since(known), known):
+            for k, word in enumerate(self.seen.take(), known):
                 found = [x for f in word_features(word) if (x := get(f)) is not None]
                 self.emit[k] = self.bias + sum(found) if found else np.nan
         return self.emit[rows]
