@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, chat_format, exact_substrings, html_extract, quality_rules, simhash, token_files, toxicity
+from losslens.llm import byte_bpe, chat_format, exact_substrings, html_extract, pseudonyms, quality_rules, simhash, token_files, toxicity
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -73,6 +73,12 @@ def op7_toxicity(spark, sf_dir):
                       (out["score"] >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
 
 
+def op8_pseudonyms(spark, sf_dir):
+    out = pseudonyms.pseudonymize(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.selectExpr("doc_id", "cast(size(private) AS bigint) AS n_private",
+                          "array_join(array_sort(transform(private, p -> p.kind)), ',') AS kinds", "text")
+
+
 def op10_suffix_array(spark, sf_dir):
     out = exact_substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -86,6 +92,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
+    "op8_pseudonyms": op8_pseudonyms,
     "op10_suffix_array": op10_suffix_array,
 }
 
