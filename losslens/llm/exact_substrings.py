@@ -44,9 +44,9 @@ from losslens.llm.suffix_array import permuted_lcp, suffix_array
 
 LENGTH = 400
 GRAM = 64
-SEGMENTS = 8192
-PIECE = 1 << 19  # bytes scanned at once; positions in a piece fit 20 bits
-SHARD_TEXT = 1 << 21  # bytes of one suffix array, unless one key has more
+SEGMENTS = 2048
+PIECE = 1 << 18  # bytes scanned at once; positions in a piece fit 20 bits
+SHARD_TEXT = 1 << 20  # bytes of one suffix array, unless one key has more
 SHARD_BYTES = 1 << 24
 _PLACE = np.uint64((1 << 20) - 1)
 _TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, np.uint64)
