@@ -46,7 +46,11 @@ END_ID = 1
 SHARD_CHARS = 1 << 25
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
-CACHE = 400_000
+CACHE = 400_000  # parts that a task remembers
+BATCH = 8192  # parts sent to the library at once: its results are large
+LINE = 64  # words in one text
+#: fixed value: ASCII marks that end a token before them, all but the apostrophe
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -80,36 +84,95 @@ class _Output:
 
 
 class WordEncoder:
-    """Ids of texts by a ``tokenizers`` file whose pre-tokenizer drops white
-    space: no token spans a blank, so each distinct run between blanks is
-    encoded by the library once per task."""
+    """Ids of texts by a ``tokenizers`` file that lowers letters, drops white
+    space and keeps letters, digits and other marks in separate tokens, whose
+    last one in a word ends in ``</w>``.
+
+    No token spans a blank, a line feed, or the end of a run of letters and
+    digits before ASCII marks (other than an apostrophe).  Texts are cut
+    there, and the library encodes each distinct part once per task; words of
+    letters go to it by many in one text and are told apart by their ends.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.wide = max(vocabulary.values()) >= 1 << 16
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self):
-        self.seen, self.runs = Numbering(), Runs()
-        self.runs.extend(np.array([END_ID]), np.array([1]))  # row 0; chunk n is row n + 1
+        self.parts, self.runs = Numbering(), Runs()
+        self.runs.extend(np.array([END_ID]), np.array([1]))  # row 0; part n is row n + 1
+
+    def _learn(self, parts: list[str]) -> None:
+        """Appends the ids of new parts."""
+        words = [i for i, p in enumerate(parts) if p.isalpha()]
+        others = [i for i, p in enumerate(parts) if not p.isalpha()]
+        flat, sizes, order = [], [], []
+        for k in range(0, len(words), BATCH):
+            group = words[k:k + BATCH]
+            lines = [group[j:j + LINE] for j in range(0, len(group), LINE)]
+            for line, e in zip(lines, self._encode([" ".join([parts[i] for i in line]) for line in lines])):
+                ids = np.asarray(e, np.int64)
+                last = np.flatnonzero(self.ends[ids])
+                if len(last) == len(line):
+                    flat.append(ids)
+                    sizes.append(np.diff(last, prepend=-1))
+                    order += line
+                else:
+                    others += line
+        for k in range(0, len(others), BATCH):
+            group = others[k:k + BATCH]
+            found = self._encode([parts[i] for i in group])
+            flat += [np.asarray(ids, np.int64) for ids in found]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            order += group
+        if not order:
+            return
+        found = Runs()
+        found.extend(np.concatenate(flat), np.concatenate(sizes))
+        place = np.empty(len(parts), np.int64)
+        place[order] = np.arange(len(parts))
+        self.runs.extend(*found.gather(place))
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, ids per text), each with the end id."""
-        if len(self.seen) > CACHE:
+        if len(self.parts) > CACHE:
             self._forget()
-        rows, count = [], []
+        chunks, rows, count = Numbering(), [], []
         for t in texts:
-            parts = t.split(" ")
-            row = np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts))
+            cut = t.replace("\n", " ").split(" ")
+            row = np.fromiter(map(chunks.__getitem__, cut), np.int64, len(cut))
             rows.append(np.append(row + 1, 0))
-            count.append(len(parts) + 1)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(self.seen.take(), add_special_tokens=False)]
-        self.runs.extend(np.fromiter((i for ids in found for i in ids), np.int64),
-                         np.fromiter(map(len, found), np.int64, len(found)))
-        flat, size = self.runs.gather(np.concatenate(rows))
+            count.append(len(cut) + 1)
+        number, of_chunk, sizes = self.parts, [0], [1]
+        for c in chunks:
+            head = c.rstrip(MARKS)
+            if head.isalnum():
+                of_chunk.append(number[head.lower() if head.isascii() else head] + 1)
+                if len(head) < len(c):
+                    of_chunk.append(number[c[len(head):]] + 1)
+                    sizes.append(2)
+                else:
+                    sizes.append(1)
+            else:
+                of_chunk.append(number[c] + 1)
+                sizes.append(1)
+        self._learn(number.take())
+        parts = Runs()
+        parts.extend(np.asarray(of_chunk), np.asarray(sizes))
+        by_chunk = Runs()
+        flat, size = self.runs.gather(parts.flat)
+        by_chunk.extend(flat, np.add.reduceat(size, parts.start[:-1]))
+        flat, size = by_chunk.gather(np.concatenate(rows))
         total = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(count)))]
         return flat, np.diff(total)
 
@@ -132,7 +195,7 @@ def _write_shard(folder: str, tokenizer: str):
                 out = _Output(folder, f"shard-{shard:05d}.ids")
                 out.write(MAGIC + np.array([4 if enc.wide else 2, 0], "<u4").tobytes())
             sizes = []
-            for block in _blocks([t or "" for t in batch.column("t").to_pylist()]):
+            for block in _blocks([t or "" for t in batch.column("t").to_pylist()], 1 << 22):
                 flat, size = enc.encode(block)
                 out.write(flat.astype(kind).tobytes())
                 sizes.append(size)
