@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from losslens.llm import byte_bpe, chat_format, exact_substrings, html_extract, pseudonyms, quality_rules, simhash, token_files, toxicity
+from losslens.llm import (
+    byte_bpe, chat_format, decontaminate, exact_substrings, html_extract, pseudonyms, quality_rules, simhash,
+    token_files, toxicity)
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -79,6 +81,10 @@ def op8_pseudonyms(spark, sf_dir):
                           "array_join(array_sort(transform(private, p -> p.kind)), ',') AS kinds", "text")
 
 
+def op9_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_suffix_array(spark, sf_dir):
     out = exact_substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -93,6 +99,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_pseudonyms": op8_pseudonyms,
+    "op9_decontaminate": op9_decontaminate,
     "op10_suffix_array": op10_suffix_array,
 }
 
