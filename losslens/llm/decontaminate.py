@@ -9,11 +9,12 @@
    added up in Spark by blocks of terms.  A's leading right singular vectors
    follow from Z and O alone (Nystroem), so one pass over A is enough.  Z has
    a fixed size (``TERMS`` x (``RANK`` + ``EXTRA``)) whatever the corpus.
-3. Every window of ``WINDOW`` words (a step of half of that) of every document
-   is projected and compared by cosine with all windows of all benchmark
-   items; the items are the stated query set and go in blocks of ``BLOCK``.
-   A pair is a candidate from ``NEAR`` of the cosine that an item of its
-   length reaches in a window.
+3. Every window of 32 words (in steps of 16) and of 16 words (in steps of 8)
+   of every document is projected and compared by cosine with windows of all
+   benchmark items: items over ``LONG`` words give all their windows of 32,
+   others the ``PROBES`` windows of 16 that weigh most.  The items are the
+   stated query set and go in blocks of ``BLOCK``.  A pair is a candidate from
+   ``NEAR`` on, less for items that don't fill a window.
 4. Candidates that share too few weighted terms go; for the others the words
    around the window are compared with the item: it is found when their
    longest common subsequence holds ``LCS`` of the item's words, and ``ANSWER``
@@ -27,12 +28,11 @@ columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import uuid
-
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +41,15 @@ from losslens.llm.byte_bpe import Numbering, _blocks
 from losslens.llm.common import ensure_checkpoint_dir
 
 TERMS = 1 << 15
-RANK = 64
+RANK = 48
 EXTRA = 8
 WINDOW = 32
-HALF = WINDOW // 2
-COMMON = 0.02
-NEAR = 0.55
+STEP = 8
+LONG = 36
+PROBES = 2
+COMMON = 0.01
+NEAR = {32: 0.6, 16: 0.5}
+CACHE = 400_000
 SHARED = 0.45
 LCS = 0.8
 ANSWER = 0.6
@@ -57,20 +60,29 @@ TERM_BLOCKS = 64
 _EDGE = ".,;:!?\"'()[]{}<>%&$*#|-_=+/\\^`~@"
 
 
+class WordHasher:
+    """32-bit hashes of words without marks around them, lowered; distinct
+    words are hashed once while they are remembered."""
+
+    def __init__(self):
+        self.number, self.table, self.plain = Numbering(), np.zeros(0, np.uint32), np.zeros(0, bool)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.number) > CACHE:
+            self.__init__()
+        rows = []
+        for t in texts:
+            words = t.split()
+            rows.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
+        new = [w.strip(_EDGE).lower() for w in self.number.take()]
+        digest = xxhash.xxh32_intdigest
+        self.table = np.append(self.table, np.fromiter((digest(w) for w in new), np.uint32, len(new)))
+        self.plain = np.append(self.plain, np.fromiter(map(bool, new), bool, len(new)))
+        return [self.table[r] if (on := self.plain[r]).all() else self.table[r[on]] for r in rows]
+
+
 def word_hashes(texts: list[str]) -> list[np.ndarray]:
-    """32-bit hashes of the words of each text."""
-    number, out = Numbering(), []
-    rows = []
-    for t in texts:
-        words = t.split()
-        rows.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-    plain = [w.strip(_EDGE).lower() for w in number]
-    table = np.fromiter((xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) if w else 0 for w in plain),
-                        np.uint32, len(plain))
-    empty = np.fromiter((not w for w in plain), bool, len(plain))
-    for r in rows:
-        out.append(table[r[~empty[r]]] if empty.any() else table[r])
-    return out
+    return WordHasher()(texts)
 
 
 def terms_of(hashes: np.ndarray) -> np.ndarray:
@@ -78,9 +90,10 @@ def terms_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def _hash_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = WordHasher()
     for batch in batches:
         texts = [t or "" for t in batch.column("t").to_pylist()]
-        found = [h for block in _blocks(texts, 1 << 22) for h in word_hashes(block)]
+        found = [h for block in _blocks(texts, 1 << 22) for h in hasher(block)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([h.tobytes() for h in found], pa.binary())], ["doc_id", "words"])
 
@@ -111,16 +124,22 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, hashes, sizes in _flat(batch):
             passage, runs = _passage_of(sizes, WINDOW)
-            seen = np.unique(passage * TERMS + terms_of(hashes))
-            count += np.bincount(seen % TERMS, minlength=TERMS)
-            passages += int(runs.sum())
+            n = int(runs.sum())
+            place = np.arange(len(passage)) - np.searchsorted(passage, np.arange(n))[passage]
+            rows = np.full((n, WINDOW), TERMS, np.uint16)
+            rows[passage, place] = terms_of(hashes)
+            rows.sort(axis=1)
+            first = np.ones(rows.shape, bool)
+            first[:, 1:] = rows[:, 1:] != rows[:, :-1]
+            count += np.bincount(rows[first], minlength=TERMS + 1)[:TERMS]
+            passages += n
     used = np.flatnonzero(count)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(count[used], passages))],
                                      ["term", "n"])
 
 
 def random_basis() -> np.ndarray:
-    return np.linalg.qr(np.random.default_rng(SEED).standard_normal((TERMS, RANK + EXTRA)))[0].astype(np.float32)
+    return np.random.default_rng(SEED).standard_normal((TERMS, RANK + EXTRA), np.float32)
 
 
 def _project(terms, row, rows: int, table: np.ndarray) -> np.ndarray:
@@ -148,9 +167,10 @@ def _sketch(weights):
                 terms, passage = terms[on], passage[on]
                 n = int(runs.sum())
                 length = np.sqrt(np.bincount(passage, weight[terms] ** 2, n)) + 1e-9
-                y = _project(terms, passage, n, table) / (length**2)[:, None].astype(np.float32)
+                y = (_project(terms, passage, n, table) / (length**2)[:, None]).T.astype(np.float64, order="C")
+                words = np.bincount(passage, minlength=n)
                 for j in range(len(z)):
-                    z[j] += np.bincount(terms, y[passage, j], TERMS)
+                    z[j] += np.bincount(terms, np.repeat(y[j], words), TERMS)
         z = (z * weight).T.astype(np.float32)
         step = TERMS // TERM_BLOCKS
         yield pa.RecordBatch.from_arrays(
@@ -166,12 +186,24 @@ def _add(parts: pa.Table) -> pa.Table:
 
 def singular_vectors(z: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(right singular vectors, singular values) of A from Z = A'A O."""
-    shift = 1e-6 * np.linalg.norm(z)
+    shift = 1e-6 * np.linalg.norm(z) / np.linalg.norm(basis)
     y = z + shift * basis
     gram = basis.T @ y
-    lower = np.linalg.cholesky((gram + gram.T) / 2 + 1e-9 * np.trace(gram) * np.eye(len(gram)))
-    u, s, _ = np.linalg.svd(np.linalg.solve(lower, y.T).T, full_matrices=False)
-    return u[:, :RANK], np.sqrt(np.maximum(s[:RANK] ** 2 - shift, 0))
+    gram = (gram + gram.T) / 2
+    lower = np.linalg.cholesky(gram + 1e-9 * np.trace(gram) / len(gram) * np.eye(len(gram)))
+    f = np.linalg.solve(lower, y.T).T  # f f' is near A'A
+    values, turn = np.linalg.eigh(f.T @ f)
+    order = np.argsort(-values)[:RANK]
+    values = np.maximum(values[order], 1e-12)
+    return f @ turn[:, order] / np.sqrt(values), np.sqrt(np.maximum(values - shift, 0))
+
+
+def _with_next(steps: np.ndarray, row: np.ndarray, ahead: int) -> np.ndarray:
+    """Each step's vector with that of the step so far ahead in its text."""
+    out = steps.copy()
+    same = np.flatnonzero(row[ahead:] == row[:-ahead])
+    out[same] += steps[same + ahead]
+    return out
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -197,28 +229,45 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-class Items:
-    """A block of benchmark items with their projected windows."""
+class Queries:
+    """Projected windows of one width of the items of a block."""
 
-    def __init__(self, ids: list, words: list[np.ndarray], table: np.ndarray, weight: np.ndarray):
-        self.ids, self.words = ids, words
-        self.item, vectors, self.need, rows = [], [], [], []
+    def __init__(self, words: list[np.ndarray], width: int, probes: int, table: np.ndarray, weight: np.ndarray):
+        self.width, item, vectors, need, rows = width, [], [], [], []
         for i, w in enumerate(words):
-            for a in range(0, max(1, len(w) - HALF), HALF):
-                part = terms_of(w[a:a + WINDOW])
-                rare = part[weight[part] > 0]
-                if len(rare):
-                    self.item.append(i)
-                    vectors.append(table[part].sum(0))
-                    rows.append(np.unique(rare))
-                    self.need.append(NEAR * np.sqrt(len(part) / WINDOW))
+            parts = [terms_of(w[a:a + width]) for a in range(0, max(1, len(w) - width // 2), width // 2)]
+            parts = sorted((p for p in parts if weight[p].any()), key=lambda p: -weight[p].sum())
+            for part in parts[:probes]:
+                item.append(i)
+                vectors.append(table[part].sum(0))
+                rows.append(np.unique(part[weight[part] > 0]))
+                need.append(NEAR[width] * np.sqrt(len(part) / width))
+        self.item = np.array(item, np.int64)
         self.vectors = _unit(np.array(vectors, np.float32)) if vectors else np.zeros((0, RANK), np.float32)
-        self.need = np.array(self.need, np.float32)
-        self.terms = rows
-
-    def has(self, k: int, terms: np.ndarray) -> float:
-        """Share of a window's weighted terms among the given ones."""
-        return np.isin(self.terms[k], terms).mean()
+        self.need = np.array(need, np.float32)
+        self.size = np.array([len(r) for r in rows], np.int64)
+        self.terms = np.full((len(rows), width), TERMS + 1, np.uint16)
+        for k, r in enumerate(rows):
+            self.terms[k, : len(r)] = r
+
+    def shared(self, k: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        """Share of each item window's weighted terms in a document window."""
+        out = np.empty(len(k))
+        for j in range(0, len(k), 8192):
+            pair = self.terms[k[j:j + 8192], :, None] == windows[j:j + 8192, None, :]
+            out[j:j + 8192] = pair.any(2).sum(1)
+        return out / self.size[k]
+
+    def candidates(self, windows, begin, stop, terms):
+        """(windows, items) of pairs that are near and share enough terms;
+        terms: of all words, TERMS for those without weight."""
+        for k in range(0, len(windows) if len(self.item) else 0, 2048):
+            at, query = np.nonzero(_unit(windows[k:k + 2048]) @ self.vectors.T >= self.need)
+            at += k
+            place = begin[at, None] + np.arange(self.width)
+            own = np.where(place < stop[at, None], terms[np.minimum(place, len(terms) - 1)], TERMS).astype(np.uint16)
+            kept = self.shared(query, own) >= SHARED
+            yield from zip(at[kept].tolist(), self.item[query[kept]].tolist())
 
 
 def confirm(item: np.ndarray, around: np.ndarray) -> float | None:
@@ -238,37 +287,39 @@ def _search(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, table, weight = sent.value
         words = [np.frombuffer(w, np.uint32) for w in words]
-        items = Items(ids, words, table, weight)
+        long = [w if len(w) > LONG else w[:0] for w in words]
+        short = [w if len(w) <= LONG else w[:0] for w in words]
+        queries = [Queries(long, WINDOW, len(words) * WINDOW, table, weight),
+                   Queries(short, 16, PROBES, table, weight)]
         for batch in batches:
             doc, item, share = [], [], []
-            for first, hashes, sizes in _flat(batch) if len(items.vectors) else ():
+            for first, hashes, sizes in _flat(batch):
+                if not len(hashes):
+                    continue
                 terms = terms_of(hashes)
-                half, runs = _passage_of(sizes, HALF)
+                step, runs = _passage_of(sizes, STEP)
                 on = weight[terms] > 0
-                halves = _project(terms[on], half[on], int(runs.sum()), table)
+                steps = _project(terms[on], step[on], int(runs.sum()), table)
                 row = np.repeat(np.arange(len(sizes)), runs)
                 start = np.cumsum(sizes) - sizes
-                base = np.cumsum(runs) - runs
-                windows = halves.copy()  # each half with the next one of its text
-                windows[:-1][row[1:] == row[:-1]] += halves[1:][row[1:] == row[:-1]]
-                windows = _unit(windows)
-                for k in range(0, len(windows), 4096):
-                    hit, query = np.nonzero(windows[k:k + 4096] @ items.vectors.T >= items.need)
-                    done = set()
-                    for h, q in zip((hit + k).tolist(), query.tolist()):
-                        d, i = row[h], items.item[q]
-                        if (d, i) in done:
-                            continue
-                        a = int(start[d] + (h - base[d]) * HALF)
-                        stop = int(start[d] + sizes[d])
-                        if items.has(q, terms[a:min(a + WINDOW, stop)]) < SHARED:
+                place = np.arange(len(row)) - (np.cumsum(runs) - runs)[row]  # of the step in its text
+                begin, stop = start[row] + place * STEP, (start + sizes)[row]
+                pairs = _with_next(steps, row, 1)
+                even = np.flatnonzero(place % 2 == 0)
+                known = np.where(on, terms, TERMS)
+                done = set()
+                for query, windows, at in ((queries[0], _with_next(pairs, row, 2)[even], even),
+                                           (queries[1], pairs, np.arange(len(row)))):
+                    for k, i in query.candidates(windows, begin[at], stop[at], known):
+                        h = at[k]
+                        if (row[h], i) in done:
                             continue
                         w = words[i]
-                        around = hashes[max(int(start[d]), a - len(w)):min(stop, a + WINDOW + len(w))]
+                        around = hashes[max(start[row[h]], begin[h] - len(w)):min(stop[h], begin[h] + WINDOW + len(w))]
                         s = confirm(w, around)
                         if s is not None:
-                            done.add((d, i))
-                            doc.append(first + d)
+                            done.add((row[h], i))
+                            doc.append(first + row[h])
                             item.append(i)
                             share.append(s)
             yield pa.RecordBatch.from_arrays(
