@@ -31,10 +31,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
+from losslens.llm.common import text_blocks
+
 NONE = np.int32(2**31 - 1)
 WIDE = 1024
 CELLS = 1 << 20
-CACHE = 300_000
+CACHE = 300_000  # chunks that a task remembers
+BLOCK = 1 << 22  # bytes of text encoded at once
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
 
@@ -273,24 +276,12 @@ def vocabulary(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in table])))
 
 
-def _blocks(texts: list[str], chars: int = 1 << 23):
-    """Runs of texts with few characters together; a longer text is alone."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > chars:
-            yield texts[at:i]
-            at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        yield texts[at:]
-
-
 def encode_column(text, path: str, pattern: str):
     """Column of array<int> with the ids of a text column."""
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         enc = encoder(path, pattern)
-        found = [enc.encode(block) for block in _blocks([t or "" for t in texts.to_pylist()])]
+        found = [enc.encode(block) for block in text_blocks(texts, BLOCK)]
         at = np.zeros(len(texts) + 1, np.int32)
         if found:
             np.cumsum(np.concatenate([size for _, size in found]), out=at[1:])

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from losslens.session import cut_lineage, ensure_checkpoint_dir
 
-#: Characters that separate words: blank, tab, LF, VT, FF, CR.
-SEPARATORS = " \t\n\x0b\x0c\r"
-WORD = r"[^\x20\x09-\x0D]+"
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,9 +20,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def words(text):
-    """Array of the words of a text column; null gives an empty array."""
-    return F.expr(f"filter(split(coalesce({text}, ''), r'[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+def text_blocks(column: pa.Array, size: int) -> Iterator[list[str]]:
+    """The texts of an Arrow column (null as empty) in runs of up to so many
+    bytes; a longer text is alone.  Only one run is ever in Python strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield [t or "" for t in column.slice(at, stop - at).to_pylist()]
+        at = stop
 
 
-__all__ = ["SEPARATORS", "WORD", "checkpoint", "ensure_checkpoint_dir", "read_table", "words"]
+__all__ = ["checkpoint", "ensure_checkpoint_dir", "read_table", "text_blocks"]

@@ -38,15 +38,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from losslens.llm.byte_bpe import Numbering, Runs, _blocks
-from losslens.llm.common import ensure_checkpoint_dir
+from losslens.llm.byte_bpe import Numbering, Runs
+from losslens.llm.common import ensure_checkpoint_dir, text_blocks
 
 MAGIC = b"LLTOKEN1"
 END_ID = 1
 SHARD_CHARS = 1 << 25
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
-CACHE = 400_000  # parts that a task remembers
+CACHE = 250_000  # parts that a task remembers
+BLOCK = 1 << 22  # bytes of text encoded at once
 BATCH = 8192  # parts sent to the library at once: its results are large
 LINE = 64  # words in one text
 #: fixed value: ASCII marks that end a token before them, all but the apostrophe
@@ -195,7 +196,7 @@ def _write_shard(folder: str, tokenizer: str):
                 out = _Output(folder, f"shard-{shard:05d}.ids")
                 out.write(MAGIC + np.array([4 if enc.wide else 2, 0], "<u4").tobytes())
             sizes = []
-            for block in _blocks([t or "" for t in batch.column("t").to_pylist()], 1 << 22):
+            for block in text_blocks(batch.column("t"), BLOCK):
                 flat, size = enc.encode(block)
                 out.write(flat.astype(kind).tobytes())
                 sizes.append(size)
