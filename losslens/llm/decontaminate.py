@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +38,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from losslens.llm.byte_bpe import Numbering, _blocks
-from losslens.llm.common import ensure_checkpoint_dir
+from losslens.llm.byte_bpe import Numbering
+from losslens.llm.common import ensure_checkpoint_dir, text_blocks
 
 TERMS = 1 << 15
 RANK = 48
-EXTRA = 8
+EXTRA = 6
 WINDOW = 32
 STEP = 8
 LONG = 36
 PROBES = 2
 COMMON = 0.01
 NEAR = {32: 0.6, 16: 0.5}
-CACHE = 400_000
+CACHE = 300_000
 SHARED = 0.45
 LCS = 0.8
 ANSWER = 0.6
@@ -74,13 +75,18 @@ class WordHasher:
         for t in texts:
             words = t.split()
             rows.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
-        new = [w.strip(_EDGE).lower() for w in self.number.take()]
+        new = [w.lower() if w.isalnum() else w.strip(_EDGE).lower() for w in self.number.take()]
         digest = xxhash.xxh32_intdigest
         self.table = np.append(self.table, np.fromiter((digest(w) for w in new), np.uint32, len(new)))
         self.plain = np.append(self.plain, np.fromiter(map(bool, new), bool, len(new)))
         return [self.table[r] if (on := self.plain[r]).all() else self.table[r[on]] for r in rows]
 
 
+@lru_cache(1)
+def word_hasher() -> WordHasher:
+    return WordHasher()
+
+
 def word_hashes(texts: list[str]) -> list[np.ndarray]:
     return WordHasher()(texts)
 
@@ -90,10 +96,9 @@ def terms_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def _hash_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = WordHasher()
+    hash_words = word_hasher()
     for batch in batches:
-        texts = [t or "" for t in batch.column("t").to_pylist()]
-        found = [h for block in _blocks(texts, 1 << 22) for h in hasher(block)]
+        found = [h for block in text_blocks(batch.column("t"), 1 << 22) for h in hash_words(block)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([h.tobytes() for h in found], pa.binary())], ["doc_id", "words"])
 
@@ -198,14 +203,18 @@ def singular_vectors(z: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.n
     return f @ turn[:, order] / np.sqrt(values), np.sqrt(np.maximum(values - shift, 0))
 
 
-def _with_next(steps: np.ndarray, row: np.ndarray, ahead: int) -> np.ndarray:
-    """Each step's vector with that of the step so far ahead in its text."""
+def _with_next(steps: np.ndarray, row: np.ndarray, ahead: int, join=np.add) -> np.ndarray:
+    """Each step's value joined with that of the step so far ahead in its text."""
     out = steps.copy()
     same = np.flatnonzero(row[ahead:] == row[:-ahead])
-    out[same] += steps[same + ahead]
+    out[same] = join(steps[same], steps[same + ahead])
     return out
 
 
+def _bit(terms: np.ndarray) -> np.ndarray:
+    return np.uint64(1) << (terms & 63).astype(np.uint64)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
@@ -249,6 +258,9 @@ class Queries:
         self.terms = np.full((len(rows), width), TERMS + 1, np.uint16)
         for k, r in enumerate(rows):
             self.terms[k, : len(r)] = r
+        self.bits = np.array([np.bitwise_or.reduce(_bit(r)) for r in rows], np.uint64)
+        # so many bits are common at least where enough terms are
+        self.least = np.ceil(SHARED * self.size - 1e-9) - (self.size - np.bitwise_count(self.bits))
 
     def shared(self, k: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """Share of each item window's weighted terms in a document window."""
@@ -258,12 +270,15 @@ class Queries:
             out[j:j + 8192] = pair.any(2).sum(1)
         return out / self.size[k]
 
-    def candidates(self, windows, begin, stop, terms):
+    def candidates(self, windows, bits, begin, stop, terms):
         """(windows, items) of pairs that are near and share enough terms;
-        terms: of all words, TERMS for those without weight."""
+        bits: of each window's terms; terms: of all words, TERMS for those
+        without weight."""
         for k in range(0, len(windows) if len(self.item) else 0, 2048):
             at, query = np.nonzero(_unit(windows[k:k + 2048]) @ self.vectors.T >= self.need)
             at += k
+            some = np.bitwise_count(bits[at] & self.bits[query]) >= self.least[query]
+            at, query = at[some], query[some]
             place = begin[at, None] + np.arange(self.width)
             own = np.where(place < stop[at, None], terms[np.minimum(place, len(terms) - 1)], TERMS).astype(np.uint16)
             kept = self.shared(query, own) >= SHARED
@@ -305,12 +320,18 @@ def _search(sent):
                 place = np.arange(len(row)) - (np.cumsum(runs) - runs)[row]  # of the step in its text
                 begin, stop = start[row] + place * STEP, (start + sizes)[row]
                 pairs = _with_next(steps, row, 1)
+                bits = np.zeros(len(row), np.uint64)
+                if on.any():
+                    first_of = np.flatnonzero(np.diff(step[on], prepend=-1))
+                    bits[step[on][first_of]] = np.bitwise_or.reduceat(_bit(terms[on]), first_of)
+                two = _with_next(bits, row, 1, np.bitwise_or)
+                four = _with_next(two, row, 2, np.bitwise_or)
                 even = np.flatnonzero(place % 2 == 0)
                 known = np.where(on, terms, TERMS)
                 done = set()
-                for query, windows, at in ((queries[0], _with_next(pairs, row, 2)[even], even),
-                                           (queries[1], pairs, np.arange(len(row)))):
-                    for k, i in query.candidates(windows, begin[at], stop[at], known):
+                for query, windows, has, at in ((queries[0], _with_next(pairs, row, 2)[even], four[even], even),
+                                                (queries[1], pairs, two, np.arange(len(row)))):
+                    for k, i in query.candidates(windows, has, begin[at], stop[at], known):
                         h = at[k]
                         if (row[h], i) in done:
                             continue
