@@ -53,9 +53,9 @@ RULES = {
 
 
 def text_measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  stratum_col: str | None = "lang") -> DataFrame:
+                  stratum_col: str | None = "lang", carry: list[str] = ()) -> DataFrame:
     """One row per input row: (doc_id, stratum, n_words, word_chars,
-    n_symbols, n_lines, n_dup_lines, n_repeat_words).
+    n_symbols, n_lines, n_dup_lines, n_repeat_words) and the carried columns.
 
     Row-local and shuffle-free.  Repeated windows: 64-bit hashes of all
     windows are sorted as a primitive array; only a text in which two are
@@ -63,7 +63,7 @@ def text_measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
     t = (df.select(F.col(id_col).alias("doc_id"), stratum.alias("stratum"),
-                   F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+                   F.coalesce(F.col(text_col), F.lit("")).alias("t"), *carry)
          .withColumn("w", F.expr("filter(split(t, r'[\\x20\\x09-\\x0D]+'), x -> x <> '')"))
          .withColumn("lines", F.expr("filter(split(t, '\\n'), x -> translate(x, ' \\t\\n\\u000b\\u000c\\r', '') <> '')"))
          .withColumn("h", F.expr(f"""
@@ -83,17 +83,18 @@ def text_measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              (i > 0 AND p[greatest(i - 1, 0)].x = e.x)
              OR (i < size(p) - 1 AND p[least(i + 1, size(p) - 1)].x = e.x) AS r)),
              e -> e.r), e -> e.i))"""))
-    return t.select(
-        "doc_id", "stratum",
-        F.expr("cast(size(w) AS bigint)").alias("n_words"),
-        F.expr("cast(char_length(translate(t, ' \\t\\n\\u000b\\u000c\\r', '')) AS bigint)").alias("word_chars"),
-        F.expr("cast(char_length(t) - char_length(translate(t, '#*$%&|<>', '')) AS bigint)").alias("n_symbols"),
-        F.expr("cast(size(lines) AS bigint)").alias("n_lines"),
-        F.expr("cast(size(lines) - size(array_distinct(lines)) AS bigint)").alias("n_dup_lines"),
-        F.expr(f"""CASE WHEN size(at) = 0 THEN 0L ELSE
+    # one generated row: a filter on measures stays above it, instead of being
+    # rewritten in terms of the text once for each use of an array
+    return t.select(*carry, "doc_id", "stratum", F.expr(f"""inline(array(named_struct(
+        'n_words', cast(size(w) AS bigint),
+        'word_chars', cast(char_length(translate(t, ' \\t\\n\\u000b\\u000c\\r', '')) AS bigint),
+        'n_symbols', cast(char_length(t) - char_length(translate(t, '#*$%&|<>', '')) AS bigint),
+        'n_lines', cast(size(lines) AS bigint),
+        'n_dup_lines', cast(size(lines) - size(array_distinct(lines)) AS bigint),
+        'n_repeat_words', CASE WHEN size(at) = 0 THEN 0L ELSE
             aggregate(transform(at, (x, i) -> CASE WHEN i = size(at) - 1 THEN {WINDOW}
                       ELSE least({WINDOW}, at[least(i + 1, size(at) - 1)] - x) END),
-                      0L, (a, x) -> a + x) END""").alias("n_repeat_words"))
+                      0L, (a, x) -> a + x) END)))"""))
 
 
 def with_base(measures: DataFrame) -> DataFrame:
@@ -184,7 +185,18 @@ def quality_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA,
     return judge(m, certified_cutoffs(m, labels, alpha, delta))
 
 
-def rejected_ids(documents: DataFrame, labels: DataFrame, **kw) -> DataFrame:
-    """Distinct ids with a rejected row (null ids excluded)."""
-    return quality_rules(documents, labels, **kw).where("NOT kept").select("doc_id").where(
-        "doc_id IS NOT NULL").distinct()
+def keep(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
+         id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
+    """The rows that pass, with all their columns.
+
+    Only labelled documents that pass the base decide on the cutoffs, so the
+    calibration reads labelled texts; the verdict is row-local and no text is
+    shuffled for it."""
+    ids = labels.select(F.col("doc_id").alias("label_id")).where("label_id IS NOT NULL").distinct()
+    row = documents.select(F.struct("*").alias("row"))
+    labelled = documents.join(ids, F.col(id_col) == F.col("label_id"), "left_semi")
+    cutoffs = certified_cutoffs(checkpoint(with_base(text_measures(labelled, id_col, text_col, stratum_col))),
+                                labels, alpha, delta)
+    measured = with_base(text_measures(row, f"row.{id_col}", f"row.{text_col}",
+                                       f"row.{stratum_col}" if stratum_col else None, ["row"]))
+    return judge(measured, checkpoint(cutoffs)).where("kept").select("row.*")
