@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """At most so many rows in an Arrow batch of the actions inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_blocks(column: pa.Array, size: int) -> Iterator[list[str]]:
     """The texts of an Arrow column (null as empty) in runs of up to so many
     bytes; a longer text is alone.  Only one run is ever in Python strings."""
@@ -32,4 +45,4 @@ def text_blocks(column: pa.Array, size: int) -> Iterator[list[str]]:
         at = stop
 
 
-__all__ = ["checkpoint", "ensure_checkpoint_dir", "read_table", "text_blocks"]
+__all__ = ["arrow_rows", "checkpoint", "ensure_checkpoint_dir", "read_table", "text_blocks"]

@@ -39,14 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from losslens.llm.byte_bpe import Numbering, Runs
-from losslens.llm.common import ensure_checkpoint_dir, text_blocks
+from losslens.llm.common import arrow_rows, ensure_checkpoint_dir, text_blocks
 
 MAGIC = b"LLTOKEN1"
 END_ID = 1
-SHARD_CHARS = 1 << 25
+SHARD_BYTES = 1 << 24
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
-CACHE = 250_000  # parts that a task remembers
+ROWS = 500  # texts in an Arrow batch
+CACHE = 150_000  # parts that a task remembers
 BLOCK = 1 << 22  # bytes of text encoded at once
 BATCH = 8192  # parts sent to the library at once: its results are large
 LINE = 64  # words in one text
@@ -348,11 +349,13 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, id_col:
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     spark, id_type = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_CHARS), min(size >> 20, 2 * spark.sparkContext.defaultParallelism))
-    (docs.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("t"))
-     .mapInArrow(_write_shard(folder, tokenizer),
-                 f"doc_id {id_type}, ordinal long, shard long, first long, n_tokens long")
-     .select("*", *_hashes()).write.parquet(f"{folder}/entries"))
+    shards = max(1, -(-size // SHARD_BYTES), min(size >> 20, 2 * spark.sparkContext.defaultParallelism))
+    written = (docs.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("t"))
+               .mapInArrow(_write_shard(folder, tokenizer),
+                           f"doc_id {id_type}, ordinal long, shard long, first long, n_tokens long")
+               .select("*", *_hashes()))
+    with arrow_rows(spark, ROWS):
+        written.write.parquet(f"{folder}/entries")
     entries = spark.read.parquet(f"{folder}/entries")
     # one row per shard, so a plain ordered window over them
     (entries.groupBy("shard").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("docs"))

@@ -329,7 +329,8 @@ def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     picked = (docs.join(F.broadcast(sample), "doc_id")  # at most 2 * max_per_class rows
               .where(F.char_length("t") <= MAX_CHARS).select("y", "t").repartition(1)
               .sortWithinPartitions(F.xxhash64("t"), "t", "y"))
-    return json.loads(picked.mapInArrow(fit, "model string").first()[0])
+    row = picked.mapInArrow(fit, "model string").first()
+    return json.loads(row.model) if row else fit_tagger([], np.zeros(0, int), share)  # no partition ran
 
 
 def score_documents(documents: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
