@@ -29,8 +29,8 @@ def op3_token_files(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     folder = token_files.new_folder(spark)
     token_files.write_token_files(docs, public_tokenizers.path(WORD_BPE), folder)
-    out = token_files.read_tokens(token_files.keys_of(docs), folder)
-    return out.select("doc_id", "start", "n_tokens", token_files.crc32(out["ids"]).alias("ids_crc32"))
+    out = token_files.read_tokens(token_files.keys_of(docs), folder, digest=True)
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_byte_bpe(spark, sf_dir):

@@ -47,7 +47,7 @@ SHARD_BYTES = 1 << 24
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
 ROWS = 500  # texts in an Arrow batch
-CACHE = 150_000  # parts that a task remembers
+CACHE = 350_000  # parts that a task remembers
 BLOCK = 1 << 22  # bytes of text encoded at once
 BATCH = 8192  # parts sent to the library at once: its results are large
 LINE = 64  # words in one text
@@ -317,27 +317,29 @@ def _look_up(folder: str):
     return run
 
 
-def _read_shards(folder: str):
-    """Adds the ids' bytes (little-endian unsigned 32-bit) to rows sorted by
-    shard and first id."""
+def _read_shards(folder: str, digest: bool):
+    """Adds to rows sorted by shard and first id the ids' bytes (little-endian
+    unsigned 32-bit), or only their unsigned CRC-32."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = _open(folder)
         name, f, width = None, None, 0
-        for batch in batches:
-            raw = []
-            for shard, first, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "first", "n_tokens"))):
-                if shard != name:
-                    if f is not None:
-                        f.close()
-                    name, f = shard, files.open_input_file(f"{path}/shard-{shard:05d}.ids")
-                    head = f.read(16)
-                    if head[:8] != MAGIC:
-                        raise ValueError(f"shard {shard} is not a token file")
-                    width = int(np.frombuffer(head, "<u4", 1, 8)[0])
-                f.seek(16 + width * first)
-                raw.append(np.frombuffer(f.read(width * n), f"<u{width}").astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())],
-                                             [*batch.schema.names, "ids"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS):
+                batch, raw = whole.slice(k, ROWS), []
+                for shard, first, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "first", "n_tokens"))):
+                    if shard != name:
+                        if f is not None:
+                            f.close()
+                        name, f = shard, files.open_input_file(f"{path}/shard-{shard:05d}.ids")
+                        head = f.read(16)
+                        if head[:8] != MAGIC:
+                            raise ValueError(f"shard {shard} is not a token file")
+                        width = int(np.frombuffer(head, "<u4", 1, 8)[0])
+                    f.seek(16 + width * first)
+                    ids = np.frombuffer(f.read(width * n), f"<u{width}").astype("<u4").tobytes()
+                    raw.append(zlib.crc32(ids) if digest else ids)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.int64() if digest else pa.binary())],
+                                                 [*batch.schema.names, "ids"])
         if f is not None:
             f.close()
     return run
@@ -382,17 +384,17 @@ def locate(keys: DataFrame, folder: str) -> DataFrame:
             .mapInArrow(_look_up(folder), f"doc_id {id_type}, ordinal long, shard long, first long, n_tokens long"))
 
 
-def read_tokens(keys: DataFrame, folder: str) -> DataFrame:
+def read_tokens(keys: DataFrame, folder: str, digest: bool = False) -> DataFrame:
     """Keys with start (ids before it in the corpus), n_tokens and ids
-    (binary), read from the files."""
+    (binary), read from the files; with digest, ids_crc32 instead of ids."""
     spark, id_type = keys.sparkSession, keys.schema["doc_id"].dataType.simpleString()
     shards = spark.read.parquet(f"{folder}/shards")
-    count = shards.count()
-    read = (locate(keys, folder).repartition(max(1, count), "shard").sortWithinPartitions("shard", "first")
-            .mapInArrow(_read_shards(folder),
-                        f"doc_id {id_type}, ordinal long, shard long, first long, n_tokens long, ids binary"))
+    read = (locate(keys, folder).repartition(max(1, shards.count()), "shard").sortWithinPartitions("shard", "first")
+            .mapInArrow(_read_shards(folder, digest), f"doc_id {id_type}, ordinal long, shard long, first long, "
+                                                      f"n_tokens long, ids {'long' if digest else 'binary'}"))
     return (read.join(shards.select("shard", "base"), "shard")
-            .selectExpr("doc_id", "ordinal", "base + first AS start", "n_tokens", "ids"))
+            .selectExpr("doc_id", "ordinal", "base + first AS start", "n_tokens",
+                        f"ids AS {'ids_crc32' if digest else 'ids'}"))
 
 
 def keys_of(documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -400,10 +402,3 @@ def keys_of(documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return (documents.groupBy(F.col(id_col).alias("doc_id")).agg(F.count("*").alias("n"))
             .selectExpr("doc_id", "explode(sequence(0L, n - 1)) AS ordinal"))
 
-
-def crc32(ids):
-    """Unsigned CRC-32 of a binary column."""
-    @F.arrow_udf("long")
-    def of(raw: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.as_buffer()) for x in raw], pa.int64())
-    return of(ids)
