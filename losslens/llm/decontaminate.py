@@ -1,6 +1,6 @@
 """Benchmark passages in documents by latent semantic retrieval.
 
-1. Words (lowered, without marks around them) are hashed to 32 bits; the hash
+1. Words (Latin letters lowered, without marks around them) are hashed to 32 bits; the hash
    also gives a term number below ``TERMS``.  Disjoint runs of ``WINDOW``
    words are the passages whose term frequencies give idf weights; terms in
    over ``COMMON`` of all passages weigh nothing.
@@ -34,23 +34,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from losslens.llm.byte_bpe import Numbering
-from losslens.llm.common import ensure_checkpoint_dir, text_blocks
+from losslens.llm.common import ensure_checkpoint_dir
 
 TERMS = 1 << 15
 RANK = 48
-EXTRA = 6
+EXTRA = 4
 WINDOW = 32
 STEP = 8
 LONG = 36
 PROBES = 2
-COMMON = 0.01
+COMMON = 0.002
 NEAR = {32: 0.6, 16: 0.5}
-CACHE = 300_000
+PIECE = 1 << 20  # bytes hashed at once
+BASE = 0x9E3779B97F4A7C15
 SHARED = 0.45
 LCS = 0.8
 ANSWER = 0.6
@@ -58,37 +57,106 @@ ANSWER_WORDS = 5
 BLOCK = 2048
 SEED = 9
 TERM_BLOCKS = 64
-_EDGE = ".,;:!?\"'()[]{}<>%&$*#|-_=+/\\^`~@"
-
-
-class WordHasher:
-    """32-bit hashes of words without marks around them, lowered; distinct
-    words are hashed once while they are remembered."""
-
-    def __init__(self):
-        self.number, self.table, self.plain = Numbering(), np.zeros(0, np.uint32), np.zeros(0, bool)
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > CACHE:
-            self.__init__()
-        rows = []
-        for t in texts:
-            words = t.split()
-            rows.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
-        new = [w.lower() if w.isalnum() else w.strip(_EDGE).lower() for w in self.number.take()]
-        digest = xxhash.xxh32_intdigest
-        self.table = np.append(self.table, np.fromiter((digest(w) for w in new), np.uint32, len(new)))
-        self.plain = np.append(self.plain, np.fromiter(map(bool, new), bool, len(new)))
-        return [self.table[r] if (on := self.plain[r]).all() else self.table[r[on]] for r in rows]
-
-
-@lru_cache(1)
-def word_hasher() -> WordHasher:
-    return WordHasher()
-
-
-def word_hashes(texts: list[str]) -> list[np.ndarray]:
-    return WordHasher()(texts)
+_KIND = np.array([0 if chr(c) in " \t\n\x0b\x0c\r" else 2 if c > 127 or chr(c).isalnum() else 1 for c in range(256)],
+                 np.uint8)
+_LOWER = np.array([c + 33 if 65 <= c <= 90 else c + 1 for c in range(256)], np.uint64)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, modulo 2^64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(n, np.uint64(base))
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
+_POWERS = lru_cache(1)(lambda: _powers(PIECE))
+
+
+def word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(32-bit hashes of all words, words per text) of UTF-8 texts laid end to
+    end; ends: one past the last byte of each.
+
+    Words are runs without ASCII white space, Latin letters lowered, without
+    ASCII marks at either end; what is nothing but marks is no word.  A word's hash is the
+    difference of two prefix sums of byte * BASE^place, moved to place 0."""
+    if not len(raw):
+        return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
+    up, down = _POWERS() if len(raw) <= PIECE else _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    letters = _LOWER[raw]
+    second = np.flatnonzero(raw[:-1] == 0xC3) + 1  # capitals A-grave to Thorn, but for the times sign
+    second = second[(raw[second] <= 0x9E) & (raw[second] != 0x97)]
+    letters[second] += np.uint64(32)
+    np.cumsum(letters * up[: len(raw)], out=sums[1:])
+    kind = _KIND[raw]  # 0 white space, 1 mark, 2 other
+    inside = kind > 0
+    begins, stops = inside.copy(), inside.copy()
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[ends] = True
+    edge[0] = True
+    begins[1:] &= ~inside[:-1] | edge[1:-1]
+    stops[:-1] &= ~inside[1:] | edge[1:-1]
+    a, b = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    for at, move, shift in ((a, 1, 0), (b, -1, -1)):  # off with the marks
+        todo = np.flatnonzero(kind[at + shift] == 1)
+        while len(todo):
+            at[todo] += move
+            todo = todo[a[todo] < b[todo]]
+            todo = todo[kind[at[todo] + shift] == 1]
+    word = a < b
+    starts = np.concatenate(([0], ends[:-1]))
+    first = np.searchsorted(np.flatnonzero(begins), starts)
+    count = np.concatenate(([0], np.cumsum(word)))
+    sizes = np.diff(np.append(count[first], count[-1]))
+    a, b = a[word], b[word]
+    h = (sums[b] - sums[a]) * down[a]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h >> np.uint64(32)).astype(np.uint32), sizes
+
+
+def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of runs of rows of up to PIECE bytes together."""
+    rows, size, first = [], 0, 0
+    for i, t in enumerate(texts.cast(pa.binary()) if texts.type != pa.binary() else texts):
+        t = t.as_py() or b""
+        if size and size + len(t) > PIECE:
+            yield first, rows
+            rows, size, first = [], 0, i
+        rows.append(t)
+        size += len(t)
+    if rows:
+        yield first, rows
+
+
+def hash_texts(texts: pa.Array) -> list[np.ndarray]:
+    """Word hashes of each text of an Arrow column; null is empty."""
+    out = []
+    for _, rows in _pieces(texts):
+        # a text over PIECE is cut at white space, where it has any
+        parts, owner = [], []
+        for i, t in enumerate(rows):
+            while len(t) > PIECE and (cut := max(t.rfind(b" ", 0, PIECE), t.rfind(b"\n", 0, PIECE))) > 0:
+                parts.append(t[:cut])
+                owner.append(i)
+                t = t[cut:]
+            parts.append(t)
+            owner.append(i)
+        found = [[] for _ in rows]
+        k = 0
+        while k < len(parts):
+            n, size = k, 0
+            while n < len(parts) and (n == k or size + len(parts[n]) <= PIECE):
+                size += len(parts[n])
+                n += 1
+            h, sizes = word_hashes(np.frombuffer(b"".join(parts[k:n]), np.uint8), np.cumsum([len(p) for p in parts[k:n]]))
+            for i, x in zip(owner[k:n], np.split(h, np.cumsum(sizes)[:-1])):
+                found[i].append(x)
+            k = n
+        out += [x[0] if len(x) == 1 else np.concatenate(x) for x in found]
+    return out
 
 
 def terms_of(hashes: np.ndarray) -> np.ndarray:
@@ -96,9 +164,8 @@ def terms_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def _hash_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hash_words = word_hasher()
     for batch in batches:
-        found = [h for block in text_blocks(batch.column("t"), 1 << 22) for h in hash_words(block)]
+        found = hash_texts(batch.column("t"))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([h.tobytes() for h in found], pa.binary())], ["doc_id", "words"])
 
@@ -387,7 +454,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
         if row is not None:
             block.append(row)
         if block and (row is None or len(block) == BLOCK):
-            words = word_hashes([r.t for r in block])
+            words = hash_texts(pa.array([r.t for r in block], pa.string()))
             query = ([r.item_id for r in block], [w.tobytes() for w in words], table, weight)
             found = hashed.mapInArrow(_search(spark.sparkContext.broadcast(query)),
                                       f"doc_id {kind}, item_id long, lcs double")

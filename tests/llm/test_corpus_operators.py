@@ -9,6 +9,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -405,6 +406,20 @@ def test_pseudonyms_are_one_to_one(spark, make):
 
 # 9 decontamination -------------------------------------------------------------------------------------------------
 
+def test_word_hashes(monkeypatch):
+    texts = ["One, two\nTWO.. (two)", None, "", "!!", "é ''É''", "a b" * 50, "one", "  x  ", "..\x00"]
+    plain = [[w for x in re.findall(r"[^\x20\x09-\x0D]+", t or "")
+              if (w := re.sub("[A-ZÀ-ÖØ-Þ]", lambda m: m[0].lower(), x.strip("".join(
+                  chr(c) for c in range(128) if not chr(c).isalnum() and c not in range(9, 14) and c != 32))))] for t in texts]
+    for piece in (1 << 20, 16):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        monkeypatch.setattr(decontaminate, "_POWERS", lambda: decontaminate._powers(piece))
+        got = decontaminate.hash_texts(pa.array(texts, pa.string()))
+        pairs = {(w, int(h)) for ws, hs in zip(plain, got) for w, h in zip(ws, hs)}
+        assert [len(x) for x in got] == [len(x) for x in plain]
+        assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+
+
 def test_common_subsequence():
     def brute(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
@@ -539,9 +554,10 @@ def test_pipeline_stages_brute(spark):
                 group[a] = group[b] = min(group[a], group[b])
     assert {r.doc_id for r in kept[1].collect()} == {i for i, g in group.items() if i == g}
     assert {r.doc_id for r in kept[2].collect()} <= {r.doc_id for r in kept[1].collect()}
-    items = decontaminate.word_hashes([r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+    hashes = lambda texts: decontaminate.hash_texts(pa.array(texts, pa.string()))
+    items = hashes([r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
     for r in kept[2].collect():
-        words = decontaminate.word_hashes([r.text])[0].tobytes()
+        words = hashes([r.text])[0].tobytes()
         assert not any(i.tobytes() in words for i in items)
     assert all(r.n_chars == len(r.text) for r in kept[3].collect())
     assert kept[4].count() == kept[2].count()
