@@ -46,9 +46,9 @@ END_ID = 1
 SHARD_BYTES = 1 << 24
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
-ROWS = 500  # texts in an Arrow batch
-CACHE = 350_000  # parts that a task remembers
-BLOCK = 1 << 22  # bytes of text encoded at once
+ROWS = 4000  # texts in an Arrow batch
+CACHE = 500_000  # parts that a task remembers
+BLOCK = 1 << 24  # bytes of text encoded at once: the more, the fewer chunks are cut up again
 BATCH = 8192  # parts sent to the library at once: its results are large
 LINE = 64  # words in one text
 #: fixed value: ASCII marks that end a token before them, all but the apostrophe
