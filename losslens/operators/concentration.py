@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from losslens.functions import exprs as X
-from losslens.operators.ordered import average_ranks, group_quantiles, positions
+from losslens.operators.ordered import average_ranks, group_quantiles, order_key, positions
 
 
 # ----------------------------------------------------------------- qcut (Q6)
@@ -140,10 +140,9 @@ def top_share(df: DataFrame, value: str, x: float = 0.2, keys=()) -> DataFrame:
 def _row_order(df: DataFrame, value: str, id_col: str, descending: bool) -> DataFrame:
     """Per row: 1-based position in (value asc|desc, id asc) order and the
     cumulative value through it."""
-    numeric_id = dict(df.dtypes)[id_col] in ("int", "bigint", "smallint", "tinyint", "double", "float")
-    # tie order inside equal values: the id itself when numeric, else a
-    # deterministic 64-bit hash of it (pandas leaves tie order unspecified)
-    tb = F.col(id_col).cast("double") if numeric_id else F.xxhash64(F.col(id_col)).cast("double")
+    # tie order inside equal values: the id; ids that share one double (above
+    # 2^53, or repeated) are numbered by the id itself
+    tb = order_key(df, id_col)
     d = df.select(F.col(id_col), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_x"),
                   tb.alias("_tb"))
     d = d.withColumn("_k", -F.col("_x") if descending else F.col("_x"))
@@ -152,8 +151,9 @@ def _row_order(df: DataFrame, value: str, id_col: str, descending: bool) -> Data
         (F.col("_cs__x") - F.col("_s__x")).alias("_before"), F.col("_t__x").alias("_total"),
         F.col("_n").alias("_n"))
     tie = positions(d, ["_k"], "_tb").select("_k", F.col("_v").alias("_tb"),
-                                              F.col("_cum").alias("_tr"))
-    rows = d.join(lv, ["_k"]).join(tie, ["_k", "_tb"])
+                                              (F.col("_cum") - F.col("_c")).alias("_tb_before"))
+    rows = d.join(lv, ["_k"]).join(tie, ["_k", "_tb"]).withColumn(
+        "_tr", F.col("_tb_before") + F.row_number().over(Window.partitionBy("_k", "_tb").orderBy(id_col)))
     return rows.select(
         id_col, F.col("_x").alias(value),
         (F.col("_vcum") - F.col("_vc") + F.col("_tr")).alias("rank"),

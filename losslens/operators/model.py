@@ -116,40 +116,37 @@ def screen_features(train: DataFrame, features, target: str = RQ3_TARGET,
 
 
 # ------------------------------------------------------------------ M3
-def build_model_configs(n_train: int, seed: int = 42, grid: str = "full"):
-    """M3: the reference's grids as Spark ML ParamMaps.  ``C`` maps to
-    ``regParam = 1 / (C n)``; ``max_depth=None`` to 30 (Spark maximum);
-    ``grid='small'`` keeps one point per model (tests / quick runs),
-    ``grid='ablation'`` a lighter forest for variant comparisons."""
+# fixed values: the grids of the three models (8, 12 and 16 points)
+LR_C, LR_L1 = [0.01, 0.1, 1, 10], [0.0, 1.0]
+RF_TREES, RF_DEPTH, RF_LEAF = [100, 200], [5, 10, 30], [5, 10]
+GB_TREES, GB_DEPTH, GB_RATE, GB_SHARE = [100, 200], [3, 5], [0.01, 0.1], [0.8, 1.0]
+
+
+def build_model_configs(n_train: int, seed: int = 42):
+    """M3: the grids as Spark ML ParamMaps.  ``C`` maps to ``regParam =
+    1 / (C n)``; an unlimited depth to 30 (Spark's maximum)."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w",
                             maxIter=500, standardization=False)
     rf = RandomForestClassifier(featuresCol="raw_features", labelCol="label", weightCol="w", seed=seed)
     gb = GBTClassifier(featuresCol="raw_features", labelCol="label", weightCol="w", seed=seed)
-    if grid == "ablation":  # variant-vs-variant comparisons: a lighter forest
-        cs, l1s, trees, depths, leaves = [1.0], [0.0], [50], [8], [5]
-        g_iter, g_depth, g_lr, g_sub = [20], [3], [0.1], [1.0]
-    elif grid == "small":
-        cs, l1s, trees, depths, leaves = [1.0], [0.0], [100], [10], [5]
-        g_iter, g_depth, g_lr, g_sub = [20], [3], [0.1], [1.0]
-    else:
-        cs, l1s, trees, depths, leaves = [0.01, 0.1, 1, 10], [0.0, 1.0], [100, 200], [5, 10, 30], [5, 10]
-        g_iter, g_depth, g_lr, g_sub = [100, 200], [3, 5], [0.01, 0.1], [0.8, 1.0]
     return {
         "Logistic Regression": (lr, ParamGridBuilder()
-                                .addGrid(lr.regParam, [1.0 / (c * n_train) for c in cs])
-                                .addGrid(lr.elasticNetParam, l1s).build()),
-        "Random Forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, trees)
-                          .addGrid(rf.maxDepth, depths).addGrid(rf.minInstancesPerNode, leaves).build()),
-        "Gradient Boosting": (gb, ParamGridBuilder().addGrid(gb.maxIter, g_iter)
-                              .addGrid(gb.maxDepth, g_depth).addGrid(gb.stepSize, g_lr)
-                              .addGrid(gb.subsamplingRate, g_sub).build()),
+                                .addGrid(lr.regParam, [1.0 / (c * n_train) for c in LR_C])
+                                .addGrid(lr.elasticNetParam, LR_L1).build()),
+        "Random Forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, RF_TREES)
+                          .addGrid(rf.maxDepth, RF_DEPTH).addGrid(rf.minInstancesPerNode, RF_LEAF).build()),
+        "Gradient Boosting": (gb, ParamGridBuilder().addGrid(gb.maxIter, GB_TREES)
+                              .addGrid(gb.maxDepth, GB_DEPTH).addGrid(gb.stepSize, GB_RATE)
+                              .addGrid(gb.subsamplingRate, GB_SHARE).build()),
     }
 
 
-def _scale_on_train(d: DataFrame, feats):
-    """z-scores (ddof 0, like the reference's scaler) with train statistics."""
-    st = d.where(F.col("is_test") == 0).agg(*[F.avg(c).alias(f"_m_{c}") for c in feats],
-                                            *[F.stddev_pop(c).alias(f"_s_{c}") for c in feats])
+def _scale_on_train(d: DataFrame, feats, train: DataFrame | None = None):
+    """z-scores (ddof 0, like the reference's scaler) with the statistics of
+    the training rows, or of another set's."""
+    train = d if train is None else train
+    st = train.where(F.col("is_test") == 0).agg(*[F.avg(c).alias(f"_m_{c}") for c in feats],
+                                                *[F.stddev_pop(c).alias(f"_s_{c}") for c in feats])
     j = d.crossJoin(F.broadcast(st))
     return j.withColumns({f"_z_{c}": F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}"))
                                             / F.col(f"_s_{c}")).otherwise(0.0) for c in feats}) \
@@ -214,7 +211,14 @@ def _with_score(pred: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M4 / M7
-def train_and_evaluate(frame: DataFrame, feats, configs: dict, parallelism: int = 4,
+def scoring_frame(d: DataFrame, feats, primary: DataFrame) -> DataFrame:
+    """Vectors of another set's rows, scaled by the primary training rows."""
+    z = _scale_on_train(d, feats, primary)
+    z = VectorAssembler(inputCols=list(feats), outputCol="raw_features").transform(z)
+    return VectorAssembler(inputCols=[f"_z_{c}" for c in feats], outputCol="features").transform(z)
+
+
+def train_and_evaluate(frame: DataFrame, feats, configs: dict, parallelism: int = 8,
                        folds: int = 5) -> dict:
     """M4: per model a CrossValidator (AUC, precomputed stratified folds),
     refit on all training rows, metrics on the test rows; M7 importances."""

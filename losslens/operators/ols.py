@@ -16,11 +16,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from losslens.functions import dist
-from losslens.operators.ordered import positions
+from losslens.operators.ordered import order_key, positions
 from losslens.operators.stats import anova
 
 # fixed values: RQ4 predictors, controls, categoricals, thresholds
@@ -184,11 +184,14 @@ def fit_ols_hc3(design: DataFrame, names, y: str = "y") -> dict:
 
 def durbin_watson(design: DataFrame, fit: dict, order_col: str) -> float:
     """E5: DW over the rows ordered by ``order_col`` (declared order).
-    Row positions come from the bucketed positions primitive; the lag is
-    an equi-join of position t with t - 1 (no single-task window)."""
-    d = design.select(F.col(order_col).cast("double").alias("_o"), fit["residual_expr"].alias("_e"))
-    pos = positions(d, [], "_o").select(F.col("_v").alias("_o"), F.col("_cum").alias("_t"))
-    r = d.join(pos, ["_o"])
+    Row positions come from the bucketed positions primitive (rows with one
+    order key are numbered by the column itself, whatever its type); the lag
+    is an equi-join of position t with t - 1 (no single-task window)."""
+    d = design.select(F.col(order_col).alias("_id"), order_key(design, order_col).alias("_o"),
+                      fit["residual_expr"].alias("_e"))
+    pos = positions(d, [], "_o").select(F.col("_v").alias("_o"), (F.col("_cum") - F.col("_c")).alias("_before"))
+    r = d.join(pos, ["_o"]).withColumn(
+        "_t", F.col("_before") + F.row_number().over(Window.partitionBy("_o").orderBy("_id", "_e")))
     prev = r.select((F.col("_t") + 1).alias("_t"), F.col("_e").alias("_ep"))
     s = r.join(prev, ["_t"], "left").agg(
         F.sum(F.when(F.col("_ep").isNotNull(), (F.col("_e") - F.col("_ep")) ** 2)).alias("num"),
@@ -237,18 +240,22 @@ def fit_summary(spark, fit: dict, hypothesis=RQ4_HYPOTHESIS_PREDICTORS, alpha: f
                                         "h0_rejected boolean, significant_predictors string")
 
 
-def coefficient_alignment(primary: DataFrame, external: DataFrame, alpha: float = RQ4_ALPHA) -> DataFrame:
-    """Join two coefficient tables by feature; sign agreement only counts
-    when the primary coefficient is significant; percent effect exp(b) - 1."""
+def coefficient_alignment(primary: DataFrame, external: DataFrame, alpha: float = RQ4_ALPHA,
+                          features=RQ4_HYPOTHESIS_PREDICTORS) -> DataFrame:
+    """The hypothesis predictors of two coefficient tables side by side.
+    A direction only counts as aligned when the primary coefficient is
+    significant; effects are percent, 100 (exp(b) - 1)."""
     p = primary.select("feature", F.col("coefficient").alias("b_primary"), F.col("p_value").alias("p_primary"))
     e = external.select("feature", F.col("coefficient").alias("b_external"), F.col("p_value").alias("p_external"))
-    j = p.join(e, ["feature"], "inner").where(F.col("feature") != "const")
-    sig = F.col("p_primary") < alpha
+    j = p.join(e, ["feature"], "inner").where(F.col("feature").isin(list(features)))
+    sig_p, sig_e = F.col("p_primary") < alpha, F.col("p_external") < alpha
     return j.select("feature", "b_primary", "b_external", "p_primary", "p_external",
-                    F.when(sig, F.signum("b_primary") == F.signum("b_external")).alias("sign_agrees"),
-                    (F.exp("b_primary") - 1).alias("pct_effect_primary"),
-                    (F.exp("b_external") - 1).alias("pct_effect_external"),
-                    F.when(F.col("b_primary") != 0, F.col("b_external") / F.col("b_primary")).alias("ratio"))
+                    ((F.exp("b_primary") - 1) * 100).alias("pct_effect_primary"),
+                    ((F.exp("b_external") - 1) * 100).alias("pct_effect_external"),
+                    sig_p.alias("significant_primary"), sig_e.alias("significant_external"),
+                    (sig_p & (F.col("b_primary") * F.col("b_external") > 0)).alias("direction_aligned"),
+                    (sig_p == sig_e).alias("significance_agreement"),
+                    F.when(F.col("b_primary") != 0, F.col("b_external") / F.col("b_primary")).alias("coefficient_ratio"))
 
 
 def effect_size_generalisation(primary: DataFrame, external: DataFrame) -> DataFrame:

@@ -55,6 +55,19 @@ def bucketize(df: DataFrame, v: str, splits: list[float], out: str = "_b") -> Da
     return bz.transform(df)
 
 
+def order_key(df: DataFrame, col: str):
+    """Double that never decreases in the typed order of a column: the value
+    itself, or for strings the six bytes after the prefix that all of them
+    share (one aggregate).  Different values may map to one double; callers
+    number those by the column itself."""
+    if dict(df.dtypes)[col] != "string":
+        return F.col(col).cast("timestamp").cast("double") if dict(df.dtypes)[col] == "date" else F.col(col).cast("double")
+    lo, hi = (x.encode() if x is not None else b"" for x in df.agg(F.min(col), F.max(col)).first())
+    shared = next((i for i, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
+    six = F.hex(F.substring(F.col(col).cast("binary"), shared + 1, 6))
+    return F.conv(F.rpad(six, 12, "0"), 16, 10).cast("double")
+
+
 def positions(df: DataFrame, keys: list[str], value: str, sums: list[str] = (),
               n_buckets: int | None = None) -> DataFrame:
     """One row per distinct (keys, value) that is not null / NaN.

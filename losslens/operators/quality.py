@@ -231,11 +231,13 @@ def clean_categorical_values(df: DataFrame, cat_cols=None, lowercase: bool = Tru
             e = F.lower(e)
         return e
     out = df.withColumns({c: clean(c) for c in cols})
-    rep = df.agg(*[F.count_distinct(c).alias(f"{c}__before") for c in cols],
-                 *[F.count_distinct(clean(c)).alias(f"{c}__after") for c in cols])
-    long = rep.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"{c}__before").alias("before"),
-                 F.col(f"{c}__after").alias("after")) for c in cols])).alias("r")).select("r.*")
+    # distinct (column, value, cleaned value) once, then counts per column
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"),
+                                                   clean(c).alias("w")) for c in cols])).alias("r")).select("r.*")
+    seen = pairs.distinct()
+    before = seen.groupBy("column").agg(F.count("v").alias("before"))
+    after = seen.select("column", "w").distinct().groupBy("column").agg(F.count("w").alias("after"))
+    long = before.join(after, "column").select("column", "before", "after")
     return out, long.withColumn("reduced_by", F.col("before") - F.col("after"))
 
 
@@ -294,10 +296,16 @@ def correlation_pairs(df: DataFrame, cols, threshold: float | None = 0.8) -> Dat
 
 # ------------------------------------------------------------------ Q-7
 def deep_clean(df: DataFrame, remove_duplicates: bool = True, handle_missing_strategy: str = "report",
-               outlier_cols=None, validate: bool = True, clean_categories: bool = True,
+               detect_outliers: bool = True, outlier_cols=None, outlier_action: str = "flag",
+               price_action: str | None = "flag", status_action: str | None = "flag",
+               temporal_action: str | None = "flag", clean_categories: bool = True,
                variance_threshold: float | None = None, id_col: str = "order_item_id"):
     """Q-7: fixed order Q-1, Q-2, Q-3, Q-4..Q-6, P7, P8 with switches.
 
+    Duplicates are equal in all columns.  Outliers are looked for in all
+    default numeric columns unless some are named.  The three rule checks
+    flag or remove (None: left out).  Columns of low variance are removed.
+
     Returns the cleaned frame and one long report DataFrame
     (step, metric, value) -- a union of the per-step one-row reports.
     """
@@ -314,29 +322,27 @@ def deep_clean(df: DataFrame, remove_duplicates: bool = True, handle_missing_str
     add("summary", initial)
     out = df
     if remove_duplicates:
-        out, rep = detect_duplicates(out, subset=[c for c in out.columns if c != id_col],
-                                     action="remove")
+        out, rep = detect_duplicates(out, action="remove")
         add("duplicates", rep)
     out, rep = handle_missing(out, handle_missing_strategy)
     add("missing", rep.agg(F.coalesce(F.sum("missing_count"), F.lit(0)).alias("total_missing_cells"),
                            F.count(F.lit(1)).alias("columns_with_missing")))
-    if outlier_cols:
-        out, rep = detect_outliers_iqr(out, outlier_cols, action="flag")
+    if detect_outliers:
+        out, rep = detect_outliers_iqr(out, outlier_cols, action=outlier_action)
         add("outliers", rep)
-    if validate:
-        out, rep = validate_price_consistency(out)
-        add("price", rep)
-        out, rep = validate_status_consistency(out)
-        add("status", rep)
-        out, rep = validate_temporal_consistency(out)
-        add("temporal", rep)
+    for step, check, action in (("price", validate_price_consistency, price_action),
+                                ("status", validate_status_consistency, status_action),
+                                ("temporal", validate_temporal_consistency, temporal_action)):
+        if action is not None:
+            out, rep = check(out, action)
+            add(step, rep)
     if clean_categories:
         cats = [c for c, t in out.dtypes if t in STRINGS and c not in (id_col, "outlier_columns",
                                                                         "outlier_values")]
         out, rep = clean_categorical_values(out, cats)
         add("categorical", rep.agg(F.coalesce(F.sum("reduced_by"), F.lit(0)).alias("values_merged")))
     if variance_threshold is not None:
-        rep = low_variance_report(out, variance_threshold)
+        out, rep = remove_low_variance_columns(out, variance_threshold)
         add("low_variance", rep.agg(F.count(F.when(F.col("removed"), 1)).alias("columns_removed")))
     add("summary_final", out.agg(F.count(F.lit(1)).alias("final_rows")))
     report = reduce(DataFrame.unionByName, reports) if reports else spark.createDataFrame(

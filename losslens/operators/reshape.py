@@ -39,14 +39,31 @@ def hash_order(id_col: str, seed: int):
     return F.xxhash64(F.col(id_col).cast("string"), F.lit(int(seed)))
 
 
+HASH_BUCKETS = 4096
+
+
+def hash_positions(df: DataFrame, group: str, id_col: str, seed: int) -> DataFrame:
+    """Adds ``_cum`` (1-based place of the row in its group, by 64-bit hash,
+    then id) and ``_n`` (rows of the group).
+
+    The hash is uniform, so its top 12 bits split any group evenly: rows are
+    numbered inside (group, bucket), and bucket counts, at most 4,096 per
+    group, give the offsets.  Rows with equal ids have places of their own."""
+    d = df.withColumn("_h", hash_order(id_col, seed)).withColumn("_b", F.shiftrightunsigned("_h", 52))
+    counts = d.groupBy(F.col(group).alias("_g"), F.col("_b").alias("_gb")).agg(F.count(F.lit(1)).alias("_c"))
+    per_group = Window.partitionBy("_g")
+    off = counts.select("_g", "_gb", F.sum("_c").over(per_group.orderBy("_gb")).alias("_through"), "_c",
+                        F.sum("_c").over(per_group).alias("_n"))
+    place = F.row_number().over(Window.partitionBy(group, "_b").orderBy("_h", id_col))
+    ranked = d.withColumn("_rn", place)
+    return (ranked.join(off, ranked[group].eqNullSafe(off["_g"]) & (ranked["_b"] == off["_gb"]))
+            .withColumn("_cum", F.col("_through") - F.col("_c") + F.col("_rn"))
+            .drop("_h", "_b", "_g", "_gb", "_through", "_c", "_rn"))
+
+
 def sample_per_group(df: DataFrame, group: str, id_col: str, m: int, seed: int = 42) -> DataFrame:
-    """At most ``m`` rows per group, seeded by a hash of the id.  The
-    within-group position comes from ``ordered.positions`` (bucketed), so a
-    group holding a third of the rows is not ranked in one task."""
-    from losslens.operators.ordered import positions
-    d = df.withColumn("_h", hash_order(id_col, seed).cast("double"))
-    pos = positions(d, [group], "_h").select(group, F.col("_v").alias("_h"), "_cum")
-    return d.join(pos, [group, "_h"]).where(F.col("_cum") <= m).drop("_h", "_cum")
+    """At most ``m`` rows per group, seeded by a hash of the id."""
+    return hash_positions(df, group, id_col, seed).where(F.col("_cum") <= m).drop("_cum", "_n")
 
 
 def sample_rows(df: DataFrame, id_col: str, m: int, seed: int = 42) -> DataFrame:
@@ -58,24 +75,16 @@ def sample_rows(df: DataFrame, id_col: str, m: int, seed: int = 42) -> DataFrame
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """U8: exact per-class test counts (round(test_size * n_c)) chosen by
-    hash rank; adds ``is_test``.  Positions come from ``ordered`` so one
-    large class is not sorted in a single task."""
-    from losslens.operators.ordered import positions
-    d = df.withColumn("_h", hash_order(id_col, seed).cast("double"))
-    pos = positions(d, [label], "_h").select(label, F.col("_v").alias("_h"), "_cum", "_n")
-    j = d.join(pos, [label, "_h"])
-    return j.withColumn("is_test", (F.col("_cum") <= F.round(F.col("_n") * test_size)).cast("int")) \
-            .drop("_h", "_cum", "_n")
+    hash rank; adds ``is_test``."""
+    j = hash_positions(df, label, id_col, seed)
+    return j.withColumn("is_test", (F.col("_cum") <= F.round(F.col("_n") * test_size)).cast("int")).drop("_cum", "_n")
 
 
 def fold_column(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42,
                 out: str = "fold") -> DataFrame:
     """Stratified k-fold ids: hash rank within class, round-robin over k."""
-    from losslens.operators.ordered import positions
-    d = df.withColumn("_h", hash_order(id_col, seed + 1).cast("double"))
-    pos = positions(d, [label], "_h").select(label, F.col("_v").alias("_h"), "_cum")
-    return d.join(pos, [label, "_h"]).withColumn(out, ((F.col("_cum") - 1) % k).cast("int")) \
-            .drop("_h", "_cum")
+    j = hash_positions(df, label, id_col, seed + 1)
+    return j.withColumn(out, ((F.col("_cum") - 1) % k).cast("int")).drop("_cum", "_n")
 
 
 def stack_tables(*frames: DataFrame) -> DataFrame:

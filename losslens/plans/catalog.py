@@ -81,10 +81,10 @@ def featured_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool
                                 category_multipliers=DRIVER_TIERS)
 
 
-def returned_items(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
+def returned_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool = True) -> DataFrame:
     # the scan-level predicate prunes non-returned lines before the joins;
     # the flag filter states the semantics (and is a no-op after it)
-    return featured_items(spark, sf_dir, extra, returned_only=True).where(F.col("is_returned_item") == 1)
+    return featured_items(spark, sf_dir, extra, with_orders, True).where(F.col("is_returned_item") == 1)
 
 
 EROSION_DOUBLES = ["return_rate", "total_profit_erosion", "mean_profit_erosion_per_return",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from losslens.functions.exprs import DEFAULT_COST_COMPONENTS
+from losslens.operators.sensitivity import SENSITIVITY_BASE_COSTS, erosion_under_costs
 from losslens.operators import aggregates as A
 from losslens.operators import features as FE
 from losslens.operators import joins as J
@@ -37,8 +39,8 @@ def _flat(spark, sf):
         r.groupBy("category").agg(F.sum("process_cost").alias("total_process_cost_tiered")), ["category"])
 
 
-# Components scaled to 8 / 12 / 18, erosion per customer for all costs in one job
-_COSTS = [8.0, 12.0, 18.0]
+# Components scaled to each base cost, erosion per customer for all costs in one job
+_COSTS = [sum(FE.scale_cost_components(DEFAULT_COST_COMPONENTS, c).values()) for c in SENSITIVITY_BASE_COSTS]
 register("p5b_scaled_cost_erosion", with_features(
     "c AS (SELECT * FROM (VALUES " + ", ".join(f"(CAST({c} AS DOUBLE))" for c in _COSTS) +
     ") v(base_cost))\nSELECT base_cost, user_id, sum(item_margin + base_cost * " + tier_case_sql() +
@@ -48,7 +50,6 @@ register("p5b_scaled_cost_erosion", with_features(
 
 
 def _scaled(spark, sf):
-    from losslens.operators.sensitivity import erosion_under_costs
     return erosion_under_costs(returned_items(spark, sf), _COSTS, DRIVER_TIERS).select(
         "base_cost", "user_id", "total_profit_erosion")
 
@@ -189,9 +190,9 @@ SELECT brand, count(*) AS n FROM f WHERE brand IN
 # ---------------------------------------------------------------- K / U
 register("k2_top10_categories_by_erosion", with_features("""
 SELECT category, sum(profit_erosion) AS total_profit_erosion FROM f WHERE is_returned_item = 1
-GROUP BY category ORDER BY total_profit_erosion DESC, category LIMIT 3"""), ["total_profit_erosion"])(
+GROUP BY category ORDER BY total_profit_erosion DESC, category LIMIT 10"""), ["total_profit_erosion"])(
     lambda spark, sf: R.top_k(returned_items(spark, sf).groupBy("category").agg(
-        F.sum("profit_erosion").alias("total_profit_erosion")), "total_profit_erosion", 3, "category"))
+        F.sum("profit_erosion").alias("total_profit_erosion")), "total_profit_erosion", 10, "category"))
 
 register("k3_largest_brand_groups", with_features("""
 , t AS (SELECT brand FROM f GROUP BY brand ORDER BY count(*) DESC, brand LIMIT 12)
@@ -202,12 +203,12 @@ SELECT brand, count(*) AS n FROM f WHERE brand IN (SELECT brand FROM t) GROUP BY
 register("k4_segmentation_base_sorted", with_features("""
 SELECT user_id, CAST(sum(is_returned_item) AS BIGINT) AS returned_items,
        coalesce(sum(CASE WHEN is_returned_item = 1 THEN profit_erosion ELSE 0.0 END), 0) AS total_profit_erosion
-FROM f GROUP BY user_id ORDER BY total_profit_erosion DESC, returned_items DESC LIMIT 25"""),
+FROM f GROUP BY user_id"""),
          ["total_profit_erosion"])(
     lambda spark, sf: A.rq2_customer_segmentation_base(
         featured_items(spark, sf).withColumn("profit_erosion", F.when(
             F.col("is_returned_item") == 1, F.col("profit_erosion")).otherwise(0.0)))
-    .orderBy(F.desc("total_profit_erosion"), F.desc("returned_items")).limit(25)
+    .orderBy(F.desc("total_profit_erosion"), F.desc("returned_items"), "user_id")
     .select("user_id", "returned_items", "total_profit_erosion"))
 
 register("u1_dedup_keep_first", with_features("""

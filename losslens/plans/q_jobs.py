@@ -3,11 +3,15 @@ W16 and the external validation (E8-E11, M19-M21)."""
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from losslens.functions import dist
+
 from losslens.operators import aggregates as A
 from losslens.operators import concentration as C
 from losslens.operators import external as EX
@@ -15,14 +19,18 @@ from losslens.operators import joins as J
 from losslens.operators import model as M
 from losslens.operators import ols as O
 from losslens.operators import quality as QL
+from losslens.operators import reshape as R
+from losslens.operators.ordered import group_quantiles
+from losslens.operators.stats import kruskal, spearman
 from losslens.plans import rq1, rq3
 from losslens.plans.catalog import featured_items, register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL
-from losslens.plans.q_external import _ACC_SQL, _ext_sql, accounts, lines
+from losslens.plans.q_external import _ACC_SQL, _PRE, _ext_sql, accounts, lines
 from losslens.plans.q_ols import _run as rq4_run
 from losslens.plans.sqlkit import with_features
-from losslens.session import ensure_checkpoint_dir
+from losslens.session import cut_lineage, ensure_checkpoint_dir
 from losslens.sources.adapter import ITEMS_SQL
+from losslens.sources.external import EXTERNAL_LINES_SQL
 
 
 def _scratch(spark, tag):
@@ -63,18 +71,59 @@ FROM ext GROUP BY 1"""), ["share"])(
         lines(spark, sf).select(F.col("Sales_Type").alias("sales_type")), "sales_type"))
 
 _CE = CUSTOMER_EROSION_SQL.replace("SELECT user_id", "ce AS (SELECT user_id", 1) + ")"
-register("t15_replication_distributions", None)(lambda spark, sf: _t15(spark, sf))
+_T15_DIST = """count(*) AS n, sum(e) AS total, quantile_cont(e, 0.5) AS median, quantile_cont(e, 0.9) AS p90,
+  quantile_cont(e, 0.99) AS p99, max(e) AS max, (SELECT sum(s) FROM (SELECT sum(e) AS s FROM {0} GROUP BY category
+  ORDER BY s DESC, category LIMIT 10)) / sum(e) AS top10_category_share"""
+register("t15_replication_distributions", with_features(EXTERNAL_LINES_SQL.strip() + ",\n" + _PRE + """,
+pr AS (SELECT profit_erosion AS e, category FROM f WHERE is_returned_item = 1 AND profit_erosion IS NOT NULL),
+ex AS (SELECT total_loss_abs AS e, concat_ws('-', trim(coalesce(CAST("Pillar" AS VARCHAR), 'Unknown')),
+       trim(coalesce(CAST("Major Market Cat" AS VARCHAR), 'Unknown')),
+       trim(coalesce(CAST("Department" AS VARCHAR), 'Unknown'))) AS category
+       FROM pre WHERE "Returns" AND total_loss_abs IS NOT NULL),
+d AS (SELECT 'primary' AS dataset, """ + _T15_DIST.format("pr") + """ FROM pr
+      UNION ALL SELECT 'external', """ + _T15_DIST.format("ex") + """ FROM ex)
+SELECT *, p99 > median AS heavy_tail, top10_category_share > 0.25 AS concentrated FROM d"""),
+         ["total", "median", "p90", "p99", "max", "top10_category_share"])(lambda spark, sf: _t15(spark, sf))
+
+
+def _returned_sets(spark, sf):
+    """Returned items of both sets as (profit_erosion, category)."""
+    columns = ["profit_erosion", "category"]
+    return {"primary": returned_items(spark, sf, with_orders=False).select(*columns),
+            "external": EX.canonical_base(lines(spark, sf)).where("is_returned_item = 1").select(*columns)}
 
 
 def _t15(spark, sf):
-    """A22 on both sets + verdict (heavy tail, top-10 share > .25)."""
-    prim = A.distribution_summary(A.profit_erosion_by_customer(returned_items(spark, sf)),
-                                  "total_profit_erosion").withColumn("dataset", F.lit("primary"))
-    ext = A.distribution_summary(accounts(spark, sf), "total_loss", id_col="account_id") \
-        .withColumn("dataset", F.lit("external"))
-    both = prim.unionByName(ext)
-    return both.withColumn("heavy_tail", F.col("p99") > 3 * F.col("median")) \
-               .withColumn("concentrated", F.col("top10_share") > 0.25)
+    """A22 of the returned items, and the share of the ten categories
+    with the largest erosion, on both sets."""
+    out = None
+    for name, d in _returned_sets(spark, sf).items():
+        d = d.where(F.col("profit_erosion").isNotNull())
+        by = d.groupBy("category").agg(F.sum("profit_erosion").alias("s"))
+        top = R.top_k(by, "s", 10, "category").agg(F.sum("s").alias("_top"))
+        q = group_quantiles(d, [], [("median", "profit_erosion", 0.5), ("p90", "profit_erosion", 0.9),
+                                    ("p99", "profit_erosion", 0.99)])
+        row = (d.agg(F.count(F.lit(1)).alias("n"), F.sum("profit_erosion").alias("total"),
+                     F.max("profit_erosion").alias("max")).crossJoin(q).crossJoin(top)  # one row each
+               .select(F.lit(name).alias("dataset"), "n", "total", "median", "p90", "p99", "max",
+                       (F.col("_top") / F.col("total")).alias("top10_category_share")))
+        out = row if out is None else out.unionByName(row)
+    return out.withColumn("heavy_tail", F.col("p99") > F.col("median")) \
+              .withColumn("concentrated", F.col("top10_category_share") > 0.25)
+
+
+def _t15_verdict(spark, sf):
+    """T15 verdict: heavy tail, concentration and a significant category test
+    on both sets give PASS, anything less PARTIAL."""
+    p = {name: kruskal(d, "category", "profit_erosion")["p_value"] for name, d in _returned_sets(spark, sf).items()}
+    both = _t15(spark, sf).agg(F.min("heavy_tail").alias("heavy_tail"), F.min("concentrated").alias("concentrated"))
+    tested = both.withColumn("p_primary", F.lit(float(p["primary"]))).withColumn("p_external", F.lit(float(p["external"])))
+    return tested.withColumn("category_differences", (F.col("p_primary") < 0.05) & (F.col("p_external") < 0.05)) \
+        .withColumn("verdict", F.when(F.col("heavy_tail") & F.col("concentrated") & F.col("category_differences"), "PASS")
+                    .otherwise("PARTIAL"))
+
+
+register("t15_replication_verdict", None)(_t15_verdict)
 
 
 register("w16_cumulative_abs_t", None)(
@@ -86,9 +135,17 @@ _EXT_FEATS = ["return_frequency", "avg_basket_size", "purchase_recency_days", "o
               "avg_order_value", "customer_tenure_days", "customer_return_rate"]
 
 
-def _ext_fit(spark, sf):
-    acc = EX.regression_features(accounts(spark, sf), _EXT_FEATS, "median")
-    design, names, _ = O.prepare_regression_data(acc, "total_profit_erosion", _EXT_FEATS, [], True,
+def _ext_fit(spark, sf, log_transform=True):
+    """Least squares on the external accounts; v1 is linear on zero-filled
+    features, v2 log-linear on median-filled ones with the modal department."""
+    fill = "median" if log_transform else "zero"
+    acc = EX.regression_features(accounts(spark, sf), _EXT_FEATS, fill)
+    categories = []
+    if log_transform:
+        modal = J.dominant_value(lines(spark, sf).select(F.col("`Bill To Act #`").alias("account_id"), "Department"),
+                                 "account_id", "Department", "dominant_department")
+        acc, categories = acc.join(modal, ["account_id"], "left"), ["dominant_department"]
+    design, names, _ = O.prepare_regression_data(acc, "total_profit_erosion", _EXT_FEATS, categories, log_transform,
                                                  "account_id")
     return O.fit_ols_hc3(design, names)
 
@@ -99,57 +156,102 @@ register("e8_coefficient_alignment", None)(
 register("e9_effect_size_generalisation", None)(
     lambda spark, sf: O.effect_size_generalisation(rq4_run(spark, sf)["coefficients"],
                                                    O.coefficient_table(spark, _ext_fit(spark, sf))))
-register("e10_e11_external_ols_summary", None)(
-    lambda spark, sf: O.fit_summary(spark, _ext_fit(spark, sf)).withColumn("dataset", F.lit("external")))
 
 
-def _m19(spark, sf):
-    """Screen again on the external accounts and align with the primary report."""
-    ext = M.prepare_modeling_data(EX.targets(accounts(spark, sf)), _EXT_FEATS, id_col="account_id",
-                                  leakage=[])
-    _, ext_rep = M.screen_features(ext.where("is_test = 0"), _EXT_FEATS)
-    prim = rq3.prepared(spark, sf)
-    _, prim_rep = M.screen_features(prim.where("is_test = 0"), _EXT_FEATS)
-    return J.compare_reports(prim_rep.select("feature", "final_status"),
-                             ext_rep.select("feature", "final_status")).withColumn(
-        "agree", F.col("final_status_primary") == F.col("final_status_external"))
+def _e10(spark, sf):
+    """Fit summary of both external runs, with the largest VIF."""
+    out = None
+    for name, log in (("v1 linear", False), ("v2 log-linear", True)):
+        fit = _ext_fit(spark, sf, log)
+        row = O.fit_summary(spark, fit).withColumn("run", F.lit(name)).withColumn(
+            "max_vif", F.lit(float(max(v for _, v in O.vif_table(fit)))))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+register("e10_e11_external_ols_summary", None)(_e10)
+
+
+def _pattern(spark, sf, prim):
+    """Screen the candidates that both sets have on all external accounts
+    and compare with the primary report."""
+    acc = accounts(spark, sf)
+    shared = [c for c in M.RQ3_CANDIDATE_FEATURES if c in acc.columns]
+    ext = M.prepare_modeling_data(EX.targets(acc), shared, id_col="account_id", leakage=[], impute_scope="all")
+    _, ext_rep = M.screen_features(ext, shared)
+    survivors, prim_rep = M.screen_features(prim.where("is_test = 0"), M.RQ3_CANDIDATE_FEATURES)
+    both = J.compare_reports(prim_rep.select("feature", "final_status"), ext_rep.select("feature", "final_status")).where(
+        F.col("final_status_external").isNotNull())
+    same = F.col("final_status_primary") == F.col("final_status_external")
+    return survivors, both.withColumn("both_pass", same & (F.col("final_status_primary") == "selected")) \
+        .withColumn("both_fail", same & (F.col("final_status_primary") == "dropped")).withColumn("agreement", same)
+
+
+register("m19_pattern_validation", None)(lambda spark, sf: _pattern(spark, sf, rq3.prepared(spark, sf))[1])
+
+
+def _directional(spark, sf, prim, survivors):
+    """External accounts scored by the primary forest on its own features
+    (missing ones 0, nulls the external median), scaled by the primary
+    training rows; carries the accounts' actual loss."""
+    frame = M.model_frame(prim, survivors)
+    model = rq3.forest(frame, survivors, prim.where("is_test = 0").count())["model"]
+    acc = EX.targets(accounts(spark, sf))
+    filled = EX.regression_features(acc.withColumn("actual_loss", F.col("total_loss")), survivors, "median")
+    ext = filled.select("account_id", "actual_loss", F.col("is_high_erosion_customer").cast("double").alias("label"),
+                        *[F.col(c).cast("double").alias(c) for c in survivors])
+    scored = model.transform(M.scoring_frame(ext, survivors, prim))
+    return scored.select("account_id", "actual_loss", F.col("label").cast("int").alias("actual_high_loss"),
+                         F.col("prediction").cast("int").alias("predicted_high_risk"),
+                         vector_to_array("probability")[1].alias("predicted_probability"))
+
+
+def validation_summary(spark, pattern, predictions, n_available, n_missing):
+    """The 13 metrics of the pattern table and the scored accounts."""
+    p = pattern.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.col(c).cast("int")), F.lit(0)).alias(c)
+                                                    for c in ("agreement", "both_pass", "both_fail")]).first()
+    d = predictions.agg(F.count(F.lit(1)).alias("n"),
+                        F.avg((F.col("actual_high_loss") == F.col("predicted_high_risk")).cast("double")).alias("acc"),
+                        F.avg("predicted_high_risk").alias("ph"), F.avg("actual_high_loss").alias("ah")).first()
+    rho = spearman(predictions, "predicted_probability", "actual_loss", "account_id").first()["spearman"]
+    n = d["n"]
+    pv = None
+    if rho is not None and n > 2:
+        pv = 0.0 if abs(rho) >= 1 else float(dist.t_sf2(rho * math.sqrt((n - 2) / (1 - rho * rho)), n - 2))
+    rows = [("pattern_features_compared", p["n"]), ("pattern_agreement_count", p["agreement"]),
+            ("pattern_agreement_pct", round(p["agreement"] / p["n"] * 100, 1) if p["n"] else 0),
+            ("pattern_both_pass", p["both_pass"]), ("pattern_both_fail", p["both_fail"]),
+            ("directional_accuracy", round(d["acc"] or 0.0, 4)),
+            ("directional_rank_correlation", None if rho is None else round(rho, 4)), ("directional_rank_pvalue", pv),
+            ("accounts_evaluated", n), ("features_available", n_available), ("features_missing", n_missing),
+            ("predicted_high_risk_pct", round((d["ph"] or 0.0) * 100, 1)),
+            ("actual_high_loss_pct", round((d["ah"] or 0.0) * 100, 1))]
+    return spark.createDataFrame([(m, None if v is None else float(v)) for m, v in rows], "metric string, value double")
 
 
-register("m19_pattern_validation", None)(_m19)
+def _m20(spark, sf):
+    prim = rq3.prepared(spark, sf)
+    survivors, _ = M.screen_features(prim.where("is_test = 0"), M.RQ3_CANDIDATE_FEATURES)
+    return _directional(spark, sf, prim, survivors)
 
 
-def _m20(spark, sf):
-    """Score the external accounts with the primary logistic model
-    (missing features 0, nulls median) -> accuracy, Spearman, confusion."""
+def _m21(spark, sf):
     prim = rq3.prepared(spark, sf)
-    surv = [c for c in _EXT_FEATS]
-    frame = M.model_frame(prim, surv)
-    res = M.train_and_evaluate(frame, surv, {"Logistic Regression":
-                                             M.build_model_configs(prim.count(), grid="small")["Logistic Regression"]})
-    model = res["Logistic Regression"]["model"]
-    ext = EX.targets(accounts(spark, sf)).withColumnRenamed("account_id", "user_id")
-    ext = M.prepare_modeling_data(ext, surv, leakage=[], impute_scope="all").withColumn("is_test", F.lit(1))
-    ext = ext.withColumn("is_test", F.lit(0)).unionByName(ext)  # train stats = external rows for scaling
-    ef = M.model_frame(ext, surv).where("is_test = 1")
-    pred = model.transform(ef).withColumn("score", __import__("pyspark.ml.functions", fromlist=["x"])
-                                          .vector_to_array("probability")[1])
-    met = M.classification_metrics(pred)
-    from losslens.operators.stats import spearman
-    sp = spearman(pred.select("user_id", "score", "label"), "score", "label", "user_id").first()
-    return spark.createDataFrame([(float(met["accuracy"]), float(sp["spearman"] or 0.0), met["tp"], met["fp"],
-                                   met["fn"], met["tn"], float(M.exact_auc(pred)))],
-                                 "directional_accuracy double, spearman double, tp long, fp long, fn long, "
-                                 "tn long, auc double")
-
-
-register("m20_m21_directional_validation", None)(_m20)
+    survivors, pattern = _pattern(spark, sf, prim)
+    predictions = cut_lineage(_directional(spark, sf, prim, survivors))
+    have = [c for c in survivors if c in accounts(spark, sf).columns]
+    return validation_summary(spark, pattern, predictions, len(have), len(survivors) - len(have))
+
+
+register("m20_external_predictions", None)(_m20)
+register("m20_m21_directional_validation", None)(_m21)
 
 
 # ---------------------------------------------------------------- Q-7, S5, S7
 register("q7_deep_clean_report", None)(
     lambda spark, sf: QL.deep_clean(
         featured_items(spark, sf, ["item_shipped_at", "item_delivered_at", "item_returned_at"]),
-        outlier_cols=["sale_price", "cost"], variance_threshold=0.01)[1])
+        variance_threshold=0.01)[1])
 
 
 def _s5_s7(spark, sf):
@@ -178,8 +280,8 @@ SELECT 'rq4_returned_item_regression', count(*) FROM f WHERE is_returned_item =
 SELECT 'rq2_customer_segmentation', count(DISTINCT user_id) FROM f"""))(_s5_s7)
 
 
-register("m10_m14_ablation_studies", None)(
-    lambda spark, sf: rq3.ablation_studies(spark, sf, grid="ablation", folds=3))
+register("m10_m14_ablation_studies", None)(rq3.ablation_studies)
+register("m10_m13_ablation_features", None)(rq3.ablation_features)
 
 
 def _s9_s11(spark, sf):

@@ -100,22 +100,6 @@ def _rule_all(spark, sf):
                                  "threshold double, tp long, fp long, fn long, tn long")
 
 
-_RQ3_RUNS: dict = {}
-
-
-def _rq3(spark, sf):
-    """One RQ3 run per (application, data dir): the four model queries below
-    read different tables of the same job instead of refitting it."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _RQ3_RUNS:
-        _RQ3_RUNS[key] = rq3.run_rq3(spark, sf, grid="small")
-    return _RQ3_RUNS[key]
-
-
-register("m4_classifier_comparison", None)(lambda spark, sf: _rq3(spark, sf)["comparison"])
-register("m7_a28_feature_importance", None)(lambda spark, sf: _rq3(spark, sf)["importance"])
-register("m9_ablation_drop_top3", None)(lambda spark, sf: _rq3(spark, sf)["ablation"])
-
 # Label part for every scenario in one job
 _COSTS = SE.SENSITIVITY_BASE_COSTS
 register("m16_cost_sensitivity_labels", with_features(
@@ -161,8 +145,4 @@ def _thr_sens(spark, sf):
     return SE.stability_vs_baseline(lab, "pct", 0.75)
 
 
-register("m22_rq3_job", None)(
-    lambda spark, sf: (lambda r: spark.createDataFrame(
-        [(r["hypothesis"]["best_model"], float(r["hypothesis"]["best_auc"]), bool(r["hypothesis"]["reject_h0"]),
-          ",".join(r["survivors"]))], "best_model string, best_auc double, reject_h0 boolean, features string"))(
-        _rq3(spark, sf)))
+register("m22_rq3_job", None)(rq3.rq3_tables)

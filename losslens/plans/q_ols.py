@@ -34,14 +34,9 @@ FROM tg CROSS JOIN st WHERE total_profit_erosion > 0"""),
     lambda spark, sf: O.prepare_regression_data(rq4.regression_inputs(spark, sf), O.RQ4_TARGET_COL,
                                                 _NUM, _CATS, True)[0])
 
-_RQ4: dict = {}
-
 
 def _run(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _RQ4:
-        _RQ4[key] = rq4.run_rq4(spark, sf)
-    return _RQ4[key]
+    return rq4.run_rq4(spark, sf)
 
 
 register("e3_e6_ols_hc3_coefficients", None)(lambda spark, sf: _run(spark, sf)["coefficients"])
@@ -49,5 +44,5 @@ register("e4_vif", None)(lambda spark, sf: _run(spark, sf)["vif"])
 register("e5_residual_diagnostics", None)(lambda spark, sf: _run(spark, sf)["diagnostics"])
 register("e7_fit_summary", None)(lambda spark, sf: _run(spark, sf)["summary"])
 register("e12_rq4_job_linear_vs_log", None)(
-    lambda spark, sf: _run(spark, sf)["summary"].withColumn("model", F.lit("log")).unionByName(
-        _run(spark, sf)["linear_summary"].withColumn("model", F.lit("linear"))))
+    lambda spark, sf: (lambda r: r["summary"].withColumn("model", F.lit("log")).unionByName(
+        r["linear_summary"].withColumn("model", F.lit("linear"))))(_run(spark, sf)))

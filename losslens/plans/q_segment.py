@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from losslens.operators.concentration import relative_drop
 from losslens.operators import segment as SG
 from losslens.operators import stats as S
 from losslens.plans import rq2
@@ -46,7 +47,7 @@ register("p14_validate_clustering_matrix", None)(
 
 def _diag(spark, sf):
     z, used, _ = rq2.scaled_returners(spark, sf)
-    return SG.diagnostics_over_k(z, used, [1, 2, 3, 4, 5])
+    return SG.diagnostics_over_k(z, used, list(range(1, 9)))
 
 
 register("c3_c6_diagnostics_over_k", None)(_diag)
@@ -55,8 +56,7 @@ register("c7_c8_k_choice", None)(
         [(SG.choose_k_silhouette(d), SG.choose_k_robust(d))], "k_silhouette int, k_robust int"))(
         _diag(spark, sf)))
 register("w15_relative_inertia_drop", None)(
-    lambda spark, sf: __import__("losslens.operators.concentration", fromlist=["x"]).relative_drop(
-        _diag(spark, sf)))
+    lambda spark, sf: relative_drop(_diag(spark, sf)))
 
 register("c2_kmeans_segments", None)(lambda spark, sf: SG.summarize_clusters(rq2.clustered(spark, sf, 3)))
 register("a20_cluster_summary", None)(lambda spark, sf: SG.summarize_clusters(rq2.clustered(spark, sf, 2)))
@@ -74,4 +74,4 @@ register("c10_rq2_job", None)(
     lambda spark, sf: (lambda r: spark.createDataFrame(
         [(float(r["meta"]["total_erosion"]), float(r["meta"]["gini"]), float(r["meta"]["top_20_share"]),
           int(r["meta"]["k"]))], "total_erosion double, gini double, top_20_share double, k int"))(
-        rq2.run_rq2(spark, sf, k_values=range(1, 6))))
+        rq2.run_rq2(spark, sf)))

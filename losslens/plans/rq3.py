@@ -8,6 +8,7 @@ importances, hypothesis -> drop-top-n ablation.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,13 +43,13 @@ def prepared(spark: SparkSession, sf: str, features=None) -> DataFrame:
                                                features or M.RQ3_CANDIDATE_FEATURES))
 
 
-def run_rq3(spark: SparkSession, sf: str, grid: str = "small", ablation_top_n: int = 3) -> dict:
+def run_rq3(spark: SparkSession, sf: str, ablation_top_n: int = 3) -> dict:
     prep = prepared(spark, sf)
     train = prep.where(F.col("is_test") == 0)
     survivors, screen = M.screen_features(train, M.RQ3_CANDIDATE_FEATURES)
     frame = M.model_frame(prep, survivors).persist()
     n_train = train.count()
-    results = M.train_and_evaluate(frame, survivors, M.build_model_configs(n_train, grid=grid))
+    results = M.train_and_evaluate(frame, survivors, M.build_model_configs(n_train))
     rule = M.rule_baseline(prep) if "return_frequency" in prep.columns else None
     if rule:
         results["Rule Baseline"] = rule
@@ -56,88 +57,117 @@ def run_rq3(spark: SparkSession, sf: str, grid: str = "small", ablation_top_n: i
     imp = M.importance_table(spark, {k: v for k, v in results.items() if "importance" in v})
     hyp = M.hypothesis_record({k: v for k, v in results.items() if k != "Rule Baseline"})
     # M9: drop the top-n features of the random forest and refit it
-    rf_imp = results["Random Forest"]["importance"]
-    top = [f for f, _ in sorted(rf_imp.items(), key=lambda kv: -kv[1])[:ablation_top_n]]
+    full = results["Random Forest"]
+    top = [f for f, _ in sorted(full["importance"].items(), key=lambda kv: -kv[1])[:ablation_top_n]]
     reduced = [f for f in survivors if f not in top]
     abl = None
     if reduced:
-        rframe = M.model_frame(prep, reduced)
-        cfg = {"Random Forest": M.build_model_configs(n_train, grid=grid)["Random Forest"]}
-        r2 = M.train_and_evaluate(rframe, reduced, cfg)["Random Forest"]
-        abl = spark.createDataFrame(
-            [(",".join(top), results["Random Forest"]["test_auc"], r2["test_auc"],
-              results["Random Forest"]["test_auc"] - r2["test_auc"])],
-            "dropped string, auc_full double, auc_reduced double, auc_drop double")
+        r2 = forest(M.model_frame(prep, reduced), reduced, n_train)
+        abl = spark.createDataFrame([(",".join(top), full["test_auc"], r2["test_auc"], full["test_auc"] - r2["test_auc"])],
+                                    "dropped string, auc_full double, auc_reduced double, auc_drop double")
     frame.unpersist()
     return {"screening": screen, "survivors": survivors, "comparison": comp, "importance": imp,
-            "hypothesis": hyp, "ablation": abl}
+            "hypothesis": hyp, "ablation": abl, "results": results}
+
+
+def rq3_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """M22 as one long table: (section, subject, metric, value) of the
+    comparison (M4, M5, M15), importances (M7, A28), ablation (M9) and the
+    hypothesis record (T14) of one run of all grids."""
+    r = run_rq3(spark, sf)
+    comp, imp, abl, hyp = r["comparison"], r["importance"], r["ablation"], r["hypothesis"]
+
+    def long(df, section, subject):
+        values = [c for c, t in df.dtypes if c != subject and t != "string"]
+        return df.select(F.lit(section).alias("section"), F.col(subject).alias("subject"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])).alias("m")) \
+            .select("section", "subject", "m.*")
+    rows = [("hypothesis", hyp["best_model"], "best_auc", float(hyp["best_auc"])),
+            ("hypothesis", hyp["best_model"], "reject_h0", float(hyp["reject_h0"]))]
+    rows += [("survivor", f, "place", float(i)) for i, f in enumerate(r["survivors"], 1)]
+    out = long(comp, "comparison", "model").unionByName(long(imp, "importance", "feature"))
+    if abl is not None:
+        out = out.unionByName(long(abl, "drop_top", "dropped"))
+    return out.unionByName(spark.createDataFrame(rows, "section string, subject string, metric string, value double"))
 
 
 # ------------------------------------------------------------------ M10-M14 ablations
-# feature families / sets of the candidate list (fixed for the ablations)
+# fixed values: the feature families and feature sets of the studies
 FAMILIES = {
-    "frequency": ["order_frequency", "return_frequency", "customer_return_rate"],
-    "monetary": ["avg_order_value", "total_sales", "total_margin", "avg_item_price", "avg_item_margin"],
-    "basket": ["avg_basket_size", "total_items"],
+    "return_behavior": ["return_frequency", "customer_return_rate"],
+    "purchase_behavior": ["order_frequency", "avg_basket_size", "avg_order_value", "total_items", "total_sales"],
+    "margin_structure": ["total_margin", "avg_item_price", "avg_item_margin"],
     "temporal": ["customer_tenure_days", "purchase_recency_days"],
 }
-BEHAVIOURAL = FAMILIES["frequency"] + FAMILIES["basket"] + FAMILIES["temporal"]
-ECONOMIC = FAMILIES["monetary"]
-
-
-def _rf_auc(frame: DataFrame, feats, n_train: int, grid: str = "small", folds: int = 3) -> dict:
-    """Random-forest refit on a feature subset of an already built model
-    frame (weights, folds, split fixed): only the vector is re-assembled."""
-    from pyspark.ml.feature import VectorAssembler
-    sub = VectorAssembler(inputCols=list(feats), outputCol="raw_features").transform(
-        frame.drop("raw_features"))
-    cfg = {"Random Forest": M.build_model_configs(n_train, grid=grid)["Random Forest"]}
-    return M.train_and_evaluate(sub, feats, cfg, folds=folds)["Random Forest"]
-
-
-def ablation_studies(spark: SparkSession, sf: str, grid: str = "small", folds: int = 3,
-                     parallel: int = 4) -> DataFrame:
-    """M10 preprocessing gates, M11 drop-one-family, M12 target construction,
-    M13 behavioural / economic / both, M14 top-5 / top-3 subsets.  Each
-    variant screens on its training rows and refits the random forest."""
-    base = customer_targets(spark, sf)
-    prep = prepared(spark, sf)
-    train = prep.where("is_test = 0")
-    n_train = train.count()
-    frame = M.model_frame(prep, M.RQ3_CANDIDATE_FEATURES, folds=folds)  # built once
-    # the full feature set first: its importances define the M14 subsets
-    full = _rf_auc(frame, M.RQ3_CANDIDATE_FEATURES, n_train, grid, folds)
-    ranked = [f for f, _ in sorted(full["importance"].items(), key=lambda kv: -kv[1])]
-    tasks = []  # (study, variant, frame, features)
-    for name, sw in [("all_gates", {}), ("no_variance", {"use_variance_gate": False}),
-                     ("no_correlation", {"use_correlation_gate": False}),
-                     ("no_univariate", {"use_univariate_gate": False})]:   # M10
-        surv, _ = M.screen_features(train, M.RQ3_CANDIDATE_FEATURES, **sw)
-        tasks.append(("preprocessing", name, frame, surv))
-    for fam, cols in FAMILIES.items():                                     # M11
-        tasks.append(("feature_family", f"without_{fam}", frame,
-                      [c for c in M.RQ3_CANDIDATE_FEATURES if c not in cols]))
-    for col in ("total_profit_erosion", "total_margin_reversal", "total_process_cost"):  # M12
-        t = C.create_profit_erosion_targets(base.drop("is_high_erosion_customer", "erosion_percentile_rank",
-                                                      "profit_erosion_quartile"), erosion_column=col)
-        p2 = cut_lineage(M.prepare_modeling_data(t, M.RQ3_CANDIDATE_FEATURES))
-        tasks.append(("target_construction", col, M.model_frame(p2, M.RQ3_CANDIDATE_FEATURES, folds=folds),
-                      M.RQ3_CANDIDATE_FEATURES))
-    for name, cols in [("behavioural", BEHAVIOURAL), ("economic", ECONOMIC)]:  # M13
-        tasks.append(("feature_set", name, frame, cols))
-    for k in (5, 3):                                                        # M14
-        tasks.append(("operational", f"top_{k}", frame, ranked[:k]))
-    tasks = [(st, v, fr, [f for f in fs if f in prep.columns]) for st, v, fr, fs in tasks]
-
-    def fit(task):
-        st, v, fr, fs = task
-        r = _rf_auc(fr, fs, n_train, grid, folds)
-        return (st, v, len(fs), float(r["test_auc"]), float(r["f1"]))
-    # independent refits: submitted concurrently (Spark schedules jobs from
-    # several threads); results keep the task order
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=parallel) as ex:
-        rows = list(ex.map(fit, [t for t in tasks if t[3]]))
-    rows.append(("feature_set", "both", len(M.RQ3_CANDIDATE_FEATURES), float(full["test_auc"]),
-                 float(full["f1"])))
-    return spark.createDataFrame(rows, "study string, variant string, n_features int, test_auc double, f1 double")
+BEHAVIORAL = ["order_frequency", "return_frequency", "customer_return_rate", "avg_basket_size",
+              "customer_tenure_days", "purchase_recency_days", "total_items"]
+ECONOMIC = ["avg_order_value", "total_sales", "total_margin", "avg_item_price", "avg_item_margin"]
+# fixed values: the loss columns of the target-construction study
+TARGETS = ["total_profit_erosion", "total_margin_reversal", "total_process_cost"]
+GATES = {"Full pipeline": {}, "No correlation gate": {"use_correlation_gate": False},
+         "No univariate gate": {"use_univariate_gate": False},
+         "No screening": {"use_correlation_gate": False, "use_univariate_gate": False}}
+
+
+def forest(frame: DataFrame, feats, n_train: int) -> dict:
+    """The random forest's grid on these features of a model frame."""
+    sub = VectorAssembler(inputCols=list(feats), outputCol="raw_features").transform(frame.drop("raw_features"))
+    return M.train_and_evaluate(sub, feats, {"Random Forest": M.build_model_configs(n_train)["Random Forest"]})[
+        "Random Forest"]
+
+
+def ablation_variants(spark: SparkSession, sf: str) -> list[tuple]:
+    """(study, variant, prepared rows, screened features) of M10-M13; each
+    variant is screened anew on its own training rows, without the variance
+    gate, and M12 splits its rows by its own target."""
+    def screened(rows, columns, **gates):
+        return M.screen_features(rows.where("is_test = 0"), columns, use_variance_gate=False, **gates)[0]
+
+    prep, every = prepared(spark, sf), M.RQ3_CANDIDATE_FEATURES
+    out = [("preprocessing", name, prep, screened(prep, every, **off)) for name, off in GATES.items()]
+    out.append(("feature_family", "Full model", prep, out[0][3]))
+    for name, gone in FAMILIES.items():
+        out.append(("feature_family", f"No {name}", prep, screened(prep, [c for c in every if c not in gone])))
+    base = customer_targets(spark, sf).drop("is_high_erosion_customer", "erosion_percentile_rank",
+                                            "profit_erosion_quartile")
+    for column in TARGETS:
+        rows = cut_lineage(M.prepare_modeling_data(C.create_profit_erosion_targets(base, erosion_column=column), every))
+        out.append(("target_construction", column, rows, screened(rows, every)))
+    for name, columns in (("Behavioral + economic (full set)", every), ("Behavioral only", BEHAVIORAL),
+                          ("Economic only", ECONOMIC)):
+        out.append(("feature_set", name, prep, screened(prep, columns)))
+    return out
+
+
+def ablation_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Screened features of each variant of M10-M13."""
+    return spark.createDataFrame([(study, name, len(f), ", ".join(f)) for study, name, _, f in ablation_variants(spark, sf)],
+                                 "study string, variant string, n_features int, selected_features string")
+
+
+def ablation_studies(spark: SparkSession, sf: str) -> DataFrame:
+    """The forest's grid for every variant, with the test AUC lost
+    against the study's full variant.  M14 takes the first features of the
+    full pipeline's importances.  Equal feature sets on equal rows are fitted
+    once."""
+    variants, fitted, frames = ablation_variants(spark, sf), {}, {}
+
+    def fit(rows, feats):
+        if (id(rows), tuple(feats)) not in fitted:
+            if id(rows) not in frames:
+                frames[id(rows)] = M.model_frame(rows, M.RQ3_CANDIDATE_FEATURES), rows.where("is_test = 0").count()
+            fitted[id(rows), tuple(feats)] = forest(frames[id(rows)][0], feats, frames[id(rows)][1])
+        return fitted[id(rows), tuple(feats)]
+
+    prep, full = variants[0][2], variants[0][3]
+    ranked = [f for f, _ in sorted(fit(prep, full)["importance"].items(), key=lambda kv: -kv[1])]
+    variants += [("operational", "Full screened model", prep, full), ("operational", "Top-5 operational subset", prep, ranked[:5]),
+                 ("operational", "Top-3 operational subset", prep, ranked[:3])]
+    first, rows = {}, []
+    for study, name, data, feats in variants:
+        r = fit(data, feats)
+        first.setdefault(study, r["test_auc"])
+        rows.append((study, name, len(feats), ", ".join(feats), float(r["cv_auc"]), float(r["test_auc"]),
+                     float(first[study] - r["test_auc"])))
+    return spark.createDataFrame(rows, "study string, variant string, n_features int, selected_features string, "
+                                       "cv_auc double, test_auc double, auc_drop_vs_full double")

@@ -25,6 +25,7 @@ def fit_models(spark: SparkSession, sf: str, log_transform: bool = True):
     design = design.persist()
     fit = O.fit_ols_hc3(design, names)
     fit["durbin_watson"] = O.durbin_watson(design, fit, "user_id")
+    design.unpersist()
     fit["vif"] = O.vif_table(fit)
     fit["dropped_constant"] = dropped
     fit["screening"] = scr
