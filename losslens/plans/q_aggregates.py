@@ -20,7 +20,8 @@ for _name, _col, _min in [("a1_return_rate_by_category", "category", 200),
                           ("a25_return_rate_by_country", "country", 0)]:
     def _mk(col=_col, mn=_min):
         def fn(spark, sf):
-            return A.return_rates_by_group(featured_items(spark, sf, ["country"]), [col], mn)
+            return A.return_rates_by_group(
+                featured_items(spark, sf, ["country"] if col == "country" else [], with_orders=col == "country"), [col], mn)
         return fn
     register(_name, with_features(f"""
 SELECT {_col}, count(*) AS item_rows, CAST(sum(is_returned_item) AS BIGINT) AS returned_items,
@@ -46,7 +47,7 @@ SELECT user_id, count(order_id) AS return_events, sum(item_margin) AS total_lost
 FROM f WHERE is_returned_item = 1 AND user_id IS NOT NULL GROUP BY user_id"""),
          ["total_lost_margin", "total_lost_sales", "max_single_return_margin",
           "median_margin_per_return"], M2)(
-    lambda spark, sf: A.customer_margin_exposure(featured_items(spark, sf)))
+    lambda spark, sf: A.customer_margin_exposure(returned_items(spark, sf)))
 
 # ------------------------------------------------------------------ A4
 _A4 = ["avg_cost", "total_cost", "avg_sale_price", "total_sale_price", "avg_margin",
@@ -87,7 +88,7 @@ SELECT count(*) FILTER (WHERE item_rows <= 0) AS non_positive_rows,
        count(*) FILTER (WHERE return_rate < 0 OR return_rate > 1) AS rate_out_of_range
 FROM r""".lstrip().replace(", long", "long", 1)))(
     lambda spark, sf: A.validate_return_rate_table(
-        A.product_return_behavior_metrics(featured_items(spark, sf), 200)))
+        A.product_return_behavior_metrics(featured_items(spark, sf, with_orders=False), 200)))
 
 # ------------------------------------------------------------------ A8
 register("a8_customer_erosion_summary", with_features("""
@@ -95,7 +96,7 @@ SELECT user_id, count(*) AS return_rows, sum(profit_erosion) AS total_profit_ero
        avg(profit_erosion) AS avg_profit_erosion_per_return
 FROM f WHERE is_returned_item = 1 AND user_id IS NOT NULL GROUP BY user_id HAVING count(*) >= 1"""),
          ["total_profit_erosion", "avg_profit_erosion_per_return"], M2)(
-    lambda spark, sf: A.customer_profit_erosion_summaries(featured_items(spark, sf), 1))
+    lambda spark, sf: A.customer_profit_erosion_summaries(returned_items(spark, sf), 1))
 
 # ------------------------------------------------------------------ A9
 register("a9_erosion_by_order", with_features("""
@@ -215,12 +216,12 @@ FROM f GROUP BY user_id"""),
 register("a19_process_cost_distribution", with_features("""
 SELECT process_cost, count(*) AS count, count(*) / sum(count(*)) OVER () AS share
 FROM f WHERE is_returned_item = 1 GROUP BY process_cost"""), ["process_cost", "share"])(
-    lambda spark, sf: A.value_distribution(returned_items(spark, sf), "process_cost"))
+    lambda spark, sf: A.value_distribution(returned_items(spark, sf, with_orders=False), "process_cost"))
 
 register("a23_item_status_counts", with_features("""
 SELECT item_status, count(*) AS count, count(*) / sum(count(*)) OVER () AS share
 FROM f GROUP BY item_status"""), ["share"])(
-    lambda spark, sf: A.value_distribution(featured_items(spark, sf), "item_status"))
+    lambda spark, sf: A.value_distribution(featured_items(spark, sf, with_orders=False), "item_status"))
 
 register("a23_target_balance", with_features(CUSTOMER_EROSION_SQL.replace("SELECT user_id", ", ce AS (SELECT user_id", 1) + """),
 th AS (SELECT quantile_cont(total_profit_erosion, 0.75) AS t FROM ce)
@@ -293,7 +294,7 @@ SELECT category, greatest(CAST(coalesce(CASE WHEN r > 0 THEN r END, 0) AS DOUBLE
        greatest(CAST(coalesce(CASE WHEN r > 0 THEN r END, 0) AS DOUBLE), 0.0) * greatest(coalesce(m, 0.0), 0.0) AS total
 FROM g""".replace("\n, g AS", ", g AS", 1)), ["volume", "severity", "total"])(
     lambda spark, sf: A.volume_severity(
-        A.erosion_level(A.product_profit_erosion_metrics(featured_items(spark, sf)), "category"),
+        A.erosion_level(A.product_profit_erosion_metrics(featured_items(spark, sf, with_orders=False)), "category"),
         "category"))
 
 # ------------------------------------------------------------------ A30

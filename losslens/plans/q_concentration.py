@@ -65,7 +65,7 @@ FROM f LEFT JOIN cr ON f.category = cr.category LEFT JOIN br ON f.brand = br.bra
 
 
 def _product_features(spark, sf):
-    f = featured_items(spark, sf)
+    f = featured_items(spark, sf, with_orders=False)
     cr = A.return_rates_by_group(f, ["category"], 200).select(
         "category", F.col("return_rate").alias("category_return_rate"))
     br = A.return_rates_by_group(f, ["brand"], 200).select(

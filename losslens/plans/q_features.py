@@ -178,26 +178,26 @@ SELECT f.order_item_id, coalesce(r.profit_erosion, 0.0) AS profit_erosion FROM f
 LEFT JOIN (SELECT order_item_id, profit_erosion FROM f WHERE is_returned_item = 1) r
   ON f.order_item_id = r.order_item_id"""), ["profit_erosion"])(
     lambda spark, sf: J.attach_erosion(
-        featured_items(spark, sf).select("order_item_id"),
-        returned_items(spark, sf).select("order_item_id", "profit_erosion")))
+        featured_items(spark, sf, with_orders=False).select("order_item_id"),
+        returned_items(spark, sf, with_orders=False).select("order_item_id", "profit_erosion")))
 
 register("j11_keep_large_brands", with_features("""
 SELECT brand, count(*) AS n FROM f WHERE brand IN
   (SELECT brand FROM f GROUP BY brand HAVING count(*) >= 2400) GROUP BY brand"""))(
-    lambda spark, sf: J.keep_large_groups(featured_items(spark, sf), "brand", 2400)
+    lambda spark, sf: J.keep_large_groups(featured_items(spark, sf, with_orders=False), "brand", 2400)
     .groupBy("brand").agg(F.count(F.lit(1)).alias("n")))
 
 # ---------------------------------------------------------------- K / U
 register("k2_top10_categories_by_erosion", with_features("""
 SELECT category, sum(profit_erosion) AS total_profit_erosion FROM f WHERE is_returned_item = 1
 GROUP BY category ORDER BY total_profit_erosion DESC, category LIMIT 10"""), ["total_profit_erosion"])(
-    lambda spark, sf: R.top_k(returned_items(spark, sf).groupBy("category").agg(
+    lambda spark, sf: R.top_k(returned_items(spark, sf, with_orders=False).groupBy("category").agg(
         F.sum("profit_erosion").alias("total_profit_erosion")), "total_profit_erosion", 10, "category"))
 
 register("k3_largest_brand_groups", with_features("""
 , t AS (SELECT brand FROM f GROUP BY brand ORDER BY count(*) DESC, brand LIMIT 12)
 SELECT brand, count(*) AS n FROM f WHERE brand IN (SELECT brand FROM t) GROUP BY brand"""))(
-    lambda spark, sf: R.largest_groups(featured_items(spark, sf), "brand", 12)
+    lambda spark, sf: R.largest_groups(featured_items(spark, sf, with_orders=False), "brand", 12)
     .groupBy("brand").agg(F.count(F.lit(1)).alias("n")))
 
 register("k4_segmentation_base_sorted", with_features("""
@@ -219,22 +219,22 @@ SELECT order_id, arg_min(order_item_id, order_item_id) AS order_item_id,
 
 def _u1(spark, sf):
     from losslens.operators.quality import detect_duplicates
-    f = featured_items(spark, sf).select("order_id", "order_item_id", "sale_price")
+    f = featured_items(spark, sf, with_orders=False).select("order_id", "order_item_id", "sale_price")
     return detect_duplicates(f, subset=["order_id"], action="remove", order_key="order_item_id")[0]
 
 
 register("u6_sample_per_category", None)(
-    lambda spark, sf: R.sample_per_group(featured_items(spark, sf), "category", "order_item_id", 50)
+    lambda spark, sf: R.sample_per_group(featured_items(spark, sf, with_orders=False), "category", "order_item_id", 50)
     .groupBy("category").agg(F.count(F.lit(1)).alias("n")))
 
 register("u7_global_sample", None)(
-    lambda spark, sf: R.sample_rows(featured_items(spark, sf), "order_item_id", 500)
+    lambda spark, sf: R.sample_rows(featured_items(spark, sf, with_orders=False), "order_item_id", 500)
     .select("order_item_id"))
 
 register("u8_stratified_split_counts", with_features("""
 SELECT is_returned_item, count(*) AS n, CAST(round(count(*) * 0.2) AS BIGINT) AS n_test
 FROM f GROUP BY is_returned_item"""), ints=["is_returned_item"])(
-    lambda spark, sf: R.stratified_split(featured_items(spark, sf), "is_returned_item", "order_item_id")
+    lambda spark, sf: R.stratified_split(featured_items(spark, sf, with_orders=False), "is_returned_item", "order_item_id")
     .groupBy("is_returned_item").agg(F.count(F.lit(1)).alias("n"),
                                      F.sum("is_test").cast("long").alias("n_test")))
 
@@ -242,6 +242,6 @@ register("u4_melt_category_measures", with_features("""
 , g AS (SELECT category, count(*) AS item_rows, CAST(sum(is_returned_item) AS BIGINT) AS returned_items
         FROM f GROUP BY category)
 SELECT category, variable, value FROM (UNPIVOT g ON item_rows, returned_items INTO NAME variable VALUE value)"""))(
-    lambda spark, sf: R.melt(A.return_rates_by_group(featured_items(spark, sf), ["category"], 0)
+    lambda spark, sf: R.melt(A.return_rates_by_group(featured_items(spark, sf, with_orders=False), ["category"], 0)
                              .select("category", "item_rows", "returned_items"),
                              ["category"], ["item_rows", "returned_items"]))

@@ -102,7 +102,7 @@ register("q3_iqr_outlier_report", with_features(_IQR_SQL + "\nSELECT count(*) FI
                                                " OR ".join(f"o_{c}" for c in _OUT_COLS) +
                                                ") AS total_outlier_rows, " + ", ".join(
     f"count(*) FILTER (WHERE o_{c}) AS {c}" for c in _OUT_COLS) + " FROM o"))(
-    lambda spark, sf: QL.detect_outliers_iqr(featured_items(spark, sf, ["quantity"]), _OUT_COLS)[1])
+    lambda spark, sf: QL.detect_outliers_iqr(featured_items(spark, sf, ["quantity"], with_orders=False), _OUT_COLS)[1])
 
 register("q3_iqr_outlier_flags", with_features(_IQR_SQL + "\nSELECT order_item_id, CAST(" +
                                               " OR ".join(f"o_{c}" for c in _OUT_COLS) +
@@ -110,12 +110,12 @@ register("q3_iqr_outlier_flags", with_features(_IQR_SQL + "\nSELECT order_item_i
     f"CASE WHEN o_{c} THEN '{c}' END" for c in _OUT_COLS) + ") AS outlier_columns, concat_ws(';', " +
     ", ".join(f"CASE WHEN o_{c} THEN '{c}=' || CAST({c} AS VARCHAR) END" for c in _OUT_COLS) +
     ") AS outlier_values FROM o"), ints=["is_outlier"])(
-    lambda spark, sf: QL.detect_outliers_iqr(featured_items(spark, sf, ["quantity"]), _OUT_COLS)[0]
+    lambda spark, sf: QL.detect_outliers_iqr(featured_items(spark, sf, ["quantity"], with_orders=False), _OUT_COLS)[0]
     .select("order_item_id", "is_outlier", "outlier_columns", "outlier_values"))
 
 register("q3_iqr_remove_outliers", with_features(_IQR_SQL + "\nSELECT order_item_id FROM o WHERE NOT (" +
                                                 " OR ".join(f"o_{c}" for c in _OUT_COLS) + ")"))(
-    lambda spark, sf: QL.detect_outliers_iqr(featured_items(spark, sf, ["quantity"]), _OUT_COLS,
+    lambda spark, sf: QL.detect_outliers_iqr(featured_items(spark, sf, ["quantity"], with_orders=False), _OUT_COLS,
                                              action="remove")[0].select("order_item_id"))
 
 register("q4_price_rules", with_features("""
@@ -125,7 +125,7 @@ SELECT count(*) FILTER (WHERE coalesce(sale_price < 0, false) OR coalesce(sale_p
        count(*) FILTER (WHERE sale_price > retail_price) AS sale_exceeds_retail,
        count(*) FILTER (WHERE cost > sale_price) AS cost_exceeds_sale,
        count(*) FILTER (WHERE cost < 0) AS cost_negative FROM f"""))(
-    lambda spark, sf: QL.validate_price_consistency(featured_items(spark, sf))[1])
+    lambda spark, sf: QL.validate_price_consistency(featured_items(spark, sf, with_orders=False))[1])
 
 register("q5_status_rules", with_features("""
 , s AS (SELECT coalesce(is_returned_item = 1 AND lower(item_status) <> 'returned', false) AS a,

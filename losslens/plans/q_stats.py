@@ -44,9 +44,9 @@ for _g in ("category", "brand", "department"):
     register(f"t2_anova_erosion_by_{_g}", anova_sql(_g),
              ["ss_between", "ss_within", "f_stat", "eta_squared"],
              scale={"ss_between": 6, "ss_within": 6})(
-        (lambda g: lambda spark, sf: S.anova_table(returned_items(spark, sf), g, "profit_erosion"))(_g))
+        (lambda g: lambda spark, sf: S.anova_table(returned_items(spark, sf, with_orders=False), g, "profit_erosion"))(_g))
     register(f"t4_kruskal_erosion_by_{_g}", kruskal_sql(_g), ["h_stat", "epsilon_squared"])(
-        (lambda g: lambda spark, sf: S.kruskal_table(returned_items(spark, sf), g, "profit_erosion"))(_g))
+        (lambda g: lambda spark, sf: S.kruskal_table(returned_items(spark, sf, with_orders=False), g, "profit_erosion"))(_g))
 
 register("t7_dunn_z_by_category", with_features(_ret_sql("category") + """,
 rk AS (SELECT g, x, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rk FROM r),
@@ -57,7 +57,7 @@ SELECT a.g AS group_a, b.g AS group_b,
   CASE WHEN a.g = b.g THEN 0.0 ELSE abs(a.mr - b.mr) / sqrt((CAST(nt AS DOUBLE) * (nt + 1) / 12.0
        - tie_sum / (12.0 * (nt - 1))) * (1.0 / a.n + 1.0 / b.n)) END AS z
 FROM per a CROSS JOIN per b CROSS JOIN ties CROSS JOIN nn"""), ["z"])(
-    lambda spark, sf: S.dunn_z(returned_items(spark, sf), "category", "profit_erosion"))
+    lambda spark, sf: S.dunn_z(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
 
 register("t5_normality_jb_by_category", with_features(_ret_sql("category") + """,
 mm AS (SELECT g, avg(x) AS mu FROM r GROUP BY g),
@@ -67,7 +67,7 @@ SELECT g AS category, n, n / 6.0 * ((m3 / m2 ^ 1.5) ^ 2 + (m4 / m2 ^ 2 - 3) ^ 2
        exp(-(n / 6.0 * ((m3 / m2 ^ 1.5) ^ 2 + (m4 / m2 ^ 2 - 3) ^ 2 / 4.0)) / 2.0) AS p_value,
        n >= 3 AND exp(-(n / 6.0 * ((m3 / m2 ^ 1.5) ^ 2 + (m4 / m2 ^ 2 - 3) ^ 2 / 4.0)) / 2.0) >= 0.05 AS normal
 FROM c"""), ["jb_stat", "p_value"])(
-    lambda spark, sf: S.normality_gate(returned_items(spark, sf), "category", "profit_erosion"))
+    lambda spark, sf: S.normality_gate(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
 
 register("t12_point_biserial_price_returned", with_features("""
 SELECT corr(sale_price, CAST(is_returned_item AS DOUBLE)) AS r, count(*) AS n FROM f"""), ["r"])(
@@ -75,13 +75,13 @@ SELECT corr(sale_price, CAST(is_returned_item AS DOUBLE)) AS r, count(*) AS n FR
 
 
 def _pb(spark, sf):
-    r = S.point_biserial(featured_items(spark, sf), "sale_price", "is_returned_item")
+    r = S.point_biserial(featured_items(spark, sf, with_orders=False), "sale_price", "is_returned_item")
     return spark.createDataFrame([(float(r["r"]), int(r["n"]))], "r double, n long")
 
 
 register("t12_point_biserial_pvalue", None)(
     lambda spark, sf: spark.createDataFrame(
-        [tuple(float(v) for v in S.point_biserial(featured_items(spark, sf), "sale_price",
+        [tuple(float(v) for v in S.point_biserial(featured_items(spark, sf, with_orders=False), "sale_price",
                                                    "is_returned_item").values())],
         "r double, n double, p_value double"))
 
@@ -99,22 +99,22 @@ SELECT corr(x, y) AS pearson, corr(rx, ry) AS spearman, count(*) AS n FROM rk"""
 # full records with p-values (DuckDB has no distribution functions: rows-only)
 for _g in ("category", "brand"):
     register(f"t1_run_factor_{_g}", None)(
-        (lambda g: lambda spark, sf: S.run_factor(returned_items(spark, sf), g)[0])(_g))
+        (lambda g: lambda spark, sf: S.run_factor(returned_items(spark, sf, with_orders=False), g)[0])(_g))
 register("t1_posthoc_category", None)(
-    lambda spark, sf: S.run_factor(returned_items(spark, sf), "category")[1])
+    lambda spark, sf: S.run_factor(returned_items(spark, sf, with_orders=False), "category")[1])
 register("t2_anova_pvalue_by_category", None)(
     lambda spark, sf: spark.createDataFrame(
-        [tuple(float(v) for v in S.anova(returned_items(spark, sf), "category", "profit_erosion").values())],
+        [tuple(float(v) for v in S.anova(returned_items(spark, sf, with_orders=False), "category", "profit_erosion").values())],
         "k double, n double, ss_between double, ss_within double, f_stat double, eta_squared double, "
         "p_value double"))
 register("t4_kruskal_pvalue_by_category", None)(
     lambda spark, sf: spark.createDataFrame(
-        [tuple(float(v) for v in S.kruskal(returned_items(spark, sf), "category", "profit_erosion")
+        [tuple(float(v) for v in S.kruskal(returned_items(spark, sf, with_orders=False), "category", "profit_erosion")
                .values())], "k double, n double, h_stat double, epsilon_squared double, p_value double"))
 register("t6_tukey_hsd_by_category", None)(
-    lambda spark, sf: S.tukey_hsd(returned_items(spark, sf), "category", "profit_erosion"))
+    lambda spark, sf: S.tukey_hsd(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
 register("t7_dunn_by_category", None)(
-    lambda spark, sf: S.dunn(returned_items(spark, sf), "category", "profit_erosion"))
+    lambda spark, sf: S.dunn(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
 register("t8_bootstrap_mean_ci_by_category", None)(
     lambda spark, sf: S.bootstrap_mean_ci(
         returned_items(spark, sf, ["line_number"]).withColumn(
