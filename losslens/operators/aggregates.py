@@ -106,9 +106,9 @@ def product_profit_erosion_metrics(df: DataFrame, min_rows: int = X.MIN_ROWS_THR
     return (pandas left merge).  ``df`` must carry item features (P3-P5).
     """
     levels = levels or EROSION_LEVELS
+    groups = [F.struct(F.lit(lv).alias("level"), F.col(c).cast("string").alias("grp")) for lv, c in levels.items()]
     long = df.select(
-        F.explode(F.array(*[F.struct(F.lit(lv).alias("level"), F.col(c).cast("string").alias("grp"))
-                            for lv, c in levels.items()])).alias("_g"),
+        (F.explode(F.array(*groups)) if len(groups) > 1 else groups[0]).alias("_g"),  # one level: no row is doubled
         "is_returned_item", "profit_erosion", "margin_reversal", "process_cost"
     ).select("_g.level", "_g.grp", "is_returned_item", "profit_erosion",
              "margin_reversal", "process_cost").where(F.col("grp").isNotNull())

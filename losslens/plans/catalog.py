@@ -111,7 +111,7 @@ FROM f WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) >= {min_rows}""")
 def _erosion_query(level: str):
     def fn(spark, sf_dir):
         long = A.product_profit_erosion_metrics(featured_items(spark, sf_dir, with_orders=False),
-                                                min_rows=200)
+                                                min_rows=200, levels={f"by_{level}": level})
         return A.erosion_level(long, level)
     return fn
 

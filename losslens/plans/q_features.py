@@ -245,3 +245,21 @@ SELECT category, variable, value FROM (UNPIVOT g ON item_rows, returned_items IN
     lambda spark, sf: R.melt(A.return_rates_by_group(featured_items(spark, sf, with_orders=False), ["category"], 0)
                              .select("category", "item_rows", "returned_items"),
                              ["category"], ["item_rows", "returned_items"]))
+
+
+# K5: the category of largest mean erosion, first name on ties; U3: both ends stacked
+_CAT_MEAN = "SELECT category, avg(profit_erosion) AS mean_erosion FROM f WHERE is_returned_item = 1 GROUP BY category"
+register("k5_argmax_mean_erosion", with_features(_CAT_MEAN + " ORDER BY mean_erosion DESC, category LIMIT 1"),
+         ["mean_erosion"])(lambda spark, sf: R.argmax(_category_means(spark, sf), "mean_erosion", "category"))
+register("u3_stacked_summary", with_features("""
+SELECT category, avg(profit_erosion) AS mean_erosion, CAST(NULL AS DOUBLE) AS returned_items FROM f
+WHERE is_returned_item = 1 GROUP BY category UNION ALL
+SELECT category, NULL, CAST(count(*) AS DOUBLE) FROM f WHERE is_returned_item = 1 GROUP BY category"""),
+         ["mean_erosion", "returned_items"])(
+    lambda spark, sf: R.stack_tables(_category_means(spark, sf), returned_items(spark, sf, with_orders=False)
+                                     .groupBy("category").agg(F.count(F.lit(1)).cast("double").alias("returned_items"))))
+
+
+def _category_means(spark, sf):
+    return returned_items(spark, sf, with_orders=False).groupBy("category").agg(
+        F.avg("profit_erosion").alias("mean_erosion"))

@@ -29,7 +29,8 @@ from losslens.plans.q_external import _ACC_SQL, _PRE, _ext_sql, accounts, lines
 from losslens.plans.q_ols import _run as rq4_run
 from losslens.plans.sqlkit import with_features
 from losslens.session import cut_lineage, ensure_checkpoint_dir
-from losslens.sources.adapter import ITEMS_SQL
+from losslens.sources import raw
+from losslens.sources.adapter import ITEMS_SQL, items
 from losslens.sources.external import EXTERNAL_LINES_SQL
 
 
@@ -42,6 +43,31 @@ SELECT category, count(*) AS n, sum(sale_price) AS sales FROM items GROUP BY cat
     lambda spark, sf: spark.read.parquet(rq1.build_analysis_dataset(spark, sf, _scratch(spark, "s4")))
     .groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("sale_price").alias("sales")))
 
+_P2_SQL = "WITH " + ITEMS_SQL + """
+SELECT CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(order_id AS VARCHAR) AS order_id,
+  CAST(product_id AS VARCHAR) AS product_id, sale_price, retail_price, cost, category FROM items"""
+_P2_COLS = ["order_item_id", "order_id", "product_id", "sale_price", "retail_price", "cost", "category"]
+register("p2_standard_types", _P2_SQL, ["sale_price", "retail_price", "cost"])(
+    lambda spark, sf: raw.standardize_types(items(spark, sf, _P2_COLS).withColumn(
+        "sale_price", F.col("sale_price").cast("string"))).select(*_P2_COLS))
+register("s1_s2_csv_source", _P2_SQL, ["sale_price", "retail_price", "cost"])(lambda spark, sf: _csv_source(spark, sf))
+register("p1_column_selection_report", """
+SELECT 'retail_price' AS "column", 'dropped' AS status UNION ALL SELECT 'sale_price', 'kept'
+UNION ALL SELECT 'cost', 'kept' UNION ALL SELECT 'no_such_column', 'missing'""")(
+    lambda spark, sf: raw.select_columns(items(spark, sf, ["retail_price", "sale_price", "cost"]).select(
+        "retail_price", "sale_price", "cost"), keep=["cost", "no_such_column", "sale_price"])[1])
+
+
+def _csv_source(spark, sf):
+    """S1 + S2: the item table as CSV with a byte-order mark and blanks in its
+    header, read back and typed by P2."""
+    path = _scratch(spark, "csv")
+    cols = list(_P2_COLS)
+    items(spark, sf, cols).select(F.col(cols[0]).alias("\ufeff" + cols[0]), *[F.col(c).alias(f" {c} ") for c in cols[1:]]) \
+        .write.option("header", True).csv(path)
+    return raw.standardize_types(raw.read_csv(spark, path, cols)).select(*cols)
+
+
 register("s6_split_flagged_review", with_features("""
 SELECT count(*) FILTER (WHERE cost > sale_price OR sale_price > retail_price OR sale_price < 0 OR cost < 0)
        AS review_rows, count(*) AS cleaned_rows FROM f"""))(

@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from losslens.sources.raw import standardize_types
 from losslens.operators import aggregates as A
 from losslens.operators import quality as QL
 from losslens.operators import stats as S
@@ -23,7 +24,7 @@ from losslens.operators import features as FE
 
 
 def build_analysis_dataset(spark: SparkSession, sf: str, out_dir: str, check_unique: bool = True) -> str:
-    """Join -> typed item table -> parquet (snappy).  The m:1 checks
+    """Join -> typed item table (P2) -> parquet (snappy) and CSV.  The m:1 checks
     (Q19) run on the dimensions first when asked."""
     if check_unique:
         from losslens.sources.adapter import assert_unique_key
@@ -32,7 +33,9 @@ def build_analysis_dataset(spark: SparkSession, sf: str, out_dir: str, check_uni
         assert_unique_key(read_table(spark, sf, "part", ["p_partkey"]), "p_partkey", "part")
         assert_unique_key(read_table(spark, sf, "customer", ["c_custkey"]), "c_custkey", "customer")
     path = os.path.join(out_dir, "item_table")
-    items(spark, sf).write.mode("overwrite").option("compression", "snappy").parquet(path)
+    table = standardize_types(items(spark, sf))
+    table.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    spark.read.parquet(path).write.mode("overwrite").option("header", True).csv(path + ".csv")
     return path
 
 
