@@ -399,10 +399,12 @@ def between_group_cv(groups: DataFrame, value: str) -> DataFrame:
 
 def headline_measures(df: DataFrame) -> DataFrame:
     """Distinct orders / customers / products, returned count and medians."""
-    base = df.agg(F.count_distinct("order_id").alias("orders"),
-                  F.count_distinct("user_id").alias("customers"),
-                  F.count_distinct("product_id").alias("products"),
-                  F.sum("is_returned_item").cast("long").alias("returned_items"))
+    base = df.agg(F.sum("is_returned_item").cast("long").alias("returned_items"))
+    for key, name in (("order_id", "orders"), ("user_id", "customers"), ("product_id", "products")):
+        # one partially aggregated pass per key; several distinct counts in one
+        # aggregate would multiply every row first
+        base = base.crossJoin(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.lit(1).alias("_1"))
+                              .agg(F.count("_1").alias(name)))
     m_all = group_quantiles(df, [], [("median_margin_all", "item_margin", 0.5)])
     r = df.where(_ret())
     m_ret = group_quantiles(r, [], [("median_margin_returned", "item_margin", 0.5),

@@ -34,7 +34,9 @@ _UNB = Window.unboundedPreceding
 
 
 def default_buckets(df: DataFrame) -> int:
-    return max(16, 4 * shuffle_partitions(df.sparkSession))
+    # bounded: the sketch behind the edges grows with their number and is
+    # merged on the driver; 4,096 buckets split a group that holds all rows
+    return min(4096, max(16, 4 * shuffle_partitions(df.sparkSession)))
 
 
 def value_splits(df: DataFrame, v: str, n_buckets: int) -> list[float]:

@@ -9,6 +9,7 @@ from losslens.operators import features as FE
 from losslens.plans.catalog import featured_items, register, returned_items
 from losslens.plans.sqlkit import with_features
 from losslens.session import cut_lineage
+from losslens.streaming.monthly import monthly_return_rate_stream
 
 # money columns are exact 4-decimal sums: rounding on that grid (4) is
 # robust to summation order, rounding to 2 would hit decimal ties
@@ -346,7 +347,8 @@ SELECT count(DISTINCT order_id) AS orders, count(DISTINCT user_id) AS customers,
        quantile_cont(item_margin, 0.5) FILTER (WHERE is_returned_item = 1) AS median_margin_returned,
        quantile_cont(profit_erosion, 0.5) FILTER (WHERE is_returned_item = 1) AS median_erosion_returned
 FROM f"""), ["median_margin_all", "median_margin_returned", "median_erosion_returned"])(
-    lambda spark, sf: A.headline_measures(featured_items(spark, sf)))
+    lambda spark, sf: A.headline_measures(cut_lineage(featured_items(spark, sf).select(
+        "order_id", "user_id", "product_id", "is_returned_item", "item_margin", "profit_erosion"))))
 
 # ------------------------------------------------------------------ W14 / A35
 MONTHLY_SQL = """
@@ -367,5 +369,4 @@ SELECT arg_min(month, (-return_rate, month)) AS peak_month, max(return_rate) AS
 # ------------------------------------------------------------------ W14 (streaming form)
 register("w14_monthly_return_rate_streaming", with_features(MONTHLY_SQL.replace("\n, m AS", "m AS", 1) + """
 SELECT month, items, returned_items, return_rate FROM m"""), ["return_rate"], ts=["month"])(
-    lambda spark, sf: __import__("losslens.streaming.monthly", fromlist=["x"])
-    .monthly_return_rate_stream(spark, sf).select("month", "items", "returned_items", "return_rate"))
+    lambda spark, sf: monthly_return_rate_stream(spark, sf).select("month", "items", "returned_items", "return_rate"))

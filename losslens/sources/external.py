@@ -17,7 +17,8 @@ def external_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     it = items(spark, sf_dir, ["order_item_id", "order_id", "supplier_id", "item_status", "retail_price",
                                "sale_price", "cost", "quantity", "item_shipped_at", "item_delivered_at",
                                "order_created_at", "category", "brand", "department"])
-    per_order = it.groupBy("order_id").agg(F.count(F.lit(1)).alias("Lines Per Order"))
+    # lines are counted on bare lineitem, not on the joined table
+    per_order = items(spark, sf_dir, ["order_id"]).groupBy("order_id").agg(F.count(F.lit(1)).alias("Lines Per Order"))
     ret = F.col("item_status") == "Returned"
     return it.join(per_order, ["order_id"], "left").select(
         F.col("supplier_id").alias("Bill To Act #"),
