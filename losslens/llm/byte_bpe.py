@@ -36,8 +36,8 @@ from losslens.llm.common import text_blocks
 NONE = np.int32(2**31 - 1)
 WIDE = 1024
 CELLS = 1 << 20
-CACHE = 300_000  # chunks that a task remembers
-BLOCK = 1 << 22  # bytes of text encoded at once
+CACHE = 400_000  # chunks that a task remembers
+BLOCK = 1 << 23  # bytes of text encoded at once
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
 
