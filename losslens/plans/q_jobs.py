@@ -238,8 +238,12 @@ def validation_summary(spark, pattern, predictions, n_available, n_missing):
                                                     for c in ("agreement", "both_pass", "both_fail")]).first()
     d = predictions.agg(F.count(F.lit(1)).alias("n"),
                         F.avg((F.col("actual_high_loss") == F.col("predicted_high_risk")).cast("double")).alias("acc"),
-                        F.avg("predicted_high_risk").alias("ph"), F.avg("actual_high_loss").alias("ah")).first()
-    rho = spearman(predictions, "predicted_probability", "actual_loss", "account_id").first()["spearman"]
+                        F.avg("predicted_high_risk").alias("ph"), F.avg("actual_high_loss").alias("ah"),
+                        (F.min("predicted_probability") < F.max("predicted_probability")).alias("scores_vary"),
+                        (F.min("actual_loss") < F.max("actual_loss")).alias("losses_vary")).first()
+    rho = None  # not defined where one side is constant
+    if d["scores_vary"] and d["losses_vary"]:
+        rho = spearman(predictions, "predicted_probability", "actual_loss", "account_id").first()["spearman"]
     n = d["n"]
     pv = None
     if rho is not None and n > 2:
