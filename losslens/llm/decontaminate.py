@@ -19,6 +19,11 @@
    around the window are compared with the item: it is found when their
    longest common subsequence holds ``LCS`` of the item's words, and ``ANSWER``
    of the item's last words (its answer) occur in order at its end.
+5. What cosines miss (words too common for a weight, edits in the windows, an
+   item in a large part of all documents) is found exactly: of n words of an
+   item at most n - LCS n may lack, so of its n - LCS n + ``HITS`` rarest words
+   ``HITS`` stand close together wherever it is found.  Such places are
+   compared in the same way, for every item; no weight or cosine decides there.
 
 Defined cases: null and wordless texts and items match nothing; null ids are
 kept as null in the pairs; repeated documents or items give one pair per
@@ -29,6 +34,7 @@ columns are ignored.
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,17 +46,19 @@ from pyspark.sql import functions as F
 from losslens.llm.common import ensure_checkpoint_dir
 
 TERMS = 1 << 15
-RANK = 48
-EXTRA = 4
+RANK = 64
+EXTRA = 8
 WINDOW = 32
 STEP = 8
 LONG = 36
 PROBES = 2
-COMMON = 0.002
+COMMON = 0.02
 NEAR = {32: 0.6, 16: 0.5}
 PIECE = 1 << 20  # bytes hashed at once
 BASE = 0x9E3779B97F4A7C15
 SHARED = 0.45
+HITS = 3
+GROUP = 64  # items looked up together
 LCS = 0.8
 ANSWER = 0.6
 ANSWER_WORDS = 5
@@ -352,6 +360,74 @@ class Queries:
             yield from zip(at[kept].tolist(), self.item[query[kept]].tolist())
 
 
+class Rarest:
+    """The rarest words of a group of items, to find all places where an item
+    can be; frequency: of each term, any figures give the same result."""
+
+    def __init__(self, words: list[np.ndarray], first: int, frequency: np.ndarray):
+        self.first, found, item = first, [], []
+        self.hits, self.span = np.ones(len(words), np.int64), np.zeros(len(words), np.int64)
+        for i, w in enumerate(words):
+            need = least_common(len(w))
+            self.hits[i], self.span[i] = max(1, min(HITS, need)), 2 * len(w) + WINDOW
+            rare = np.argsort(frequency[terms_of(w)], kind="stable")[:len(w) - need + self.hits[i]]
+            found.append(np.unique(w[rare]))
+            item.append(np.full(len(found[-1]), i))
+        found, item = np.concatenate(found), np.concatenate(item)
+        self.item = item[np.argsort(found, kind="stable")]
+        self.words, self.begin, self.count = np.unique(np.sort(found), return_index=True, return_counts=True)
+        self.flag = np.zeros(1 << 20, bool)
+        self.flag[self.words >> np.uint32(12)] = True
+
+    def places(self, hashes: np.ndarray, text: np.ndarray):
+        """(item, first, last place) of runs of hits of an item close together;
+        text: the text of each word."""
+        at = np.flatnonzero(self.flag[hashes >> np.uint32(12)])
+        if not len(at):
+            return
+        k = np.minimum(np.searchsorted(self.words, hashes[at]), len(self.words) - 1)
+        same = self.words[k] == hashes[at]
+        at, k = at[same], k[same]
+        n = self.count[k]
+        item = self.item[np.repeat(self.begin[k] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        order = np.argsort(item, kind="stable")
+        item, at = item[order], np.repeat(at, n)[order]
+        first = np.arange(len(item))
+        last = first + self.hits[item] - 1
+        first, last = first[last < len(item)], last[last < len(item)]
+        near = ((item[first] == item[last]) & (text[at[first]] == text[at[last]])
+                & (at[last] - at[first] < self.span[item[first]]))
+        first, last = first[near], last[near]
+        yield from zip((item[first] + self.first).tolist(), at[first].tolist(), at[last].tolist())
+
+
+def least_common(n: int) -> int:
+    """Least common subsequence with which an item of n words is found."""
+    return next(k for k in range(n + 1) if not k < LCS * n)
+
+
+def around(hashes: np.ndarray, begin: int, start: int, stop: int, n: int) -> np.ndarray:
+    """The words of a text (start to stop) that an item of n words is compared
+    with at a window."""
+    return hashes[max(start, begin - n):min(stop, begin + WINDOW + n)]
+
+
+def exact(item: np.ndarray, hashes: np.ndarray, first: int, last: int, start: int, stop: int, tried: set) -> float | None:
+    """confirm() at all windows of a text whose surroundings hold both places,
+    but for those tried before."""
+    n = len(item)
+    low = max(start, last - WINDOW - n + 1)
+    low += -(low - start) % STEP
+    begins = range(low, min(stop - 1, first + n) + 1, STEP)
+    begins = [b for b in sorted(begins, key=lambda b: abs(b - first)) if b not in tried]
+    tried.update(begins)
+    if begins:
+        held = np.isin(item, hashes[max(start, min(begins) - n):min(stop, max(begins) + WINDOW + n)])
+        if held.sum() >= least_common(n):
+            return next((s for b in begins if (s := confirm(item, around(hashes, b, start, stop, n))) is not None), None)
+    return None
+
+
 def confirm(item: np.ndarray, around: np.ndarray) -> float | None:
     """Share of the item's words in common order with the words around a
     window, if the item is found there."""
@@ -367,12 +443,13 @@ def confirm(item: np.ndarray, around: np.ndarray) -> float | None:
 
 def _search(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, table, weight = sent.value
+        ids, words, table, weight, frequency = sent.value
         words = [np.frombuffer(w, np.uint32) for w in words]
         long = [w if len(w) > LONG else w[:0] for w in words]
         short = [w if len(w) <= LONG else w[:0] for w in words]
         queries = [Queries(long, WINDOW, len(words) * WINDOW, table, weight),
                    Queries(short, 16, PROBES, table, weight)]
+        rarest = [Rarest(words[k:k + GROUP], k, frequency) for k in range(0, len(words), GROUP)]
         for batch in batches:
             doc, item, share = [], [], []
             for first, hashes, sizes in _flat(batch):
@@ -402,14 +479,25 @@ def _search(sent):
                         h = at[k]
                         if (row[h], i) in done:
                             continue
-                        w = words[i]
-                        around = hashes[max(start[row[h]], begin[h] - len(w)):min(stop[h], begin[h] + WINDOW + len(w))]
-                        s = confirm(w, around)
+                        s = confirm(words[i], around(hashes, begin[h], start[row[h]], stop[h], len(words[i])))
                         if s is not None:
                             done.add((row[h], i))
                             doc.append(first + row[h])
                             item.append(i)
                             share.append(s)
+                text = np.repeat(np.arange(len(sizes)), sizes)
+                tried = defaultdict(set)
+                for group in rarest:
+                    for i, a, b in group.places(hashes, text):
+                        r = int(text[a])
+                        if (r, i) in done:
+                            continue
+                        s = exact(words[i], hashes, a, b, int(start[r]), int(start[r] + sizes[r]), tried[r, i])
+                        if s is not None:
+                            done.add((r, i))
+                            doc.append(first + r)
+                            item.append(i)
+                            share.append(s)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc, pa.int64())), pa.array([ids[i] for i in item], pa.int64()),
                  pa.array(share, pa.float64())], ["doc_id", "item_id", "lcs"])
@@ -429,8 +517,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     counts = (hashed.select("words").mapInArrow(_frequencies, "term long, n long")
               .groupBy("term").agg(F.sum("n").alias("n")).collect())  # at most TERMS + 1 rows
     passages = max(1, next((r.n for r in counts if r.term < 0), 1))
-    weight = np.zeros(TERMS)
+    weight, frequency = np.zeros(TERMS), np.zeros(TERMS, np.int64)
     for r in counts:
+        if r.term >= 0:
+            frequency[r.term] = r.n
         if r.term >= 0 and r.n <= max(COMMON * passages, 50):
             weight[r.term] = np.log(1 + passages / r.n)
 
@@ -455,7 +545,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
             block.append(row)
         if block and (row is None or len(block) == BLOCK):
             words = hash_texts(pa.array([r.t for r in block], pa.string()))
-            query = ([r.item_id for r in block], [w.tobytes() for w in words], table, weight)
+            query = ([r.item_id for r in block], [w.tobytes() for w in words], table, weight, frequency)
             found = hashed.mapInArrow(_search(spark.sparkContext.broadcast(query)),
                                       f"doc_id {kind}, item_id long, lcs double")
             out, block = found if out is None else out.union(found), []

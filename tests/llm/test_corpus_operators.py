@@ -458,6 +458,29 @@ def test_decontamination_finds_passages_and_paraphrases(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_an_item_in_a_third_of_the_documents(spark):
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 7))) for _ in range(2500)]
+    say = lambda n: [rnd.choice(words) for _ in range(n)]
+    items = [say(n) for n in (1, 15, 36, 38, 59)] + [words[:4] * 5]
+    for hot in (2, 3, 5):
+        rows, want = [], set()
+        for d in range(300):
+            body = say(rnd.randint(20, 400))
+            if d % 3 == 0 or d == 1:
+                i = hot if d != 1 else 1
+                at = rnd.randint(0, len(body))
+                body[at:at] = items[i]
+                want.add((d, i))
+            if items[0][0] in body:
+                want.add((d, 0))
+            rows.append((d, " ".join(body)))
+        found = decontaminate.contaminated(
+            spark.createDataFrame(rows, "doc_id long, text string"),
+            spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+        assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+
+
 # 10 suffix arrays --------------------------------------------------------------------------------------------------
 
 def test_suffix_array_brute():
