@@ -12,9 +12,9 @@
 3. Every window of 32 words (in steps of 16) and of 16 words (in steps of 8)
    of every document is projected and compared by cosine with windows of all
    benchmark items: items over ``LONG`` words give all their windows of 32,
-   others the ``PROBES`` windows of 16 that weigh most.  The items are the
-   stated query set and go in blocks of ``BLOCK``.  A pair is a candidate from
-   ``NEAR`` on, less for items that don't fill a window.
+   others all their windows of 16.  The items are the stated query set and go
+   in blocks of ``BLOCK``.  A pair is a candidate from ``NEAR`` on, less for
+   items that don't fill a window.
 4. Candidates that share too few weighted terms go; for the others the words
    around the window are compared with the item: it is found when their
    longest common subsequence holds ``LCS`` of the item's words, and ``ANSWER``
@@ -51,7 +51,6 @@ EXTRA = 8
 WINDOW = 32
 STEP = 8
 LONG = 36
-PROBES = 2
 COMMON = 0.02
 NEAR = {32: 0.6, 16: 0.5}
 PIECE = 1 << 20  # bytes hashed at once
@@ -316,12 +315,11 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 class Queries:
     """Projected windows of one width of the items of a block."""
 
-    def __init__(self, words: list[np.ndarray], width: int, probes: int, table: np.ndarray, weight: np.ndarray):
+    def __init__(self, words: list[np.ndarray], width: int, table: np.ndarray, weight: np.ndarray):
         self.width, item, vectors, need, rows = width, [], [], [], []
         for i, w in enumerate(words):
             parts = [terms_of(w[a:a + width]) for a in range(0, max(1, len(w) - width // 2), width // 2)]
-            parts = sorted((p for p in parts if weight[p].any()), key=lambda p: -weight[p].sum())
-            for part in parts[:probes]:
+            for part in (p for p in parts if weight[p].any()):
                 item.append(i)
                 vectors.append(table[part].sum(0))
                 rows.append(np.unique(part[weight[part] > 0]))
@@ -447,8 +445,7 @@ def _search(sent):
         words = [np.frombuffer(w, np.uint32) for w in words]
         long = [w if len(w) > LONG else w[:0] for w in words]
         short = [w if len(w) <= LONG else w[:0] for w in words]
-        queries = [Queries(long, WINDOW, len(words) * WINDOW, table, weight),
-                   Queries(short, 16, PROBES, table, weight)]
+        queries = [Queries(long, WINDOW, table, weight), Queries(short, 16, table, weight)]
         rarest = [Rarest(words[k:k + GROUP], k, frequency) for k in range(0, len(words), GROUP)]
         for batch in batches:
             doc, item, share = [], [], []

@@ -481,6 +481,38 @@ def test_decontamination_finds_an_item_in_a_third_of_the_documents(spark):
         assert {(r.doc_id, r.item_id) for r in found.collect()} == want
 
 
+def test_decontamination_finds_what_brute_force_finds(spark):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7))) for _ in range(3000)]
+    usual = [1 / (k + 1) for k in range(len(words))]
+    say = lambda n: rnd.choices(words, usual, k=n)
+    items, rows = [say(rnd.randint(15, 59)) for _ in range(30)], []
+    for d in range(240):
+        leak = list(items[d % 30])
+        lost = len(leak) - next(k for k in range(60) if not k < decontaminate.LCS * len(leak))
+        if d % 3 == 0:  # one block of edits, the answer kept
+            at = rnd.randint(0, len(leak) - 5 - lost)
+            leak[at:at + lost] = [f"new{k}" for k in range(lost)]
+        else:  # the least usual words changed, or words put in besides
+            for at in sorted(range(len(leak) - 5), key=lambda k: -words.index(leak[k]))[:lost]:
+                leak[at] = f"new{at}" if d % 3 == 1 else f"new{at} more{at}"
+        rows.append((d, " ".join(say(rnd.randint(0, 200)) + leak + say(rnd.randint(0, 200)))))
+    hashes = lambda texts: decontaminate.hash_texts(pa.array(texts, pa.string()))
+    want = set()
+    for (d, _), h in zip(rows, hashes([t for _, t in rows])):
+        for i, w in enumerate(hashes([" ".join(w) for w in items])):
+            for b in range(0, len(h), decontaminate.STEP):
+                near = h[max(0, b - len(w)):b + decontaminate.WINDOW + len(w)]
+                if np.isin(w, near).sum() >= decontaminate.LCS * len(w) and decontaminate.confirm(w, near) is not None:
+                    want.add((d, i))
+                    break
+    assert len({d for d, _ in want}) > 220
+    found = decontaminate.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+
+
 # 10 suffix arrays --------------------------------------------------------------------------------------------------
 
 def test_suffix_array_brute():
