@@ -2,15 +2,19 @@
 
 1. Each page is read into containers and text blocks.  What can't be article
    text is never recorded: scripts, styles, forms, menus, asides, page
-   headers and footers, and elements whose class, id or role says advert,
-   notice, sidebar, comment and the like.  A block counts for its container
-   with its length less its link text, and by half for the container above.
+   headers and footers.  A block counts for its container with its length
+   less its link text, and by half for each container further up.
 2. Containers vote with their share of the page's score for their path: tags
    and classes from the root, with digits generalised.  Votes are summed per
    host and path in Spark; a hot host is pre-aggregated in every task.
 3. A host's paths with at least ``MIN_SHARE`` of the best one's votes win, in
-   order of votes.  Each page is read again with the first winning path that it
-   has text under; a page with none of them uses its own best container.
+   order of votes; its parts are the paths that hold as much of the text
+   directly.  Each page is read again with the first winning path that it has
+   text under, the article (else main) around it, and all its parts but those
+   of other articles; a part above the winner gives its own blocks alone.  A
+   page with none of the winning paths uses its own best container and parts.
+4. Boxes whose class, id or role says advert, notice, sidebar, comment and the
+   like are never read.
 
 White space inside a block becomes one blank, blocks are joined by line feeds.
 
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_SHARE = 0.1
+PENALTY = {"": 1.0, "other": 0.0, "comments": 0.0}
 
 # fixed values: element names of HTML by what they mean for the text
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noembed", "noframes", "xmp"}
@@ -45,6 +50,8 @@ CONTAINERS = {"body", "article", "section", "main", "div", "td"}
 #: a start tag closes these open ones on top of the stack
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tr": {"td", "th", "tr"}}
+#: only words for comments tell what these hold
+PLAIN = {"html", "body", "main", "article"}
 # fixed values: words of class, id and role that mark what is not the article
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "responses"}
 OTHER = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "adbox", "banner", "breadcrumb",
@@ -64,14 +71,15 @@ class Page:
 
     def __init__(self, source: str):
         self.path, self.parent, self.blocks = ["html"], [-1], []
+        self.tag, self.kind, self.starts, self.worth = ["html"], [""], [False], [1.0]  # of each container
         self.text, self.links = [], 0
-        self.stack: list[tuple[str, int, str]] = []  # tag, container, what it skips
+        self.stack: list[tuple[str, int, bool]] = []  # tag, container, whether it is skipped
         self._read(source)
         self._flush()
 
     @property
-    def _skips(self) -> str:
-        return self.stack[-1][2] if self.stack else ""
+    def _skips(self) -> bool:
+        return bool(self.stack) and self.stack[-1][2]
 
     def _read(self, source: str) -> None:
         at, link, end = 0, False, len(source)
@@ -130,20 +138,27 @@ class Page:
                 else:
                     words.update(_WORDS.findall(value))
         skips, inside = self._skips, [s[0] for s in self.stack]
-        if words & COMMENTS:
-            skips = "comments"
-        elif tag in ("article", "main") and skips == "other" and not words & OTHER:
-            skips = ""  # an article may lie in a box named after its sidebar
-        elif not skips:
-            if hidden or tag in SKIPPED or tag == "header" and "article" not in inside and "main" not in inside:
-                skips = "tag"
-            elif words & OTHER and tag not in ("html", "body", "article", "main"):
-                skips = "other"
+        skips = skips or hidden or tag in SKIPPED or (
+            tag == "header" and "article" not in inside and "main" not in inside)
         container = self.stack[-1][1] if self.stack else 0
-        if tag in CONTAINERS and not skips:
+        said = "comments" if words & COMMENTS else "other" if words & OTHER and tag not in PLAIN else ""
+        starts = bool(said)
+        if not skips and (tag in CONTAINERS or starts):
+            kind = self.kind[container]
+            if tag in ("article", "main") and kind == "other" and not words & OTHER:
+                kind = ""  # an article may lie in a box named after its sidebar
+            if starts and kind != "comments":
+                kind = said
             name = ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes.split()})])
-            self.path.append(f"{self.path[container]}/{name}")
+            self.path.append(f"{self.path[container]}/{name}" + ("!" + ".".join(sorted(words)) if starts else ""))
             self.parent.append(container)
+            self.tag.append(tag)
+            self.kind.append(kind)
+            self.starts.append(starts)
+            if tag in ("article", "main") or starts:
+                self.worth.append(PENALTY[kind or said and "other"])
+            else:
+                self.worth.append(self.worth[container])
             container = len(self.path) - 1
         self.stack.append((tag, container, skips))
 
@@ -153,52 +168,85 @@ class Page:
         if tag in tags:
             del self.stack[len(tags) - 1 - tags[::-1].index(tag):]
 
-    def scores(self) -> dict[int, float]:
+    def own(self) -> dict[int, float]:
+        """Score of each container's own blocks."""
         score = defaultdict(float)
         for container, text, links in self.blocks:
-            worth = max(0, len(text) - links)
-            score[container] += worth
-            if self.parent[container] >= 0:
-                score[self.parent[container]] += worth / 2
+            score[container] += max(0, len(text) - links) * self.worth[container]
+        return score
+
+    def scores(self) -> dict[int, float]:
+        score = defaultdict(float)
+        for container, worth in self.own().items():
+            while container >= 0:
+                score[container] += worth
+                container, worth = self.parent[container], worth / 2
         return score
 
-    def text_under(self, inside: set[int]) -> str:
-        """Blocks in these containers or in others below them."""
-        for c, parent in enumerate(self.parent):  # parents come first
-            if parent in inside:
-                inside = inside | {c}
-        return "\n".join(text for c, text, _ in self.blocks if c in inside)
+    def parts(self) -> set[str]:
+        """Paths that hold much of this page's text directly."""
+        votes = defaultdict(float)
+        for c, v in self.own().items():
+            votes[self.path[c]] += v
+        best = max(votes.values(), default=0)
+        return {p for p, v in votes.items() if v > 0 and v >= best * MIN_SHARE}
+
+    def text_of(self, base: set[int], parts: set[str]) -> str:
+        """Blocks of the article that these containers belong to."""
+        article, main = [-1] * len(self.path), [-1] * len(self.path)
+        for c, tag in enumerate(self.tag):  # parents come first
+            if c:
+                article[c] = c if tag == "article" else article[self.parent[c]]
+                main[c] = c if tag == "main" else main[self.parent[c]]
+        around = {article[c] if article[c] >= 0 else main[c] for c in base if self.kind[c] != "comments"}
+        roots, own_articles, above = base | around - {-1}, {article[c] for c in base}, set()
+        for c in roots:
+            while (c := self.parent[c]) >= 0:
+                above.add(c)
+        under, take = [False] * len(self.path), [0] * len(self.path)  # take: 1 own blocks, 2 those below too
+        for c, path in enumerate(self.path):
+            up = self.parent[c]
+            under[c] = c in roots or up >= 0 and under[up]
+            if c in roots or up >= 0 and take[up] == 2 and not self.starts[c]:
+                take[c] = 2
+            elif not self.kind[c]:
+                if under[c]:
+                    take[c] = 2
+                elif path in parts and (article[c] < 0 or article[c] in own_articles or -1 in own_articles):
+                    take[c] = 1 if c in above else 2
+        return "\n".join(text for c, text, _ in self.blocks if take[c])
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        votes = defaultdict(float)
+        votes, owns = defaultdict(float), defaultdict(float)
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = Page(source or "")
-            score = page.scores()
-            total = sum(score.values())
-            for container, s in score.items():
-                if s > 0:
-                    votes[host, page.path[container]] += s / total
+            for score, sums in ((page.scores(), votes), (page.own(), owns)):
+                total = sum(score.values())
+                for container, s in score.items():
+                    if s > 0:
+                        sums[host, page.path[container]] += s / total
         keys = list(votes)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-             pa.array(list(votes.values()), pa.float64())], ["host", "path", "votes"])
+             pa.array(list(votes.values()), pa.float64()), pa.array([owns.get(k, 0.0) for k in keys], pa.float64())],
+            ["host", "path", "votes", "own"])
 
 
-def extract(source: str, winners: list[str]) -> tuple[str, str | None]:
-    """(text, path it lies under) of one page by its host's winning paths."""
-    page = Page(source)
+def extract(source: str, winners: list[str], parts: list[str] = ()) -> tuple[str, str | None]:
+    """(text, path it lies under) of one page by its host's winning paths and parts."""
+    page, parts = Page(source), set(parts)
     for path in winners:
-        inside = {c for c, p in enumerate(page.path) if p == path}
-        text = page.text_under(inside) if inside else ""
+        base = {c for c, p in enumerate(page.path) if p == path}
+        text = page.text_of(base, parts) if base else ""
         if text:
             return text, path
     score = page.scores()
     if not score:
         return "", None
     best = max(score, key=lambda c: (score[c], -c))
-    return page.text_under({best}), page.path[best]
+    return page.text_of({best}, page.parts()), page.path[best]
 
 
 def host_of(url: str):
@@ -208,20 +256,23 @@ def host_of(url: str):
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, paths): the winning paths of each host, best first."""
+    """(host, paths, parts): the winning paths of each host, best first, and its parts."""
     votes = (pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html"))
-             .mapInArrow(_votes, "host string, path string, votes double")
-             .groupBy("host", "path").agg(F.sum(F.round("votes", 6).cast("decimal(28,6)")).alias("votes")))
-    best = votes.groupBy("host").agg(F.max("votes").alias("best"))
-    return (votes.join(best, "host").where(F.col("votes") >= F.col("best") * min_share).groupBy("host")
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path"))).alias("p"))
-            .select("host", F.col("p.path").alias("paths")))
+             .mapInArrow(_votes, "host string, path string, votes double, own double").groupBy("host", "path")
+             .agg(*[F.sum(F.round(c, 6).cast("decimal(28,6)")).alias(c) for c in ("votes", "own")]))
+    best = votes.groupBy("host").agg(F.max("votes").alias("best"), F.max("own").alias("best_own"))
+    wins, part = F.col("votes") >= F.col("best") * min_share, F.col("own") >= F.greatest(F.col("best_own") * min_share, F.lit(1e-6))
+    return (votes.join(best, "host").where(wins | part).groupBy("host")
+            .agg(F.sort_array(F.collect_list(F.when(wins, F.struct((-F.col("votes")).alias("v"), "path")))).alias("p"),
+                 F.sort_array(F.collect_list(F.when(part, F.col("path")))).alias("parts"))
+            .select("host", F.col("p.path").alias("paths"), "parts"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, path) of every page."""
-    def read(sources: pa.Array, winners: pa.Array) -> pa.Array:
-        out = [extract(s or "", w or []) for s, w in zip(sources.to_pylist(), winners.to_pylist())]
+    def read(sources: pa.Array, winners: pa.Array, parts: pa.Array) -> pa.Array:
+        out = [extract(s or "", w or [], p or [])
+               for s, w, p in zip(sources.to_pylist(), winners.to_pylist(), parts.to_pylist())]
         return pa.StructArray.from_arrays([pa.array([t for t, _ in out], pa.string()),
                                            pa.array([p for _, p in out], pa.string())], ["text", "path"])
 
@@ -229,4 +280,4 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                        host_of(url_col).alias("host"))
     reader = F.arrow_udf(read, "struct<text:string,path:string>")
     return (own.join(host_paths(pages, url_col, html_col), "host", "left")
-            .withColumn("r", reader("html", "paths")).select("page_id", "url", "r.text", "r.path"))
+            .withColumn("r", reader("html", "paths", "parts")).select("page_id", "url", "r.text", "r.path"))

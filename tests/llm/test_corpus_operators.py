@@ -121,6 +121,26 @@ def test_html_host_consensus(spark):
     assert len(out) == len(rows) and html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+def html_texts(spark, bodies):
+    """Texts of pages of one host with short and long variants of the same layout."""
+    df = spark.createDataFrame([(i, "http://h.example/%d" % i, b) for i, b in enumerate(bodies)],
+                               "page_id long, url string, html string")
+    return [r.text for r in html_extract.extract_pages(df).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("layout", [
+    "<article><header><h1>{a}</h1><p>{b}</p></header><div class=entry><p>{c}</p></div></article>",
+    "<article><section class=lead><p>{a}</p><p>{b}</p></section><section class=rest><p>{c}</p></section></article>",
+    "<article><section class=a><div class=x><p>{a}</p></div><div class=x><p>{b}</p></div></section>"
+    "<section class=b><div class=y><p>{c}</p></div></section></article>",
+    "<div class=post><div class=one><p>{a}</p><p>{b}</p></div><div class=two><p>{c}</p></div></div>"])
+def test_html_whole_article(spark, layout):
+    """No part of an article goes, however its text is spread over boxes."""
+    parts = [("head " * 4, "lead " * 8, "body " * (40 + k)) for k in range(12)]
+    pages = ["<body><div class=extra><p>x y</p></div>" + layout.format(a=a, b=b, c=c) + "</body>" for a, b, c in parts]
+    assert html_texts(spark, pages) == ["\n".join(" ".join(x.split()) for x in p) for p in parts]
+
+
 def test_html_query_pages(spark):
     import html
     from losslens.llm import queries
