@@ -3,7 +3,8 @@
 1. Each page is read into containers and text blocks.  What can't be article
    text is never recorded: scripts, styles, forms, menus, asides, page
    headers and footers.  A block counts for its container with its length
-   less its link text, and by half for each container further up.
+   less its link text, and by half for each container further up (to a box of
+   4. at most).
 2. Containers vote with their share of the page's score for their path: tags
    and classes from the root, with digits generalised.  Votes are summed per
    host and path in Spark; a hot host is pre-aggregated in every task.
@@ -13,8 +14,12 @@
    text under, the article (else main) around it, and all its parts but those
    of other articles; a part above the winner gives its own blocks alone.  A
    page with none of the winning paths uses its own best container and parts.
-4. Boxes whose class, id or role says advert, notice, sidebar, comment and the
-   like are never read.
+4. A box whose class, id or role says advert, notice, sidebar, comment and the
+   like counts for less (``PENALTY``) and has paths of its own.  It is read
+   where its path wins; within the article also where it is a part, unless
+   it's for comments.  Such words mean nothing beside ``STATES`` and on body,
+   main, headings and paragraphs, and on an article only lower its score,
+   unless it's a comment in another article.
 
 White space inside a block becomes one blank, blocks are joined by line feeds.
 
@@ -36,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_SHARE = 0.1
-PENALTY = {"": 1.0, "other": 0.0, "comments": 0.0}
+PENALTY = {"": 1.0, "other": 0.5, "comments": 0.02}
 
 # fixed values: element names of HTML by what they mean for the text
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noembed", "noframes", "xmp"}
@@ -50,9 +55,9 @@ CONTAINERS = {"body", "article", "section", "main", "div", "td"}
 #: a start tag closes these open ones on top of the stack
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tr": {"td", "th", "tr"}}
-#: only words for comments tell what these hold
-PLAIN = {"html", "body", "main", "article"}
-# fixed values: words of class, id and role that mark what is not the article
+#: class, id and role don't tell what these hold
+PLAIN = {"html", "body", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6"}
+# fixed values: words of class, id and role that mark what is hardly the article
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "responses"}
 OTHER = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "adbox", "banner", "breadcrumb",
          "breadcrumbs", "consent", "cookie", "cookies", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar",
@@ -60,6 +65,9 @@ OTHER = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "a
          "promoted", "related", "search", "share", "sharing", "sidebar", "skip", "social", "sponsor", "sponsored",
          "subscribe", "toolbar", "topbar", "widget", "widgets", "alert", "contentinfo", "complementary", "paywall"}
 
+#: class names with one of these tell of a state, as in comments-open, ad-free, page-with-sidebar
+STATES = {"open", "closed", "has", "no", "with", "without", "free", "off"}
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -136,13 +144,14 @@ class Page:
                 elif name == "hidden" or name == "aria-hidden" and value == "true":
                     hidden = True
                 else:
-                    words.update(_WORDS.findall(value))
+                    for found in map(set, map(_WORDS.findall, value.split())):
+                        words |= found if not found & STATES else set()
         skips, inside = self._skips, [s[0] for s in self.stack]
         skips = skips or hidden or tag in SKIPPED or (
             tag == "header" and "article" not in inside and "main" not in inside)
         container = self.stack[-1][1] if self.stack else 0
-        said = "comments" if words & COMMENTS else "other" if words & OTHER and tag not in PLAIN else ""
-        starts = bool(said)
+        said = "" if tag in PLAIN else "comments" if words & COMMENTS else "other" if words & OTHER else ""
+        starts = bool(said) and (tag != "article" or said == "comments" and "article" in inside)
         if not skips and (tag in CONTAINERS or starts):
             kind = self.kind[container]
             if tag in ("article", "main") and kind == "other" and not words & OTHER:
@@ -178,9 +187,10 @@ class Page:
     def scores(self) -> dict[int, float]:
         score = defaultdict(float)
         for container, worth in self.own().items():
-            while container >= 0:
-                score[container] += worth
+            score[container] += worth
+            while not self.starts[container] and self.parent[container] >= 0:
                 container, worth = self.parent[container], worth / 2
+                score[container] += worth
         return score
 
     def parts(self) -> set[str]:
@@ -203,10 +213,12 @@ class Page:
         for c in roots:
             while (c := self.parent[c]) >= 0:
                 above.add(c)
-        under, take = [False] * len(self.path), [0] * len(self.path)  # take: 1 own blocks, 2 those below too
+        under, near = [False] * len(self.path), [False] * len(self.path)  # near: not just under body
+        take = [0] * len(self.path)  # 1 own blocks, 2 those below too
         for c, path in enumerate(self.path):
             up = self.parent[c]
             under[c] = c in roots or up >= 0 and under[up]
+            near[c] = c in roots and self.tag[c] not in ("html", "body") or up >= 0 and near[up]
             if c in roots or up >= 0 and take[up] == 2 and not self.starts[c]:
                 take[c] = 2
             elif not self.kind[c]:
@@ -214,6 +226,8 @@ class Page:
                     take[c] = 2
                 elif path in parts and (article[c] < 0 or article[c] in own_articles or -1 in own_articles):
                     take[c] = 1 if c in above else 2
+            elif self.kind[c] == "other" and near[c] and path in parts:
+                take[c] = 2
         return "\n".join(text for c, text, _ in self.blocks if take[c])
 
 

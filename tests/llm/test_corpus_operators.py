@@ -141,6 +141,32 @@ def test_html_whole_article(spark, layout):
     assert html_texts(spark, pages) == ["\n".join(" ".join(x.split()) for x in p) for p in parts]
 
 
+@pytest.mark.parametrize("layout", [
+    "<body class='single comments-open'><div class=post><p>{a}</p><p>{b}</p></div></body>",
+    "<article class='post has-comments'><p>{a}</p><p>{b}</p></article>",
+    "<main id=search><p>{a}</p><p>{b}</p></main>",
+    "<article><h2 id='related-work'>{a}</h2><p id='notice-1' class=reply>{b}</p></article>",
+    "<div class='content ad-free'><p>{a}</p><p>{b}</p></div>",
+    "<div class='content sponsor'><p>{a}</p><p>{b}</p></div>",
+    "<div class='post comments-open'><p>{a}</p><p>{b}</p></div>",
+    "<article><p>{a}</p><section id='search-methods'><div class=x><p>{b}</p></div></section></article>",
+    "<div class=post><p>{b}</p><section id='search-methods'><p>{a}</p></section></div>"])
+def test_html_words_of_class_do_not_discard_the_article(spark, layout):
+    """Nor do comments, adverts and side boxes come in."""
+    parts = [("some words " * 12, "other text " * (20 + k)) for k in range(12)]
+    rest = ("<div class=sidebar><p>" + "side " * 40 + "</p></div><div id=comments><article class=comment><p>" + "reply " * 300 +
+            "</p></article></div><ul class=social><li>share it</ul>")
+    pages = []
+    for a, b in parts:
+        page = layout.format(a=a, b=b).replace("</article>", "<div class=ad>Buy</div><ol class=commentlist><li><p>"
+                                               + "mine " * 300 + "</p></ol></article>")
+        pages.append(page.replace("</body>", rest + "</body>") if "</body>" in page else f"<body>{page}{rest}</body>")
+    first, second = ("b", "a") if layout.index("{b}") < layout.index("{a}") else ("a", "b")
+    want = ["\n".join(" ".join({"a": a, "b": b}[x].split()) for x in (first, second)) for a, b in parts]
+    assert html_texts(spark, pages) == want
+    assert [html_extract.extract(p, [])[0] for p in pages] == want  # without a host's votes
+
+
 def test_html_query_pages(spark):
     import html
     from losslens.llm import queries
