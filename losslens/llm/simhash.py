@@ -185,15 +185,19 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
              shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The document of least id of each component, with all its columns.
 
-    Rows that share a kept id leave one row, that of the least text hash.
-    Rows without an id belong to no document and stay."""
+    Each row is judged by its own text's component.  Rows that share a kept id
+    and have it as the least of their components leave one row, that of the
+    least text hash.  Rows without an id belong to no document and stay."""
     named = documents.where(F.col(id_col).isNotNull())
     of_id = simhash_components(named, id_col, text_col, shingle, distance)
-    kept = of_id.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("n")).where("doc_id = c")
+    texts = checkpoint(of_id.groupBy("doc_id", "fp").agg(F.max("component_id").alias("c"), F.count("*").alias("n")))
+    kept = texts.groupBy("doc_id").agg(F.max(F.expr("doc_id = c")).alias("least"), F.sum("n").alias("n")).where("least")
     kept = checkpoint(kept.select(F.col("doc_id").alias("kept_id"), "n"))
     row = documents.select(F.struct("*").alias("row"))
     out = row.join(kept, F.col("row")[id_col] == F.col("kept_id"))
-    once = (out.where("n > 1").groupBy("kept_id")
+    least = texts.where("doc_id = c").select(F.col("doc_id").alias("kept_id"), "fp")
+    once = (out.where("n > 1").withColumn("fp", fingerprint_column(F.col("row")[text_col], shingle))
+            .join(least, ["kept_id", "fp"], "left_semi").groupBy("kept_id")
             .agg(F.min_by("row", F.xxhash64(F.col("row")[text_col])).alias("row")).select("row.*"))
     return out.where("n = 1").select("row.*").union(once).union(documents.where(F.col(id_col).isNull()))
 

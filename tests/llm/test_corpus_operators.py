@@ -344,6 +344,13 @@ def test_simhash_odd_rows_and_keep_one(spark, odd):
     assert simhash.keep_one(odd.limit(0)).count() == 0
 
 
+def test_simhash_keeps_one_row_of_each_component_of_a_repeated_id(spark):
+    say = lambda x: " ".join(f"{x}{k}" for k in range(60))
+    rows = [(1, say("a")), (2, say("a")), (2, say("b")), (3, say("b")), (4, say("c")), (4, say("c")), (5, say("d"))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [rows[0], rows[2], rows[4], rows[6]]
+
+
 # 7 toxicity --------------------------------------------------------------------------------------------------------
 
 def test_forward_backward_brute():
