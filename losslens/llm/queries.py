@@ -4,10 +4,11 @@ to whole tables with production parameters, and their SQL twins."""
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from losslens.llm import (
-    byte_bpe, chat_format, decontaminate, exact_substrings, html_extract, pseudonyms, quality_rules, simhash,
-    token_files, toxicity)
+    byte_bpe, chat_format, decontaminate, exact_substrings, fill_in_middle, html_extract, pseudonyms, quality_rules,
+    simhash, token_files, toxicity)
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -90,6 +91,32 @@ def op10_suffix_array(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_fill_in_middle(spark, sf_dir):
+    out = fill_in_middle.restored(fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(cast(doc_id AS varchar), '')) AS h FROM documents),
+c AS (
+  SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (length(t) + 1) AS a,
+    ('0x' || substr(h, 9, 8))::BIGINT % (length(t) + 1) AS b, ('0x' || substr(h, 17, 8))::BIGINT % 100 AS p,
+    ('0x' || substr(h, 25, 8))::BIGINT % 100 AS q FROM d),
+f AS (
+  SELECT doc_id, t, n, substr(t, 1, least(a, b)) AS prefix, substr(t, least(a, b) + 1, abs(a - b)) AS middle,
+    substr(t, greatest(a, b) + 1) AS suffix, least(a, b) AS x, abs(a - b) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain'
+      WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN y END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html": op2_html,
@@ -101,6 +128,7 @@ QUERIES = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_array": op10_suffix_array,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op13_fill_in_middle": OP13_SQL}
