@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from losslens.llm import (
-    byte_bpe, chat_format, decontaminate, exact_substrings, fill_in_middle, html_extract, pseudonyms, quality_rules,
-    simhash, token_files, toxicity)
+    byte_bpe, chat_format, decontaminate, exact_substrings, fill_in_middle, html_extract, merge_automaton,
+    pseudonyms, quality_rules, simhash, token_files, toxicity)
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -91,6 +91,12 @@ def op10_suffix_array(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_merge_automaton(spark, sf_dir):
+    out = merge_automaton.encode_and_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                            public_tokenizers.path(WORD_BPE))
+    return out.select("doc_id", *merge_automaton.digests(out))
+
+
 def op13_fill_in_middle(spark, sf_dir):
     out = fill_in_middle.restored(fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -128,6 +134,7 @@ QUERIES = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_array": op10_suffix_array,
+    "op12_merge_automaton": op12_merge_automaton,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
