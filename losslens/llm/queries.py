@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from losslens.llm import (
     byte_bpe, chat_format, decontaminate, exact_substrings, fill_in_middle, html_extract, merge_automaton,
-    pseudonyms, quality_rules, simhash, token_files, toxicity)
+    prefix_trie, pseudonyms, quality_rules, simhash, token_files, toxicity)
 from losslens.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -91,6 +91,42 @@ def op10_suffix_array(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = """
+WITH s AS (
+  SELECT conv_id, list({'key': sha256(strlen(role) || ':' || role || text),
+      'words': len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))}
+    ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS seq,
+    list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]),
+        lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::UBIGINT) ELSE y >> 1 END)) AS crc
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+h AS (SELECT *, xor(crc, 4294967295::UBIGINT) % 4 AS h FROM s),
+r AS (
+  SELECT a.conv_id, CASE WHEN b.conv_id IS NULL THEN a.seq[a.h + 1:] ELSE b.seq[1:a.h] || a.seq[a.h + 1:] END AS seq
+  FROM h a LEFT JOIN h b ON b.conv_id = a.conv_id - a.conv_id % 20),
+m AS (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS depth FROM r),
+n AS (
+  SELECT list_transform(seq[1:depth], lambda x: x.key) AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(CASE WHEN depth > 0 THEN seq[depth].words ELSE 0 END) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(seq) = depth), '')) AS ends_sha256
+  FROM m GROUP BY ALL),
+c AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (path)),
+t AS (
+  SELECT path[1:d] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+    sum((n_convs - 1) * words) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM k) GROUP BY 1)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, t.n_leaves::BIGINT AS n_leaves,
+  t.saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM k JOIN t USING (path) LEFT JOIN k p ON k.depth > 0 AND p.path = k.path[1:k.depth - 1]
+"""
+
+
 def op12_merge_automaton(spark, sf_dir):
     out = merge_automaton.encode_and_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                             public_tokenizers.path(WORD_BPE))
@@ -134,8 +170,10 @@ QUERIES = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_array": op10_suffix_array,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merge_automaton": op12_merge_automaton,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op13_fill_in_middle": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op11_prefix_trie": OP11_SQL,
+                              "op13_fill_in_middle": OP13_SQL}
