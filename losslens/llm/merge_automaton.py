@@ -27,9 +27,8 @@ Strings of added tokens are found in the text as it is, before normalizing.
 
 Defined cases: null text encodes as empty: no ids.  Null ids decode as the
 empty string, an id outside the vocabulary raises.  Row order, ties and
-repeated rows do not matter: all columns are row-local.  Input columns whose
-names meet the output's (``ids``, ``decoded``) raise instead of being replaced;
-other columns pass through.  Empty tables give empty results.  A tokenizer
+repeated rows do not matter: all columns are row-local.  Input columns
+called ``ids`` or ``decoded`` are replaced, all others pass through.  Empty tables give empty results.  A tokenizer
 file with other parts than the ones described raises when it is read.
 """
 
@@ -50,7 +49,7 @@ from losslens.llm.common import text_blocks
 
 WORD_END = "</w>"
 FINAL = 256  # added to the last symbol of a word
-CACHE = 400_000  # chunks, and words, that a task remembers
+CACHE = 300_000  # chunks, and words, that a task remembers
 BLOCK = 1 << 23  # bytes of text encoded at once
 CELLS = 1 << 18  # cells of a matrix of words
 TOKENS = 1 << 18  # ids decoded at once
@@ -186,7 +185,8 @@ class Encoder:
             label[at] = x
         self.go, self.label = PairTable(go), np.array(label, np.int64)
         self.longest = max(map(len, spelled.values()))
-        self._forget()
+        self.chunks, self.chunk_runs = Numbering(), Runs()
+        self.words, self.word_runs = Numbering(), Runs()
 
     @staticmethod
     def _require(spec: dict) -> None:
@@ -201,10 +201,6 @@ class Encoder:
         if not fits:
             raise ValueError("not a tokenizer file of the kind described")
 
-    def _forget(self):
-        self.chunks, self.chunk_runs = Numbering(), Runs()
-        self.words, self.word_runs = Numbering(), Runs()
-
     def read(self, words: list[bytes]) -> Runs:
         """Ids of non-empty words, in order."""
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -322,8 +318,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, ids per text)."""
-        if len(self.chunks) > CACHE or len(self.words) > CACHE:
-            self._forget()
+        if len(self.chunks) > CACHE:
+            self.chunks, self.chunk_runs = Numbering(), Runs()
+        if len(self.words) > CACHE:
+            self.words, self.word_runs = Numbering(), Runs()
         rows, count = [], []
         for t in texts:
             cut = t.replace("\n", " ").split(" ")
@@ -353,16 +351,45 @@ def arc_labels(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in table])))
 
 
+def _encoded(texts: pa.Array, path: str) -> pa.Array:
+    found = [encoder(path).encode(block) for block in text_blocks(texts, BLOCK)]
+    at = np.zeros(len(texts) + 1, np.int32)
+    if found:
+        np.cumsum(np.concatenate([size for _, size in found]), out=at[1:])
+    flat = np.concatenate([ids for ids, _ in found]) if found else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat, pa.int32()))
+
+
+def _packed(lists: pa.Array) -> pa.Array:
+    flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+    at = (4 * lists.offsets.to_numpy().astype(np.int64)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(at), pa.py_buffer(flat)])
+
+
+def _decoded(lists: pa.Array, path: str) -> pa.Array:
+    raw, start = arc_labels(path)
+    flat = lists.values.to_numpy(zero_copy_only=False)
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(start) - 1 or (start[flat + 1] == start[flat]).any()):
+        raise ValueError("id outside the vocabulary")
+    first = lists.offsets.to_numpy().astype(np.int64)
+    size = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    out, k, after = [], 0, np.cumsum(size)
+    while k < len(size):
+        n = max(k + 1, int(np.searchsorted(after, (after[k - 1] if k else 0) + TOKENS, "right")))
+        rows = np.concatenate([flat[a:a + s] for a, s in zip(first[k:n], size[k:n])])
+        letters, width = gather(raw, start, rows)
+        ends = np.concatenate(([0], np.cumsum(width)))[np.concatenate(([0], np.cumsum(size[k:n])))]
+        joined = letters.tobytes()
+        out += [joined[a:b - 1] if b > a else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        k = n
+    return pa.array(out, pa.binary()).cast(pa.string())
+
+
 def encode_column(text: Column, path: str) -> Column:
     """Column of array<int> with the ids of a text column."""
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        found = [encoder(path).encode(block) for block in text_blocks(texts, BLOCK)]
-        at = np.zeros(len(texts) + 1, np.int32)
-        if found:
-            np.cumsum(np.concatenate([size for _, size in found]), out=at[1:])
-        flat = np.concatenate([ids for ids, _ in found]) if found else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(flat, pa.int32()))
+        return _encoded(texts, path)
     return ids(text)
 
 
@@ -370,45 +397,27 @@ def decode_column(ids: Column, path: str) -> Column:
     """Column of string with the labels of an array<int> column of ids."""
     @F.arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
-        raw, start = arc_labels(path)
-        flat = lists.values.to_numpy(zero_copy_only=False)
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(start) - 1 or (start[flat + 1] == start[flat]).any()):
-            raise ValueError("id outside the vocabulary")
-        first = lists.offsets.to_numpy().astype(np.int64)
-        size = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-        out, k, after = [], 0, np.cumsum(size)
-        while k < len(size):
-            n = max(k + 1, int(np.searchsorted(after, (after[k - 1] if k else 0) + TOKENS, "right")))
-            rows = np.concatenate([flat[a:a + s] for a, s in zip(first[k:n], size[k:n])])
-            letters, width = gather(raw, start, rows)
-            ends = np.concatenate(([0], np.cumsum(width)))[np.concatenate(([0], np.cumsum(size[k:n])))]
-            joined = letters.tobytes()
-            out += [joined[a:b - 1] if b > a else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            k = n
-        return pa.array(out, pa.binary()).cast(pa.string())
+        return _decoded(lists, path)
     return text(ids)
 
 
-def id_bytes(ids: Column) -> Column:
-    """Binary column: ids as little-endian unsigned 32-bit integers."""
-    @F.arrow_udf("binary")
-    def raw(lists: pa.Array) -> pa.Array:
-        flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-        size = lists.value_lengths().fill_null(0).to_numpy()
-        return pa.array([flat[a:a + s].tobytes() for a, s in zip(lists.offsets.to_numpy(), size)], pa.binary())
-    return raw(ids)
+def encode_and_decode(documents: DataFrame, path: str, text_col: str = "text", packed: bool = False) -> DataFrame:
+    """Adds ``ids`` (array<int>; ``packed``: binary, little-endian unsigned
+    32-bit integers) and ``decoded`` (string, from the ids).
 
+    One function makes both: a second one would run beside it in workers of
+    its own, or run the encoder again."""
+    @F.arrow_udf(f"struct<ids:{'binary' if packed else 'array<int>'},decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _encoded(texts, path)
+        return pa.StructArray.from_arrays([_packed(ids) if packed else ids, _decoded(ids, path)], ["ids", "decoded"])
 
-def encode_and_decode(documents: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """Adds ``ids`` (array<int>) and ``decoded`` (string, from the ids)."""
-    taken = {"ids", "decoded"} & {c.lower() for c in documents.columns}
-    if taken:
-        raise ValueError(f"input already has the columns {sorted(taken)}")
-    return (documents.withColumn("ids", encode_column(F.col(text_col), path))
-            .withColumn("decoded", decode_column(F.col("ids"), path)))
+    out = documents.select(F.struct("*").alias("row"), both(F.col(text_col)).alias("b"))
+    own = [F.col("row")[c].alias(c) for c in documents.columns if c.lower() not in ("ids", "decoded")]
+    return out.select(*own, F.col("b.ids").alias("ids"), F.col("b.decoded").alias("decoded"))
 
 
-def digests(encoded: DataFrame) -> list[Column]:
-    """Columns n_tokens, ids_sha256 and decoded_sha256 of an encoded table."""
-    return [F.size("ids").cast("long").alias("n_tokens"), F.sha2(id_bytes(F.col("ids")), 256).alias("ids_sha256"),
+def digests() -> list[Column]:
+    """Columns n_tokens, ids_sha256 and decoded_sha256 of a table with packed ids."""
+    return [F.expr("cast(octet_length(ids) div 4 AS bigint)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
             F.sha2("decoded", 256).alias("decoded_sha256")]

@@ -129,8 +129,8 @@ FROM k JOIN t USING (path) LEFT JOIN k p ON k.depth > 0 AND p.path = k.path[1:k.
 
 def op12_merge_automaton(spark, sf_dir):
     out = merge_automaton.encode_and_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                            public_tokenizers.path(WORD_BPE))
-    return out.select("doc_id", *merge_automaton.digests(out))
+                                            public_tokenizers.path(WORD_BPE), packed=True)
+    return out.select("doc_id", *merge_automaton.digests())
 
 
 def op13_fill_in_middle(spark, sf_dir):

@@ -126,14 +126,20 @@ def test_odd_rows(spark, library):
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string, text2 long")
     out = merge_automaton.encode_and_decode(df, WORD_BPE)
     assert out.columns == ["doc_id", "text", "n_tokens", "text2", "ids", "decoded"]
-    got = out.select("text", "ids", "decoded", *merge_automaton.digests(out)).collect()
-    assert len(got) == len(rows)
+    got = out.select("text", "ids", "decoded").collect()
+    packed = merge_automaton.encode_and_decode(df, WORD_BPE, packed=True).select("text", *merge_automaton.digests())
+    assert len(got) == len(rows) == packed.count()
+    for r in packed.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    again = out.withColumn("d", merge_automaton.decode_column(merge_automaton.encode_column(out["text"], WORD_BPE), WORD_BPE))
+    assert again.where("d <> decoded").count() == 0
     for r in got:
         ids = library.encode(r.text or "", add_special_tokens=False).ids
-        assert r.ids == ids and r.decoded == library.decode(ids, skip_special_tokens=False) and r.n_tokens == len(ids)
+        assert r.ids == ids and r.decoded == library.decode(ids, skip_special_tokens=False)
     assert merge_automaton.encode_and_decode(df.limit(0), WORD_BPE).count() == 0
-    with pytest.raises(ValueError, match="already has"):
-        merge_automaton.encode_and_decode(df.withColumnRenamed("n_tokens", "ids"), WORD_BPE)
+    clash = merge_automaton.encode_and_decode(df.withColumnRenamed("n_tokens", "ids"), WORD_BPE)
+    assert clash.columns == ["doc_id", "text", "text2", "ids", "decoded"] and clash.where("size(ids) > 0").count() == 5
     nulls = spark.sql("SELECT cast(NULL AS array<int>) AS ids")
     assert nulls.select(merge_automaton.decode_column(nulls["ids"], WORD_BPE).alias("t")).first().t == ""
     wrong = spark.sql("SELECT array(70000) AS ids")
