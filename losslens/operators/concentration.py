@@ -40,11 +40,12 @@ def qcut_n_bins(q: int):
 
 
 def price_tier(df: DataFrame, value: str = "sale_price",
-               labels=("low", "medium", "high")) -> DataFrame:
+               labels=("low", "medium", "high"), edges: DataFrame | None = None) -> DataFrame:
     """Tercile tiers.  With labels, pandas raises when an edge collapses
-    (Q7): a collapsed edge raises the same ``ValueError`` here."""
+    (Q7): a collapsed edge raises the same ``ValueError`` here.  ``edges``: the
+    row of edges, if another pass has found it."""
     q = len(labels)
-    edges = qcut_edges(df, value, q)
+    edges = cut_lineage(qcut_edges(df, value, q) if edges is None else edges)  # one row
     e = edges.first()
     vals = [e[f"_e{i}"] for i in range(q + 1)]
     if any(v is None for v in vals) or len(set(vals)) < len(vals):

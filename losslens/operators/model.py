@@ -2,9 +2,9 @@
 
 * split / folds: exact stratified counts from hashed ranks (``reshape``);
 * imputation and scaling: exact SQL medians / z-scores fitted on train;
-* models: ``LogisticRegression`` / ``RandomForestClassifier`` /
-  ``GBTClassifier`` with balanced class weights (``weightCol``), grid search
-  by ``CrossValidator`` over a precomputed stratified ``foldCol``;
+* models: ``LogisticRegression`` in a ``CrossValidator`` over a precomputed
+  stratified ``foldCol``; forests and boosted trees of all grid points, folds,
+  feature sets and label scenarios in shared passes (``trees``);
 * metrics: exact ROC AUC from the rank-sum formula (distributed ranks),
   confusion counts from one ``groupBy``.
 """
@@ -12,9 +12,10 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from losslens.functions import dist
+from losslens.operators import trees as T
 from losslens.operators.ordered import group_quantiles, positions
 from losslens.operators.reshape import fold_column, stratified_split
 from losslens.session import cut_lineage
@@ -65,31 +67,32 @@ def prepare_modeling_data(df: DataFrame, features=None, target: str = RQ3_TARGET
 
 
 # ------------------------------------------------------------------ M2
-def screen_features(train: DataFrame, features, target: str = RQ3_TARGET,
-                    variance_threshold: float = 0.01, correlation_threshold: float = 0.85,
-                    significance_level: float = 0.05, use_variance_gate: bool = True,
-                    use_correlation_gate: bool = True, use_univariate_gate: bool = True):
-    """M2: three gates on the training rows.  Variances, every feature-pair
-    correlation and every feature-target point-biserial r come from ONE
-    aggregate; the greedy rule (D16: a pair counts even when one side is
-    already dropped) runs on the small result.  Returns (survivors, report)."""
-    feats = list(features)
-    pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
-    one = train.agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.var_pop(c).alias(f"v_{c}") for c in feats],
-                    *[F.corr(c, target).alias(f"y_{c}") for c in feats],
-                    *[F.corr(a, b).alias(f"c_{a}__{b}") for a, b in pairs]).first()
+def _pairs(feats) -> list[tuple[str, str]]:
+    return [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
+
+
+def _screen_measures(feats, target: str) -> list:
+    """Variances, correlations with the target and of all pairs: one aggregate."""
+    return [F.count(F.lit(1)).alias("_n"), *[F.var_pop(c).alias(f"v_{c}") for c in feats],
+            *[F.corr(c, target).alias(f"y_{c}") for c in feats],
+            *[F.corr(a, b).alias(f"c_{a}__{b}") for a, b in _pairs(feats)]]
+
+
+def _screen(one, feats, variance_threshold: float = 0.01, correlation_threshold: float = 0.85,
+            significance_level: float = 0.05, use_variance_gate: bool = True, use_correlation_gate: bool = True,
+            use_univariate_gate: bool = True) -> tuple[list[str], list[tuple]]:
+    """The gates on one row of measures: (survivors, report rows).  The greedy
+    rule counts a pair even when one side is already dropped (D16)."""
     n = one["_n"]
     var_pass = {c: (one[f"v_{c}"] or 0.0) > variance_threshold for c in feats}
     after_var = [c for c in feats if var_pass[c]] if use_variance_gate else list(feats)
     drop_corr = set()
     if use_correlation_gate:
-        for i, a in enumerate(after_var):
-            for b in after_var[i + 1:]:
-                r = one[f"c_{a}__{b}"] if f"c_{a}__{b}" in one.asDict() else one[f"c_{b}__{a}"]
-                if r is not None and abs(r) > correlation_threshold:
-                    ra, rb = abs(one[f"y_{a}"] or 0.0), abs(one[f"y_{b}"] or 0.0)
-                    drop_corr.add(b if ra >= rb else a)
+        for a, b in _pairs(after_var):
+            r = one[f"c_{a}__{b}"]
+            if r is not None and abs(r) > correlation_threshold:
+                ra, rb = abs(one[f"y_{a}"] or 0.0), abs(one[f"y_{b}"] or 0.0)
+                drop_corr.add(b if ra >= rb else a)
     after_corr = [c for c in after_var if c not in drop_corr]
     alpha = significance_level / len(after_corr) if after_corr else significance_level
     rows, survivors = [], []
@@ -108,11 +111,74 @@ def screen_features(train: DataFrame, features, target: str = RQ3_TARGET,
                      None if c not in after_var else (c not in drop_corr),
                      None if r is None else float(r), None if p != p else float(p), uni,
                      "selected" if c in survivors else "dropped"))
-    report = train.sparkSession.createDataFrame(
-        rows, "feature string, variance double, variance_pass boolean, correlation_pass boolean, "
-              "univariate_corr double, univariate_pvalue double, univariate_pass boolean, "
-              "final_status string")
-    return survivors, report
+    return survivors, rows
+
+
+_SCREEN_REPORT = ("feature string, variance double, variance_pass boolean, correlation_pass boolean, "
+                  "univariate_corr double, univariate_pvalue double, univariate_pass boolean, final_status string")
+
+
+def screen_features(train: DataFrame, features, target: str = RQ3_TARGET, **gates):
+    """M2: three gates on the training rows.  Returns (survivors, report)."""
+    feats = list(features)
+    survivors, rows = _screen(train.agg(*_screen_measures(feats, target)).first(), feats, **gates)
+    return survivors, train.sparkSession.createDataFrame(rows, _SCREEN_REPORT)
+
+
+# ------------------------------------------------------------------ label scenarios
+@dataclass
+class Scenarios:
+    """Rows with one label and one part for each scenario.
+
+    ``rows``: binned (id, row_key, bins, labels, parts); ``long``: one row for
+    each (scenario, id) with label, part and the imputed features."""
+    rows: DataFrame
+    long: DataFrame
+    features: list[str]
+    edges: list
+    fills: np.ndarray | None
+    folds: int
+
+    def columns(self, names) -> tuple[int, ...]:
+        return tuple(self.features.index(c) for c in names)
+
+    def screened(self, names=None, **gates) -> dict[int, list[str]]:
+        """M2's survivors in every scenario, from one aggregate."""
+        feats = list(names or self.features)
+        found = (self.long.where("part >= 0").groupBy("scenario").agg(*_screen_measures(feats, "label")).collect())
+        return {one["scenario"]: _screen(one, feats, **gates)[0] for one in found}  # one row a scenario
+
+
+def label_scenarios(customers: DataFrame, labels: DataFrame, n: int, features=None, id_col: str = "user_id",
+                    folds: int = 5, test_size: float = 0.2, seed: int = 42) -> Scenarios:
+    """M1 for all scenarios at once: ``labels`` is (scenario 0 .. n - 1, id,
+    label).  Each scenario is split and dealt into folds by its own labels and
+    imputed with the medians of its own training rows."""
+    features = list(features or RQ3_CANDIDATE_FEATURES)
+    d = labels.select("scenario", id_col, F.col("label").cast("int").alias("label"))
+    d = stratified_split(d.withColumn("_g", F.concat_ws(":", "scenario", "label")), "_g", id_col, test_size, seed)
+    d = fold_column(d.withColumn("_g", F.concat_ws(":", "_g", "is_test")), "_g", id_col, folds, seed)
+    d = cut_lineage(d.select("scenario", id_col, "label", F.when(F.col("is_test") == 1, T.TEST)
+                             .otherwise(F.col("fold")).alias("part")))
+    x = cut_lineage(customers.select(id_col, *[F.col(c).cast("double").alias(c) for c in features]))
+    long = d.join(x, [id_col])
+    nulls = x.agg(*[F.count(F.when(F.col(c).isNull() | F.isnan(c), 1)).alias(c) for c in features]).first()
+    edges, fills = T.bin_edges(x, features), None
+    if any(nulls):
+        med = group_quantiles(long.where("part >= 0"), ["scenario"], [(f"_med_{c}", c, 0.5) for c in features])
+        med = cut_lineage(med)
+        fills = np.zeros((n, len(features)), np.uint8)
+        for r in med.collect():  # one row a scenario
+            fills[r["scenario"]] = [np.searchsorted(e, r[f"_med_{c}"], "left") for c, e in zip(features, edges)]
+        long = long.join(F.broadcast(med), ["scenario"]).select(  # one row a scenario
+            "scenario", id_col, "label", "part", *[F.coalesce(F.nanvl(c, F.col(f"_med_{c}")), F.col(f"_med_{c}")).alias(c)
+                                                   for c in features])
+    arrays = (d.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("scenario", F.struct("label", "part"))))
+                                    .alias("m"))
+              .select(id_col, F.expr(f"transform(sequence(0, {n - 1}), s -> coalesce(m[s].label, 0))").alias("labels"),
+                      F.expr(f"transform(sequence(0, {n - 1}), s -> coalesce(m[s].part, {T.ABSENT}))").alias("parts")))
+    rows = cut_lineage(T.bin_rows(x.join(arrays, [id_col]), id_col, features, edges))
+    return Scenarios(rows, cut_lineage(long), features, edges, fills, folds)
 
 
 # ------------------------------------------------------------------ M3
@@ -122,23 +188,11 @@ RF_TREES, RF_DEPTH, RF_LEAF = [100, 200], [5, 10, 30], [5, 10]
 GB_TREES, GB_DEPTH, GB_RATE, GB_SHARE = [100, 200], [3, 5], [0.01, 0.1], [0.8, 1.0]
 
 
-def build_model_configs(n_train: int, seed: int = 42):
-    """M3: the grids as Spark ML ParamMaps.  ``C`` maps to ``regParam =
-    1 / (C n)``; an unlimited depth to 30 (Spark's maximum)."""
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w",
-                            maxIter=500, standardization=False)
-    rf = RandomForestClassifier(featuresCol="raw_features", labelCol="label", weightCol="w", seed=seed)
-    gb = GBTClassifier(featuresCol="raw_features", labelCol="label", weightCol="w", seed=seed)
-    return {
-        "Logistic Regression": (lr, ParamGridBuilder()
-                                .addGrid(lr.regParam, [1.0 / (c * n_train) for c in LR_C])
-                                .addGrid(lr.elasticNetParam, LR_L1).build()),
-        "Random Forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, RF_TREES)
-                          .addGrid(rf.maxDepth, RF_DEPTH).addGrid(rf.minInstancesPerNode, RF_LEAF).build()),
-        "Gradient Boosting": (gb, ParamGridBuilder().addGrid(gb.maxIter, GB_TREES)
-                              .addGrid(gb.maxDepth, GB_DEPTH).addGrid(gb.stepSize, GB_RATE)
-                              .addGrid(gb.subsamplingRate, GB_SHARE).build()),
-    }
+def logistic_grid(n_train: int):
+    """M3: estimator and ParamMaps; ``C`` maps to ``regParam = 1 / (C n)``."""
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", maxIter=500, standardization=False)
+    return lr, (ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n_train) for c in LR_C])
+                .addGrid(lr.elasticNetParam, LR_L1).build())
 
 
 def _scale_on_train(d: DataFrame, feats, train: DataFrame | None = None):
@@ -194,8 +248,12 @@ def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") ->
 
 def classification_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
     """M5: confusion counts (one groupBy) -> precision, recall, F1, accuracy."""
-    c = {(int(r[0]), int(r[1])): r[2] for r in
-         pred.groupBy(F.col(label).cast("int"), F.col(prediction).cast("int")).count().collect()}
+    return rates({(int(r[0]), int(r[1])): r[2] for r in
+                  pred.groupBy(F.col(label).cast("int"), F.col(prediction).cast("int")).count().collect()})
+
+
+def rates(c: dict[tuple[int, int], int]) -> dict:
+    """M5 from counts by (label, prediction)."""
     tp, fp = c.get((1, 1), 0), c.get((0, 1), 0)
     fn, tn = c.get((1, 0), 0), c.get((0, 0), 0)
     prec = tp / (tp + fp) if tp + fp else 0.0
@@ -211,37 +269,88 @@ def _with_score(pred: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M4 / M7
-def scoring_frame(d: DataFrame, feats, primary: DataFrame) -> DataFrame:
-    """Vectors of another set's rows, scaled by the primary training rows."""
-    z = _scale_on_train(d, feats, primary)
-    z = VectorAssembler(inputCols=list(feats), outputCol="raw_features").transform(z)
-    return VectorAssembler(inputCols=[f"_z_{c}" for c in feats], outputCol="features").transform(z)
-
-
-def train_and_evaluate(frame: DataFrame, feats, configs: dict, parallelism: int = 8,
-                       folds: int = 5) -> dict:
-    """M4: per model a CrossValidator (AUC, precomputed stratified folds),
-    refit on all training rows, metrics on the test rows; M7 importances."""
-    train = frame.where(F.col("is_test") == 0).persist()
-    test = frame.where(F.col("is_test") == 1)
+ROWS_A_TASK = 50_000  # training rows that one task of a linear fit reads
+
+
+def logistic(frame: DataFrame, feats, folds: int = 5, parallelism: int = 8) -> dict:
+    """M4: the logistic grid by a CrossValidator (AUC, precomputed stratified
+    folds), refitted on all training rows; M7: sizes of its coefficients."""
+    train = frame.where(F.col("is_test") == 0)
+    n = train.count()
+    train = train.coalesce(max(1, -(-n // ROWS_A_TASK))).persist()
+    est, grid = logistic_grid(n)
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", weightCol="w", numBins=0)
-    results = {}
-    for name, (est, grid) in configs.items():
-        cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="fold",
-                            numFolds=folds, parallelism=parallelism, seed=42)
-        m = cv.fit(train)
-        best = m.bestModel
-        pred = _with_score(best.transform(test))
-        met = classification_metrics(pred)
-        if name == "Logistic Regression":
-            imp = [abs(float(x)) for x in best.coefficients]
-        else:
-            imp = [float(x) for x in best.featureImportances.toArray()]
-        results[name] = {"cv_auc": float(max(m.avgMetrics)), "test_auc": exact_auc(pred),
-                         "importance": dict(zip(feats, imp)), "model": best, **met}
+    m = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds,
+                       parallelism=parallelism, seed=42).fit(train)
+    pred = _with_score(m.bestModel.transform(frame.where(F.col("is_test") == 1)))
     train.unpersist()
-    return results
+    return {"cv_auc": float(max(m.avgMetrics)), "test_auc": exact_auc(pred), **classification_metrics(pred),
+            "importance": {f: abs(float(x)) for f, x in zip(feats, m.bestModel.coefficients)}}
+
+
+def _confusion(scored: DataFrame, of: dict[int, int]) -> dict[int, dict]:
+    """M5 of the fits' own points: fit -> point."""
+    spark = scored.sparkSession
+    at = spark.createDataFrame([(int(f), int(p)) for f, p in of.items()], "fit int, point int")
+    found = (scored.join(F.broadcast(at), "fit")  # one row a fit
+             .select("fit", "label", (F.expr("scores[point]") > 0.5).cast("int").alias("prediction"))
+             .groupBy("fit", "label", "prediction").count().collect())
+    counts = {(r[0], r[1], r[2]): r[3] for r in found}
+    return {f: rates({k: counts.get((f, *k), 0) for k in ((0, 0), (0, 1), (1, 0), (1, 1))}) for f in of}
+
+
+def forest_grids(data: Scenarios, sets: dict, seed: int = 42) -> dict:
+    """M4, M7: the forest's whole grid for every set (name -> (scenario,
+    features)), all grown together; the point of best mean AUC over the folds
+    is scored on the set's test rows.
+
+    Forests of ``max(RF_TREES)`` trees down to ``max(RF_DEPTH)`` are grown for
+    each leaf size and fold; the other points are parts of them."""
+    points = [(n, d) for n in RF_TREES for d in RF_DEPTH]
+    fits = [T.Forest((name, leaf, fold), scenario, fold, data.columns(feats), leaf, max(RF_TREES), max(RF_DEPTH))
+            for name, (scenario, feats) in sets.items() for leaf in RF_LEAF for fold in (*range(data.folds), T.TEST)]
+    aucs, kept = {}, {}
+    for trees in T.grow_forests(data.rows, fits, data.fills, seed):
+        scored = cut_lineage(T.score_forests(data.rows, trees, points, data.fills))
+        found = T.auc_by_point(scored)
+        for i, f in enumerate(trees.fits):
+            aucs[f.name] = [found.get((i, k), math.nan) for k in range(len(points))]
+            if f.fold == T.TEST:
+                kept[f.name] = trees, i, scored
+    out, confusions = {}, {}
+    for name, (_, feats) in sets.items():
+        grid = [(np.mean([aucs[name, leaf, k][at] for k in range(data.folds)]), at, leaf)
+                for at in range(len(points)) for leaf in RF_LEAF]
+        cv, at, leaf = max(grid, key=lambda g: (g[0] if g[0] == g[0] else -1))  # the first of equals
+        trees, i, scored = kept[name, leaf, T.TEST]
+        confusions.setdefault(id(scored), (scored, {}))[1][i] = at
+        out[name] = {"cv_auc": float(cv), "test_auc": aucs[name, leaf, T.TEST][at], "point": (*points[at], leaf),
+                     "importance": dict(zip(feats, trees.importances(i, *points[at]).tolist())), "trees": trees, "fit": i,
+                     "scored": id(scored)}
+    rates_of = {k: _confusion(scored, of) for k, (scored, of) in confusions.items()}
+    for r in out.values():
+        r |= rates_of[r.pop("scored")][r["fit"]]
+    return out
+
+
+def boosting_grid(data: Scenarios, scenario: int, feats, seed: int = 42) -> dict:
+    """M4, M7: the boosting grid of one scenario; all its points and folds grow
+    side by side, one tree a round, and fewer rounds are a prefix of more."""
+    columns = data.columns(feats)
+    shapes = [(d, r, s) for d in GB_DEPTH for r in GB_RATE for s in GB_SHARE]
+    folds = (*range(data.folds), T.TEST)
+    fits = [T.Boost((shape, fold), scenario, fold, columns, *shape, max(GB_TREES)) for shape in shapes for fold in folds]
+    scored, importances = T.boost(data.rows, fits, sorted(GB_TREES), data.fills, seed)
+    found = T.auc_by_point(scored)
+    number = {f.name: i for i, f in enumerate(fits)}
+    grid = [(np.mean([found.get((number[shape, k], at), math.nan) for k in range(data.folds)]), at, shape)
+            for at in range(len(GB_TREES)) for shape in shapes]
+    cv, at, shape = max(grid, key=lambda g: (g[0] if g[0] == g[0] else -1))
+    i = number[shape, T.TEST]
+    return {"cv_auc": float(cv), "test_auc": found.get((i, at), math.nan), "point": (sorted(GB_TREES)[at], *shape),
+            "importance": {f: float(importances[at, i, c]) for f, c in zip(feats, columns)},
+            **_confusion(scored, {i: at})[i]}
 
 
 def comparison_table(spark, results: dict) -> DataFrame:

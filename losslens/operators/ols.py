@@ -2,26 +2,30 @@
 
 Two distributed passes; the design matrix never leaves the executors:
 
-* pass 1: one aggregate of every cross-product ``sum(x_i x_j)``, ``sum(x_i y)``
-  (k ~ 20 -> ~ 200 sums); the k x k solve runs on the driver (numpy);
+* pass 1: X'X and X'y, added up in each task as one matrix over blocks of rows
+  (dense numerics, dummies by their places); the k x k solve runs on the
+  driver (numpy);
 * pass 2: residual, leverage ``h = x' (X'X)^-1 x`` and the HC3 meat
-  ``sum(x x' e^2 / (1-h)^2)`` as SQL expressions with the solved numbers
-  as literals, plus residual moments and the Breusch-Pagan sums.
-Durbin-Watson needs a declared row order (the id): the lag is a self-join
-on the distributed row position from ``ordered.positions``.
+  ``sum(x x' e^2 / (1-h)^2)``, plus residual moments and the Breusch-Pagan
+  sums, the same way.
+Durbin-Watson needs a declared row order (the id): one range sort, whose
+partitions hand over their first and last residual.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from losslens.functions import dist
-from losslens.operators.ordered import order_key, positions
 from losslens.operators.stats import anova
+from losslens.session import cut_lineage, shuffle_partitions
 
 # fixed values: RQ4 predictors, controls, categoricals, thresholds
 RQ4_TARGET_COL = "total_profit_erosion"
@@ -69,79 +73,186 @@ def screen_features(df: DataFrame, target: str = RQ4_TARGET_COL, alpha: float =
             "surviving_numeric": surviving, "surviving_categorical": keep}
 
 
-def prepare_regression_data(df: DataFrame, target: str, numeric, categorical, log_transform: bool = True,
-                            id_col: str | None = "user_id", drop_constant: bool = True, levels=None):
-    """Complete rows, numerics z-scored (ddof 1), one-hot drop-first
-    (sorted levels, first dropped like ``get_dummies``), ln target, constant.
-    Constant numerics are dropped first and reported (D9).
-    Returns (design DataFrame with ``y`` + ``const`` + regressors, names, dropped)."""
-    numeric, categorical = list(numeric), list(categorical)
+MAX_COLUMNS = 5_000  # columns of a design: its Gram matrix is held by tasks and the driver
+CELLS = 1 << 22  # cells of the dense rows that a task multiplies at once
+PART = 64  # rows of a Gram matrix that are added up as one
+
+
+def level_vocabulary(df: DataFrame, column: str) -> DataFrame:
+    """(level, place) of a column's sorted levels but the first (like
+    ``get_dummies`` with drop_first); more than ``MAX_COLUMNS`` raise."""
+    levels = cut_lineage(df.select(F.col(column).alias("level")).distinct())
+    n = levels.count()
+    if n > MAX_COLUMNS:
+        raise ValueError(f"{column} has {n} levels; a design has at most {MAX_COLUMNS} columns")
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("level")) - 2
+    return levels.select("level", place.alias("place")).where("place >= 0")
+
+
+def _regression_rows(df: DataFrame, target: str, numeric, categorical, log_transform: bool, id_col: str | None,
+                     drop_constant: bool):
+    """Complete rows, the moments of the numerics, and those that vary."""
     keep = [id_col] if id_col and id_col in df.columns else []
     d = df.select(*keep, target, *numeric, *categorical).dropna()
     if log_transform:
         d = d.where(F.col(target) > 0)
     st = d.agg(*[F.avg(c).alias(f"m_{c}") for c in numeric],
-               *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric]).first()
+               *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric], F.count(F.lit(1)).alias("_n")).first()
     const_cols = [c for c in numeric if not (st[f"s_{c}"] or 0) > 0]
     if const_cols and not drop_constant:
         raise ValueError(f"Feature '{const_cols[0]}' has zero variance and cannot be standardized.")
     numeric = [c for c in numeric if c not in const_cols]
-    cols = [F.col(c) for c in keep]
-    cols.append((F.ln(target) if log_transform else F.col(target)).cast("double").alias("y"))
-    cols.append(F.lit(1.0).alias("const"))
-    names = ["const"]
-    for c in numeric:
-        cols.append(((F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"])).alias(c))
-        names.append(c)
-    levels = dict(levels or {})
+    z = {c: (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"]) for c in numeric}
+    y = (F.ln(target) if log_transform else F.col(target)).cast("double").alias("y")
+    return d, keep, y, z, const_cols
+
+
+def prepare_regression_data(df: DataFrame, target: str, numeric, categorical, log_transform: bool = True,
+                            id_col: str | None = "user_id", drop_constant: bool = True, levels=None):
+    """Complete rows, numerics z-scored (ddof 1), one-hot drop-first
+    (sorted levels, first dropped like ``get_dummies``), ln target, constant.
+    Constant numerics are dropped first and reported (D9).
+    Returns (design DataFrame with ``y`` + ``const`` + regressors, names, dropped)."""
+    numeric, categorical = list(numeric), list(categorical)
+    d, keep, y, z, const_cols = _regression_rows(df, target, numeric, categorical, log_transform, id_col, drop_constant)
+    cols = [*[F.col(c) for c in keep], y, F.lit(1.0).alias("const"), *[x.alias(c) for c, x in z.items()]]
+    names = ["const", *z]
     for c in categorical:
-        lv = levels.get(c) or sorted(r[0] for r in d.select(c).distinct().collect())  # category levels
-        for v in lv[1:]:
-            n = f"{c}_{v}"
-            cols.append((F.col(c) == F.lit(v)).cast("double").alias(n))
-            names.append(n)
+        own = (levels or {}).get(c)
+        own = own[1:] if own else [r[0] for r in level_vocabulary(d, c).orderBy("place").toLocalIterator()]
+        cols += [(F.col(c) == F.lit(v)).cast("double").alias(f"{c}_{v}") for v in own]
+        names += [f"{c}_{v}" for v in own]
     return d.select(*cols), names, const_cols
 
 
-def _sym(sums, names, prefix):
-    k = len(names)
-    m = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = sums[f"{prefix}{i}_{j}"] or 0.0
-    return m
+def sparse_regression_data(df: DataFrame, target: str, numeric, categorical, log_transform: bool = True,
+                           id_col: str | None = "user_id", drop_constant: bool = True):
+    """E2 for columns of many levels: (id, y, x, hot), where x holds the
+    constant and the numerics and hot the columns whose dummy is 1.  Levels are
+    looked up in a vocabulary of at most ``MAX_COLUMNS`` rows, so a row's width
+    does not grow with them.  Returns (design, names, dropped)."""
+    numeric, categorical = list(numeric), list(categorical)
+    d, keep, y, z, const_cols = _regression_rows(df, target, numeric, categorical, log_transform, id_col, drop_constant)
+    names, places = ["const", *z], []
+    for i, c in enumerate(categorical):
+        words = cut_lineage(level_vocabulary(d, c))
+        look_up = words.select(F.col("level").alias(f"_l{i}"), (F.col("place") + len(names)).cast("int").alias(f"_p{i}"))
+        d = d.join(F.broadcast(look_up), F.col(c) == F.col(f"_l{i}"), "left")  # at most MAX_COLUMNS rows
+        names += [f"{c}_{r[0]}" for r in words.orderBy("place").select("level").toLocalIterator()]
+        places.append(F.col(f"_p{i}"))
+    hot = F.array_compact(F.array(*places)) if places else F.array().cast("array<int>")
+    return (d.select(*keep, y, F.array(F.lit(1.0), *z.values()).alias("x"), hot.alias("hot")), names, const_cols)
+
+
+def _as_arrays(design: DataFrame, names, y: str) -> tuple[DataFrame, int]:
+    """(y, x, hot) of a wide or a sparse design, and the size of x."""
+    if "hot" in design.columns and "hot" not in names:
+        width = len(names) if not design.take(1) else len(design.select("x").first()[0])
+        return design.select(F.col(y).alias("y"), "x", "hot"), width
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+    return design.select(F.col(y).cast("double").alias("y"), x.alias("x"), F.array().cast("array<int>").alias("hot")), len(names)
+
+
+def _summed(rows: DataFrame, k: int, dense: int, height: int, width: int, add) -> np.ndarray:
+    """Sum over all rows of a height x width matrix: ``add(X, y, total)`` adds
+    a block of dense rows.  Each task keeps one matrix; its parts are added up
+    part by part, in order of tasks, before they come to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, step = np.zeros((height, width)), max(1, CELLS // k)
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                b = batch.slice(at, step)
+                x = np.zeros((b.num_rows, k))
+                x[:, :dense] = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                hot = b.column("hot")
+                row = np.repeat(np.arange(b.num_rows), hot.value_lengths().to_numpy(zero_copy_only=False))
+                x[row, hot.flatten().to_numpy(zero_copy_only=False)] = 1.0
+                add(x, b.column("y").to_numpy(zero_copy_only=False), total)
+        task = TaskContext.get().partitionId()
+        for at in range(0, height, PART):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([at // PART], pa.int32()), pa.array([task], pa.int32()),
+                 pa.array([total[at:at + PART].astype("<f8").tobytes()], pa.binary())], ["part", "task", "v"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, None
+        for batch in batches:
+            for p, v in zip(batch.column("part").to_pylist(), batch.column("v").to_pylist()):
+                v = np.frombuffer(v, "<f8")
+                if p != part:
+                    if total is not None:
+                        yield out(part, total)
+                    part, total = p, v.copy()
+                else:
+                    total += v
+        if total is not None:
+            yield out(part, total)
+
+    def out(part, total):
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.astype("<f8").tobytes()], pa.binary())],
+                                          ["part", "v"])
+    parts = -(-height // PART)
+    found = (rows.mapInArrow(run, "part int, task int, v binary").repartition(parts, "part")
+             .sortWithinPartitions("part", "task").mapInArrow(merge, "part int, v binary").toArrow())  # one matrix
+    total = np.zeros((height, width))
+    for p, v in zip(found.column("part").to_pylist(), found.column("v").to_pylist()):
+        v = np.frombuffer(v, "<f8").reshape(-1, width)
+        total[p * PART:p * PART + len(v)] = v
+    return total
+
+
+def _gram(x: np.ndarray, y: np.ndarray, total: np.ndarray) -> None:
+    """X'X, X'y, and in the last row n, sum y, sum y^2."""
+    k = x.shape[1]
+    total[:k, :k] += x.T @ x
+    total[:k, k] += x.T @ y
+    total[k, :3] += len(y), y.sum(), (y * y).sum()
+
+
+def _sandwich(b: np.ndarray, inv: np.ndarray):
+    """X' diag(e^2 / (1 - h)^2) X, X'e^2, and in the last row the sums of the
+    residuals' powers."""
+    def add(x: np.ndarray, y: np.ndarray, total: np.ndarray) -> None:
+        k = x.shape[1]
+        e = y - x @ b
+        h = ((x @ inv) * x).sum(1)
+        total[:k, :k] += x.T @ (x * (e**2 / (1 - h) ** 2)[:, None])
+        total[:k, k] += x.T @ e**2
+        total[k, :4] += e.sum(), (e**2).sum(), (e**3).sum(), (e**4).sum()
+    return add
+
+
+def _residual(names, dense: int, b: np.ndarray, sparse: bool, y: str):
+    """Column expression of the residual."""
+    if not sparse:
+        return F.col(y) - sum(F.lit(float(v)) * F.col(f"`{c}`") for v, c in zip(b, names))
+    values = F.array(*[F.lit(float(v)) for v in b])
+    first = F.aggregate(F.zip_with("x", F.slice(values, 1, dense), lambda a, c: a * c), F.lit(0.0), lambda s, v: s + v)
+    return F.col(y) - first - F.aggregate("hot", F.lit(0.0), lambda s, i: s + F.get(values, i))
 
 
 def fit_ols_hc3(design: DataFrame, names, y: str = "y") -> dict:
     """E3 + E5 + E7: coefficients, HC3 covariance, fit statistics and
-    residual diagnostics (Jarque-Bera, Breusch-Pagan; DW separately)."""
+    residual diagnostics (Jarque-Bera, Breusch-Pagan; DW separately).  Two
+    passes, each one matrix of (k + 1) x (k + 4) sums (see ``_summed``)."""
     k = len(names)
-    X = [F.col(c) for c in names]
-    p1 = design.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(F.col(y) ** 2).alias("syy"),
-                    *[F.sum(X[i] * X[j]).alias(f"xx{i}_{j}") for i in range(k) for j in range(i, k)],
-                    *[F.sum(X[i] * F.col(y)).alias(f"xy{i}") for i in range(k)]).first()
-    n = p1["n"]
-    xtx = _sym(p1, names, "xx")
-    xty = np.array([p1[f"xy{i}"] for i in range(k)])
+    if k > MAX_COLUMNS:
+        raise ValueError(f"{k} columns; a design has at most {MAX_COLUMNS}")
+    rows, dense = _as_arrays(design, names, y)
+    p1 = _summed(rows, k, dense, k + 1, k + 4, _gram)
+    xtx, xty = p1[:k, :k], p1[:k, k]
+    n, sy, syy = p1[k, :3]
     cond = np.linalg.cond(xtx)
     if not np.isfinite(cond) or cond > 1e14:
         raise ValueError(f"design matrix is singular or ill-conditioned (cond={cond:.3g})")
     inv = np.linalg.inv(xtx)
     b = inv @ xty
-    e = F.col(y) - sum(F.lit(float(b[i])) * X[i] for i in range(k))
-    h = sum(F.lit(float(inv[i, j])) * X[i] * X[j] for i in range(k) for j in range(k))
-    d2 = design.select(*names, e.alias("_e"), h.alias("_h"))
-    w = F.col("_e") ** 2 / (1 - F.col("_h")) ** 2
-    Xc = [F.col(c) for c in names]
-    p2 = d2.agg(F.sum(F.col("_e") ** 2).alias("ssr"), F.sum(F.col("_e") ** 3).alias("s3"),
-                F.sum(F.col("_e") ** 4).alias("s4"), F.sum("_e").alias("s1"),
-                *[F.sum(w * Xc[i] * Xc[j]).alias(f"mm{i}_{j}") for i in range(k) for j in range(i, k)],
-                *[F.sum(Xc[i] * F.col("_e") ** 2).alias(f"xz{i}") for i in range(k)]).first()
-    meat = _sym(p2, names, "mm")
+    p2 = _summed(rows, k, dense, k + 1, k + 4, _sandwich(b, inv))
+    meat = p2[:k, :k]
+    s1, ssr, s3, s4 = p2[k, :4]
     V = inv @ meat @ inv
     se = np.sqrt(np.diag(V))
-    ssr = p2["ssr"]
-    sst = p1["syy"] - p1["sy"] ** 2 / n
+    sst = syy - sy ** 2 / n
     r2 = 1 - ssr / sst if sst > 0 else math.nan
     adj = 1 - (1 - r2) * (n - 1) / (n - k)
     idx = [i for i, c in enumerate(names) if c != "const"]
@@ -152,18 +263,17 @@ def fit_ols_hc3(design: DataFrame, names, y: str = "y") -> dict:
     fp = dist.f_sf(fval, q, n - k) if q else math.nan
     llf = -n / 2 * (math.log(2 * math.pi) + math.log(ssr / n) + 1)
     # residual moments (central; the constant makes the mean ~0)
-    m1 = p2["s1"] / n
+    m1 = s1 / n
     m2 = ssr / n - m1 ** 2
-    m3 = p2["s3"] / n - 3 * m1 * ssr / n + 2 * m1 ** 3
-    m4 = p2["s4"] / n - 4 * m1 * p2["s3"] / n + 6 * m1 ** 2 * ssr / n - 3 * m1 ** 4
+    m3 = s3 / n - 3 * m1 * ssr / n + 2 * m1 ** 3
+    m4 = s4 / n - 4 * m1 * s3 / n + 6 * m1 ** 2 * ssr / n - 3 * m1 ** 4
     skew, kurt = m3 / m2 ** 1.5, m4 / m2 ** 2
     jb = n / 6 * (skew ** 2 + (kurt - 3) ** 2 / 4)
     # Breusch-Pagan: regress z = e^2 on X (same X'X), LM = n R^2_aux
-    xz = np.array([p2[f"xz{i}"] for i in range(k)])
+    xz = p2[:k, k]
     bz = inv @ xz
-    zz, sz = p2["s4"], ssr
-    ssr_aux = zz - bz @ xz
-    sst_aux = zz - sz ** 2 / n
+    ssr_aux = s4 - bz @ xz
+    sst_aux = s4 - ssr ** 2 / n
     r2a = 1 - ssr_aux / sst_aux if sst_aux > 0 else 0.0
     lm = n * r2a
     bp_f = (r2a / (k - 1)) / ((1 - r2a) / (n - k)) if k > 1 else math.nan
@@ -179,24 +289,38 @@ def fit_ols_hc3(design: DataFrame, names, y: str = "y") -> dict:
                             "kurtosis": float(kurt)},
             "breusch_pagan": {"statistic": float(lm), "pvalue": float(dist.chi2_sf(lm, k - 1)),
                               "f_statistic": float(bp_f)},
-            "condition_number": float(cond), "residual_expr": e}
+            "condition_number": float(cond), "residual_expr": _residual(names, dense, b, "hot" in rows.columns and dense < k, y)}
 
 
 def durbin_watson(design: DataFrame, fit: dict, order_col: str) -> float:
-    """E5: DW over the rows ordered by ``order_col`` (declared order).
-    Row positions come from the bucketed positions primitive (rows with one
-    order key are numbered by the column itself, whatever its type); the lag
-    is an equi-join of position t with t - 1 (no single-task window)."""
-    d = design.select(F.col(order_col).alias("_id"), order_key(design, order_col).alias("_o"),
-                      fit["residual_expr"].alias("_e"))
-    pos = positions(d, [], "_o").select(F.col("_v").alias("_o"), (F.col("_cum") - F.col("_c")).alias("_before"))
-    r = d.join(pos, ["_o"]).withColumn(
-        "_t", F.col("_before") + F.row_number().over(Window.partitionBy("_o").orderBy("_id", "_e")))
-    prev = r.select((F.col("_t") + 1).alias("_t"), F.col("_e").alias("_ep"))
-    s = r.join(prev, ["_t"], "left").agg(
-        F.sum(F.when(F.col("_ep").isNotNull(), (F.col("_e") - F.col("_ep")) ** 2)).alias("num"),
-        F.sum(F.col("_e") ** 2).alias("den")).first()
-    return float(s["num"] / s["den"])
+    """E5: DW over the rows ordered by ``order_col`` (declared order; equal
+    keys by residual, null keys left out).
+
+    One range sort; every partition adds up its own neighbours and hands over
+    its first and last residual, and the steps between partitions are added
+    from those (one row a partition)."""
+    parts = shuffle_partitions(design.sparkSession)
+    d = (design.select(F.col(order_col).alias("_id"), fit["residual_expr"].alias("_e")).where("_id IS NOT NULL")
+         .repartitionByRange(parts, "_id", "_e").sortWithinPartitions("_id", "_e").select("_e"))
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        num = den = 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            e = batch.column("_e").to_numpy(zero_copy_only=False)
+            num += float((np.diff(e) ** 2).sum()) + ((float(e[0]) - last) ** 2 if last is not None else 0.0)
+            den += float((e * e).sum())
+            first, last = float(e[0]) if first is None else first, float(e[-1])
+        if first is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int32()),
+                 *[pa.array([x], pa.float64()) for x in (first, last, num, den)]], ["part", "first", "last", "num", "den"])
+
+    r = sorted(d.mapInArrow(steps, "part int, first double, last double, num double, den double").collect())
+    between = sum((b["first"] - a["last"]) ** 2 for a, b in zip(r, r[1:]))
+    return (sum(x["num"] for x in r) + between) / sum(x["den"] for x in r)
 
 
 def vif_table(fit: dict, centered: bool = False, design: DataFrame | None = None) -> list:

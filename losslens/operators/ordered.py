@@ -5,7 +5,9 @@ task, and the holistic ``percentile`` aggregate keeps one value map per
 group, so one hot group (a third of all rows) would land in one task.
 This module avoids both:
 
-1. collapse ties: ``groupBy(keys, v).count()`` (map-side combine);
+1. collapse ties: ``groupBy(keys, v).count()`` (map-side combine), stored, so
+   that the input is read once; a key with few distinct values is then an
+   ordinary window, and only larger ones go on:
 2. split the value axis into ~B order-preserving buckets with global
    splits from ``approxQuantile`` (bounded-memory sketch) and a
    ``Bucketizer``; the bucket id is a pure function of the value, so a
@@ -28,7 +30,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from losslens.session import shuffle_partitions
+from losslens.session import cut_lineage, shuffle_partitions
 
 _UNB = Window.unboundedPreceding
 
@@ -70,6 +72,39 @@ def order_key(df: DataFrame, col: str):
     return F.conv(F.rpad(six, 12, "0"), 16, 10).cast("double")
 
 
+IN_KEY = 1 << 17  # distinct values up to which a key is ordered in one task
+
+
+def value_counts(df: DataFrame, keys: list[str], value: str, sums: list[str] = ()) -> DataFrame:
+    """(keys, ``_v``, ``_c`` and ``_s_<name>`` sums) of every distinct (keys,
+    value) that is not null / NaN: the one pass over the input, stored, since
+    all later steps read only this."""
+    d = df.select(*keys, F.col(value).cast("double").alias("_v"),
+                  *[F.col(s).cast("double").alias(f"_x_{s}") for s in sums])
+    cond = F.col("_v").isNotNull() & ~F.isnan("_v")
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cut_lineage(d.where(cond).groupBy(*keys, "_v").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(f"_x_{s}").alias(f"_s_{s}") for s in sums]))
+
+
+def _split_keys(vc: DataFrame, keys: list[str]) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of keys that one task orders, rows of keys that buckets order)."""
+    if not keys:
+        return None, vc
+    hot = cut_lineage(vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") > IN_KEY).select(*keys))
+    if hot.isEmpty():
+        return vc, None
+    return vc.join(hot, keys, "left_anti"), vc.join(hot, keys, "left_semi")
+
+
+def _bucketed(vc: DataFrame, keys: list[str], n_buckets: int | None) -> DataFrame:
+    """Value counts with the bucket ``_b`` of each value; splits are quantiles
+    of the distinct values, so buckets hold equally many rows of this table."""
+    nb = n_buckets or default_buckets(vc)
+    return bucketize(vc, "_v", value_splits(vc, "_v", nb))
+
+
 def positions(df: DataFrame, keys: list[str], value: str, sums: list[str] = (),
               n_buckets: int | None = None) -> DataFrame:
     """One row per distinct (keys, value) that is not null / NaN.
@@ -80,20 +115,22 @@ def positions(df: DataFrame, keys: list[str], value: str, sums: list[str] = (),
     ``_cs_<name>`` (cumulative sum through this value), ``_t_<name>``
     (key total).
     """
-    keys = list(keys)
-    sums = list(sums)
-    d = df.select(*keys, F.col(value).cast("double").alias("_v"),
-                  *[F.col(s).cast("double").alias(f"_x_{s}") for s in sums])
-    cond = F.col("_v").isNotNull() & ~F.isnan("_v")
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    d = d.where(cond)
-    vc = d.groupBy(*keys, "_v").agg(
-        F.count(F.lit(1)).alias("_c"),
-        *[F.sum(f"_x_{s}").alias(f"_s_{s}") for s in sums])
-    nb = n_buckets or default_buckets(df)
-    vb = bucketize(vc, "_v", value_splits(d, "_v", nb))
-
+    keys, sums = list(keys), list(sums)
+    small, large = _split_keys(value_counts(df, keys, value, sums), keys)
+    out = []
+    if small is not None:  # an ordinary window per key
+        wall = Window.partitionBy(*keys)
+        through = wall.orderBy("_v").rowsBetween(_UNB, 0)
+        out.append(small.select(
+            *keys, "_v", "_c", F.sum("_c").over(wall).alias("_n"), F.sum("_c").over(through).alias("_cum"),
+            *[F.col(f"_s_{s}") for s in sums], *[F.sum(f"_s_{s}").over(through).alias(f"_cs_{s}") for s in sums],
+            *[F.sum(f"_s_{s}").over(wall).alias(f"_t_{s}") for s in sums]))
+    if large is not None:
+        out.append(_bucket_positions(_bucketed(large, keys, n_buckets), keys, sums))
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
+def _bucket_positions(vb: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     tot = vb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"),
                                       *[F.sum(f"_s_{s}").alias(f"_bs_{s}") for s in sums])
     wk = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
@@ -109,13 +146,12 @@ def positions(df: DataFrame, keys: list[str], value: str, sums: list[str] = (),
     # without keys the totals table has at most B rows: a proven broadcast bound
     j = vb.join(tot if keys else F.broadcast(tot), keys + ["_b"])
     wl = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(_UNB, 0)
-    out = j.select(
+    return j.select(
         *keys, "_v", "_c", "_n",
         (F.sum("_c").over(wl) + F.col("_off")).alias("_cum"),
         *[F.col(f"_s_{s}") for s in sums],
         *[(F.sum(f"_s_{s}").over(wl) + F.col(f"_soff_{s}")).alias(f"_cs_{s}") for s in sums],
         *[F.col(f"_t_{s}") for s in sums])
-    return out
 
 
 def _quantile_exprs(p: float, name: str):
@@ -133,40 +169,39 @@ def _interp(name: str):
     return (lo + (hi - lo) * f).alias(name)
 
 
-def _targeted_quantiles(df: DataFrame, keys: list[str], value: str, specs, n_buckets=None) -> DataFrame:
-    """Exact quantiles touching only the buckets that hold a target rank.
+def quantiles_of_counts(vc: DataFrame, keys: list[str], specs, n_buckets=None) -> DataFrame:
+    """Exact quantiles of a table of value counts (see ``value_counts``).
 
-    Same first steps as ``positions`` (tie collapse, global splits, per
-    (key, bucket) totals with a bounded prefix window); then, per key and
-    target, only the one or two buckets containing ranks floor(p(n-1)) and
-    ceil(p(n-1)) are kept, and only their values are sorted -- about n / B
-    rows per target instead of n.
-    """
-    d = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    cond = F.col("_v").isNotNull() & ~F.isnan("_v")
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    d = d.where(cond)
-    vc = d.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    nb = n_buckets or default_buckets(df)
-    vb = bucketize(vc, "_v", value_splits(d, "_v", nb))
-    tot = vb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    wk = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
-    wall = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    tot = tot.select(*keys, "_b", "_bc",
-                     F.coalesce(F.sum("_bc").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).alias("_off"),
-                     F.sum("_bc").over(wall).alias("_n"))
-    hit = F.lit(False)
-    for _, _, p in specs:
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        for k in (F.floor(pos), F.ceil(pos)):
-            hit = hit | ((F.col("_off") <= k) & (k < F.col("_off") + F.col("_bc")))
-    tgt = tot.where(hit).select(*keys, "_b", "_off", "_n")
-    cand = vb.join(tgt if keys else F.broadcast(tgt), keys + ["_b"])  # no keys: <= 2 x targets rows
-    wl = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(_UNB, 0)
-    pos = cand.select(*keys, "_v", "_c", "_n", (F.sum("_c").over(wl) + F.col("_off")).alias("_cum"))
+    A key with up to ``IN_KEY`` distinct values is one window.  Of larger ones,
+    and without keys, only the one or two buckets that hold ranks
+    floor(p(n-1)) and ceil(p(n-1)) of a target are ordered."""
     aggs = [e for n, _, p in specs for e in _quantile_exprs(p, n)]
-    res = pos.groupBy(*keys).agg(*aggs) if keys else pos.agg(*aggs)
+    small, large = _split_keys(vc, keys)
+    out = []
+    if small is not None:
+        wall = Window.partitionBy(*keys)
+        pos = small.select(*keys, "_v", "_c", F.sum("_c").over(wall).alias("_n"),
+                           F.sum("_c").over(wall.orderBy("_v").rowsBetween(_UNB, 0)).alias("_cum"))
+        out.append(pos.groupBy(*keys).agg(*aggs))
+    if large is not None:
+        vb = _bucketed(large, keys, n_buckets)
+        tot = vb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+        wk = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
+        wall = Window.partitionBy(*keys) if keys else Window.partitionBy()
+        tot = tot.select(*keys, "_b", "_bc",
+                         F.coalesce(F.sum("_bc").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).alias("_off"),
+                         F.sum("_bc").over(wall).alias("_n"))
+        hit = F.lit(False)
+        for _, _, p in specs:
+            at = F.lit(float(p)) * (F.col("_n") - 1)
+            for k in (F.floor(at), F.ceil(at)):
+                hit = hit | ((F.col("_off") <= k) & (k < F.col("_off") + F.col("_bc")))
+        tgt = tot.where(hit).select(*keys, "_b", "_off", "_n")
+        cand = vb.join(tgt if keys else F.broadcast(tgt), keys + ["_b"])  # no keys: <= 2 x targets rows
+        wl = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(_UNB, 0)
+        pos = cand.select(*keys, "_v", "_c", "_n", (F.sum("_c").over(wl) + F.col("_off")).alias("_cum"))
+        out.append(pos.groupBy(*keys).agg(*aggs) if keys else pos.agg(*aggs))
+    res = out[0] if len(out) == 1 else out[0].unionByName(out[1])
     return res.select(*keys, *[_interp(n) for n, _, _ in specs])
 
 
@@ -189,7 +224,7 @@ def group_quantiles(df: DataFrame, keys: list[str], specs: list[tuple[str, str,
         return (df.where(cond).groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs))
     cols = list(dict.fromkeys(c for _, c, _ in specs))
     if len(cols) == 1:
-        return _targeted_quantiles(df, keys, cols[0], specs, n_buckets)
+        return quantiles_of_counts(value_counts(df, keys, cols[0]), keys, specs, n_buckets)
     # several value columns: unpivot once, one pass for all of them
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_val")) for c in cols
@@ -198,7 +233,7 @@ def group_quantiles(df: DataFrame, keys: list[str], specs: list[tuple[str, str,
     for c in cols:
         per_col.append([(n, "_val", p) for n, cc, p in specs if cc == c])
     all_specs = [(f"{n}__{i}", "_val", p) for i, sp in enumerate(per_col) for n, _, p in sp]
-    q = _targeted_quantiles(long, keys + ["_m"], "_val", all_specs, n_buckets)
+    q = quantiles_of_counts(value_counts(long, keys + ["_m"], "_val"), keys + ["_m"], all_specs, n_buckets)
     back = []
     for i, (c, sp) in enumerate(zip(cols, per_col)):
         for n, _, _ in sp:

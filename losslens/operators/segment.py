@@ -3,21 +3,26 @@
 Standardisation is a SQL z-score with population std (ddof 0, like the
 reference's scaler; Spark ML's StandardScaler uses ddof 1).  Quality
 metrics come from per-cluster aggregates against the k centroids (a
-k-row table, broadcast by construction); no pairwise distances.
+k-row table, broadcast by construction); only the silhouette takes pairwise
+distances, block by block.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from losslens.functions import exprs as X
 from losslens.operators.quality import NUMERIC
+from losslens.operators.reshape import sample_rows
+from losslens.session import cut_lineage, shuffle_partitions
 
 # fixed values: default segmentation features and leakage names / substrings
 DEFAULT_SEGMENTATION_FEATURES = [
@@ -146,29 +151,144 @@ def quality_metrics(clustered: DataFrame, cols, centers, cluster: str = "cluster
     return {"inertia": W, "calinski_harabasz": ch, "davies_bouldin": db}
 
 
-def diagnostics_over_k(scaled: DataFrame, cols, k_values, seed: int = 42) -> DataFrame:
-    """C3 + C4 + C5 + C6: ONE fit per k gives inertia, silhouette
-    (Spark's squared-Euclidean silhouette, O(n k); declared deviation from
-    the exact Euclidean O(n^2) one), Calinski-Harabasz and Davies-Bouldin.
-    The scaled frame is persisted once and reused by every fit."""
+BLOCK = 2048  # rows whose distances are one matrix
+
+
+def silhouettes(rows: DataFrame, cols, labels: dict[str, int], id_col: str, block: int = BLOCK) -> dict[str, float]:
+    """C4: exact mean Euclidean silhouette of every label column (name ->
+    number of clusters) from one pass over all distances.
+
+    Rows are dealt into blocks of about ``block`` by a hash of the id.  Each
+    cell of the block x block grid is one matrix of distances, of which only
+    the sums by cluster are kept and added up by block: memory is a matrix,
+    time O(n^2), for all label columns together.  A row alone in its cluster
+    has silhouette 0; a labelling of one cluster has none (NaN)."""
+    names, counts = list(labels), list(labels.values())
+    n = rows.count()
+    blocks = max(1, -(-n // block))
+    dealt = (rows.select(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("silhouette")), F.lit(blocks)).alias("b"),
+                         F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
+                         F.array(*[F.col(c).cast("int") for c in names]).alias("l")))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]  # the few blocks of this partition
+        if not held:
+            return
+        t = pa.Table.from_batches(held).combine_chunks()
+        of = t.column("b").to_numpy()
+        x = t.column("x").combine_chunks().flatten().to_numpy().reshape(len(of), -1)
+        k = t.column("l").combine_chunks().flatten().to_numpy().reshape(len(of), -1)
+        ids = np.unique(of)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array([x[of == i].astype("<f8").tobytes() for i in ids], pa.binary()),
+             pa.array([k[of == i].astype("<i4").tobytes() for i in ids], pa.binary())], ["b", "x", "l"])
+
+    packed = cut_lineage(dealt.repartition(blocks, "b").mapInArrow(pack, "b long, x binary, l binary"))
+    other = packed.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("b"),
+                          F.col("x").alias("y"), F.col("l").alias("m"))
+    f = len(cols)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block_of], pa.int64()), pa.array([total.astype("<f8").tobytes()], pa.binary())], ["b", "s"])
+        block_of, total = None, None
+        for batch in batches:
+            for b, x, y, m in zip(*(batch.column(c).to_pylist() for c in ("b", "x", "y", "m"))):
+                x, y = np.frombuffer(x, "<f8").reshape(-1, f), np.frombuffer(y, "<f8").reshape(-1, f)
+                m = np.frombuffer(m, "<i4").reshape(-1, len(names))
+                d = np.zeros((len(x), len(y)))
+                for j in range(f):
+                    d += (x[:, j, None] - y[None, :, j]) ** 2
+                np.sqrt(d, out=d)
+                parts = []
+                for k, c in enumerate(counts):
+                    one_hot = np.zeros((len(y), c))
+                    one_hot[np.arange(len(y)), m[:, k]] = 1
+                    parts.append(d @ one_hot)
+                if b != block_of:
+                    if total is not None:
+                        yield out()
+                    block_of, total = b, 0.0
+                total = total + np.hstack(parts)
+        if total is not None:
+            yield out()
+
+    # merged in order of blocks, so a task adds up most cells of a block itself
+    partial = packed.select("b", "x").join(other.hint("merge"), "b").mapInArrow(sums, "b long, s binary")
+    sizes = rows.agg(*[F.count(F.when(F.col(c) == i, 1)).alias(f"{c}_{i}") for c in names for i in range(labels[c])]).first()
+    sizes = [np.array([sizes[f"{c}_{i}"] for i in range(labels[c])], float) for c in names]
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(total, own):
+            own = np.frombuffer(own, "<i4").reshape(-1, len(names))
+            total = total.reshape(len(own), -1)
+            out, at = [], 0
+            for k, c in enumerate(counts):
+                s, n, mine = total[:, at:at + c], sizes[k], own[:, k]
+                at += c
+                row = np.arange(len(own))
+                inner = s[row, mine] / np.maximum(n[mine] - 1, 1)
+                mean = np.divide(s, n, out=np.full(s.shape, np.inf), where=n > 0)
+                mean[row, mine] = np.inf
+                outer = mean.min(1) if c > 1 else np.full(len(own), np.nan)
+                top = np.maximum(inner, outer)
+                value = np.divide(outer - inner, top, out=np.zeros(len(own)), where=top > 0)
+                out.append(np.where(n[mine] > 1, value, 0.0).sum() if np.isfinite(outer).all() else np.nan)
+            return pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.float64()))], ["v"])
+        block_of, total, own = None, None, None
+        for batch in batches:
+            for b, s, l in zip(*(batch.column(c).to_pylist() for c in ("b", "s", "l"))):
+                if b != block_of:
+                    if total is not None:
+                        yield close(total, own)
+                    block_of, total, own = b, np.zeros(len(s) // 8), l
+                total = total + np.frombuffer(s, "<f8")
+        if total is not None:
+            yield close(total, own)
+
+    found = (partial.repartition(max(1, min(blocks, shuffle_partitions(rows.sparkSession))), "b")
+             .join(packed.select("b", "l"), "b").sortWithinPartitions("b").mapInArrow(values, "v array<double>"))
+    total = found.agg(*[F.sum(F.col("v")[k]).alias(c) for k, c in enumerate(names)]).first()
+    return {c: float(total[c]) / n if total[c] is not None else math.nan for c in names}
+
+
+def diagnostics_over_k(scaled: DataFrame, cols, k_values, seed: int = 42, id_col: str | None = None,
+                       silhouette_rows: int | None = None) -> DataFrame:
+    """C3 + C4 + C5 + C6: ONE fit per k gives inertia, Calinski-Harabasz and
+    Davies-Bouldin; all k share one pass of exact Euclidean silhouettes, over
+    all rows or over ``silhouette_rows`` of them (by hash; the reference takes
+    5,000 beyond 10,000).  ``id_col`` deals the rows; without it their values
+    do.  The scaled frame is persisted once and reused by every fit."""
     data = assemble(scaled, cols).persist()
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id",
-                             metricName="silhouette", distanceMeasure="squaredEuclidean")
-    rows = []
+    rows, labelled, counts = [], data, {}
     for k in k_values:
         if k == 1:
-            rows.append((1, inertia_k1(scaled, cols), None, None, None))
+            rows.append((1, inertia_k1(scaled, cols), None, None))
             continue
         model = KMeans(k=k, seed=seed, maxIter=300, initMode="k-means||", featuresCol="features",
                        predictionCol="cluster_id").fit(data)
-        pred = model.transform(data)
         centers = [list(map(float, c)) for c in model.clusterCenters()]
-        q = quality_metrics(pred, cols, centers)
-        rows.append((k, float(model.summary.trainingCost), float(ev.evaluate(pred)),
-                     q["calinski_harabasz"], q["davies_bouldin"]))
+        q = quality_metrics(model.transform(data), cols, centers)
+        rows.append((k, float(model.summary.trainingCost), q["calinski_harabasz"], q["davies_bouldin"]))
+        counts[f"_l{k}"] = len(centers)
+        labelled = model.setPredictionCol(f"_l{k}").transform(labelled)
+    found = {}
+    if counts:
+        own = id_col or "_row"
+        labelled = labelled if id_col else labelled.withColumn("_row", F.hash(*cols))
+        labelled = labelled.select(own, *cols, *counts)
+        if silhouette_rows is not None:
+            labelled = sample_rows(labelled, own, silhouette_rows, seed)
+        found = silhouettes(cut_lineage(labelled), cols, counts, own)
     data.unpersist()
+
+    def score(k):
+        v = found.get(f"_l{k}", math.nan)
+        return None if v != v else v
     return scaled.sparkSession.createDataFrame(
-        rows, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
+        [(k, inertia, score(k), ch, db) for k, inertia, ch, db in rows],
+        "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
 
 
 def choose_k_silhouette(diag: DataFrame) -> int:

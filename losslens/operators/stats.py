@@ -3,21 +3,27 @@
 Every test reduces the data to per-group moments or rank sums in one
 distributed pass (partial aggregation; ranks from ``ordered.positions``);
 the statistic is a DataFrame expression over that small table and the
-p-value a function of a few scalars on the driver (``functions.dist``).
-Work caps of the reference (post-hoc row sampling) are not applied: the
-post-hoc runs on all rows because it costs one aggregate.
+p-value a function of a few scalars (``functions.dist``).  Tables of groups
+and of their pairs stay DataFrames.  Work caps of the reference (post-hoc
+group and row limits) are not applied: the post-hoc runs on all rows because
+it costs one aggregate.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from statistics import NormalDist
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from losslens.functions import dist
 from losslens.operators.ordered import average_ranks, positions
+from losslens.session import cut_lineage
 
 ALPHA = 0.05
 EFFECT_THRESHOLD = 0.06
@@ -75,7 +81,6 @@ def kruskal_parts(df: DataFrame, group: str, value: str):
     The three passes (split sketch, tie counts, group counts) read one
     checkpoint of the two projected columns instead of re-running the
     upstream item pipeline three times."""
-    from losslens.session import cut_lineage
     d = cut_lineage(_clean(df, group, value))
     pos = positions(d, [], value)
     ranks = pos.select(F.col("_v"), (F.col("_cum") - (F.col("_c") - 1) / 2.0).alias("_r"),
@@ -115,15 +120,19 @@ def dunn_z(df: DataFrame, group: str, value: str, groups=None) -> DataFrame:
     reference's largest-12 rule is applied by the caller).  Ranks are
     computed on the rows of the selected groups."""
     d = _clean(df, group, value)
-    if groups is not None:
+    if isinstance(groups, DataFrame):
+        d = d.join(groups.select(group), [group], "left_semi")
+    elif groups is not None:
         d = d.where(F.col(group).isin(list(groups)))
     per, ties = kruskal_parts(d, group, value)
+    per = cut_lineage(per)
+    _pairs_allowed(per)
     tot = per.agg(F.sum("n").alias("N")).crossJoin(ties)
     a = per.select(F.col(group).alias("group_a"), F.col("n").alias("na"),
                    (F.col("rank_sum") / F.col("n")).alias("ra"))
     b = per.select(F.col(group).alias("group_b"), F.col("n").alias("nb"),
                    (F.col("rank_sum") / F.col("n")).alias("rb"))
-    # pairs of GROUPS (k x k, k bounded by the caller): both sides are tiny
+    # pairs of groups are the result; at most MAX_GROUPS groups
     pairs = a.crossJoin(F.broadcast(b)).crossJoin(F.broadcast(tot))
     N = F.col("N").cast("double")
     var = (N * (N + 1) / 12.0 - F.col("tie_sum") / (12.0 * (N - 1))) * (1 / F.col("na") + 1 / F.col("nb"))
@@ -132,32 +141,44 @@ def dunn_z(df: DataFrame, group: str, value: str, groups=None) -> DataFrame:
                         .otherwise(F.abs(F.col("ra") - F.col("rb")) / F.sqrt(var)).alias("z"))
 
 
+MAX_GROUPS = 20_000  # groups whose pairs are compared: the pairs are the result, 200 million rows
+
+
+def _pairs_allowed(groups: DataFrame) -> int:
+    k = groups.count()
+    if k > MAX_GROUPS:
+        raise ValueError(f"{k} groups have too many pairs; at most {MAX_GROUPS} are compared")
+    return k
+
+
+def _norm_sf(z):
+    """Upper tail of the normal distribution of a column."""
+    @F.pandas_udf("double")
+    def tail(z: pd.Series) -> pd.Series:
+        return pd.Series([0.5 * math.erfc(x / math.sqrt(2)) if x is not None and x == x else math.nan for x in z])
+    return tail(z)
+
+
 def dunn(df: DataFrame, group: str, value: str, groups=None) -> DataFrame:
     """Bonferroni-adjusted two-sided p for every ordered pair, diagonal 1
-    (long form, both directions)."""
-    z = dunn_z(df, group, value, groups).collect()  # k^2 rows, k <= max groups
-    levels = sorted({r["group_a"] for r in z})
-    m = len(levels) * (len(levels) - 1) / 2
-    rows = []
-    for r in z:
-        if r["group_a"] == r["group_b"]:
-            p = 1.0
-        else:
-            p = min(1.0, 2 * dist.norm_sf(r["z"]) * m)
-        rows.append((str(r["group_a"]), str(r["group_b"]), float(r["z"]), float(p)))
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "group_a string, group_b string, z double, p_adj double")
+    (long form, both directions).  ``groups``: levels, or a DataFrame of them."""
+    z = dunn_z(df, group, value, groups)
+    k = z.where("group_a = group_b")
+    m = k.agg((F.count(F.lit(1)) * (F.count(F.lit(1)) - 1) / 2).alias("m"))
+    p = F.least(F.lit(1.0), 2 * _norm_sf("z") * F.col("m"))
+    return z.crossJoin(F.broadcast(m)).select(  # one row
+        F.col("group_a").cast("string").alias("group_a"), F.col("group_b").cast("string").alias("group_b"), "z",
+        F.when(F.col("group_a") == F.col("group_b"), 1.0).otherwise(p).alias("p_adj"))
 
 
 def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = ALPHA) -> DataFrame:
-    """All pairs from group moments; studentized-range tail by quadrature."""
-    m = group_moments(df, group, value).collect()  # one row per group
-    m = sorted(m, key=lambda r: str(r[group]))
-    k = len(m)
-    n = sum(r["n"] for r in m)
-    ssw = sum(r["ss"] for r in m)
-    dfw = n - k
-    mse = ssw / dfw if dfw > 0 else math.nan
+    """All pairs from group moments.  The studentized range's critical
+    value is one number; the pairs' tails are found in blocks of an array."""
+    m = cut_lineage(group_moments(df, group, value).select(F.col(group).cast("string").alias("g"), "n", "mean", "ss"))
+    k = _pairs_allowed(m)
+    one = m.agg(F.sum("n").alias("n"), F.sum("ss").alias("ss")).first()
+    dfw = (one["n"] or 0) - k
+    mse = one["ss"] / dfw if dfw > 0 else math.nan
     lo, hi = 0.0, 50.0
     for _ in range(60):  # critical q by bisection on the tail
         mid = (lo + hi) / 2
@@ -166,24 +187,120 @@ def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = ALPHA) -> Da
         else:
             hi = mid
     qcrit = (lo + hi) / 2
-    rows = []
-    for i in range(k):
-        for j in range(i + 1, k):
-            a, b = m[i], m[j]
-            diff = b["mean"] - a["mean"]
-            se = math.sqrt(mse / 2 * (1 / a["n"] + 1 / b["n"]))
-            q = abs(diff) / se if se > 0 else math.inf
-            p = dist.tukey_sf(q, k, dfw)
-            rows.append((str(a[group]), str(b[group]), diff, p, diff - qcrit * se, diff + qcrit * se,
-                         bool(p < alpha)))
-    return df.sparkSession.createDataFrame(
-        rows, "group1 string, group2 string, meandiff double, p_adj double, lower double, "
-              "upper double, reject boolean")
+
+    @F.pandas_udf("double")
+    def tail(q: pd.Series) -> pd.Series:
+        return pd.Series(dist.tukey_sf_many(q.to_numpy(float), k, dfw))
+
+    a = m.select(F.col("g").alias("group1"), F.col("n").alias("n1"), F.col("mean").alias("m1"))
+    b = m.select(F.col("g").alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("m2"))
+    se = F.sqrt(F.lit(mse / 2) * (1 / F.col("n1") + 1 / F.col("n2")))
+    d = (a.join(F.broadcast(b), F.col("group1") < F.col("group2"))  # at most MAX_GROUPS rows
+         .withColumn("meandiff", F.col("m2") - F.col("m1")).withColumn("se", se)
+         .withColumn("q", F.when(F.col("se") > 0, F.abs("meandiff") / F.col("se")).otherwise(F.lit(math.inf)))
+         .withColumn("p_adj", tail("q")))
+    return d.select("group1", "group2", "meandiff", "p_adj", (F.col("meandiff") - qcrit * F.col("se")).alias("lower"),
+                    (F.col("meandiff") + qcrit * F.col("se")).alias("upper"), (F.col("p_adj") < alpha).alias("reject"))
+
+
+# ------------------------------------------------------------------ T5 Shapiro-Wilk
+SCORES = 4096  # normal scores that one row of ties stands for at most
+# fixed values: Royston's polynomials (ascending powers) of the last two weights and of the transformed statistic
+_LAST = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056]
+_LAST_BUT_ONE = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
+_GAMMA = [-2.273, 0.459]
+_SMALL_MEAN, _SMALL_LOG_SD = [0.5440, -0.39978, 0.025054, -6.714e-4], [1.3822, -0.77857, 0.062767, -0.0020322]
+_LARGE_MEAN, _LARGE_LOG_SD = [-1.5861, -0.31082, -0.083751, 0.0038915], [-0.4803, -0.082676, 0.0030302]
+
+
+def _poly(c: list[float], x: float) -> float:
+    return sum(a * x**i for i, a in enumerate(c))
+
+
+def _score(i: int, n: int) -> float:
+    return NormalDist().inv_cdf((i - 0.375) / (n + 0.25))
+
+
+def shapiro_from_sums(n: int, low: float, low2: float, high2: float, high: float, sum_score_x: float,
+                      sum_score2: float, ss: float) -> tuple[float, float]:
+    """(W, p) of one sample from its size, its two smallest and two largest
+    values, the sums of score x value and of score squared over the ordered
+    sample, and the squared deviations from the mean."""
+    if n < 3 or not ss > 0:
+        return math.nan, math.nan
+    if n == 3:
+        w = 0.5 * (high - low) ** 2 / ss
+        w = min(max(w, 0.75), 1.0)
+        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    m1, m2, u = _score(n, n), _score(n - 1, n), 1 / math.sqrt(n)
+    a1 = _poly(_LAST, u) + m1 / math.sqrt(sum_score2)
+    ends = m1 * (high - low)
+    if n > 5:
+        a2 = _poly(_LAST_BUT_ONE, u) + m2 / math.sqrt(sum_score2)
+        scale = math.sqrt((sum_score2 - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2))
+        top = a1 * (high - low) + a2 * (high2 - low2) + (sum_score_x - ends - m2 * (high2 - low2)) / scale
+    else:
+        scale = math.sqrt((sum_score2 - 2 * m1 * m1) / (1 - 2 * a1 * a1))
+        top = a1 * (high - low) + (sum_score_x - ends) / scale
+    w = min(top * top / ss, 1.0)
+    if w == 1.0:
+        return w, 1.0
+    y, x = math.log(1 - w), math.log(n)
+    if n <= 11:
+        g = _poly(_GAMMA, n)
+        if y >= g:
+            return w, 0.0
+        y, mean, sd = -math.log(g - y), _poly(_SMALL_MEAN, n), math.exp(_poly(_SMALL_LOG_SD, n))
+    else:
+        mean, sd = _poly(_LARGE_MEAN, x), math.exp(_poly(_LARGE_LOG_SD, x))
+    return w, 0.5 * math.erfc((y - mean) / sd / math.sqrt(2))
+
+
+def shapiro_wilk(df: DataFrame, group: str, value: str, alpha: float = ALPHA) -> DataFrame:
+    """T5: (group, n, w, p_value, normal) of the Shapiro-Wilk test per group.
+
+    A value's places in its ordered group come from the distributed ranks;
+    normal scores of those places are added up in blocks of ``SCORES``, so
+    neither a large group nor a value that fills most of it is one task's
+    work.  Samples under 3 and constant ones are not normal (p null)."""
+    d = cut_lineage(_clean(df, group, value))
+    pos = cut_lineage(positions(d, [group], value).select(group, "_v", "_n", (F.col("_cum") - F.col("_c") + 1).alias("_first"),
+                                                          F.col("_cum").alias("_last")))
+    ties = pos.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_last - _first) div {SCORES}"))).alias("_k")) \
+        .selectExpr("*", f"_first + _k * {SCORES} AS _lo", f"least(_last, _first + _k * {SCORES} + {SCORES - 1}) AS _hi")
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inverse = NormalDist().inv_cdf
+        for batch in batches:
+            one, two = [], []
+            for lo, hi, n in zip(*(batch.column(c).to_pylist() for c in ("_lo", "_hi", "_n"))):
+                m = [inverse((i - 0.375) / (n + 0.25)) for i in range(lo, hi + 1)]
+                one.append(sum(m))
+                two.append(sum(x * x for x in m))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(one, pa.float64()), pa.array(two, pa.float64())],
+                                             [*batch.schema.names, "_m", "_mm"])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ties.schema)
+    s = ties.mapInArrow(scored, kinds + ", _m double, _mm double").groupBy(group).agg(
+        F.max("_n").cast("long").alias("n"), F.sum(F.col("_m") * F.col("_v")).alias("sx"), F.sum("_mm").alias("mm"),
+        F.min("_v").alias("low"), F.max("_v").alias("high"),
+        F.min(F.when(F.col("_hi") >= 2, F.col("_v"))).alias("low2"),
+        F.max(F.when(F.col("_lo") <= F.col("_n") - 1, F.col("_v"))).alias("high2"))
+    s = s.join(group_moments(d, group, value).select(group, "ss"), group)
+
+    @F.pandas_udf("struct<w:double,p:double>")
+    def test(n: pd.Series, low: pd.Series, low2: pd.Series, high2: pd.Series, high: pd.Series, sx: pd.Series,
+             mm: pd.Series, ss: pd.Series) -> pd.DataFrame:
+        found = [shapiro_from_sums(int(r[0]), *map(float, r[1:])) for r in zip(n, low, low2, high2, high, sx, mm, ss)]
+        return pd.DataFrame(found, columns=["w", "p"])
+    t = s.withColumn("t", test("n", "low", "low2", "high2", "high", "sx", "mm", "ss"))
+    p = F.when(~F.isnan("t.p"), F.col("t.p"))
+    return t.select(group, "n", F.when(~F.isnan("t.w"), F.col("t.w")).alias("w"), p.alias("p_value"),
+                    F.coalesce(p >= alpha, F.lit(False)).alias("normal"))
 
 
 def normality_gate(df: DataFrame, group: str, value: str, alpha: float = ALPHA) -> DataFrame:
-    """T5 (declared deviation): Jarque-Bera per group from moments (one
-    pass, any size) instead of Shapiro-Wilk; n < 3 is non-normal."""
+    """Jarque-Bera per group from moments, in one pass without ranks; n < 3 is
+    non-normal.  The factor test uses ``shapiro_wilk``."""
     m = group_moments(df, group, value)
     jb = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("kurt") ** 2 / 4.0)
     return m.select(group, F.col("n").cast("long").alias("n"), jb.alias("jb_stat"),
@@ -192,16 +309,17 @@ def normality_gate(df: DataFrame, group: str, value: str, alpha: float = ALPHA)
 
 
 def run_factor(df: DataFrame, group: str, value: str = "profit_erosion", min_group_size: int = 5,
-               run_posthoc: bool = True, max_groups_posthoc: int = 12):
-    """Drop small groups, pick ANOVA (all groups normal) or Kruskal,
-    effect size, decision, post-hoc.  Returns (summary DataFrame, post-hoc)."""
+               run_posthoc: bool = True, max_groups_posthoc: int | None = None):
+    """Drop small groups, pick ANOVA (all groups normal by Shapiro-Wilk) or
+    Kruskal, effect size, decision, post-hoc of all groups (or of the
+    ``max_groups_posthoc`` largest).  Returns (summary DataFrame, post-hoc)."""
     d = _clean(df, group, value)
     sizes = d.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_group_size)
-    d = d.join(sizes.select(group), [group], "left_semi")
+    sizes = cut_lineage(sizes)
+    d = cut_lineage(d.join(sizes.select(group), [group], "left_semi"))
     spark = df.sparkSession
-    size_rows = sizes.orderBy(F.desc("_n"), F.asc(group)).collect()  # one row per group
-    k = len(size_rows)
-    n = sum(r["_n"] for r in size_rows)
+    size = sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")).first()
+    k, n = size["k"], size["n"] or 0
     schema = ("factor string, test_used string, statistic double, p_value double, effect_size double, "
               "effect_metric string, reject_h0 boolean, meets_effect_threshold boolean, "
               "success_criteria_met boolean, n_groups long, n_rows long, posthoc_ran boolean, "
@@ -210,7 +328,7 @@ def run_factor(df: DataFrame, group: str, value: str = "profit_erosion", min_gro
         rec = (group, "n/a", None, None, None, "n/a", False, False, False, k, n, False,
                "Not enough groups after filtering.")
         return spark.createDataFrame([rec], schema), None
-    normal = all(r["normal"] for r in normality_gate(d, group, value).collect())
+    normal = shapiro_wilk(d, group, value).where("NOT normal").isEmpty()
     post, note = None, ""
     if normal:
         r = anova(d, group, value)
@@ -222,9 +340,9 @@ def run_factor(df: DataFrame, group: str, value: str = "profit_erosion", min_gro
         stat, p, eff, test, metric = r["h_stat"], r["p_value"], r["epsilon_squared"], "kruskal", \
             "epsilon_squared"
         if run_posthoc:
-            top = [x[group] for x in size_rows[:max_groups_posthoc]]
+            top = sizes.orderBy(F.desc("_n"), F.asc(group)).limit(max_groups_posthoc or k)
             post = dunn(d, group, value, top)
-            note = f"Dunn post-hoc ran on top {len(top)} groups with all rows per group."
+            note = f"Dunn post-hoc ran on top {min(k, max_groups_posthoc or k)} groups with all rows per group."
     if not run_posthoc:
         note = "Post-hoc testing disabled by configuration."
     reject = bool(p < ALPHA)

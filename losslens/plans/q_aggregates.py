@@ -38,7 +38,7 @@ SELECT category, count(order_id) AS returned_items, sum(sale_price) AS total_los
 FROM f WHERE is_returned_item = 1 AND category IS NOT NULL GROUP BY category"""),
          ["total_lost_sales", "total_lost_margin", "avg_margin_per_return",
           "median_margin_per_return"], M2)(
-    lambda spark, sf: A.margin_loss_by_group(featured_items(spark, sf, with_orders=False), ["category"]))
+    lambda spark, sf: A.margin_loss_by_group(returned_items(spark, sf, with_orders=False), ["category"]))
 
 # ------------------------------------------------------------------ A3
 register("a3_customer_margin_exposure", with_features("""

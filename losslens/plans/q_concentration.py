@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from losslens.operators import aggregates as A
 from losslens.operators import concentration as C
-from losslens.operators.ordered import average_ranks
+from losslens.operators.ordered import average_ranks, quantiles_of_counts
 from losslens.plans.catalog import featured_items, register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL
 from losslens.plans.sqlkit import with_features
@@ -65,16 +65,26 @@ FROM f LEFT JOIN cr ON f.category = cr.category LEFT JOIN br ON f.brand = br.bra
 
 
 def _product_features(spark, sf):
+    """One counting pass for both rate tables and the price terciles, and one
+    read of the rows that get them."""
     f = featured_items(spark, sf, with_orders=False)
-    cr = A.return_rates_by_group(f, ["category"], 200).select(
-        "category", F.col("return_rate").alias("category_return_rate"))
-    br = A.return_rates_by_group(f, ["brand"], 200).select(
-        "brand", F.col("return_rate").alias("brand_return_rate"))
+    melted = f.select("is_returned_item", F.explode(F.array(
+        F.struct(F.lit("category").alias("kind"), F.col("category").alias("key"), F.lit(None).cast("double").alias("_v")),
+        F.struct(F.lit("brand").alias("kind"), F.col("brand").alias("key"), F.lit(None).cast("double").alias("_v")),
+        F.struct(F.lit("price").alias("kind"), F.lit(None).cast("string").alias("key"),
+                 F.col("sale_price").cast("double").alias("_v")))).alias("m")).select("is_returned_item", "m.*")
+    counts = cut_lineage(melted.groupBy("kind", "key", "_v").agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("is_returned_item").alias("returned")))
+
+    def rates(kind):
+        rows = counts.where((F.col("kind") == kind) & F.col("key").isNotNull() & (F.col("_c") >= 200))
+        return rows.select(F.col("key").alias(kind), (F.col("returned") / F.col("_c")).alias(f"{kind}_return_rate"))
+    edges = quantiles_of_counts(counts.where("kind = 'price' AND _v IS NOT NULL").select("_v", "_c"), [],
+                                [(f"_e{i}", "_v", i / 3) for i in range(4)])
     # rate tables have one row per group; the planner broadcasts them while
     # they are under the size threshold, else sort-merge (AQE skew-join on)
-    out = f.join(cr, ["category"], "left").join(br, ["brand"], "left")
-    return C.price_tier(out).select("order_item_id", "category_return_rate",
-                                    "brand_return_rate", "price_tier")
+    out = f.join(rates("category"), ["category"], "left").join(rates("brand"), ["brand"], "left")
+    return C.price_tier(out, edges=edges).select("order_item_id", "category_return_rate", "brand_return_rate", "price_tier")
 
 
 # ---------------------------------------------------------------- W3

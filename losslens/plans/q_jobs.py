@@ -17,6 +17,7 @@ from losslens.operators import concentration as C
 from losslens.operators import external as EX
 from losslens.operators import joins as J
 from losslens.operators import model as M
+from losslens.operators import trees as T
 from losslens.operators import ols as O
 from losslens.operators import quality as QL
 from losslens.operators import reshape as R
@@ -216,20 +217,24 @@ def _pattern(spark, sf, prim):
 register("m19_pattern_validation", None)(lambda spark, sf: _pattern(spark, sf, rq3.prepared(spark, sf))[1])
 
 
-def _directional(spark, sf, prim, survivors):
+def _directional(spark, sf, survivors):
     """External accounts scored by the primary forest on its own features
-    (missing ones 0, nulls the external median), scaled by the primary
-    training rows; carries the accounts' actual loss."""
-    frame = M.model_frame(prim, survivors)
-    model = rq3.forest(frame, survivors, prim.where("is_test = 0").count())["model"]
+    (missing ones 0, nulls the external median); carries the accounts' actual
+    loss.  Trees cut the features as they are, so no scaling is needed."""
+    data = rq3.single_scenario(rq3.customer_targets(spark, sf), survivors)
+    best = M.forest_grids(data, {"primary": (0, survivors)})["primary"]
     acc = EX.targets(accounts(spark, sf))
     filled = EX.regression_features(acc.withColumn("actual_loss", F.col("total_loss")), survivors, "median")
-    ext = filled.select("account_id", "actual_loss", F.col("is_high_erosion_customer").cast("double").alias("label"),
-                        *[F.col(c).cast("double").alias(c) for c in survivors])
-    scored = model.transform(M.scoring_frame(ext, survivors, prim))
-    return scored.select("account_id", "actual_loss", F.col("label").cast("int").alias("actual_high_loss"),
-                         F.col("prediction").cast("int").alias("predicted_high_risk"),
-                         vector_to_array("probability")[1].alias("predicted_probability"))
+    ext = cut_lineage(filled.select("account_id", "actual_loss", F.array(F.col("is_high_erosion_customer").cast("int"))
+                                    .alias("labels"), F.array(F.lit(T.TEST)).alias("parts"),
+                                    *[F.col(c).cast("double").alias(c) for c in survivors]))
+    scored = T.score_forests(T.bin_rows(ext, "account_id", survivors, data.edges), best["trees"], [best["point"][:2]],
+                             every_row_of=best["fit"])
+    out = scored.select(F.col("id").alias("account_id"), F.col("label").alias("actual_high_loss"),
+                        F.expr("scores[0]").alias("predicted_probability"))
+    return (ext.select("account_id", "actual_loss").join(out, "account_id")
+            .select("account_id", "actual_loss", "actual_high_loss",
+                    (F.col("predicted_probability") > 0.5).cast("int").alias("predicted_high_risk"), "predicted_probability"))
 
 
 def validation_summary(spark, pattern, predictions, n_available, n_missing):
@@ -262,13 +267,13 @@ def validation_summary(spark, pattern, predictions, n_available, n_missing):
 def _m20(spark, sf):
     prim = rq3.prepared(spark, sf)
     survivors, _ = M.screen_features(prim.where("is_test = 0"), M.RQ3_CANDIDATE_FEATURES)
-    return _directional(spark, sf, prim, survivors)
+    return _directional(spark, sf, survivors)
 
 
 def _m21(spark, sf):
     prim = rq3.prepared(spark, sf)
     survivors, pattern = _pattern(spark, sf, prim)
-    predictions = cut_lineage(_directional(spark, sf, prim, survivors))
+    predictions = cut_lineage(_directional(spark, sf, survivors))
     have = [c for c in survivors if c in accounts(spark, sf).columns]
     return validation_summary(spark, pattern, predictions, len(have), len(survivors) - len(have))
 

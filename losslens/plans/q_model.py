@@ -145,4 +145,7 @@ def _thr_sens(spark, sf):
     return SE.stability_vs_baseline(lab, "pct", 0.75)
 
 
+# model part of M16 / M17: the forest's grid in every scenario
+register("m16_cost_sensitivity_models", None)(rq3.cost_sensitivity)
+register("m17_threshold_sensitivity_models", None)(rq3.threshold_sensitivity)
 register("m22_rq3_job", None)(rq3.rq3_tables)

@@ -69,6 +69,9 @@ SELECT g AS category, n, n / 6.0 * ((m3 / m2 ^ 1.5) ^ 2 + (m4 / m2 ^ 2 - 3) ^ 2
 FROM c"""), ["jb_stat", "p_value"])(
     lambda spark, sf: S.normality_gate(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
 
+register("t5_shapiro_wilk_by_category", None)(
+    lambda spark, sf: S.shapiro_wilk(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
+
 register("t12_point_biserial_price_returned", with_features("""
 SELECT corr(sale_price, CAST(is_returned_item AS DOUBLE)) AS r, count(*) AS n FROM f"""), ["r"])(
     lambda spark, sf: _pb(spark, sf))

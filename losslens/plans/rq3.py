@@ -8,7 +8,8 @@ importances, hypothesis -> drop-top-n ablation.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +17,10 @@ from losslens.operators import aggregates as A
 from losslens.operators import concentration as C
 from losslens.operators import joins as J
 from losslens.operators import model as M
+from losslens.operators import sensitivity as SE
 from losslens.plans.catalog import featured_items, returned_items
 from losslens.session import cut_lineage
+from losslens.sources.adapter import DRIVER_TIERS
 
 
 def customer_targets(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,29 +46,41 @@ def prepared(spark: SparkSession, sf: str, features=None) -> DataFrame:
                                                features or M.RQ3_CANDIDATE_FEATURES))
 
 
+def single_scenario(customers: DataFrame, features=None, target: str = M.RQ3_TARGET) -> M.Scenarios:
+    """Customers with their one label, binned for the tree models."""
+    features = list(features or M.RQ3_CANDIDATE_FEATURES)
+    labels = customers.select(F.lit(0).alias("scenario"), "user_id", F.col(target).alias("label"))
+    return M.label_scenarios(customers, labels, 1, features)
+
+
 def run_rq3(spark: SparkSession, sf: str, ablation_top_n: int = 3) -> dict:
-    prep = prepared(spark, sf)
-    train = prep.where(F.col("is_test") == 0)
-    survivors, screen = M.screen_features(train, M.RQ3_CANDIDATE_FEATURES)
-    frame = M.model_frame(prep, survivors).persist()
-    n_train = train.count()
-    results = M.train_and_evaluate(frame, survivors, M.build_model_configs(n_train))
+    return fit_and_compare(customer_targets(spark, sf), ablation_top_n)
+
+
+def fit_and_compare(customers: DataFrame, ablation_top_n: int = 3, features=None) -> dict:
+    """All grids on one customer table; M9 drops the forest's top features and
+    grows its grid again."""
+    spark, features = customers.sparkSession, list(features or M.RQ3_CANDIDATE_FEATURES)
+    prep = cut_lineage(M.prepare_modeling_data(customers, features))
+    survivors, screen = M.screen_features(prep.where(F.col("is_test") == 0), features)
+    data = single_scenario(customers, features)
+    results = {"Logistic Regression": M.logistic(M.model_frame(prep, survivors), survivors),
+               "Random Forest": M.forest_grids(data, {"all": (0, survivors)})["all"],
+               "Gradient Boosting": M.boosting_grid(data, 0, survivors)}
     rule = M.rule_baseline(prep) if "return_frequency" in prep.columns else None
     if rule:
         results["Rule Baseline"] = rule
     comp = M.comparison_table(spark, results)
     imp = M.importance_table(spark, {k: v for k, v in results.items() if "importance" in v})
     hyp = M.hypothesis_record({k: v for k, v in results.items() if k != "Rule Baseline"})
-    # M9: drop the top-n features of the random forest and refit it
     full = results["Random Forest"]
     top = [f for f, _ in sorted(full["importance"].items(), key=lambda kv: -kv[1])[:ablation_top_n]]
     reduced = [f for f in survivors if f not in top]
     abl = None
     if reduced:
-        r2 = forest(M.model_frame(prep, reduced), reduced, n_train)
-        abl = spark.createDataFrame([(",".join(top), full["test_auc"], r2["test_auc"], full["test_auc"] - r2["test_auc"])],
+        less = M.forest_grids(data, {"reduced": (0, reduced)})["reduced"]
+        abl = spark.createDataFrame([(",".join(top), full["test_auc"], less["test_auc"], full["test_auc"] - less["test_auc"])],
                                     "dropped string, auc_full double, auc_reduced double, auc_drop double")
-    frame.unpersist()
     return {"screening": screen, "survivors": survivors, "comparison": comp, "importance": imp,
             "hypothesis": hyp, "ablation": abl, "results": results}
 
@@ -109,65 +124,99 @@ GATES = {"Full pipeline": {}, "No correlation gate": {"use_correlation_gate": Fa
          "No screening": {"use_correlation_gate": False, "use_univariate_gate": False}}
 
 
-def forest(frame: DataFrame, feats, n_train: int) -> dict:
-    """The random forest's grid on these features of a model frame."""
-    sub = VectorAssembler(inputCols=list(feats), outputCol="raw_features").transform(frame.drop("raw_features"))
-    return M.train_and_evaluate(sub, feats, {"Random Forest": M.build_model_configs(n_train)["Random Forest"]})[
-        "Random Forest"]
+def ablation_variants(spark: SparkSession, sf: str) -> tuple[M.Scenarios, list[tuple]]:
+    """Rows with a label for each target of M12, and (study, variant, scenario,
+    screened features) of M10-M13.  Each variant is screened anew on its own
+    training rows, without the variance gate; M12's targets have splits of
+    their own."""
+    customers = customer_targets(spark, sf)
+    base = customers.drop("is_high_erosion_customer", "erosion_percentile_rank", "profit_erosion_quartile")
+    targets = [customers] + [C.create_profit_erosion_targets(base, erosion_column=c) for c in TARGETS]
+    labels = reduce(DataFrame.unionByName, [t.select(F.lit(i).alias("scenario"), "user_id", F.col(M.RQ3_TARGET).alias("label"))
+                                            for i, t in enumerate(targets)])
+    data, every = M.label_scenarios(customers, labels, len(targets)), M.RQ3_CANDIDATE_FEATURES
 
+    def screened(columns, scenario=0, **gates):
+        return data.screened(columns, use_variance_gate=False, **gates)[scenario]
 
-def ablation_variants(spark: SparkSession, sf: str) -> list[tuple]:
-    """(study, variant, prepared rows, screened features) of M10-M13; each
-    variant is screened anew on its own training rows, without the variance
-    gate, and M12 splits its rows by its own target."""
-    def screened(rows, columns, **gates):
-        return M.screen_features(rows.where("is_test = 0"), columns, use_variance_gate=False, **gates)[0]
-
-    prep, every = prepared(spark, sf), M.RQ3_CANDIDATE_FEATURES
-    out = [("preprocessing", name, prep, screened(prep, every, **off)) for name, off in GATES.items()]
-    out.append(("feature_family", "Full model", prep, out[0][3]))
+    out = [("preprocessing", name, 0, screened(every, **off)) for name, off in GATES.items()]
+    out.append(("feature_family", "Full model", 0, out[0][3]))
     for name, gone in FAMILIES.items():
-        out.append(("feature_family", f"No {name}", prep, screened(prep, [c for c in every if c not in gone])))
-    base = customer_targets(spark, sf).drop("is_high_erosion_customer", "erosion_percentile_rank",
-                                            "profit_erosion_quartile")
-    for column in TARGETS:
-        rows = cut_lineage(M.prepare_modeling_data(C.create_profit_erosion_targets(base, erosion_column=column), every))
-        out.append(("target_construction", column, rows, screened(rows, every)))
+        out.append(("feature_family", f"No {name}", 0, screened([c for c in every if c not in gone])))
+    own = data.screened(every, use_variance_gate=False)
+    out += [("target_construction", column, i, own[i]) for i, column in enumerate(TARGETS, 1)]
     for name, columns in (("Behavioral + economic (full set)", every), ("Behavioral only", BEHAVIORAL),
                           ("Economic only", ECONOMIC)):
-        out.append(("feature_set", name, prep, screened(prep, columns)))
-    return out
+        out.append(("feature_set", name, 0, screened(columns)))
+    return data, out
 
 
 def ablation_features(spark: SparkSession, sf: str) -> DataFrame:
     """Screened features of each variant of M10-M13."""
-    return spark.createDataFrame([(study, name, len(f), ", ".join(f)) for study, name, _, f in ablation_variants(spark, sf)],
+    return spark.createDataFrame([(study, name, len(f), ", ".join(f)) for study, name, _, f in ablation_variants(spark, sf)[1]],
                                  "study string, variant string, n_features int, selected_features string")
 
 
 def ablation_studies(spark: SparkSession, sf: str) -> DataFrame:
     """The forest's grid for every variant, with the test AUC lost
     against the study's full variant.  M14 takes the first features of the
-    full pipeline's importances.  Equal feature sets on equal rows are fitted
-    once."""
-    variants, fitted, frames = ablation_variants(spark, sf), {}, {}
-
-    def fit(rows, feats):
-        if (id(rows), tuple(feats)) not in fitted:
-            if id(rows) not in frames:
-                frames[id(rows)] = M.model_frame(rows, M.RQ3_CANDIDATE_FEATURES), rows.where("is_test = 0").count()
-            fitted[id(rows), tuple(feats)] = forest(frames[id(rows)][0], feats, frames[id(rows)][1])
-        return fitted[id(rows), tuple(feats)]
-
-    prep, full = variants[0][2], variants[0][3]
-    ranked = [f for f, _ in sorted(fit(prep, full)["importance"].items(), key=lambda kv: -kv[1])]
-    variants += [("operational", "Full screened model", prep, full), ("operational", "Top-5 operational subset", prep, ranked[:5]),
-                 ("operational", "Top-3 operational subset", prep, ranked[:3])]
+    full pipeline's importances.  Different feature sets and targets grow
+    together; equal ones are one set."""
+    data, variants = ablation_variants(spark, sf)
+    fitted = M.forest_grids(data, {(i, tuple(f)): (i, f) for _, _, i, f in variants if f})
+    full = variants[0][3]
+    ranked = [f for f, _ in sorted(fitted[0, tuple(full)]["importance"].items(), key=lambda kv: -kv[1])]
+    variants += [("operational", "Full screened model", 0, full), ("operational", "Top-5 operational subset", 0, ranked[:5]),
+                 ("operational", "Top-3 operational subset", 0, ranked[:3])]
+    more = {(i, tuple(f)): (i, f) for _, _, i, f in variants[-2:] if (i, tuple(f)) not in fitted}
+    fitted |= M.forest_grids(data, more) if more else {}
     first, rows = {}, []
-    for study, name, data, feats in variants:
-        r = fit(data, feats)
+    for study, name, i, feats in variants:
+        r = fitted.get((i, tuple(feats)), {"cv_auc": float("nan"), "test_auc": float("nan")})  # nothing survived
         first.setdefault(study, r["test_auc"])
         rows.append((study, name, len(feats), ", ".join(feats), float(r["cv_auc"]), float(r["test_auc"]),
                      float(first[study] - r["test_auc"])))
     return spark.createDataFrame(rows, "study string, variant string, n_features int, selected_features string, "
                                        "cv_auc double, test_auc double, auc_drop_vs_full double")
+
+
+# ------------------------------------------------------------------ M16 / M17: models of the sensitivity scenarios
+def _scenario_models(customers: DataFrame, labelled: DataFrame, values: list[float], name: str) -> DataFrame:
+    """One row a scenario: label counts, survivors and the forest's test rates.
+    ``labelled``: (value of the scenario, user_id, threshold, label)."""
+    spark = customers.sparkSession
+    at = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(float(v)), F.lit(i))])
+    labels = cut_lineage(labelled.withColumn("scenario", at[F.col(name)])
+                         .join(customers.select("user_id"), "user_id", "left_semi"))
+    counts = {r["scenario"]: r for r in labels.groupBy("scenario").agg(  # one row a scenario
+        F.max("threshold").alias("threshold"), F.sum("label").alias("ones"), F.count(F.lit(1)).alias("n")).collect()}
+    data = M.label_scenarios(customers, labels, len(values))
+    survivors = data.screened()
+    fitted = M.forest_grids(data, {i: (i, f) for i, f in sorted(survivors.items()) if f})
+    rows = []
+    for i, v in enumerate(values):
+        r, c, f = fitted.get(i, {}), counts[i], survivors.get(i, [])
+        rows.append((float(v), *[None if k not in r else float(r[k]) for k in ("test_auc", "f1", "precision", "recall")],
+                     float(c["threshold"]), int(c["ones"]), int(c["n"]), c["ones"] / c["n"], len(f), ", ".join(f)))
+    return spark.createDataFrame(rows, f"{name} double, best_auc double, f1 double, precision double, recall double, "
+                                       "threshold_value double, n_positive long, n_total long, positive_rate double, "
+                                       "n_surviving_features int, surviving_features string")
+
+
+def cost_sensitivity(spark: SparkSession, sf: str, base_costs=None) -> DataFrame:
+    """Labels at the 75th percentile of the loss under each base cost."""
+    costs = list(base_costs or SE.SENSITIVITY_BASE_COSTS)
+    customers = cut_lineage(A.customer_behavioral_features(featured_items(spark, sf, ["order_created_at", "user_created_at"])))
+    loss = SE.erosion_under_costs(returned_items(spark, sf), costs, DRIVER_TIERS)
+    loss = loss.join(customers.select("user_id"), "user_id", "left_semi")
+    return _scenario_models(customers, SE.labels_by_scenario(loss, "base_cost"), costs, "base_cost")
+
+
+def threshold_sensitivity(spark: SparkSession, sf: str, thresholds=None) -> DataFrame:
+    """Labels at several percentiles of the loss at the usual cost."""
+    percents = list(thresholds or SE.SENSITIVITY_THRESHOLDS)
+    customers = customer_targets(spark, sf)
+    scenarios = spark.createDataFrame([(float(p),) for p in percents], "threshold_percentile double")
+    each = customers.select("user_id", "total_profit_erosion").crossJoin(F.broadcast(scenarios))  # fixed scenario list
+    labelled = SE.labels_by_scenario(each, "threshold_percentile", percentile_col="threshold_percentile")
+    return _scenario_models(customers, labelled, percents, "threshold_percentile")
