@@ -90,8 +90,8 @@ class WordEncoder:
     space and keeps letters, digits and other marks in separate tokens, whose
     last one in a word ends in ``</w>``.
 
-    No token spans a blank, a line feed, or the end of a run of letters and
-    digits before ASCII marks (other than an apostrophe).  Texts are cut
+    No token spans a blank, a line feed, or the end of a run that normalizes to
+    letters and digits before ASCII marks (other than an apostrophe).  Texts are cut
     there, and the library encodes each distinct part once per task; words of
     letters go to it by many in one text and are told apart by their ends.
     """
@@ -142,6 +142,11 @@ class WordEncoder:
         place[order] = np.arange(len(parts))
         self.runs.extend(*found.gather(place))
 
+    def _letters_only(self, head: str) -> bool:
+        """Whether normalizing leaves letters and digits only: a capital whose
+        small form ends in a combining mark joins the marks after it."""
+        return self.tokenizer.normalizer.normalize_str(head).isalnum()
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -158,7 +163,7 @@ class WordEncoder:
         number, of_chunk, sizes = self.parts, [0], [1]
         for c in chunks:
             head = c.rstrip(MARKS)
-            if head.isalnum():
+            if head.isalnum() and (head.isascii() or len(head) == len(c) or self._letters_only(head)):
                 of_chunk.append(number[head.lower() if head.isascii() else head] + 1)
                 if len(head) < len(c):
                     of_chunk.append(number[c[len(head):]] + 1)
