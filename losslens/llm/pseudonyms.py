@@ -34,7 +34,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-KEY = "corpus-pseudonyms"
 
 # fixed values: what candidates of each kind look like
 PATTERNS = {
@@ -198,9 +197,15 @@ def _pseudonym(v: str, kind: str, key: str) -> str:
         ELSE {v} END"""
 
 
-def pseudonymize(documents: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
-    """The documents with valid personal data replaced in the text column,
-    and ``private``: array of (kind, pseudonym) in order of place."""
+def pseudonymize(documents: DataFrame, key: str, text_col: str = "text", found_col: str | None = "private") -> DataFrame:
+    """The documents with valid personal data replaced in the text column, and
+    in ``found_col`` an array of (kind, pseudonym) in order of place; where the
+    input has that column already, underscores are added to the name.  None:
+    no such column.  Who has the key can undo the pseudonyms."""
+    if not key:
+        raise ValueError("a key is needed")
+    while found_col in documents.columns:
+        found_col += "_"
     key = key.replace("\\", "\\\\").replace("'", "\\'")
     text = F.col("row")[text_col]
     found = (documents.select(F.struct("*").alias("row"))
@@ -213,9 +218,8 @@ def pseudonymize(documents: DataFrame, key: str = KEY, text_col: str = "text") -
     joined = F.array_join(F.concat(
         F.slice(F.col("pieces"), 1, 1),
         F.zip_with(F.col("found"), F.expr("slice(pieces, 2, size(pieces))"), lambda f, p: F.concat(f["v"], p))), "")
-    names = [c for c in documents.columns if c != text_col]
     out = (found.withColumn("pieces", F.when(F.size("found") > 0, pieces))
            .withColumn("new", F.when(F.size("found") > 0, joined).otherwise(text)))
-    return out.select(*[F.col("row")[c].alias(c) for c in names], F.col("new").alias(text_col),
-                      F.expr("transform(filter(found, f -> f.kind IS NOT NULL), f -> struct(f.kind AS kind, f.v AS pseudonym))")
-                      .alias("private")).select(*documents.columns, "private")
+    private = F.expr("transform(filter(found, f -> f.kind IS NOT NULL), f -> struct(f.kind AS kind, f.v AS pseudonym))")
+    columns = [F.col("new").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in documents.columns]
+    return out.select(*columns, *([private.alias(found_col)] if found_col else []))

@@ -76,8 +76,13 @@ def op7_toxicity(spark, sf_dir):
                       (out["score"] >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
 
 
+def pseudonym_key(spark) -> str:
+    """The session's key; without one, a public key for the given tables."""
+    return spark.conf.get("spark.losslens.pseudonymKey", "not secret: for tables without real persons")
+
+
 def op8_pseudonyms(spark, sf_dir):
-    out = pseudonyms.pseudonymize(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pseudonyms.pseudonymize(read_table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark))
     return out.selectExpr("doc_id", "cast(size(private) AS bigint) AS n_private",
                           "array_join(array_sort(transform(private, p -> p.kind)), ',') AS kinds", "text")
 
@@ -88,7 +93,9 @@ def op9_decontaminate(spark, sf_dir):
 
 def op10_suffix_array(spark, sf_dir):
     out = exact_substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    # the bytes that stay, as a text: a run may end inside a letter
+    kept = F.expr("make_valid_utf8(cast(kept AS string))")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", kept.alias("kept_text"))
 
 
 def op11_prefix_trie(spark, sf_dir):

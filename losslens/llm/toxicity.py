@@ -309,9 +309,10 @@ def learning_rows(id_col: str = "doc_id"):
     return F.expr(f"crc32(coalesce(cast({id_col} AS string), '')) % 4 <> 2")
 
 
-def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> dict:
-    """The model of a bounded sample of the learning labels."""
+def learning_sample(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> tuple[DataFrame, float]:
+    """(y, t) of at most ``max_per_class`` documents of each class, one row of
+    each id (that of the least hash of its text), and the share of class 1."""
     lab = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y"))
            .where("doc_id IS NOT NULL AND y IN (0, 1)").where(learning_rows("doc_id"))
            .groupBy("doc_id").agg(F.max("y").alias("y")))
@@ -320,16 +321,23 @@ def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     sample = lab.where("y = 1").orderBy(order).limit(max_per_class).union(
         lab.where("y = 0").orderBy(order).limit(max_per_class))
     docs = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    picked = (docs.join(F.broadcast(sample), "doc_id")  # at most 2 * max_per_class rows
+              .where(F.char_length("t") <= MAX_CHARS).groupBy("doc_id")
+              .agg(F.min_by(F.struct("y", "t"), F.struct(F.xxhash64("t"), "t")).alias("r")).select("r.*"))
+    return picked, share
+
+
+def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> dict:
+    """The model of a bounded sample of the learning labels."""
+    picked, share = learning_sample(documents, labels, id_col, text_col, label_col, max_per_class)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in zip(b.column("t").to_pylist(), b.column("y").to_pylist())]
         model = fit_tagger([t for t, _ in rows], np.array([y for _, y in rows], int), share)
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(model)])], ["model"])
 
-    picked = (docs.join(F.broadcast(sample), "doc_id")  # at most 2 * max_per_class rows
-              .where(F.char_length("t") <= MAX_CHARS).select("y", "t").repartition(1)
-              .sortWithinPartitions(F.xxhash64("t"), "t", "y"))
-    row = picked.mapInArrow(fit, "model string").first()
+    row = picked.repartition(1).sortWithinPartitions(F.xxhash64("t"), "t", "y").mapInArrow(fit, "model string").first()
     return json.loads(row.model) if row else fit_tagger([], np.zeros(0, int), share)  # no partition ran
 
 

@@ -429,7 +429,7 @@ def test_pseudonyms_keep_formats(spark):
              "97.51.17.173 300.1.1.1", "123-45-6789 000-12-1234", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"!',
              "1999-02-28 24.12.1980 2001-02-30", "GB82 WEST 1234 5698 7654 32", "und.34@mail7.example.com, é", None, "", "1. 4.0"]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, found string")
-    out = [r for r in pseudonyms.pseudonymize(df).orderBy("doc_id").collect()]
+    out = [r for r in pseudonyms.pseudonymize(df, "key").orderBy("doc_id").collect()]
     new = [r.text for r in out]
     assert re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4} \d+\.\d+\.\d+\.\d+", new[0]) and "555-7713" not in new[0]
     a, b, c = new[1].split(" ")
@@ -441,7 +441,7 @@ def test_pseudonyms_keep_formats(spark):
     assert mod97(new[6]) == 1 and new[6][:2] == "GB" and new[6] != texts[6]
     assert re.fullmatch(r"[a-z]{3}\.\d\d@mail7\.example\.com, é", new[7]) and new[7] != texts[7]
     assert new[8:] == texts[8:] and out[0].found == "x" and [p.kind for p in out[1].private] == ["card", "card"]
-    assert pseudonyms.pseudonymize(df.limit(0)).count() == 0
+    assert pseudonyms.pseudonymize(df.limit(0), "key").count() == 0
 
 
 @pytest.mark.parametrize("make", ["date_format(date_add(date'1950-01-01', cast(id AS int)), 'yyyy-MM-dd')",
@@ -450,7 +450,7 @@ def test_pseudonyms_keep_formats(spark):
                                   "concat('a', id, '@x.org')"])
 def test_pseudonyms_are_one_to_one(spark, make):
     df = spark.range(3000).selectExpr("id AS doc_id", f"{make} AS text")
-    out = pseudonyms.pseudonymize(df)
+    out = pseudonyms.pseudonymize(df, "key")
     assert out.select("text").distinct().count() == df.select("text").distinct().count()
     assert out.where("size(private) = 1").count() == 3000
     again = pseudonyms.pseudonymize(df, key="other")
@@ -623,7 +623,7 @@ def test_repeated_substrings_brute(spark, segments):
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     from losslens.llm import queries
-    assert [f"op{n}" for n in range(1, 11)] == sorted((q.split("_")[0] for q in queries.QUERIES), key=lambda x: int(x[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted((q.split("_")[0] for q in queries.QUERIES), key=lambda x: int(x[2:]))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     docs = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op1_quality_rules", "op6_simhash", "op7_toxicity", "op8_pseudonyms", "op10_suffix_array"):
