@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from losslens.sources.quoted_csv import read_quoted_csv
 from losslens.sources.tables import clean_columns
 
 # fixed values: the dates of each export, and columns by their standard type
@@ -17,12 +18,11 @@ STRING_COLS = ["postal_code", "sku", "user_geom", "street_address", "email"]
 
 
 def read_csv(spark: SparkSession, path: str, columns=None, dates=(), schema: str | None = None) -> DataFrame:
-    """One export with a header.  Names are cleaned (S2); with ``columns``
-    only those are read; ``dates`` are parsed, unparsable ones null.  Without
-    a schema all other columns are strings, so no pass infers types; P2
-    converts them."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    df = clean_columns((reader.schema(schema) if schema else reader).csv(path))
+    """One export with a header, whose records may hold line feeds (see
+    ``quoted_csv``).  Names are cleaned (S2); with ``columns`` only those are
+    read; ``dates`` are parsed, unparsable ones null.  Without a schema all
+    other columns are strings, so no pass infers types; P2 converts them."""
+    df = clean_columns(read_quoted_csv(spark, path, schema))
     missing = [c for c in columns or [] if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in {path}: {missing}")
