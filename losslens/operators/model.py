@@ -156,8 +156,8 @@ def label_scenarios(customers: DataFrame, labels: DataFrame, n: int, features=No
     imputed with the medians of its own training rows."""
     features = list(features or RQ3_CANDIDATE_FEATURES)
     d = labels.select("scenario", id_col, F.col("label").cast("int").alias("label"))
-    d = stratified_split(d.withColumn("_g", F.concat_ws(":", "scenario", "label")), "_g", id_col, test_size, seed)
-    d = fold_column(d.withColumn("_g", F.concat_ws(":", "_g", "is_test")), "_g", id_col, folds, seed)
+    d = stratified_split(d.withColumn("_stratum", F.concat_ws(":", "scenario", "label")), "_stratum", id_col, test_size, seed)
+    d = fold_column(d.withColumn("_stratum", F.concat_ws(":", "_stratum", "is_test")), "_stratum", id_col, folds, seed)
     d = cut_lineage(d.select("scenario", id_col, "label", F.when(F.col("is_test") == 1, T.TEST)
                              .otherwise(F.col("fold")).alias("part")))
     x = cut_lineage(customers.select(id_col, *[F.col(c).cast("double").alias(c) for c in features]))

@@ -1,186 +1,8 @@
-"""Query catalog: every registered operator as (Spark job, DuckDB twin).
-
-``QUERIES[name] = Entry(spark_fn, sql, doubles, digits)``.  The Spark
-function reads the driver tables under ``sf_dir`` (whole tables, no
-sampling) and returns a DataFrame; ``sql`` is the same computation in
-DuckDB SQL over the pre-registered views.  Doubles are rounded half-even
-on both sides (``digits``, default 4) so a value hash compares equal
-numbers; an entry without SQL is checked on rows only.
-"""
+"""Query catalog: the registry with all modules of queries loaded."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from typing import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from losslens.operators import aggregates as A
-from losslens.operators import features as FE
-from losslens.plans.sqlkit import round_spark, round_sql, with_features
-from losslens.sources.adapter import DRIVER_TIERS, items
-
-
-@dataclass
-class Entry:
-    fn: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
-    doubles: list = field(default_factory=list)
-    digits: dict = field(default_factory=dict)
-    ints: list = field(default_factory=list)
-    scale: dict = field(default_factory=dict)
-    ts: list = field(default_factory=list)
-
-
-QUERIES: dict[str, Entry] = {}
-
-
-def register(name: str, sql: str | None = None, doubles=(), digits=None, ints=(), scale=None, ts=()):
-    def deco(fn):
-        QUERIES[name] = Entry(fn, sql, list(doubles), dict(digits or {}), list(ints), dict(scale or {}),
-                              list(ts))
-        return fn
-    return deco
-
-
-def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    e = QUERIES[name]
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_spark(e.fn(spark, sf_dir), e.digits, scale=e.scale)
-    run.__name__ = name
-    return run
-
-
-def oracle(name: str) -> str | None:
-    e = QUERIES[name]
-    if e.sql is None:
-        return None
-    return round_sql(e.sql, e.doubles, e.digits, e.ints, scale=e.scale, ts_cols=e.ts)
-
-
-# ---------------------------------------------------------------- helpers
-ITEM_CORE = ["order_item_id", "order_id", "product_id", "item_status", "retail_price",
-             "sale_price", "cost", "category", "brand", "department"]
-ORDER_INPUT = ["user_id", "order_status"]
-ITEM_FEATURE_INPUT = ITEM_CORE + ORDER_INPUT
-
-
-def featured_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool = True,
-                   returned_only: bool = False) -> DataFrame:
-    """Item grain + P3 / P4 / P5 (driver tier map on the category).
-
-    ``with_orders=False`` leaves out the customer / order-status columns, and
-    with them the lineitem x orders join (the largest shuffle at scale), for
-    product-level queries that never use them.
-    """
-    base = ITEM_FEATURE_INPUT if with_orders else ITEM_CORE
-    cols = list(dict.fromkeys(base + list(extra)))
-    return FE.add_item_features(items(spark, sf_dir, cols, returned_only=returned_only),
-                                category_multipliers=DRIVER_TIERS)
-
-
-def returned_items(spark: SparkSession, sf_dir: str, extra=(), with_orders: bool = True) -> DataFrame:
-    # the scan-level predicate prunes non-returned lines before the joins;
-    # the flag filter states the semantics (and is a no-op after it)
-    return featured_items(spark, sf_dir, extra, with_orders, True).where(F.col("is_returned_item") == 1)
-
-
-EROSION_DOUBLES = ["return_rate", "total_profit_erosion", "mean_profit_erosion_per_return",
-                   "median_profit_erosion_per_return", "var_profit_erosion_per_return",
-                   "total_margin_reversal", "total_process_cost"]
-EROSION_DIGITS: dict = {}
-
-
-def _erosion_sql(col: str, min_rows: int = 200) -> str:
-    return with_features(f"""
-SELECT {col}, count(*) AS item_rows, CAST(sum(is_returned_item) AS BIGINT) AS returned_items,
-  sum(is_returned_item) / count(*) AS return_rate,
-  CASE WHEN count(*) FILTER (WHERE is_returned_item = 1) > 0
-       THEN count(*) FILTER (WHERE is_returned_item = 1) END AS returned_item_rows,
-  sum(profit_erosion) FILTER (WHERE is_returned_item = 1) AS total_profit_erosion,
-  avg(profit_erosion) FILTER (WHERE is_returned_item = 1) AS mean_profit_erosion_per_return,
-  quantile_cont(profit_erosion, 0.5) FILTER (WHERE is_returned_item = 1) AS median_profit_erosion_per_return,
-  var_samp(profit_erosion) FILTER (WHERE is_returned_item = 1) AS var_profit_erosion_per_return,
-  sum(margin_reversal) FILTER (WHERE is_returned_item = 1) AS total_margin_reversal,
-  sum(process_cost) FILTER (WHERE is_returned_item = 1) AS total_process_cost
-FROM f WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) >= {min_rows}""")
-
-
-def _erosion_query(level: str):
-    def fn(spark, sf_dir):
-        long = A.product_profit_erosion_metrics(featured_items(spark, sf_dir, with_orders=False),
-                                                min_rows=200, levels={f"by_{level}": level})
-        return A.erosion_level(long, level)
-    return fn
-
-
-for _lv in ("category", "brand", "department"):
-    register(f"a6_erosion_by_{_lv}", _erosion_sql(_lv), EROSION_DOUBLES, EROSION_DIGITS,
-             scale={"var_profit_erosion_per_return": 4})(
-        _erosion_query(_lv))
-
-
-def _load_all():
-    # entry modules register themselves on import
-    from losslens.plans import q_aggregates, q_concentration  # noqa: F401
-
-
-_load_all()
-
-
-def _load_more():
-    from losslens.plans import q_quality  # noqa: F401
-
-
-_load_more()
-
-
-def _load_features():
-    from losslens.plans import q_features  # noqa: F401
-
-
-_load_features()
-
-
-def _load_stats():
-    from losslens.plans import q_stats  # noqa: F401
-
-
-_load_stats()
-
-
-def _load_segment():
-    from losslens.plans import q_segment  # noqa: F401
-
-
-_load_segment()
-
-
-def _load_model():
-    from losslens.plans import q_model  # noqa: F401
-
-
-_load_model()
-
-
-def _load_ols():
-    from losslens.plans import q_ols  # noqa: F401
-
-
-_load_ols()
-
-
-def _load_external():
-    from losslens.plans import q_external  # noqa: F401
-
-
-_load_external()
-
-
-def _load_jobs():
-    from losslens.plans import q_jobs  # noqa: F401
-
-
-_load_jobs()
+# ruff: noqa: F401 -- modules register their queries on import
+from losslens.plans import (
+    q_erosion, q_aggregates, q_concentration, q_quality, q_features, q_stats, q_segment, q_model, q_ols, q_external, q_jobs)
+from losslens.plans.registry import QUERIES, featured_items, oracle, register, returned_items, spark_query

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from losslens.operators import aggregates as A
 from losslens.operators import features as FE
-from losslens.plans.catalog import featured_items, register, returned_items
+from losslens.plans.registry import featured_items, register, returned_items
 from losslens.plans.sqlkit import with_features
 from losslens.session import cut_lineage
 from losslens.streaming.monthly import monthly_return_rate_stream

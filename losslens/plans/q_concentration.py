@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from losslens.operators import aggregates as A
 from losslens.operators import concentration as C
 from losslens.operators.ordered import average_ranks, quantiles_of_counts
-from losslens.plans.catalog import featured_items, register, returned_items
+from losslens.plans.registry import featured_items, register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL
 from losslens.plans.sqlkit import with_features
 from losslens.session import cut_lineage

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from losslens.operators import external as EX
 from losslens.operators import joins as J
-from losslens.plans.catalog import register
+from losslens.plans.registry import register
 from losslens.sources.external import EXTERNAL_LINES_SQL, external_lines
 
 

@@ -10,7 +10,7 @@ from losslens.operators import aggregates as A
 from losslens.operators import features as FE
 from losslens.operators import joins as J
 from losslens.operators import reshape as R
-from losslens.plans.catalog import featured_items, register, returned_items
+from losslens.plans.registry import featured_items, register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL, RFM_SQL_CTE, rfm
 from losslens.plans.sqlkit import FEATURES_SQL, tier_case_sql, with_features
 from losslens.sources.adapter import DRIVER_TIERS, items

@@ -24,7 +24,7 @@ from losslens.operators import reshape as R
 from losslens.operators.ordered import group_quantiles
 from losslens.operators.stats import kruskal, spearman
 from losslens.plans import rq1, rq3
-from losslens.plans.catalog import featured_items, register, returned_items
+from losslens.plans.registry import featured_items, register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL
 from losslens.plans.q_external import _ACC_SQL, _PRE, _ext_sql, accounts, lines
 from losslens.plans.q_ols import _run as rq4_run

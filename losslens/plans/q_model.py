@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from losslens.operators import model as M
 from losslens.operators import sensitivity as SE
 from losslens.plans import rq3
-from losslens.plans.catalog import register, returned_items
+from losslens.plans.registry import register, returned_items
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL, RFM_SQL_CTE
 from losslens.plans.q_concentration import QUARTILE_SQL
 from losslens.plans.sqlkit import tier_case_sql, with_features

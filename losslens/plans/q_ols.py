@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from losslens.operators import ols as O
 from losslens.plans import rq4
-from losslens.plans.catalog import register
+from losslens.plans.registry import register
 from losslens.plans.q_model import targets_sql
 
 _NUM = [c for c in O.RQ4_HYPOTHESIS_PREDICTORS + O.RQ4_BEHAVIORAL_CONTROLS if c != "age"]

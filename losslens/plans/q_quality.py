@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from losslens.operators import quality as QL
-from losslens.plans.catalog import featured_items, register
+from losslens.plans.registry import featured_items, register
 from losslens.plans.q_aggregates import RFM_DOUBLES, rfm, rfm_sql
 from losslens.plans.sqlkit import with_features
 

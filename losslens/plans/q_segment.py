@@ -8,7 +8,7 @@ from losslens.operators.concentration import relative_drop
 from losslens.operators import segment as SG
 from losslens.operators import stats as S
 from losslens.plans import rq2
-from losslens.plans.catalog import register
+from losslens.plans.registry import register
 from losslens.plans.q_aggregates import CUSTOMER_EROSION_SQL, RFM_SQL_CTE
 from losslens.plans.sqlkit import with_features
 

@@ -18,7 +18,7 @@ from losslens.sources.raw import standardize_types
 from losslens.operators import aggregates as A
 from losslens.operators import quality as QL
 from losslens.operators import stats as S
-from losslens.plans.catalog import featured_items
+from losslens.plans.registry import featured_items
 from losslens.sources.adapter import DRIVER_TIERS, items
 from losslens.operators import features as FE
 

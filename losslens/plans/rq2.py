@@ -19,7 +19,7 @@ from losslens.operators import concentration as C
 from losslens.operators import joins as J
 from losslens.operators import segment as SG
 from losslens.operators import stats as S
-from losslens.plans.catalog import featured_items, returned_items
+from losslens.plans.registry import featured_items, returned_items
 from losslens.session import cut_lineage
 
 SEG_FEATURES = ["total_items_purchased", "avg_order_value", "avg_basket_size", "order_frequency",

@@ -18,7 +18,7 @@ from losslens.operators import concentration as C
 from losslens.operators import joins as J
 from losslens.operators import model as M
 from losslens.operators import sensitivity as SE
-from losslens.plans.catalog import featured_items, returned_items
+from losslens.plans.registry import featured_items, returned_items
 from losslens.session import cut_lineage
 from losslens.sources.adapter import DRIVER_TIERS
 
