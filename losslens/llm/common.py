@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -16,6 +17,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder on the storage that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the session's shared folder."""
     return cut_lineage(df)
@@ -45,4 +51,4 @@ def text_blocks(column: pa.Array, size: int) -> Iterator[list[str]]:
         at = stop
 
 
-__all__ = ["arrow_rows", "checkpoint", "ensure_checkpoint_dir", "read_table", "text_blocks"]
+__all__ = ["arrow_rows", "checkpoint", "ensure_checkpoint_dir", "new_folder", "read_table", "text_blocks"]

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from losslens.llm.common import checkpoint
+from losslens.llm.common import checkpoint, new_folder
 
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
@@ -43,6 +43,8 @@ ALPHA = 0.05
 DELTA = 0.05
 GOOD_WEIGHT = 3.0
 STEPS = 40
+STRATA = 10_000  # strata whose cutoffs are broadcast (three numbers each)
+SALTS = 64  # tasks that share a stratum's rows where there are more strata
 
 #: rule -> (value, step between candidate cutoffs); value > cutoff rejects
 RULES = {
@@ -163,16 +165,22 @@ def certified_cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALP
 def judge(measures: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """Adds ``kept`` and ``failed_rules`` (sorted) to the measures.
 
-    The cutoffs hold a few rows per stratum; the planner picks the join by
-    their measured size."""
-    per = (cutoffs.groupBy("stratum").agg(F.map_from_entries(
+    Cutoffs of up to ``STRATA`` strata are counted and broadcast, so no row
+    moves.  Beyond that each stratum's rows are salted over ``SALTS`` tasks."""
+    per = checkpoint(cutoffs.groupBy("stratum").agg(F.map_from_entries(
         F.sort_array(F.collect_list(F.struct("rule", "cutoff")))).alias("cut"))
         .withColumnRenamed("stratum", "cut_stratum"))
+    salt = F.lit(0)
+    if per.count() <= STRATA:
+        per = F.broadcast(per.withColumn("cut_salt", F.lit(0)))
+    else:
+        per = per.withColumn("cut_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars", "n_symbols"), F.lit(SALTS)).cast("int")
     failed = ", ".join(f"if(({v}) > cut['{r}'], '{r}', null)" for r, (v, _) in RULES.items())
-    return (measures.join(per, F.col("stratum") == F.col("cut_stratum"), "left")
+    return (measures.join(per, (F.col("stratum") == F.col("cut_stratum")) & (salt == F.col("cut_salt")), "left")
             .withColumn("failed_rules", F.expr(f"array_sort(array_compact(array({failed})))"))
             .withColumn("kept", F.expr("NOT base_failed AND size(failed_rules) = 0"))
-            .drop("cut", "cut_stratum"))
+            .drop("cut", "cut_stratum", "cut_salt"))
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
@@ -189,14 +197,12 @@ def keep(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
          id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
     """The rows that pass, with all their columns.
 
-    Only labelled documents that pass the base decide on the cutoffs, so the
-    calibration reads labelled texts; the verdict is row-local and no text is
-    shuffled for it."""
-    ids = labels.select(F.col("doc_id").alias("label_id")).where("label_id IS NOT NULL").distinct()
+    Rows are measured once and written with their measures to the shared
+    folder.  The calibration reads the narrow columns of that table, and the
+    verdict is row-local: no text is shuffled (see ``judge``)."""
     row = documents.select(F.struct("*").alias("row"))
-    labelled = documents.join(ids, F.col(id_col) == F.col("label_id"), "left_semi")
-    cutoffs = certified_cutoffs(checkpoint(with_base(text_measures(labelled, id_col, text_col, stratum_col))),
-                                labels, alpha, delta)
-    measured = with_base(text_measures(row, f"row.{id_col}", f"row.{text_col}",
-                                       f"row.{stratum_col}" if stratum_col else None, ["row"]))
-    return judge(measured, checkpoint(cutoffs)).where("kept").select("row.*")
+    path = new_folder(documents.sparkSession, "quality")
+    (with_base(text_measures(row, f"row.{id_col}", f"row.{text_col}", f"row.{stratum_col}" if stratum_col else None,
+                             ["row"])).write.parquet(path))
+    measured = documents.sparkSession.read.parquet(path)
+    return judge(measured, certified_cutoffs(measured.drop("row"), labels, alpha, delta)).where("kept").select("row.*")
