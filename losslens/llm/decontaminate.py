@@ -33,7 +33,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from losslens.llm.common import ensure_checkpoint_dir
+from losslens.llm.common import checkpoint, new_folder
 
 TERMS = 1 << 15
 RANK = 64
@@ -277,6 +276,17 @@ def singular_vectors(z: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.n
     return f @ turn[:, order] / np.sqrt(values), np.sqrt(np.maximum(values - shift, 0))
 
 
+def _projection(parts: list, weight: np.ndarray) -> np.ndarray:
+    """Weighted right singular vectors of the parts of Z."""
+    basis = random_basis().astype(np.float64)
+    z = np.zeros(basis.shape)
+    step = TERMS // TERM_BLOCKS
+    for r in parts:
+        z[r.block * step:(r.block + 1) * step] = np.frombuffer(r.z).reshape(step, -1)
+    vectors = singular_vectors(z, basis)[0] if np.any(z) else basis[:, :RANK]
+    return (vectors * weight[:, None]).astype(np.float32)
+
+
 def _with_next(steps: np.ndarray, row: np.ndarray, ahead: int, join=np.add) -> np.ndarray:
     """Each step's value joined with that of the step so far ahead in its text."""
     out = steps.copy()
@@ -507,7 +517,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    path = f"{ensure_checkpoint_dir(spark)}/decontaminate-{uuid.uuid4().hex}"
+    path = new_folder(spark, "decontaminate")
     docs.mapInArrow(_hash_documents, f"doc_id {kind}, words binary").write.parquet(path)
     hashed = spark.read.parquet(path)
 
@@ -525,13 +535,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     tasks = 2 * spark.sparkContext.defaultParallelism  # each gives one part of Z
     parts = (hashed.select("words").coalesce(tasks).mapInArrow(_sketch(sent), "block int, z binary")
              .groupBy("block").applyInArrow(_add, "block int, z binary").collect())  # TERMS * (RANK + EXTRA) numbers
-    basis = random_basis().astype(np.float64)
-    z = np.zeros(basis.shape)
-    step = TERMS // TERM_BLOCKS
-    for r in parts:
-        z[r.block * step:(r.block + 1) * step] = np.frombuffer(r.z).reshape(step, -1)
-    vectors = singular_vectors(z, basis)[0] if np.any(z) else basis[:, :RANK]
-    table = (vectors * weight[:, None]).astype(np.float32)
+    sent.destroy()
+    table = _projection(parts, weight)
+    del parts
 
     items = (benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
              .distinct())
@@ -543,8 +549,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
         if block and (row is None or len(block) == BLOCK):
             words = hash_texts(pa.array([r.t for r in block], pa.string()))
             query = ([r.item_id for r in block], [w.tobytes() for w in words], table, weight, frequency)
-            found = hashed.mapInArrow(_search(spark.sparkContext.broadcast(query)),
-                                      f"doc_id {kind}, item_id long, lcs double")
+            sent = spark.sparkContext.broadcast(query)
+            found = checkpoint(hashed.mapInArrow(_search(sent), f"doc_id {kind}, item_id long, lcs double"))
+            sent.destroy()
             out, block = found if out is None else out.union(found), []
     if out is None:
         return spark.createDataFrame([], f"doc_id {kind}, item_id long, lcs double")

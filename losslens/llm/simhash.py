@@ -142,7 +142,7 @@ def covering_links(nodes: DataFrame, distance: int = DISTANCE, bucket: int = BUC
         cold = sizes.where(F.col("n") <= bucket).select("mask", "key")
         groups = (rows.join(cold, ["mask", "key"]).groupBy("mask", "key")
                   .agg(F.collect_list("fp").alias("fps")).select("fps"))
-        found = groups.mapInArrow(_stars_of(distance), "u long, v long")
+        found = checkpoint(groups.mapInArrow(_stars_of(distance), "u long, v long"))  # else the plan grows by every round
         edges = found if edges is None else edges.union(found)
         if sizes.where(F.col("n") > bucket).isEmpty():
             return edges
