@@ -8,7 +8,10 @@ of ``documents``.
 
 Rows without an id: quality rules and personal data treat them like any
 other.  The two stages that decide by id (near-copies, benchmark passages)
-cannot name them and keep them.
+cannot name them and keep them.  Null texts fail the quality rules; empty
+tables give empty tables; of rows with one id, near-copies leaves one for each
+of its components (see ``simhash.keep_one``); other columns pass through all
+stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from losslens.llm import byte_bpe, decontaminate, pseudonyms, quality_rules, simhash
+from losslens.llm import byte_bpe, decontaminate, pseudonyms, quality_rules, queries, simhash
 from losslens.llm.common import ensure_checkpoint_dir, read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,9 +46,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with pseudonyms in place of personal data, n_chars to match."""
-    out = pseudonyms.pseudonymize(docs).drop("private")
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Texts with pseudonyms in place of personal data, n_chars (if there) to match."""
+    out = pseudonyms.pseudonymize(docs, queries.pseudonym_key(spark), found_col=None)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
