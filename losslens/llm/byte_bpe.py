@@ -15,8 +15,8 @@ heap.
 
 Defined cases: null text encodes as empty: no ids, no bytes.  Null ids decode
 as empty, and an id outside the vocabulary raises.  Row order, ties and
-repeated rows do not matter: both functions are row-local.  Other columns
-pass through untouched.
+repeated rows do not matter: both functions are row-local.  Input columns
+called ``ids`` or ``decoded`` are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -276,17 +276,30 @@ def vocabulary(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in table])))
 
 
+def _encoded(texts: pa.Array, path: str, pattern: str) -> pa.Array:
+    enc = encoder(path, pattern)
+    found = [enc.encode(block) for block in text_blocks(texts, BLOCK)]
+    at = np.zeros(len(texts) + 1, np.int32)
+    if found:
+        np.cumsum(np.concatenate([size for _, size in found]), out=at[1:])
+    flat = np.concatenate([ids for ids, _ in found]) if found else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat, pa.int32()))
+
+
+def _decoded(lists: pa.Array, path: str) -> pa.Array:
+    raw, start = vocabulary(path)
+    flat = lists.values.to_numpy(zero_copy_only=False)
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(start) - 1):
+        raise ValueError("id outside the vocabulary")
+    at, size = lists.offsets.to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
+    return pa.array([gather(raw, start, flat[a:a + n])[0].tobytes() for a, n in zip(at, size)], pa.binary())
+
+
 def encode_column(text, path: str, pattern: str):
     """Column of array<int> with the ids of a text column."""
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        enc = encoder(path, pattern)
-        found = [enc.encode(block) for block in text_blocks(texts, BLOCK)]
-        at = np.zeros(len(texts) + 1, np.int32)
-        if found:
-            np.cumsum(np.concatenate([size for _, size in found]), out=at[1:])
-        flat = np.concatenate([ids for ids, _ in found]) if found else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(flat, pa.int32()))
+        return _encoded(texts, path, pattern)
     return ids(text)
 
 
@@ -294,19 +307,23 @@ def decode_column(ids, path: str):
     """Column of binary with the bytes of an array<int> column of ids."""
     @F.arrow_udf("binary")
     def text(lists: pa.Array) -> pa.Array:
-        raw, start = vocabulary(path)
-        flat = lists.values.to_numpy(zero_copy_only=False)
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(start) - 1):
-            raise ValueError("id outside the vocabulary")
-        at, size = lists.offsets.to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
-        return pa.array([gather(raw, start, flat[a:a + n])[0].tobytes() for a, n in zip(at, size)], pa.binary())
+        return _decoded(lists, path)
     return text(ids)
 
 
 def encode_and_decode(documents, path: str, pattern: str, text_col: str = "text"):
-    """Adds ``ids`` (array<int>) and ``decoded`` (binary, from the ids)."""
-    return (documents.withColumn("ids", encode_column(F.col(text_col), path, pattern))
-            .withColumn("decoded", decode_column(F.col("ids"), path)))
+    """Adds ``ids`` (array<int>) and ``decoded`` (binary, from the ids).
+
+    One function makes both: a second one would run the encoder again, or in
+    workers of its own beside it."""
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _encoded(texts, path, pattern)
+        return pa.StructArray.from_arrays([ids, _decoded(ids, path)], ["ids", "decoded"])
+
+    out = documents.select(F.struct("*").alias("row"), both(F.col(text_col)).alias("b"))
+    own = [F.col("row")[c].alias(c) for c in documents.columns if c.lower() not in ("ids", "decoded")]
+    return out.select(*own, F.col("b.ids").alias("ids"), F.col("b.decoded").alias("decoded"))
 
 
 def digests(encoded) -> list:
