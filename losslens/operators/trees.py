@@ -35,7 +35,9 @@ BINS = 32
 NULL_BIN = 255
 TEST, ABSENT = -1, -2
 CELLS = 1 << 23  # cells that a task counts in one pass
+CELLS_ADDED = 1 << 19  # cells that a task adds up, so that small passes are small jobs
 NODES = 64  # nodes added up as one block
+ROW_FITS = 1 << 21  # rows x fits that a task of boosting reads
 TREES = 4800  # trees that grow at a time
 STEP = 10  # rounds of boosting between two stored margins
 _POISSON = np.exp(-1.0) * np.cumsum([1, 1, 1 / 2, 1 / 6, 1 / 24, 1 / 120, 1 / 720, 1 / 5040, 1 / 40320])
@@ -165,6 +167,12 @@ def _add_up(shape: tuple[int, int, int, int], cut):
     return run
 
 
+def _lists(x: np.ndarray) -> pa.Array:
+    """A column with a list for each row of a matrix."""
+    at = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(x, dtype=float).ravel()))
+
+
 def _best(slots: np.ndarray, gain: np.ndarray, low: np.ndarray, total: np.ndarray, feature: np.ndarray) -> pa.RecordBatch:
     """The best cut of each node; feature -1 where none gains."""
     n, tried, bins = gain.shape
@@ -175,18 +183,18 @@ def _best(slots: np.ndarray, gain: np.ndarray, low: np.ndarray, total: np.ndarra
     found = top > 1e-12
     return pa.RecordBatch.from_arrays(
         [pa.array(slots, pa.int64()), pa.array(np.where(found, feature[row, j], -1), pa.int32()), pa.array(b, pa.int32()),
-         pa.array(np.where(found, top, 0.0)), pa.array(list(low[row, j, b]), pa.list_(pa.float64())),
-         pa.array(list(total), pa.list_(pa.float64()))], ["slot", "feature", "bin", "gain", "low", "total"])
+         pa.array(np.where(found, top, 0.0)), _lists(low[row, j, b]), _lists(total)],
+        ["slot", "feature", "bin", "gain", "low", "total"])
 
 
 def _passed(rows: DataFrame, count, shape, cut, blocks: int) -> dict[str, np.ndarray]:
     """One pass: counted in tasks, added up by block, cuts to the driver."""
-    spark = rows.sparkSession
-    to = max(1, min(spark.sparkContext.defaultParallelism, -(-blocks // 4)))
+    cells = blocks * shape[0] * shape[1] * shape[2] * shape[3]
+    to = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, cells // CELLS_ADDED))
     found = (rows.mapInArrow(count, "block long, task long, places binary, cells binary")
              .repartition(to, "block").sortWithinPartitions("block", "task")
              .mapInArrow(_add_up(shape, cut), _SPLITS).toArrow())
-    out = {c: found.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("slot", "feature", "bin", "gain")}
+    out = {c: found.column(c).to_numpy() for c in ("slot", "feature", "bin", "gain")}
     width = shape[3]
     for c in ("low", "total"):
         out[c] = found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
@@ -413,7 +421,7 @@ def score_forests(rows: DataFrame, trees: Trees, points: list[tuple[int, int]],
                             out[:, k] = chance[:, :n].mean(1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), i), pa.int32()), batch.column("id").take(pa.array(row)),
-                     pa.array(labels[row, scenario], pa.int32()), pa.array(list(out), pa.list_(pa.float64()))],
+                     pa.array(labels[row, scenario], pa.int32()), _lists(out)],
                     ["fit", "id", "label", "scores"])
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"fit int, id {kind}, label int, scores array<double>")
@@ -444,7 +452,7 @@ def _count_residuals(state):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = state.value
         fits, nodes, features = s["fits"], 1 << s["level"], s["features"]
-        cells = np.zeros((len(fits) * nodes * features * BINS, 4))
+        cells = np.zeros((len(fits) * nodes, features, BINS, 4))
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -460,11 +468,13 @@ def _count_residuals(state):
             drawn = _uniform(batch.column("row_key").to_numpy()[row], s["salt"]) < s["share"][fits][None, :]
             r, f = np.nonzero((at >= 0) & (part[:, None] != s["folds"][fits][None, :]) & drawn)
             at, w, p = at[r, f], s["weights"][y[r]], p[r, f]
-            value = np.stack([np.ones(len(r)), w, w * (y[r] - p), w * p * (1 - p)], 1)
+            values = None, w, w * (y[r] - p), w * p * (1 - p)
+            first = (f * nodes + at) * BINS
             for j in range(features):
-                place = ((f * nodes + at) * features + j) * BINS + x[r, j]
-                for k in range(4):
-                    cells[:, k] += np.bincount(place, value[:, k], len(cells))
+                place = first + x[r, j]
+                for k, v in enumerate(values):
+                    cells[:, j, :, k] += np.bincount(place, v, len(cells) * BINS).reshape(-1, BINS)
+        cells = cells.reshape(-1, 4)
         full = np.flatnonzero(cells[:, 0])
         if len(full):
             per_block = nodes * features * BINS
@@ -518,7 +528,9 @@ def boost(rows: DataFrame, fits: list[Boost], points: list[int], fills: np.ndarr
     fixed = {"scenario": scenario, "fills": fills, "features": features, "folds": np.array([f.fold for f in fits]),
              "share": np.array([f.share for f in fits]), "weights": weights, "uses": uses}
     start = np.array(first, "<f8").tobytes()
-    state_rows = cut_lineage(rows.withColumn("margins", F.lit(start)))
+    total = sum(c for (s, _, _), c in counts.items() if s == scenario)
+    # a pass is a job of milliseconds on a small table: no more tasks than it needs
+    state_rows = cut_lineage(rows.coalesce(max(1, -(-total * len(fits) // ROW_FITS))).withColumn("margins", F.lit(start)))
     pending, gains, importances = [], np.zeros((len(fits), features)), []
     rounds = np.array([f.rounds for f in fits])
     for number in range(int(rounds.max())):
@@ -595,7 +607,7 @@ def _held_out(rows: DataFrame, fits: list[Boost], scenario: int, points: list[in
                 scores.append(1 / (1 + np.exp(-np.frombuffer(raw, "<f8").reshape(batch.num_rows, -1)[r, f])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(f, pa.int32()), batch.column("id").take(pa.array(r)), pa.array(labels[r, scenario], pa.int32()),
-                 pa.array(list(np.stack(scores, 1)), pa.list_(pa.float64()))], ["fit", "id", "label", "scores"])
+                 _lists(np.stack(scores, 1))], ["fit", "id", "label", "scores"])
     kind = rows.schema["id"].dataType.simpleString()
     return cut_lineage(rows.mapInArrow(run, f"fit int, id {kind}, label int, scores array<double>"))
 
