@@ -15,6 +15,7 @@ import math
 from collections.abc import Iterator
 from statistics import NormalDist
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from losslens.functions import dist
 from losslens.operators.ordered import average_ranks, positions
-from losslens.session import cut_lineage
+from losslens.session import cut_lineage, shuffle_partitions
 
 ALPHA = 0.05
 EFFECT_THRESHOLD = 0.06
@@ -440,61 +441,91 @@ def add_f_pvalues(table: DataFrame) -> DataFrame:
     return spark.createDataFrame(out, "feature string, f_stat double, p_value double, eta_squared double")
 
 
-def bootstrap_mean_ci(df: DataFrame, group: str, value: str, id_col: str, n_boot: int = 800,
-                      seed: int = 42, min_n: int = 30, level: float = 0.95) -> DataFrame:
-    """Poisson-bootstrap CI of group means.
+ROWS_A_CELL = 1 << 18  # rows of a group whose replicates one task adds up
 
-    Each row gets a Poisson(1) weight per replicate from a hash of
-    (row id, replicate, seed) -- deterministic under recomputation.  The
-    B replicates are accumulated INSIDE each task with numpy (B-length
-    vectors per group), so the data is read once and only groups x B
-    partial sums are shuffled; quantiles of the B replicate means per
-    group finish the job.  Groups under ``min_n`` rows are left out.
-    """
-    import numpy as np
-    import pandas as pd
-
-    d = df.select(F.col(id_col).cast("long").alias("_id"), F.col(group).cast("string").alias("_g"),
-                  F.col(value).cast("double").alias("_x")).where(
-        F.col("_g").isNotNull() & F.col("_x").isNotNull())
-    sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_n)
-    d = d.join(sizes.select("_g"), ["_g"], "left_semi")
-    B = int(n_boot)
-    # Poisson(1) inverse-CDF table (fixed values of the distribution)
-    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
 
+def poisson_weights(ids: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """Poisson(1) weight of each (row id, replicate), from a hash of both."""
     def mix(x):
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+    salt = np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+    h = mix(ids.astype(np.int64).view(np.uint64)[:, None] * np.uint64(1000003)
+            + np.arange(replicates, dtype=np.uint64)[None, :] + salt)
+    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
+    return np.searchsorted(cdf, (h >> np.uint64(11)).astype(np.float64) / float(1 << 53), side="right").astype(np.float64)
+
 
-    def per_partition(it):
-        acc = {}
-        reps = np.arange(B, dtype=np.uint64)
-        salt = np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-        for pdf in it:
-            for g, part in pdf.groupby("_g"):
-                ids = part["_id"].to_numpy(dtype=np.int64).astype(np.uint64)
-                xs = part["_x"].to_numpy(dtype=np.float64)
-                sw = np.zeros(B)
-                swx = np.zeros(B)
-                for s in range(0, len(ids), 2048):
-                    h = mix(ids[s:s + 2048, None] * np.uint64(1000003) + reps[None, :] + salt)
-                    u = (h >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-                    w = np.searchsorted(cdf, u, side="right").astype(np.float64)
-                    sw += w.sum(axis=0)
-                    swx += (w * xs[s:s + 2048, None]).sum(axis=0)
-                a = acc.setdefault(g, [np.zeros(B), np.zeros(B)])
-                a[0] += sw
-                a[1] += swx
-        for g, (sw, swx) in acc.items():
-            yield pd.DataFrame({"_g": g, "b": np.arange(B), "sw": sw, "swx": swx})
-
-    parts = d.mapInPandas(per_partition, "_g string, b long, sw double, swx double")
-    reps = parts.groupBy("_g", "b").agg((F.sum("swx") / F.sum("sw")).alias("m"))
-    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    from losslens.operators.ordered import group_quantiles
-    q = group_quantiles(reps, ["_g"], [("ci_lower", "m", lo), ("ci_upper", "m", hi)])
-    mean = d.groupBy("_g").agg(F.avg("_x").alias("mean"), F.count(F.lit(1)).alias("n"))
-    return mean.join(q, ["_g"]).select(F.col("_g").alias(group), "n", "mean", "ci_lower", "ci_upper",
-                                      (F.col("ci_upper") - F.col("ci_lower")).alias("ci_width"))
+def bootstrap_mean_ci(df: DataFrame, group: str, value: str, id_col: str, n_boot: int = 800,
+                      seed: int = 42, min_n: int = 30, level: float = 0.95) -> DataFrame:
+    """Poisson-bootstrap CI of group means.
+
+    Each row gets a Poisson(1) weight per replicate from a hash of
+    (row id, replicate, seed) -- deterministic under recomputation.  Rows are
+    dealt to tasks by group (a large group in parts of about ``ROWS_A_CELL``)
+    and come sorted, so a task holds the B sums of one part at a time, however
+    many groups there are; the parts' sums are added up the same way, and a
+    group's interval comes from its B replicate means.  The input is read
+    once.  Groups under ``min_n`` rows are left out.
+    """
+    B = int(n_boot)
+    d = cut_lineage(df.select(F.col(id_col).cast("long").alias("_id"), F.col(group).cast("string").alias("_g"),
+                              F.col(value).cast("double").alias("_x")).where("_g IS NOT NULL AND _x IS NOT NULL"))
+    sizes = cut_lineage(d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.avg("_x").alias("_mean"))
+                        .where(F.col("_n") >= min_n))
+    parts = sizes.select("_g", F.expr(f"cast((_n - 1) div {ROWS_A_CELL} + 1 AS int)").alias("_of"))
+    dealt = d.join(parts, "_g").select("_g", F.pmod(F.xxhash64("_id", F.lit("part")), F.col("_of")).alias("_s"), "_id", "_x")
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.string()), pa.array([at[1]], pa.int64()),
+                                               pa.array([total.astype("<f8").tobytes()], pa.binary())], ["_g", "_s", "_t"])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g, s = batch.column("_g").dictionary_encode(), batch.column("_s").to_numpy(zero_copy_only=False)
+            code, names = g.indices.to_numpy(zero_copy_only=False), g.dictionary.to_pylist()
+            cut = np.flatnonzero((np.diff(code) != 0) | (np.diff(s) != 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if (names[code[a]], int(s[a])) != at:
+                    if at is not None:
+                        yield out()
+                    at, total = (names[code[a]], int(s[a])), np.zeros((2, B))
+                ids, x = (batch.column(c).to_numpy(zero_copy_only=False)[a:b] for c in ("_id", "_x"))
+                for k in range(0, len(ids), 2048):
+                    w = poisson_weights(ids[k:k + 2048], B, seed)
+                    total[0] += w.sum(0)
+                    total[1] += x[k:k + 2048] @ w
+        if at is not None:
+            yield out()
+
+    low, high = (1 - level) / 2, 1 - (1 - level) / 2
+
+    def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+
+        def out():
+            mean = total[1][total[0] > 0] / total[0][total[0] > 0]
+            lo, hi = np.quantile(mean, [low, high]) if len(mean) else (math.nan, math.nan)
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.string()), pa.array([float(lo)]), pa.array([float(hi)])],
+                                              ["_g", "ci_lower", "ci_upper"])
+        for batch in batches:
+            for g, t in zip(batch.column("_g").to_pylist(), batch.column("_t").to_pylist()):
+                if g != at:
+                    if at is not None:
+                        yield out()
+                    at, total = g, np.zeros((2, B))
+                total = total + np.frombuffer(t, "<f8").reshape(2, B)
+        if at is not None:
+            yield out()
+
+    to = shuffle_partitions(df.sparkSession)
+    found = (dealt.repartition(to, "_g", "_s").sortWithinPartitions("_g", "_s", "_id", "_x")
+             .mapInArrow(sums, "_g string, _s long, _t binary")
+             .repartition(to, "_g").sortWithinPartitions("_g", "_s")
+             .mapInArrow(intervals, "_g string, ci_lower double, ci_upper double"))
+    return sizes.join(found, "_g").select(F.col("_g").alias(group), F.col("_n").alias("n"), F.col("_mean").alias("mean"),
+                                          "ci_lower", "ci_upper", (F.col("ci_upper") - F.col("ci_lower")).alias("ci_width"))

@@ -120,5 +120,5 @@ register("t7_dunn_by_category", None)(
     lambda spark, sf: S.dunn(returned_items(spark, sf, with_orders=False), "category", "profit_erosion"))
 register("t8_bootstrap_mean_ci_by_category", None)(
     lambda spark, sf: S.bootstrap_mean_ci(
-        returned_items(spark, sf, ["line_number"]).withColumn(
+        returned_items(spark, sf, ["line_number"], with_orders=False).withColumn(
             "_rid", F.xxhash64("order_item_id")), "category", "profit_erosion", "_rid"))

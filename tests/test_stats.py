@@ -82,3 +82,29 @@ def test_bootstrap_ci_contains_mean(spark):
     r = {x["g"]: x for x in S.bootstrap_mean_ci(df, "g", "x", "id", n_boot=200, min_n=20).collect()}
     for g in ("a", "b"):
         assert r[g]["ci_lower"] < r[g]["mean"] < r[g]["ci_upper"]
+
+
+def test_bootstrap_is_its_weights(spark, monkeypatch):
+    """Intervals from the weights written out; large groups in parts, rows in any order."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i), f"g{i % 3}" if i % 50 else "few", float(rng.exponential())) for i in range(1200)]
+    rows += [(5000, None, 1.0), (5001, "g1", None)]
+    df = spark.createDataFrame(rows, "id long, g string, x double")
+    got = {r.g: r for r in S.bootstrap_mean_ci(df, "g", "x", "id", n_boot=60, min_n=30).collect()}
+    assert set(got) == {"g0", "g1", "g2"}
+    for g, r in got.items():
+        ids, x = (np.array(v) for v in zip(*[(i, v) for i, k, v in rows if k == g and v is not None]))
+        w = S.poisson_weights(ids, 60, 42)
+        mean = (w * x[:, None]).sum(0) / w.sum(0)
+        assert r.n == len(x) and r["mean"] == pytest.approx(x.mean())
+        assert (r.ci_lower, r.ci_upper) == pytest.approx(tuple(np.quantile(mean, [.025, .975])))
+    monkeypatch.setattr(S, "ROWS_A_CELL", 50)
+    again = {r.g: r for r in S.bootstrap_mean_ci(df.repartition(6), "g", "x", "id", n_boot=60, min_n=30).collect()}
+    for g, r in got.items():
+        assert again[g].ci_lower == pytest.approx(r.ci_lower) and again[g].ci_upper == pytest.approx(r.ci_upper)
+
+
+def test_bootstrap_of_many_groups(spark):
+    df = spark.range(20_000).selectExpr("id", "concat('g', id % 5000) AS g", "cast(id % 17 AS double) AS x")
+    out = S.bootstrap_mean_ci(df, "g", "x", "id", n_boot=20, min_n=4)
+    assert out.count() == 5000 and out.where("ci_lower <= mean AND mean <= ci_upper").count() > 3500
