@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from losslens.functions import exprs as X
 from losslens.operators import features as FE
-from losslens.operators.ordered import group_quantiles
+from losslens.operators.ordered import group_quantiles, quantiles_of_counts
+from losslens.session import cut_lineage
 
 
 def _ret() -> Column:
@@ -228,11 +229,15 @@ def summarize_profit_erosion(returned: DataFrame) -> DataFrame:
 
 
 def customer_behavioral_features(df: DataFrame, reference_date=None,
-                                 order_key: str = "order_item_id") -> DataFrame:
+                                 order_key: str = "order_item_id", customers: DataFrame | None = None) -> DataFrame:
     """A12 (+ J6): RFM features.  Two-level aggregation (order, then customer) with
     partial aggregation at both levels; the reference date (max order date
     unless given) is a one-row aggregate cross-joined as a scalar.
+    ``customers`` (user_id, user_created_at) is joined to the aggregated
+    customers; without it the items carry ``user_created_at``.
     """
+    if customers is not None:
+        df = df.withColumn("user_created_at", F.lit(None).cast("timestamp"))
     d = _nonnull_keys(df, ["user_id"])
     orders = (d.groupBy("user_id", "order_id")
               .agg(F.sum("sale_price").alias("order_total"),
@@ -256,6 +261,9 @@ def customer_behavioral_features(df: DataFrame, reference_date=None,
         F.max("_last").alias("_last_order"),
         F.min_by("_uc", "_uk").alias("_user_created"),
         F.avg("order_total").alias("avg_order_value"))
+    if customers is not None:
+        cust = cust.drop("_user_created").join(
+            customers.select("user_id", F.col("user_created_at").alias("_user_created")), ["user_id"], "left")
     if reference_date is None:
         ref = df.agg(F.max("order_created_at").alias("_ref"))
         cust = cust.crossJoin(ref)  # one-row scalar
@@ -397,19 +405,32 @@ def between_group_cv(groups: DataFrame, value: str) -> DataFrame:
     return groups.agg((F.stddev_samp(value) / F.avg(value) * 100).alias("cv_pct"))
 
 
-def headline_measures(df: DataFrame) -> DataFrame:
-    """Distinct orders / customers / products, returned count and medians."""
-    base = df.agg(F.sum("is_returned_item").cast("long").alias("returned_items"))
+def headline_measures(df: DataFrame, keys: dict | None = None) -> DataFrame:
+    """Distinct orders / customers / products, returned count and medians.
+
+    ``keys``: for a key, a frame that has it without the joins of the others.
+    The medians and the returned count share one counting pass over the items:
+    value counts of margins and erosions, kept apart by measure."""
+    base = None
     for key, name in (("order_id", "orders"), ("user_id", "customers"), ("product_id", "products")):
         # one partially aggregated pass per key; several distinct counts in one
         # aggregate would multiply every row first
-        base = base.crossJoin(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.lit(1).alias("_1"))
-                              .agg(F.count("_1").alias(name)))
-    m_all = group_quantiles(df, [], [("median_margin_all", "item_margin", 0.5)])
-    r = df.where(_ret())
-    m_ret = group_quantiles(r, [], [("median_margin_returned", "item_margin", 0.5),
-                                    ("median_erosion_returned", "profit_erosion", 0.5)])
-    return base.crossJoin(m_all).crossJoin(m_ret)
+        own = (keys or {}).get(key, df)
+        one = own.where(F.col(key).isNotNull()).groupBy(key).agg(F.lit(1).alias("_1")).agg(F.count("_1").alias(name))
+        base = one if base is None else base.crossJoin(one)
+    long = df.select("is_returned_item", F.explode(F.array(
+        F.struct(F.lit("margin").alias("m"), F.col("item_margin").cast("double").alias("v")),
+        F.struct(F.lit("erosion").alias("m"), F.col("profit_erosion").cast("double").alias("v")))).alias("x"))
+    counts = cut_lineage(long.groupBy(F.col("x.m").alias("_m"), F.col("x.v").alias("_v"), _ret().alias("_r"))
+                         .agg(F.count(F.lit(1)).alias("_c")))
+    returned = counts.where("_m = 'margin' AND _r").agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("returned_items"))
+
+    def medians(rows, *names):
+        known = rows.where("_v IS NOT NULL AND NOT isnan(_v)").groupBy("_m", "_v").agg(F.sum("_c").alias("_c"))
+        found = quantiles_of_counts(cut_lineage(known), ["_m"], [("q", "_v", 0.5)])
+        return found.agg(*[F.max(F.when(F.col("_m") == m, F.col("q"))).alias(n) for m, n in names])
+    return (base.crossJoin(returned).crossJoin(medians(counts, ("margin", "median_margin_all")))
+            .crossJoin(medians(counts.where("_r"), ("margin", "median_margin_returned"), ("erosion", "median_erosion_returned"))))
 
 
 def monthly_return_rate(df: DataFrame, ts: str = "order_created_at") -> DataFrame:

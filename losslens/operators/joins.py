@@ -61,6 +61,12 @@ def attach_erosion(items: DataFrame, erosion: DataFrame, key: str = "order_item_
     return items.join(e, [key], "left").withColumn(col, F.coalesce("_e", F.lit(0.0))).drop("_e")
 
 
+def attach_own_erosion(items: DataFrame, col: str = "profit_erosion") -> DataFrame:
+    """J10 where the items carry the erosion themselves: that of returned
+    items, else 0, without a join of the items to themselves."""
+    return items.withColumn(col, F.when(F.col("is_returned_item") == 1, F.coalesce(col, F.lit(0.0))).otherwise(F.lit(0.0)))
+
+
 def keep_large_groups(df: DataFrame, group: str, min_n: int) -> DataFrame:
     """Rows whose group has at least ``min_n`` rows (left semi join on
     the partially aggregated group counts)."""

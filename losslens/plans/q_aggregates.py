@@ -8,6 +8,7 @@ from losslens.operators import aggregates as A
 from losslens.operators import features as FE
 from losslens.plans.registry import featured_items, register, returned_items
 from losslens.plans.sqlkit import with_features
+from losslens.sources.adapter import first_orders, items
 from losslens.session import cut_lineage
 from losslens.streaming.monthly import monthly_return_rate_stream
 
@@ -170,7 +171,8 @@ def rfm_sql(tail: str) -> str:
 def rfm(spark, sf):
     # customer grain, read by several passes (moments, exact quantiles,
     # correlations): materialised once with a reliable checkpoint
-    return cut_lineage(A.customer_behavioral_features(featured_items(spark, sf, RFM_EXTRA)))
+    return cut_lineage(A.customer_behavioral_features(featured_items(spark, sf, ["order_created_at"]),
+                                                      customers=first_orders(spark, sf)))
 
 
 register("a12_customer_rfm_features", rfm_sql("SELECT * FROM rfm"), RFM_DOUBLES, M2)(rfm)
@@ -347,8 +349,10 @@ SELECT count(DISTINCT order_id) AS orders, count(DISTINCT user_id) AS customers,
        quantile_cont(item_margin, 0.5) FILTER (WHERE is_returned_item = 1) AS median_margin_returned,
        quantile_cont(profit_erosion, 0.5) FILTER (WHERE is_returned_item = 1) AS median_erosion_returned
 FROM f"""), ["median_margin_all", "median_margin_returned", "median_erosion_returned"])(
-    lambda spark, sf: A.headline_measures(cut_lineage(featured_items(spark, sf).select(
-        "order_id", "user_id", "product_id", "is_returned_item", "item_margin", "profit_erosion"))))
+    lambda spark, sf: A.headline_measures(
+        featured_items(spark, sf, with_orders=False),
+        {"order_id": items(spark, sf, ["order_id"]), "product_id": items(spark, sf, ["product_id"]),
+         "user_id": items(spark, sf, ["user_id"])}))
 
 # ------------------------------------------------------------------ W14 / A35
 MONTHLY_SQL = """

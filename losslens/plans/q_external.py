@@ -15,7 +15,8 @@ def _ext_sql(body: str) -> str:
 
 
 def lines(spark, sf):
-    return EX.preprocess(EX.load_lines(external_lines(spark, sf)))
+    # no query of these uses the orders' date
+    return EX.preprocess(EX.load_lines(external_lines(spark, sf, reference_date=False)))
 
 
 _PRE = """pre AS (SELECT *, coalesce("Ordered Qty" < 0, false) OR coalesce("CreditReturn Sales" < 0, false)

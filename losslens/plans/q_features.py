@@ -145,7 +145,7 @@ FROM f WHERE category IS NOT NULL GROUP BY category HAVING count(*) >= 200
 
 
 def _j4(spark, sf):
-    f = featured_items(spark, sf)
+    f = featured_items(spark, sf, with_orders=False)
     ero = A.erosion_level(A.product_profit_erosion_metrics(f), "category").select(
         "category", "item_rows", "returned_items", "return_rate", "total_profit_erosion")
     beh = A.return_rates_by_group(f, ["category"], 200)
@@ -177,9 +177,8 @@ register("j10_attach_item_erosion", with_features("""
 SELECT f.order_item_id, coalesce(r.profit_erosion, 0.0) AS profit_erosion FROM f
 LEFT JOIN (SELECT order_item_id, profit_erosion FROM f WHERE is_returned_item = 1) r
   ON f.order_item_id = r.order_item_id"""), ["profit_erosion"])(
-    lambda spark, sf: J.attach_erosion(
-        featured_items(spark, sf, with_orders=False).select("order_item_id"),
-        returned_items(spark, sf, with_orders=False).select("order_item_id", "profit_erosion")))
+    lambda spark, sf: J.attach_own_erosion(featured_items(spark, sf, with_orders=False)).select(
+        "order_item_id", "profit_erosion"))
 
 register("j11_keep_large_brands", with_features("""
 SELECT brand, count(*) AS n FROM f WHERE brand IN

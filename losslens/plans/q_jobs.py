@@ -51,22 +51,46 @@ _P2_COLS = ["order_item_id", "order_id", "product_id", "sale_price", "retail_pri
 register("p2_standard_types", _P2_SQL, ["sale_price", "retail_price", "cost"])(
     lambda spark, sf: raw.standardize_types(items(spark, sf, _P2_COLS).withColumn(
         "sale_price", F.col("sale_price").cast("string"))).select(*_P2_COLS))
-register("s1_s2_csv_source", _P2_SQL, ["sale_price", "retail_price", "cost"])(lambda spark, sf: _csv_source(spark, sf))
-register("p1_column_selection_report", """
-SELECT 'retail_price' AS "column", 'dropped' AS status UNION ALL SELECT 'sale_price', 'kept'
-UNION ALL SELECT 'cost', 'kept' UNION ALL SELECT 'no_such_column', 'missing'""")(
-    lambda spark, sf: raw.select_columns(items(spark, sf, ["retail_price", "sale_price", "cost"]).select(
-        "retail_price", "sale_price", "cost"), keep=["cost", "no_such_column", "sale_price"])[1])
+_S1_DATES = ["item_shipped_at", "item_delivered_at", "item_returned_at", "order_created_at"]
+register("s1_s2_csv_source", _P2_SQL.replace(" FROM items", ", " + ", ".join(_S1_DATES) + " FROM items"),
+         ["sale_price", "retail_price", "cost"], ts=_S1_DATES)(lambda spark, sf: _csv_source(spark, sf))
+register("s4_etl_csv_roundtrip", "WITH " + ITEMS_SQL + """
+SELECT category, count(*) AS n, sum(sale_price) AS sales, max(item_returned_at) AS last_return FROM items GROUP BY category""",
+         ["sales"], ts=["last_return"])(lambda spark, sf: _s4_csv(spark, sf))
+
+
+def _s4_csv(spark, sf):
+    """S4's CSV output, read back and typed."""
+    path = rq1.build_analysis_dataset(spark, sf, _scratch(spark, "s4")) + ".csv"
+    table = raw.standardize_types(raw.read_csv(spark, path, ["category", "sale_price", "item_returned_at"]))
+    return table.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("sale_price").alias("sales"),
+                                         F.max("item_returned_at").alias("last_return"))
+
+
+register("p1_column_selection_report", "WITH " + ITEMS_SQL + """
+SELECT 'retail_price' AS "column", 'dropped' AS status, CAST(NULL AS BIGINT) AS n_values, CAST(NULL AS DOUBLE) AS total
+UNION ALL SELECT 'sale_price', 'kept', count(sale_price), sum(sale_price) FROM items
+UNION ALL SELECT 'cost', 'kept', count(cost), sum(cost) FROM items
+UNION ALL SELECT 'no_such_column', 'missing', NULL, NULL""", ["total"])(lambda spark, sf: _p1(spark, sf))
+
+
+def _p1(spark, sf):
+    """The report with the values that the selected rows hold."""
+    table = items(spark, sf, ["retail_price", "sale_price", "cost"]).select("retail_price", "sale_price", "cost")
+    rows, report = raw.select_columns(table, keep=["cost", "no_such_column", "sale_price"])
+    held = rows.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n_values"), F.sum(c).alias("total"))
+                              for c in rows.columns]).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    return report.join(held, ["column"], "left").select("column", "status", "n_values", "total")
 
 
 def _csv_source(spark, sf):
     """S1 + S2: the item table as CSV with a byte-order mark and blanks in its
-    header, read back and typed by P2."""
+    header, dates parsed by the reader, all else typed by P2."""
     path = _scratch(spark, "csv")
-    cols = list(_P2_COLS)
+    cols = _P2_COLS + _S1_DATES
     items(spark, sf, cols).select(F.col(cols[0]).alias("\ufeff" + cols[0]), *[F.col(c).alias(f" {c} ") for c in cols[1:]]) \
         .write.option("header", True).csv(path)
-    return raw.standardize_types(raw.read_csv(spark, path, cols)).select(*cols)
+    return raw.standardize_types(raw.read_csv(spark, path, cols, _S1_DATES)).select(*cols)
 
 
 register("s6_split_flagged_review", with_features("""

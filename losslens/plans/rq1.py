@@ -58,11 +58,11 @@ def run_rq1(spark: SparkSession, sf: str, out_dir: str | None = None) -> dict:
     if out_dir:
         returned.write.mode("overwrite").parquet(os.path.join(out_dir, "returned_items"))
         for lv, t in tables.items():
-            t.coalesce(1).write.mode("overwrite").option("header", True).csv(
+            t.write.mode("overwrite").option("header", True).csv(
                 os.path.join(out_dir, f"erosion_by_{lv}"))
-        summary.coalesce(1).write.mode("overwrite").option("header", True).csv(
+        summary.write.mode("overwrite").option("header", True).csv(
             os.path.join(out_dir, "statistical_tests_summary"))
-        summary.select(F.to_json(F.struct("*")).alias("json")).coalesce(1).write.mode("overwrite") \
+        summary.select(F.to_json(F.struct("*")).alias("json")).write.mode("overwrite") \
             .text(os.path.join(out_dir, "rq1_summary_json"))
     return {"tables": tables, "summary": summary, "posthoc": {g: t[1] for g, t in tests.items()}}
 

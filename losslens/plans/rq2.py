@@ -21,6 +21,7 @@ from losslens.operators import segment as SG
 from losslens.operators import stats as S
 from losslens.plans.registry import featured_items, returned_items
 from losslens.session import cut_lineage
+from losslens.sources.adapter import first_orders
 
 SEG_FEATURES = ["total_items_purchased", "avg_order_value", "avg_basket_size", "order_frequency",
                 "customer_return_rate", "customer_tenure_days", "purchase_recency_days",
@@ -28,8 +29,9 @@ SEG_FEATURES = ["total_items_purchased", "avg_order_value", "avg_basket_size", "
 
 
 def behavior(spark: SparkSession, sf: str) -> DataFrame:
-    f = featured_items(spark, sf, ["order_created_at", "user_created_at"])
-    return A.customer_behavioral_features(f).withColumnRenamed("total_items", "total_items_purchased")
+    f = featured_items(spark, sf, ["order_created_at"])
+    return A.customer_behavioral_features(f, customers=first_orders(spark, sf)).withColumnRenamed(
+        "total_items", "total_items_purchased")
 
 
 def segmentation_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,9 +80,9 @@ def run_rq2(spark: SparkSession, sf: str, k_values=range(1, 9), out_dir: str | N
            "segments": seg, "meta": meta}
     if out_dir:
         for name in ("diagnostics", "screening", "summary", "tests"):
-            res[name].coalesce(1).write.mode("overwrite").option("header", True).csv(
+            res[name].write.mode("overwrite").option("header", True).csv(
                 os.path.join(out_dir, name))
         seg.write.mode("overwrite").parquet(os.path.join(out_dir, "segments"))
-        spark.createDataFrame([(json.dumps(meta, default=float),)], "json string").coalesce(1) \
+        spark.createDataFrame([(json.dumps(meta, default=float),)], "json string") \
             .write.mode("overwrite").text(os.path.join(out_dir, "rq2_summary"))
     return res

@@ -20,7 +20,7 @@ from losslens.operators import model as M
 from losslens.operators import sensitivity as SE
 from losslens.plans.registry import featured_items, returned_items
 from losslens.session import cut_lineage
-from losslens.sources.adapter import DRIVER_TIERS
+from losslens.sources.adapter import DRIVER_TIERS, first_orders
 
 
 def customer_targets(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,7 +206,8 @@ def _scenario_models(customers: DataFrame, labelled: DataFrame, values: list[flo
 def cost_sensitivity(spark: SparkSession, sf: str, base_costs=None) -> DataFrame:
     """Labels at the 75th percentile of the loss under each base cost."""
     costs = list(base_costs or SE.SENSITIVITY_BASE_COSTS)
-    customers = cut_lineage(A.customer_behavioral_features(featured_items(spark, sf, ["order_created_at", "user_created_at"])))
+    customers = cut_lineage(A.customer_behavioral_features(featured_items(spark, sf, ["order_created_at"]),
+                                                           customers=first_orders(spark, sf)))
     loss = SE.erosion_under_costs(returned_items(spark, sf), costs, DRIVER_TIERS)
     loss = loss.join(customers.select("user_id"), "user_id", "left_semi")
     return _scenario_models(customers, SE.labels_by_scenario(loss, "base_cost"), costs, "base_cost")

@@ -42,6 +42,12 @@ def _case(colname: str, mapping: dict):
     return expr
 
 
+def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, user_created_at) of customers with an order."""
+    return (read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
+            .groupBy(F.col("o_custkey").alias("user_id")).agg(F.min("o_orderdate").alias("user_created_at")))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer dimension: customer x nation x region + first order date."""
     cust = read_table(spark, sf_dir, "customer",

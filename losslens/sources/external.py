@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 from losslens.sources.adapter import items
 
 
-def external_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    it = items(spark, sf_dir, ["order_item_id", "order_id", "supplier_id", "item_status", "retail_price",
-                               "sale_price", "cost", "quantity", "item_shipped_at", "item_delivered_at",
-                               "order_created_at", "category", "brand", "department"])
+def external_lines(spark: SparkSession, sf_dir: str, reference_date: bool = True) -> DataFrame:
+    """``reference_date=False``: without the orders' date, and so without the
+    join that only this date needs (the column is null)."""
+    columns = ["order_item_id", "order_id", "supplier_id", "item_status", "retail_price", "sale_price", "cost", "quantity",
+               "item_shipped_at", "item_delivered_at", "category", "brand", "department"]
+    it = items(spark, sf_dir, columns + ["order_created_at"] * reference_date)
+    if not reference_date:
+        it = it.withColumn("order_created_at", F.lit(None).cast("timestamp"))
     # lines are counted on bare lineitem, not on the joined table
     per_order = items(spark, sf_dir, ["order_id"]).groupBy("order_id").agg(F.count(F.lit(1)).alias("Lines Per Order"))
     ret = F.col("item_status") == "Returned"
