@@ -39,10 +39,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from losslens.llm.common import checkpoint, new_folder
+from losslens.llm.common import arrow_rows, checkpoint, new_folder
 
 TERMS = 1 << 15
 RANK = 64
@@ -56,7 +57,7 @@ PIECE = 1 << 20  # bytes hashed at once
 BASE = 0x9E3779B97F4A7C15
 SHARED = 0.45
 HITS = 3
-GROUP = 64  # items looked up together
+PARTS = 8  # parts of Z for each core: a lost one is a small share of the pass
 LCS = 0.8
 ANSWER = 0.6
 ANSWER_WORDS = 5
@@ -252,14 +253,27 @@ def _sketch(weights):
         z = (z * weight).T.astype(np.float32)
         step = TERMS // TERM_BLOCKS
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(TERM_BLOCKS), pa.int32()),
-             pa.array([z[k * step:(k + 1) * step].tobytes() for k in range(TERM_BLOCKS)], pa.binary())], ["block", "z"])
+            [pa.array(range(TERM_BLOCKS), pa.int32()), pa.array([TaskContext.get().partitionId()] * TERM_BLOCKS, pa.int32()),
+             pa.array([z[k * step:(k + 1) * step].tobytes() for k in range(TERM_BLOCKS)], pa.binary())],
+            ["block", "task", "z"])
     return run
 
 
-def _add(parts: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(z.as_py(), np.float32).astype(np.float64) for z in parts.column("z"))
-    return pa.table({"block": parts.column("block").slice(0, 1), "z": pa.array([total.tobytes()], pa.binary())})
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of blocks whose parts come one after the other; one sum is held."""
+    block, total = None, None
+    for batch in batches:
+        for b, z in zip(batch.column("block").to_pylist(), batch.column("z").to_pylist()):
+            z = np.frombuffer(z, np.float32).astype(np.float64)
+            if b != block:
+                if total is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                                     ["block", "z"])
+                block, total = b, z
+            else:
+                total += z
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "z"])
 
 
 def singular_vectors(z: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -369,11 +383,11 @@ class Queries:
 
 
 class Rarest:
-    """The rarest words of a group of items, to find all places where an item
+    """The rarest words of a block of items, to find all places where an item
     can be; frequency: of each term, any figures give the same result."""
 
-    def __init__(self, words: list[np.ndarray], first: int, frequency: np.ndarray):
-        self.first, found, item = first, [], []
+    def __init__(self, words: list[np.ndarray], frequency: np.ndarray):
+        found, item = [], []
         self.hits, self.span = np.ones(len(words), np.int64), np.zeros(len(words), np.int64)
         for i, w in enumerate(words):
             need = least_common(len(w))
@@ -406,7 +420,7 @@ class Rarest:
         near = ((item[first] == item[last]) & (text[at[first]] == text[at[last]])
                 & (at[last] - at[first] < self.span[item[first]]))
         first, last = first[near], last[near]
-        yield from zip((item[first] + self.first).tolist(), at[first].tolist(), at[last].tolist())
+        yield from zip(item[first].tolist(), at[first].tolist(), at[last].tolist())
 
 
 def least_common(n: int) -> int:
@@ -456,9 +470,9 @@ def _search(sent):
         long = [w if len(w) > LONG else w[:0] for w in words]
         short = [w if len(w) <= LONG else w[:0] for w in words]
         queries = [Queries(long, WINDOW, table, weight), Queries(short, 16, table, weight)]
-        rarest = [Rarest(words[k:k + GROUP], k, frequency) for k in range(0, len(words), GROUP)]
+        rarest = Rarest(words, frequency)  # one table: each word of the corpus is looked up once
         for batch in batches:
-            doc, item, share = [], [], []
+            doc, item, share, by_cosine = [], [], [], []
             for first, hashes, sizes in _flat(batch):
                 if not len(hashes):
                     continue
@@ -492,28 +506,30 @@ def _search(sent):
                             doc.append(first + row[h])
                             item.append(i)
                             share.append(s)
+                            by_cosine.append(True)
                 text = np.repeat(np.arange(len(sizes)), sizes)
                 tried = defaultdict(set)
-                for group in rarest:
-                    for i, a, b in group.places(hashes, text):
-                        r = int(text[a])
-                        if (r, i) in done:
-                            continue
-                        s = exact(words[i], hashes, a, b, int(start[r]), int(start[r] + sizes[r]), tried[r, i])
-                        if s is not None:
-                            done.add((r, i))
-                            doc.append(first + r)
-                            item.append(i)
-                            share.append(s)
+                for i, a, b in rarest.places(hashes, text):
+                    r = int(text[a])
+                    if (r, i) in done:
+                        continue
+                    s = exact(words[i], hashes, a, b, int(start[r]), int(start[r] + sizes[r]), tried[r, i])
+                    if s is not None:
+                        done.add((r, i))
+                        doc.append(first + r)
+                        item.append(i)
+                        share.append(s)
+                        by_cosine.append(False)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc, pa.int64())), pa.array([ids[i] for i in item], pa.int64()),
-                 pa.array(share, pa.float64())], ["doc_id", "item_id", "lcs"])
+                 pa.array(share, pa.float64()), pa.array(by_cosine, pa.bool_())], ["doc_id", "item_id", "lcs", "by_cosine"])
     return run
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, lcs) of every document that holds an item."""
+    """(doc_id, item_id, lcs, by_cosine) of every document that holds an item;
+    by_cosine: the cosines found it, not only the search by rarest words."""
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -532,9 +548,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
             weight[r.term] = np.log(1 + passages / r.n)
 
     sent = spark.sparkContext.broadcast(weight)
-    tasks = 2 * spark.sparkContext.defaultParallelism  # each gives one part of Z
-    parts = (hashed.select("words").coalesce(tasks).mapInArrow(_sketch(sent), "block int, z binary")
-             .groupBy("block").applyInArrow(_add, "block int, z binary").collect())  # TERMS * (RANK + EXTRA) numbers
+    tasks = PARTS * spark.sparkContext.defaultParallelism  # each gives one part of Z
+    with arrow_rows(spark, 64):
+        parts = (hashed.select("words").coalesce(tasks).mapInArrow(_sketch(sent), "block int, task int, z binary")
+                 .repartition(TERM_BLOCKS, "block").sortWithinPartitions("block", "task").select("block", "z")
+                 .mapInArrow(_add, "block int, z binary").collect())  # TERMS * (RANK + EXTRA) numbers
     sent.destroy()
     table = _projection(parts, weight)
     del parts
@@ -550,9 +568,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
             words = hash_texts(pa.array([r.t for r in block], pa.string()))
             query = ([r.item_id for r in block], [w.tobytes() for w in words], table, weight, frequency)
             sent = spark.sparkContext.broadcast(query)
-            found = checkpoint(hashed.mapInArrow(_search(sent), f"doc_id {kind}, item_id long, lcs double"))
+            found = checkpoint(hashed.mapInArrow(_search(sent), f"doc_id {kind}, item_id long, lcs double, by_cosine boolean"))
             sent.destroy()
             out, block = found if out is None else out.union(found), []
     if out is None:
-        return spark.createDataFrame([], f"doc_id {kind}, item_id long, lcs double")
-    return out.groupBy("doc_id", "item_id").agg(F.max("lcs").alias("lcs"))
+        return spark.createDataFrame([], f"doc_id {kind}, item_id long, lcs double, by_cosine boolean")
+    return out.groupBy("doc_id", "item_id").agg(F.max("lcs").alias("lcs"), F.max("by_cosine").alias("by_cosine"))
