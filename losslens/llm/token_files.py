@@ -3,16 +3,18 @@
 Shard file ``shard-NNNNN.ids``: the 8 bytes ``LLTOKEN1``, the id size (2 or 4
 bytes) and zero as 32-bit integers, all ids little-endian, and at the end the
 numbers of documents and of ids as 64-bit integers.  Documents are dealt to
-shards by range of their id and lie in ascending order, so shards read in
-order hold the whole corpus in order.  Ids take 2 bytes where the vocabulary
+shards by range of their id and text hash and lie in ascending order, so shards
+read in order hold the whole corpus in order, and one id may fill several.  Ids take 2 bytes where the vocabulary
 allows.
 
 Index file ``index-NNNNN.mph``: each bucket of keys has a minimal perfect hash
 in levels.  A level is a bit array with a bit for every key that alone takes
 its place; keys that collide go on to the next level.  A key's slot is the
-number of set bits before its own, so slots are 0 .. n - 1.  Per slot follow
-the key's 64-bit fingerprint, shard, first id and number of ids: a look-up
-costs a few probes, and a key that was never written fails its fingerprint.
+number of set bits before its own, so slots are 0 .. n - 1; a rank directory
+holds the set bits before each word.  Per slot follow the key's 64-bit
+fingerprint, shard, first id and number of ids: a look-up reads a word a level,
+a rank and four numbers, and a key that was never written fails its
+fingerprint.
 
 A key is (document id, ordinal among rows with that id).  Files are written
 under a temporary name and renamed; a task that runs again after a lost
@@ -35,17 +37,19 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from losslens.llm.byte_bpe import Numbering, Runs
-from losslens.llm.common import arrow_rows, ensure_checkpoint_dir, text_blocks
+from losslens.llm.common import arrow_rows, checkpoint, new_folder as shared_folder, text_blocks
 
 MAGIC = b"LLTOKEN1"
 END_ID = 1
 SHARD_BYTES = 1 << 24
 BUCKET_KEYS = 1 << 16
 GAMMA = 2.0
+FEW = 64  # look-ups of under this share of an index file's keys read only their own places
+RUN = 1 << 16  # ordinals of one id that a row is spread to
 ROWS = 4000  # texts in an Arrow batch
 CACHE = 500_000  # parts that a task remembers
 BLOCK = 1 << 24  # bytes of text encoded at once: the more, the fewer chunks are cut up again
@@ -57,7 +61,7 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 def new_folder(spark: SparkSession) -> str:
     """A new folder on the storage that driver and executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    return shared_folder(spark, "tokens")
 
 
 def _open(folder: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -248,22 +252,74 @@ def build_mph(h: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
-def mph_slots(levels: list[np.ndarray], h: np.ndarray) -> np.ndarray:
+def rank_directory(levels: list[np.ndarray]) -> list[np.ndarray]:
+    """Set bits before each word, over all levels."""
+    ones = np.bitwise_count(np.concatenate([np.zeros(0, np.uint64), *levels])).astype(np.int64)
+    before = (np.cumsum(ones) - ones).astype("<u4")
+    return np.split(before, np.cumsum([len(x) for x in levels])[:-1]) if levels else []
+
+
+def mph_slots(levels: list[np.ndarray], h: np.ndarray, ranks: list[np.ndarray] | None = None) -> np.ndarray:
     """Slot of each key; -1 for a key that no level holds."""
-    slots, todo, base = np.full(len(h), -1, np.int64), np.arange(len(h)), 0
-    for level, words in enumerate(levels):
+    slots, todo = np.full(len(h), -1, np.int64), np.arange(len(h))
+    for level, (words, before) in enumerate(zip(levels, rank_directory(levels) if ranks is None else ranks)):
         place = (_spread(h[todo], level) % np.uint64(64 * len(words))).astype(np.int64)
         word, bit = words[place >> 6], (place & 63).astype(np.uint64)
-        ones = np.bitwise_count(words).astype(np.int64)
-        before = np.cumsum(ones) - ones
         hit = (word >> bit) & np.uint64(1) == 1
         below = np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
-        slots[todo[hit]] = (base + before[place >> 6] + below)[hit]
-        base += int(ones.sum())
+        slots[todo[hit]] = (before[place >> 6].astype(np.int64) + below)[hit]
         todo = todo[~hit]
     return slots
 
 
+class Index:
+    """An index file.  ``slots`` reads all of it for many keys; ``slot`` and
+    ``entry`` read a word and a rank a level and four numbers, whatever the
+    size of the file."""
+
+    def __init__(self, file):
+        self.file = file
+        self.n, count = np.frombuffer(self._read(8, 16), "<u8").tolist()
+        self.sizes = np.frombuffer(self._read(24, 8 * count), "<u8").astype(np.int64)
+        self.words = 24 + 8 * count
+        self.ranks = self.words + 8 * int(self.sizes.sum())
+        self.columns = self.ranks + 4 * int(self.sizes.sum())
+
+    def _read(self, at: int, size: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(size)
+
+    def slot(self, h: int) -> int:
+        """Slot of one key; -1 if no level holds it."""
+        key, done = np.array([h], np.int64), 0
+        for level, size in enumerate(self.sizes.tolist()):
+            place = int(_spread(key, level)[0] % np.uint64(64 * size))
+            word = int.from_bytes(self._read(self.words + 8 * (done + (place >> 6)), 8), "little")
+            if word >> (place & 63) & 1:
+                before = int.from_bytes(self._read(self.ranks + 4 * (done + (place >> 6)), 4), "little")
+                return before + (word & ((1 << (place & 63)) - 1)).bit_count()
+            done += size
+        return -1
+
+    def entry(self, slot: int) -> list[int]:
+        """Fingerprint, shard, first id and number of ids of a slot."""
+        return [int(np.frombuffer(self._read(self.columns + 8 * (k * self.n + slot), 8), "<i8")[0]) for k in range(4)]
+
+    def entries(self, h: np.ndarray) -> np.ndarray:
+        """A column with those four numbers for each key; -1 for a key that no
+        level holds."""
+        if len(h) < self.n // FEW:
+            slots = [self.slot(int(x)) for x in h]
+            return np.array([self.entry(s) if s >= 0 else [-1] * 4 for s in slots], np.int64).reshape(-1, 4).T
+        raw = self._read(self.words, self.columns - self.words + 32 * self.n)
+        cuts, total = np.cumsum(self.sizes)[:-1], int(self.sizes.sum())
+        levels = np.split(np.frombuffer(raw, "<u8", total), cuts)
+        ranks = np.split(np.frombuffer(raw, "<u4", total, 8 * total), cuts)
+        values = np.frombuffer(raw, "<i8", 4 * self.n, 12 * total).reshape(4, self.n)
+        slots = mph_slots(levels, h, ranks) if total else np.full(len(h), -1)
+        return np.where(slots >= 0, values[:, np.maximum(slots, 0)], -1)
+
+
 def _by_bucket(batches: Iterator[pa.RecordBatch]):
     """(bucket, table) of rows sorted by bucket."""
     held = None
@@ -290,6 +346,7 @@ def _write_index(folder: str):
             out = _Output(folder, f"index-{bucket:05d}.mph")
             out.write(MAGIC + np.array([len(h), len(levels), *map(len, levels)], "<u8").tobytes())
             out.write(b"".join(x.tobytes() for x in levels))
+            out.write(b"".join(x.tobytes() for x in rank_directory(levels)))
             for c in ("print", "shard", "first", "n_tokens"):
                 out.write(keys.column(c).to_numpy()[order].astype("<i8").tobytes())
             out.close()
@@ -305,18 +362,10 @@ def _look_up(folder: str):
         files, path = _open(folder)
         for bucket, keys in _by_bucket(batches):
             with files.open_input_file(f"{path}/index-{bucket:05d}.mph") as f:
-                raw = f.read()
-            n, count = np.frombuffer(raw, "<u8", 2, 8).tolist()
-            sizes = np.frombuffer(raw, "<u8", count, 24).tolist()
-            at, levels = 24 + 8 * count, []
-            for size in sizes:
-                levels.append(np.frombuffer(raw, "<u8", size, at))
-                at += 8 * size
-            prints, shard, first, tokens = np.frombuffer(raw, "<i8", 4 * n, at).reshape(4, n)
-            slots = mph_slots(levels, keys.column("h").to_numpy())
-            if (slots < 0).any() or (prints[slots] != keys.column("print").to_numpy()).any():
+                prints, shard, first, tokens = Index(f).entries(keys.column("h").to_numpy())
+            if (shard < 0).any() or (prints != keys.column("print").to_numpy()).any():
                 raise KeyError(f"a key is not in index bucket {bucket}")
-            for part in pa.table([keys.column("doc_id"), keys.column("ordinal"), shard[slots], first[slots], tokens[slots]],
+            for part in pa.table([keys.column("doc_id"), keys.column("ordinal"), shard, first, tokens],
                                  ["doc_id", "ordinal", "shard", "first", "n_tokens"]).combine_chunks().to_batches():
                 yield part
     return run
@@ -357,13 +406,13 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, id_col:
     spark, id_type = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES), min(size >> 20, 2 * spark.sparkContext.defaultParallelism))
-    written = (docs.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("t"))
+    written = (docs.repartitionByRange(int(shards), "doc_id", F.xxhash64("t"))  # an id's rows may fill several shards
+               .sortWithinPartitions("doc_id", F.xxhash64("t"))
                .mapInArrow(_write_shard(folder, tokenizer),
-                           f"doc_id {id_type}, ordinal long, shard long, first long, n_tokens long")
-               .select("*", *_hashes()))
+                           f"doc_id {id_type}, ordinal long, shard long, first long, n_tokens long"))
     with arrow_rows(spark, ROWS):
         written.write.parquet(f"{folder}/entries")
-    entries = spark.read.parquet(f"{folder}/entries")
+    entries = _ordinals_over_shards(spark.read.parquet(f"{folder}/entries")).select("*", *_hashes())
     # one row per shard, so a plain ordered window over them
     (entries.groupBy("shard").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("docs"))
      .selectExpr("shard", "sum(n) OVER (ORDER BY shard) - n AS base", "n", "docs")
@@ -374,6 +423,22 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, id_col:
      .mapInArrow(_write_index(folder), "bucket long, n long").write.parquet(f"{folder}/buckets"))
 
 
+def _ordinals_over_shards(entries: DataFrame) -> DataFrame:
+    """Ordinals counted through all shards of an id.  Only the first and the
+    last id of a shard can lie in others too."""
+    row = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")
+    ends = entries.groupBy("shard").agg(F.min(row).alias("a"), F.max(row).alias("b"))
+    ids = ends.select(F.explode(F.array("a", "b")).alias("i")).select(F.col("i.doc_id").alias("id")).distinct()
+    counts = (entries.join(ids, entries["doc_id"].eqNullSafe(ids["id"])).groupBy("id", "shard")
+              .agg(F.count("*").alias("n")))
+    before = Window.partitionBy("id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    later = checkpoint(counts.select("id", F.col("shard").alias("in"), F.sum("n").over(before).alias("before")).where("before > 0"))
+    if later.isEmpty():
+        return entries
+    return (entries.join(later, entries["doc_id"].eqNullSafe(later["id"]) & (entries["shard"] == later["in"]), "left")
+            .withColumn("ordinal", F.col("ordinal") + F.coalesce("before", F.lit(0))).select(*entries.columns))
+
+
 def _buckets(spark: SparkSession, folder: str) -> int:
     docs = spark.read.parquet(f"{folder}/shards").agg(F.sum("docs")).first()[0] or 0
     return max(1, -(-docs // BUCKET_KEYS))
@@ -403,7 +468,10 @@ def read_tokens(keys: DataFrame, folder: str, digest: bool = False) -> DataFrame
 
 
 def keys_of(documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, ordinal) of every row, counted before they are spread."""
-    return (documents.groupBy(F.col(id_col).alias("doc_id")).agg(F.count("*").alias("n"))
-            .selectExpr("doc_id", "explode(sequence(0L, n - 1)) AS ordinal"))
+    """(doc_id, ordinal) of every row, counted before they are spread; an id of
+    many rows is spread in runs of ``RUN``."""
+    runs = (documents.groupBy(F.col(id_col).alias("doc_id")).agg(F.count("*").alias("n"))
+            .selectExpr("doc_id", "n", f"explode(sequence(0L, (n - 1) div {RUN})) AS run"))
+    long = runs.where(f"n > {RUN}").repartition("doc_id", "run").union(runs.where(f"n <= {RUN}"))
+    return long.selectExpr("doc_id", f"explode(sequence(run * {RUN}, least(n, (run + 1) * {RUN}) - 1)) AS ordinal")
 
