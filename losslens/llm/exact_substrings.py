@@ -45,6 +45,7 @@ from losslens.llm.suffix_array import permuted_lcp, suffix_array
 LENGTH = 400
 GRAM = 64
 SEGMENTS = 2048
+KEY_BYTES = 1 << 24  # bytes of one key's segments that one suffix array holds
 PIECE = 1 << 18  # bytes scanned at once; positions in a piece fit 20 bits
 SHARD_TEXT = 1 << 20  # bytes of one suffix array, unless one key has more
 SHARD_BYTES = 1 << 24
@@ -270,7 +271,7 @@ def _removed(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-                   max_segments: int = SEGMENTS) -> DataFrame:
+                   max_segments: int = SEGMENTS, key_bytes: int = KEY_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) for every row;
     kept is the remaining bytes (binary: a span may end inside a character)."""
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
@@ -280,9 +281,10 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, id_col: str = "do
     # one row per different segment, with its keys' totals; keys that occur once go
     kept = every.groupBy("key", "content", "windows").agg(
         F.count("*").alias("n"), F.sum("occurs").alias("occurs"), F.min(F.struct("k1", "k2", "start")).alias("one"))
-    totals = kept.groupBy("key").agg(F.sum("occurs").alias("total"), F.count("*").alias("different")).where("total > 1")
+    totals = kept.groupBy("key").agg(F.sum("occurs").alias("total"), F.count("*").alias("different"),
+                                     F.sum(F.col("windows") + (length - 1)).alias("size")).where("total > 1")
     kept = _stored(kept.join(totals, "key").selectExpr(
-        "key", "content", "windows", "n", f"different > {max_segments} AS hot", "one.*"), "kept")
+        "key", "content", "windows", "n", f"different > {max_segments} OR size > {key_bytes} AS hot", "one.*"), "kept")
     lists = kept.groupBy("k1", "k2").agg(
         F.collect_list(F.struct("key", "content", "windows", "n", "hot", "start")).alias("segments"))
     cut = _stored(docs.select("k1", "k2", "t").join(lists, ["k1", "k2"]).select("t", "segments").mapInArrow(
@@ -297,9 +299,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, id_col: str = "do
     windows = _stored(cut.where("hot").select(*columns).dropDuplicates(["key", "content"])
                       .mapInArrow(_window_hashes(length), "w1 long, w2 long, key long, content long, at long, n long"),
                       "windows")
-    again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total > 1")
+    # what is joined is stored first: between plain tables a window or a segment of a third of all documents is
+    # a partition that is split
+    again = _stored(windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total > 1").select("w1", "w2"), "again")
     found = found.union(windows.join(again, ["w1", "w2"]).selectExpr("key", "content", "at AS a", "at + 1 AS b"))
-    spans = (found.groupBy("key", "content").agg(F.collect_list(F.struct("a", "b")).alias("ab"))
+    lists = _stored(found.groupBy("key", "content").agg(F.collect_list(F.struct("a", "b")).alias("ab")), "lists")
+    spans = (lists
              .join(every.select("key", "content", "k1", "k2", "start"), ["key", "content"])
              .select("k1", "k2", F.expr(f"inline(transform(ab, x -> struct(start + x.a AS a, start + x.b + {length - 1} AS b)))"))
              .groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
