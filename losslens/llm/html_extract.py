@@ -14,6 +14,8 @@
    text under, the article (else main) around it, and all its parts but those
    of other articles; a part above the winner gives its own blocks alone.  A
    page with none of the winning paths uses its own best container and parts.
+   The hosts' paths are measured: up to ``PATH_BYTES`` they are broadcast and
+   no page moves, beyond that each host's pages are salted over ``SALTS`` tasks.
 4. A box whose class, id or role says advert, notice, sidebar, comment and the
    like counts for less (``PENALTY``) and has paths of its own.  It is read
    where its path wins; within the article also where it is a part, unless
@@ -40,7 +42,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from losslens.llm.common import checkpoint
+
 MIN_SHARE = 0.1
+PATH_BYTES = 32 << 20  # of all hosts' paths, up to which they are broadcast
+SALTS = 64
 PENALTY = {"": 1.0, "other": 0.5, "comments": 0.02}
 
 # fixed values: element names of HTML by what they mean for the text
@@ -292,6 +298,14 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                        host_of(url_col).alias("host"))
+    paths = checkpoint(host_paths(pages, url_col, html_col))
+    letters = "aggregate({0}, 0L, (a, p) -> a + length(p) + 16)"
+    size = paths.agg(F.sum(F.expr(f"64 + length(host) + {letters.format('paths')} + {letters.format('parts')}"))).first()[0] or 0
+    if size <= PATH_BYTES:
+        paths = F.broadcast(paths)
+    else:  # a host's pages go to many tasks
+        paths = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = own.withColumn("salt", F.pmod(F.xxhash64("url", "page_id"), F.lit(SALTS)).cast("int"))
     reader = F.arrow_udf(read, "struct<text:string,path:string>")
-    return (own.join(host_paths(pages, url_col, html_col), "host", "left")
+    return (own.join(paths, [c for c in ("host", "salt") if c in own.columns], "left")
             .withColumn("r", reader("html", "paths", "parts")).select("page_id", "url", "r.text", "r.path"))

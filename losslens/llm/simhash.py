@@ -177,7 +177,8 @@ def simhash_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     rooted = (nodes.join(stars.withColumnRenamed("u", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_fp = rooted.join(ids, "root").select("fp", "component_id")
+    # stored, so that the join below is between plain tables, where a hot fingerprint's partition is split
+    of_fp = checkpoint(rooted.join(ids, "root").select("fp", "component_id"))
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -210,3 +210,74 @@ def test_pseudonyms_and_other_columns(spark):
     assert pseudonyms.pseudonymize(df, "k", found_col=None).columns == df.columns
     with pytest.raises(ValueError, match="key"):
         pseudonyms.pseudonymize(df, "")
+
+
+# 2 html ------------------------------------------------------------------------------------------------------------
+
+def test_hot_hosts_are_salted(spark, monkeypatch):
+    from losslens.llm import html_extract
+    page = "<body><div class='main-{0}'><p>{1}</p></div><div class='extra'><p>{2}</p></div></body>"
+    rows = [(i, f"http://h{i % 3 // 2}.example/{i}", page.format(i, "word " * (i % 40 + 1), "x y " * (i % 7))) for i in range(90)]
+    rows += [(None, None, None), (5, "nohost", ""), (7, "http://h0.example/7", "plain")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("salt", F.lit("own"))
+    want = sorted((tuple(r) for r in html_extract.extract_pages(df).collect()), key=repr)
+    assert len(want) == len(rows)
+    monkeypatch.setattr(html_extract, "PATH_BYTES", 0)
+    assert sorted((tuple(r) for r in html_extract.extract_pages(df).collect()), key=repr) == want
+
+
+# 10 repeated substrings ---------------------------------------------------------------------------------------------
+
+def test_long_runs_of_one_key(spark):
+    """Texts of one letter have one key; their segments are counted window by window beyond the bytes of a key."""
+    from losslens.llm import exact_substrings
+    rnd = random.Random(4)
+    texts = ["a" * 3000, "b" + "a" * 1500, "ab" * 400, "a" * 399, "".join(rnd.choice("xyz") for _ in range(900))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = sorted(tuple(r) for r in exact_substrings.remove_repeats(df).drop("kept").collect())
+    split = sorted(tuple(r) for r in exact_substrings.remove_repeats(df, key_bytes=500).drop("kept").collect())
+    assert whole == split
+    assert {r[0]: r[2] for r in whole} == {0: 3000, 1: 1500, 2: 800, 3: 0, 4: 0}
+
+
+# 3 token files, index -----------------------------------------------------------------------------------------------
+
+def test_index_reads_one_key_at_a_time():
+    import io
+    rng = np.random.default_rng(2)
+    for n in (1, 3, 5000):
+        h = np.unique(rng.integers(-2**62, 2**62, n))
+        values = rng.integers(0, 2**40, (4, len(h)))
+        levels = token_files.build_mph(h)
+        order = np.argsort(token_files.mph_slots(levels, h))
+        raw = token_files.MAGIC + np.array([len(h), len(levels), *map(len, levels)], "<u8").tobytes()
+        raw += b"".join(x.tobytes() for x in levels) + b"".join(x.tobytes() for x in token_files.rank_directory(levels))
+        raw += b"".join(v[order].astype("<i8").tobytes() for v in values)
+        index = token_files.Index(io.BytesIO(raw))
+        assert (index.entries(h) == values).all()
+        for k in rng.integers(0, len(h), 40):
+            assert index.entry(index.slot(int(h[k]))) == values[:, k].tolist()
+            if n > 100:
+                assert (index.entries(h[k:k + 1])[:, 0] == values[:, k]).all()
+
+
+def test_one_id_fills_several_shards(spark, monkeypatch):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(WORD_BPE)
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(token_files, "RUN", 50)
+    rows = [(None if i < 60 else 7 if i < 400 else i, f"text {i} of many") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = token_files.new_folder(spark)
+    token_files.write_token_files(df, WORD_BPE, folder)
+    assert spark.read.parquet(f"{folder}/shards").count() > 3
+    keys = token_files.keys_of(df)
+    assert keys.count() == 500 and keys.distinct().count() == 500
+    got = sorted((r.start, r.doc_id, bytes(r.ids)) for r in token_files.read_tokens(keys, folder).collect())
+    assert [i for _, i, _ in got] == sorted((i for i, _ in rows), key=lambda x: (x is not None, x or 0))
+    at = 0
+    for start, _, ids in got:
+        assert start == at
+        at += len(ids) // 4
+    want = {np.array([*library.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for _, t in rows}
+    assert {ids for _, _, ids in got} == want
