@@ -37,10 +37,12 @@ TEST, ABSENT = -1, -2
 CELLS = 1 << 23  # cells that a task counts in one pass
 CELLS_ADDED = 1 << 19  # cells that a task adds up, so that small passes are small jobs
 NODES = 64  # nodes added up as one block
-ROW_FITS = 1 << 21  # rows x fits that a task of boosting reads
+ROW_FITS = 1 << 21  # rows x fits up to which boosting sends the rows to the tasks
 TREES = 4800  # trees that grow at a time
 STEP = 10  # rounds of boosting between two stored margins
 _POISSON = np.exp(-1.0) * np.cumsum([1, 1, 1 / 2, 1 / 6, 1 / 24, 1 / 120, 1 / 720, 1 / 5040, 1 / 40320])
+_CUTS = pa.schema([("slot", pa.int64()), ("feature", pa.int32()), ("bin", pa.int32()), ("gain", pa.float64()),
+                   ("low", pa.list_(pa.float64())), ("total", pa.list_(pa.float64()))])
 _SPLITS = "slot long, feature int, bin int, gain double, low array<double>, total array<double>"
 
 
@@ -176,7 +178,9 @@ def _lists(x: np.ndarray) -> pa.Array:
 def _best(slots: np.ndarray, gain: np.ndarray, low: np.ndarray, total: np.ndarray, feature: np.ndarray) -> pa.RecordBatch:
     """The best cut of each node; feature -1 where none gains."""
     n, tried, bins = gain.shape
-    best = gain.reshape(n, -1).argmax(1)  # the first of equals
+    flat = gain.reshape(n, -1)
+    most = flat.max(1, keepdims=True)
+    best = (flat >= most - 1e-9 * np.abs(most)).argmax(1)  # the first of equals, in whatever order rows were added up
     j, b = best // bins, best % bins
     row = np.arange(n)
     top = gain[row, j, b]
@@ -194,8 +198,13 @@ def _passed(rows: DataFrame, count, shape, cut, blocks: int) -> dict[str, np.nda
     found = (rows.mapInArrow(count, "block long, task long, places binary, cells binary")
              .repartition(to, "block").sortWithinPartitions("block", "task")
              .mapInArrow(_add_up(shape, cut), _SPLITS).toArrow())
+    return _as_arrays(found.to_batches(), shape[3])
+
+
+def _as_arrays(cuts: list[pa.RecordBatch], width: int) -> dict[str, np.ndarray]:
+    """Cuts as arrays, in order of slots."""
+    found = pa.Table.from_batches(cuts, _CUTS)
     out = {c: found.column(c).to_numpy() for c in ("slot", "feature", "bin", "gain")}
-    width = shape[3]
     for c in ("low", "total"):
         out[c] = found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
     order = np.argsort(out["slot"])
@@ -447,33 +456,40 @@ def _fallen(t: dict, x: np.ndarray, levels: int, fits: int) -> np.ndarray:
     return at
 
 
+def _residual_cells(s: dict, x: np.ndarray, y: np.ndarray, part: np.ndarray, keys: np.ndarray, margin: np.ndarray,
+                    cells: np.ndarray) -> None:
+    """Adds rows, weight, residual and p(1 - p) by (fit, node), feature and bin."""
+    fits, nodes, features = s["fits"], 1 << s["level"], s["features"]
+    row = np.flatnonzero(part >= 0)
+    x, y, part, keys = x[row], y[row], part[row], keys[row]
+    margin = _margins(s["pending"], x, margin[row])[:, fits]
+    p = 1 / (1 + np.exp(-margin))
+    at = _fallen(s["tree"], x, s["level"], len(s["folds"]))[:, fits] - (nodes - 1)
+    drawn = _uniform(keys, s["salt"]) < s["share"][fits][None, :]
+    r, f = np.nonzero((at >= 0) & (part[:, None] != s["folds"][fits][None, :]) & drawn)
+    at, w, p = at[r, f], s["weights"][y[r]], p[r, f]
+    values = None, w, w * (y[r] - p), w * p * (1 - p)
+    first = (f * nodes + at) * BINS
+    for j in range(features):
+        place = first + x[r, j]
+        for k, v in enumerate(values):
+            cells[:, j, :, k] += np.bincount(place, v, len(cells) * BINS).reshape(-1, BINS)
+
+
+def _unpacked(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(column).to_pylist()), "<f8").reshape(batch.num_rows, -1)
+
+
 def _count_residuals(state):
-    """Rows, weight, residual and p(1 - p) of (fit, node, feature, bin)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = state.value
-        fits, nodes, features = s["fits"], 1 << s["level"], s["features"]
-        cells = np.zeros((len(fits) * nodes, features, BINS, 4))
+        nodes, features, scenario = 1 << s["level"], s["features"], s["scenario"]
+        cells = np.zeros((len(s["fits"]) * nodes, features, BINS, 4))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            bins, labels, parts = _matrix(batch, s["fills"])
-            x = bins(s["scenario"])
-            y, part = labels[:, s["scenario"]], parts[:, s["scenario"]]
-            row = np.flatnonzero(part >= 0)
-            x, y, part = x[row], y[row], part[row]
-            margin = np.frombuffer(b"".join(batch.column("margins").to_pylist()), "<f8").reshape(batch.num_rows, -1)[row]
-            margin = _margins(s["pending"], x, margin)[:, fits]
-            p = 1 / (1 + np.exp(-margin))
-            at = _fallen(s["tree"], x, s["level"], len(s["folds"]))[:, fits] - (nodes - 1)
-            drawn = _uniform(batch.column("row_key").to_numpy()[row], s["salt"]) < s["share"][fits][None, :]
-            r, f = np.nonzero((at >= 0) & (part[:, None] != s["folds"][fits][None, :]) & drawn)
-            at, w, p = at[r, f], s["weights"][y[r]], p[r, f]
-            values = None, w, w * (y[r] - p), w * p * (1 - p)
-            first = (f * nodes + at) * BINS
-            for j in range(features):
-                place = first + x[r, j]
-                for k, v in enumerate(values):
-                    cells[:, j, :, k] += np.bincount(place, v, len(cells) * BINS).reshape(-1, BINS)
+            if batch.num_rows:
+                bins, labels, parts = _matrix(batch, s["fills"])
+                _residual_cells(s, bins(scenario), labels[:, scenario], parts[:, scenario],
+                                batch.column("row_key").to_numpy(), _unpacked(batch, "margins"), cells)
         cells = cells.reshape(-1, 4)
         full = np.flatnonzero(cells[:, 0])
         if len(full):
@@ -482,10 +498,9 @@ def _count_residuals(state):
     return run
 
 
-def _cut_residuals(state):
+def _cut_residuals(s: dict):
     """Best cuts by the weighted difference of mean residuals."""
     def cut(block: int, cells: np.ndarray) -> pa.RecordBatch:
-        s = state.value
         nodes = 1 << s["level"]
         fit = s["fits"][block]
         low = cells.cumsum(2)
@@ -501,18 +516,9 @@ def _cut_residuals(state):
     return cut
 
 
-def boost(rows: DataFrame, fits: list[Boost], points: list[int], fills: np.ndarray | None = None,
-          seed: int = 42) -> tuple[DataFrame, np.ndarray]:
-    """All fits of one scenario, one tree each a round.
-
-    (fit, id, label, scores) of held-out rows, a score (chance of label 1) per
-    point (rounds, ascending), and each point's importances by fit and feature.
-    Rows of a class weigh n / (2 n_c) by all training rows; leaves take
-    Newton steps.  Margins are stored every ``STEP`` rounds."""
-    spark, scenario = rows.sparkSession, fits[0].scenario
-    if any(f.scenario != scenario for f in fits):
-        raise ValueError("fits of several scenarios")
-    counts = part_counts(rows)
+def _setting(fits: list[Boost], counts: dict, fills: np.ndarray | None) -> tuple[dict, np.ndarray]:
+    """What all passes share, and the first margin of each fit."""
+    scenario = fits[0].scenario
     n = _training(counts, scenario, TEST)
     weights = np.array([sum(n) / (2 * c) if c else 1.0 for c in n])
     first = []
@@ -523,16 +529,24 @@ def boost(rows: DataFrame, fits: list[Boost], points: list[int], fills: np.ndarr
     uses = np.zeros((len(fits), features), bool)
     for i, f in enumerate(fits):
         uses[i, list(f.features)] = True
-    depth = np.array([f.depth for f in fits])
+    return {"scenario": scenario, "fills": fills, "features": features, "folds": np.array([f.fold for f in fits]),
+            "share": np.array([f.share for f in fits]), "weights": weights, "uses": uses}, np.array(first)
+
+
+def _rounds(fits: list[Boost], shared: dict, points: list[int], seed: int, count, store, keep) -> np.ndarray:
+    """Grows one tree of each fit a round; importances by point, fit, feature.
+
+    ``count(state)`` is a pass over the rows and gives the best cuts,
+    ``store(trees)`` adds rounds to the stored margins, ``keep(point)`` notes
+    the margins of a point."""
+    features = shared["features"]
+    depth, rates = np.array([f.depth for f in fits]), np.array([f.rate for f in fits])
+    rounds = np.array([f.rounds for f in fits])
     deepest, heap = int(depth.max()), (2 << int(depth.max())) - 1
-    fixed = {"scenario": scenario, "fills": fills, "features": features, "folds": np.array([f.fold for f in fits]),
-             "share": np.array([f.share for f in fits]), "weights": weights, "uses": uses}
-    start = np.array(first, "<f8").tobytes()
-    total = sum(c for (s, _, _), c in counts.items() if s == scenario)
-    # a pass is a job of milliseconds on a small table: no more tasks than it needs
-    state_rows = cut_lineage(rows.coalesce(max(1, -(-total * len(fits) // ROW_FITS))).withColumn("margins", F.lit(start)))
     pending, gains, importances = [], np.zeros((len(fits), features)), []
-    rounds = np.array([f.rounds for f in fits])
+
+    def newton(sums):
+        return np.divide(sums[:, 2], sums[:, 3], out=np.zeros(len(sums)), where=sums[:, 3] > 1e-150)
     for number in range(int(rounds.max())):
         tree = {"feature": np.full((len(fits), heap), -1, np.int64), "bin": np.zeros((len(fits), heap), np.int64),
                 "value": np.zeros((len(fits), heap)), "levels": deepest}
@@ -544,16 +558,10 @@ def boost(rows: DataFrame, fits: list[Boost], points: list[int], fills: np.ndarr
             size = max(1, CELLS // (nodes * features * BINS * 4))
             for k in range(0, len(grown), size):
                 some = grown[k:k + size]
-                state = spark.sparkContext.broadcast(fixed | {
-                    "fits": some, "level": level, "tree": tree, "pending": pending,
-                    "salt": np.array([seed * 1_000_003 + number], np.uint64)})
-                found = _passed(state_rows, _count_residuals(state), (nodes, features, BINS, 4), _cut_residuals(state),
-                                len(some))
+                found = count(shared | {"fits": some, "level": level, "tree": tree, "pending": pending,
+                                        "salt": np.array([seed * 1_000_003 + number], np.uint64)})
                 fit, at = some[found["slot"] // nodes], base + found["slot"] % nodes
-
-                def newton(sums):
-                    return np.divide(sums[:, 2], sums[:, 3], out=np.zeros(len(sums)), where=sums[:, 3] > 1e-150)
-                rate = np.array([f.rate for f in fits])[fit]
+                rate = rates[fit]
                 if level == 0:
                     tree["value"][fit, at] = rate * newton(found["total"])
                 cut = (found["feature"] >= 0) & open_nodes[fit, at]
@@ -564,15 +572,119 @@ def boost(rows: DataFrame, fits: list[Boost], points: list[int], fills: np.ndarr
                 for side, sums in ((1, low), (2, high)):
                     tree["value"][fit, 2 * at + side] = rate * newton(sums)
                     open_nodes[fit, 2 * at + side] = sums[:, 0] > 1.5
-                state.destroy()
         pending.append(tree)
         if number + 1 in points or len(pending) == STEP:
-            state_rows, pending = cut_lineage(_added(state_rows, pending, scenario, fills)), []
+            store(pending)
+            pending = []
         if number + 1 in points:
-            state_rows = state_rows.withColumn(f"margins_{number + 1}", F.col("margins"))
+            keep(number + 1)
             total = gains.sum(1, keepdims=True)
             importances.append(np.divide(gains, total, out=np.zeros_like(gains), where=total > 0))
-    return _held_out(state_rows, fits, scenario, points), np.array(importances)
+    return np.array(importances)
+
+
+def boost(rows: DataFrame, fits: list[Boost], points: list[int], fills: np.ndarray | None = None,
+          seed: int = 42) -> tuple[DataFrame, np.ndarray]:
+    """All fits of one scenario, one tree each a round.
+
+    (fit, id, label, scores) of held-out rows, a score (chance of label 1) per
+    point (rounds, ascending), and each point's importances by fit and feature.
+    Rows of a class weigh n / (2 n_c) by all training rows; leaves take Newton
+    steps.
+
+    The table is counted first.  Up to ``ROW_FITS`` rows x fits, the rows are
+    sent to the tasks and the fits are dealt over them: a round on so few rows
+    takes less time than the job that would share it out.  Beyond that rows
+    stay where they are, every level of every round is a pass over them, and
+    margins are stored every ``STEP`` rounds.  Both make the same trees."""
+    scenario = fits[0].scenario
+    if any(f.scenario != scenario for f in fits):
+        raise ValueError("fits of several scenarios")
+    counts = part_counts(rows)
+    n = sum(c for (s, p, _), c in counts.items() if s == scenario and p != ABSENT)
+    if n * len(fits) <= ROW_FITS:
+        return _boost_dealt(rows, fits, points, counts, fills, seed)
+    shared, first = _setting(fits, counts, fills)
+    held = {"rows": cut_lineage(rows.withColumn("margins", F.lit(first.astype("<f8").tobytes())))}
+
+    def count(state):
+        sent = rows.sparkSession.sparkContext.broadcast(state)
+        found = _passed(held["rows"], _count_residuals(sent), (1 << state["level"], state["features"], BINS, 4),
+                        lambda block, cells: _cut_residuals(sent.value)(block, cells), len(state["fits"]))
+        sent.destroy()
+        return found
+
+    def store(trees):
+        held["rows"] = cut_lineage(_added(held["rows"], trees, scenario, fills))
+
+    def keep(point):
+        held["rows"] = held["rows"].withColumn(f"margins_{point}", F.col("margins"))
+    importances = _rounds(fits, shared, points, seed, count, store, keep)
+    return _held_out(held["rows"], fits, scenario, points), importances
+
+
+def _boost_dealt(rows: DataFrame, fits: list[Boost], points: list[int], counts: dict, fills: np.ndarray | None,
+                 seed: int) -> tuple[DataFrame, np.ndarray]:
+    """The same rounds, for at most ``ROW_FITS`` rows x fits: every task has
+    all rows and some of the fits."""
+    spark, scenario = rows.sparkSession, fits[0].scenario
+    table = rows.where(F.col("parts")[scenario] != ABSENT).orderBy("row_key").toArrow()  # at most ROW_FITS / fits rows
+    sent = spark.sparkContext.broadcast(table)
+    features = 1 + max(max(f.features) for f in fits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = batch.column("fit").to_pylist()
+            if not number:
+                continue
+            own = [fits[i] for i in number]
+            shared, first = _setting(own, counts, fills)
+            shared["features"] = features
+            shared["uses"] = np.pad(shared["uses"], ((0, 0), (0, features - shared["uses"].shape[1])))
+            all_rows = sent.value.combine_chunks().to_batches()
+            if not all_rows:
+                continue
+            bins, labels, parts = _matrix(all_rows[0], fills)
+            x, y, part = bins(scenario), labels[:, scenario], parts[:, scenario]
+            keys = all_rows[0].column("row_key").to_numpy()
+            margin, kept = np.tile(first, (len(x), 1)), []
+
+            def count(s):
+                cells = np.zeros((len(s["fits"]) * (1 << s["level"]), features, BINS, 4))
+                _residual_cells(s, x, y, part, keys, margin, cells)
+                cells = cells.reshape(len(s["fits"]), -1, features, BINS, 4)
+                return _as_arrays([_cut_residuals(s)(i, c) for i, c in enumerate(cells)], 4)
+
+            def store(trees):
+                nonlocal margin
+                margin = _margins(trees, x, margin)
+            importances = _rounds(own, shared, points, seed, count, store, lambda point: kept.append(margin))
+            for k, i in enumerate(number):
+                r = np.flatnonzero(part == own[k].fold)
+                yield _scored(i, all_rows[0].column("id").take(pa.array(r)), y[r],
+                              np.stack([1 / (1 + np.exp(-m[r, k])) for m in kept], 1), None)
+                ids = pa.nulls(len(points), all_rows[0].schema.field("id").type)
+                yield _scored(i, ids, np.arange(len(points)), np.zeros((len(points), 0)), importances[:, k])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    tasks = min(len(fits), spark.sparkContext.defaultParallelism)
+    # fits of one depth beside each other keep the tasks even
+    order = sorted(range(len(fits)), key=lambda i: (fits[i].depth, i))
+    dealt = spark.createDataFrame([(i, k % tasks) for k, i in enumerate(order)], "fit int, task int")
+    out = cut_lineage(dealt.repartitionByRange(tasks, "task").select("fit").mapInArrow(
+        run, f"fit int, id {kind}, label int, scores array<double>, gains array<double>"))
+    importances = np.zeros((len(points), len(fits), features))
+    for r in out.where("gains IS NOT NULL").select("fit", "label", "gains").collect():  # fits x points rows
+        importances[r.label, r.fit] = r.gains
+    sent.destroy()
+    return out.where("gains IS NULL").drop("gains"), importances
+
+
+def _scored(fit: int, ids: pa.Array, labels: np.ndarray, scores: np.ndarray, gains: np.ndarray | None) -> pa.RecordBatch:
+    kind = pa.list_(pa.float64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(ids), fit), pa.int32()), ids, pa.array(labels, pa.int32()), _lists(scores),
+         pa.nulls(len(ids), kind) if gains is None else _lists(gains)], ["fit", "id", "label", "scores", "gains"])
 
 
 def _added(rows: DataFrame, trees: list[dict], scenario: int, fills) -> DataFrame:

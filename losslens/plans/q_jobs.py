@@ -68,10 +68,10 @@ def _s4_csv(spark, sf):
 
 
 register("p1_column_selection_report", "WITH " + ITEMS_SQL + """
-SELECT 'retail_price' AS "column", 'dropped' AS status, CAST(NULL AS BIGINT) AS n_values, CAST(NULL AS DOUBLE) AS total
+SELECT 'retail_price' AS "column", 'dropped' AS status, CAST(0 AS BIGINT) AS n_values, CAST(0 AS DOUBLE) AS total
 UNION ALL SELECT 'sale_price', 'kept', count(sale_price), sum(sale_price) FROM items
 UNION ALL SELECT 'cost', 'kept', count(cost), sum(cost) FROM items
-UNION ALL SELECT 'no_such_column', 'missing', NULL, NULL""", ["total"])(lambda spark, sf: _p1(spark, sf))
+UNION ALL SELECT 'no_such_column', 'missing', 0, 0""", ["total"])(lambda spark, sf: _p1(spark, sf))
 
 
 def _p1(spark, sf):
@@ -80,7 +80,8 @@ def _p1(spark, sf):
     rows, report = raw.select_columns(table, keep=["cost", "no_such_column", "sale_price"])
     held = rows.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n_values"), F.sum(c).alias("total"))
                               for c in rows.columns]).alias("x")).select(F.explode("x").alias("x")).select("x.*")
-    return report.join(held, ["column"], "left").select("column", "status", "n_values", "total")
+    return report.join(held, ["column"], "left").select(
+        "column", "status", F.coalesce("n_values", F.lit(0)).alias("n_values"), F.coalesce("total", F.lit(0.0)).alias("total"))
 
 
 def _csv_source(spark, sf):

@@ -65,6 +65,31 @@ def quantize(c):
     return F.when(F.isnan(x) | (F.abs(x) >= F.lit(1e14)), x).otherwise(q)
 
 
+SIGNIFICANT = 9
+_POWERS = [float(10 ** k) for k in range(23)]  # exact doubles
+
+
+def significant(c):
+    """Compare form of a double of any size: ``SIGNIFICANT`` digits, cut like
+    ``quantize``.  Only exact powers of ten are multiplied or divided by."""
+    x = c.cast("double")
+    shift = F.lit(SIGNIFICANT - 1) - F.floor(F.log10(F.abs(x))).cast("int")
+    power = F.element_at(F.array(*[F.lit(p) for p in _POWERS]), F.least(F.abs(shift), F.lit(22)) + 1)
+    whole = F.floor(F.when(shift >= 0, x * power).otherwise(x / power) + F.lit(CUT)).cast("double")
+    return F.when(F.isnan(x) | (x == 0) | (F.abs(x) >= F.lit(1e30)) | (F.abs(x) <= F.lit(1e-13)), x).otherwise(
+        F.when(shift >= 0, whole / power).otherwise(whole * power))
+
+
+def significant_sql(expr: str) -> str:
+    x = f"CAST({expr} AS DOUBLE)"
+    shift = f"({SIGNIFICANT - 1} - CAST(floor(log10(abs({x}))) AS INTEGER))"
+    power = "[" + ", ".join(f"CAST('{p}' AS DOUBLE)" for p in _POWERS) + f"][least(abs({shift}), 22) + 1]"
+    whole = f"floor(CASE WHEN {shift} >= 0 THEN {x} * {power} ELSE {x} / {power} END + CAST('{CUT}' AS DOUBLE))"
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN isnan({x}) OR {x} = 0 OR abs({x}) >= CAST('1e30' AS DOUBLE) "
+            f"OR abs({x}) <= CAST('1e-13' AS DOUBLE) THEN {x} "
+            f"WHEN {shift} >= 0 THEN {whole} / {power} ELSE {whole} * {power} END")
+
+
 def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAULT_DIGITS,
                 scale: dict | None = None) -> DataFrame:
     """Comparison form of a Spark result: doubles quantised, small ints as
@@ -75,9 +100,8 @@ def round_spark(df: DataFrame, digits: dict | None = None, default: int = DEFAUL
     for name, typ in df.dtypes:
         if typ in ("double", "float"):
             c = rnd(name, digits[name]) if name in digits else F.col(name)
-            if name in scale:  # large magnitudes: quantise x / 10^s, then scale back
-                f = F.lit(float(10 ** scale[name]))
-                out.append((quantize(c.cast("double") / f) * f).alias(name))
+            if name in scale:  # magnitudes far from 1
+                out.append(significant(c).alias(name))
             else:
                 out.append(quantize(c).alias(name))
         elif typ in ("int", "smallint", "tinyint"):
@@ -104,10 +128,7 @@ def round_sql(sql: str, double_cols: list[str], digits: dict | None = None,
 
     def one(c):
         e = f"round_even(CAST({c} AS DOUBLE), {digits[c]})" if c in digits else c
-        if c in scale:
-            f = f"CAST('{float(10 ** scale[c])}' AS DOUBLE)"
-            return f"({quantize_sql(f'CAST({e} AS DOUBLE) / {f}')}) * {f}"
-        return quantize_sql(e)
+        return significant_sql(e) if c in scale else quantize_sql(e)
     reps = [f"{one(c)} AS {c}" for c in double_cols]
     reps += [f"CAST({c} AS BIGINT) AS {c}" for c in int_cols]
     reps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in ts_cols]

@@ -117,7 +117,9 @@ def boosted(rows, fits, points, **more):
     return {(fits[r.fit].name, r.id): tuple(r.scores) for r in out.collect()}, importances
 
 
-def test_boosting_is_its_recursion(data):
+@pytest.mark.parametrize("row_fits", [0, 1 << 21])
+def test_boosting_is_its_recursion(data, monkeypatch, row_fits):
+    monkeypatch.setattr(T, "ROW_FITS", row_fits)
     fit = T.Boost("b", 0, 2, (0, 1, 2, 3, 4), 2, .3, 1.0, 3)
     got, _ = boosted(data, [fit], [3])
     x, labels, parts, keys, ids = as_numpy(data)
@@ -165,6 +167,10 @@ def test_rounds_are_prefixes_and_fits_independent(data, monkeypatch):
         short = T.Boost(f.name, 0, f.fold, f.features, f.depth, f.rate, f.share, 6)
         alone, _ = boosted(data.repartition(4), [short], [6])
         assert {k: v[0] for k, v in alone.items()} == pytest.approx({k: v[0] for k, v in joint.items() if k[0] == f.name})
+    monkeypatch.setattr(T, "ROW_FITS", 0)  # rows stay, every level is a pass over them
+    spread, spread_importances = boosted(data, fits, [6, 12])
+    assert {k: v[1] for k, v in spread.items()} == pytest.approx({k: v[1] for k, v in joint.items()})
+    assert np.allclose(spread_importances, importances)
     monkeypatch.setattr(T, "STEP", 5)
     monkeypatch.setattr(T, "CELLS", 3000)
     again, _ = boosted(data, fits, [6, 12])
