@@ -40,6 +40,7 @@ def hash_order(id_col: str, seed: int):
 
 
 HASH_BUCKETS = 4096
+MAX_LEVELS = 2000  # levels of a category that become columns of a wide table
 
 
 def hash_positions(df: DataFrame, group: str, id_col: str, seed: int) -> DataFrame:
@@ -99,10 +100,13 @@ def melt(df: DataFrame, ids, values, var: str = "variable", value: str = "value"
 
 def one_hot_drop_first(df: DataFrame, col: str, levels=None, prefix: str | None = None):
     """Pandas ``get_dummies(drop_first=True)``: sorted levels, first
-    dropped (Spark's encoder drops the last).  Levels are collected from a
-    ``distinct`` (bounded: a categorical's level set)."""
+    dropped (Spark's encoder drops the last).  Levels become columns, so more
+    than ``MAX_LEVELS`` raise."""
     if levels is None:
-        levels = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+        found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
+        if len(found) > MAX_LEVELS:
+            raise ValueError(f"{col} has more than {MAX_LEVELS} levels")
+        levels = sorted(r[0] for r in found)
     p = prefix or col
     return df.withColumns({f"{p}_{lv}": (F.col(col) == F.lit(lv)).cast("double")
                            for lv in levels[1:]}), [f"{p}_{lv}" for lv in levels[1:]]

@@ -68,7 +68,7 @@ def test_many_levels_are_sparse(spark):
     """1,000 levels: the sparse design's fit is that of the same matrix in numpy; few levels agree with the wide design."""
     rng = np.random.default_rng(8)
     n, levels = 6000, 1000
-    g = np.concatenate([np.arange(levels), rng.integers(0, levels, n - levels)])
+    g = np.concatenate([np.arange(levels), np.arange(levels), rng.integers(0, levels, n - 2 * levels)])  # two rows a level
     h = rng.integers(0, 3, n)
     x = rng.normal(size=n)
     y = 2 * x + (g % 7) * .5 + h + rng.normal(size=n)
@@ -86,6 +86,7 @@ def test_many_levels_are_sparse(spark):
     e = y - X @ b
     lev = ((X @ inv) * X).sum(1)
     V = inv @ (X.T * (e**2 / (1 - lev) ** 2)) @ X @ inv
+    assert np.isfinite(V).all()
     np.testing.assert_allclose([fit["bse"][c] for c in names], np.sqrt(np.diag(V)), rtol=1e-5)
     assert O.durbin_watson(design, fit, "user_id") == pytest.approx((np.diff(e) ** 2).sum() / (e * e).sum())
     few, few_names, _ = O.sparse_regression_data(df, "t", ["x"], ["h"], log_transform=False)
