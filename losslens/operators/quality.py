@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from losslens.functions import exprs as X
 from losslens.operators.ordered import group_quantiles
+from losslens.session import cut_lineage
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 STRINGS = ("string",)
@@ -141,7 +142,7 @@ def detect_outliers_iqr(df: DataFrame, numeric_cols=None, multiplier: float = 1.
     """Q-3: Tukey fences per column; ``flag`` adds ``is_outlier``,
     ``outlier_columns`` ('a;b') and ``outlier_values`` ('a=1.0;b=2.0')."""
     cols = list(numeric_cols or default_outlier_columns(df))
-    bounds = iqr_bounds(df, cols, multiplier)
+    bounds = cut_lineage(iqr_bounds(df, cols, multiplier))  # found once for the flags and the report
     d = df.crossJoin(F.broadcast(bounds))  # one row: proven bound
     hit = {c: X.null_safe_true((F.col(c) < F.col(f"_lo_{c}")) | (F.col(c) > F.col(f"_hi_{c}")))
            for c in cols}
