@@ -17,9 +17,10 @@ def regression_inputs(spark: SparkSession, sf: str):
     return rq3.customer_targets(spark, sf)
 
 
-def fit_models(spark: SparkSession, sf: str, log_transform: bool = True):
-    data = regression_inputs(spark, sf)
-    scr = O.screen_features(data)
+def fit_models(spark: SparkSession, sf: str, log_transform: bool = True, data=None, scr: dict | None = None):
+    """One fit; ``data`` and their screening are made here unless given."""
+    data = regression_inputs(spark, sf) if data is None else data
+    scr = scr or O.screen_features(data)
     design, names, dropped = O.prepare_regression_data(
         data, O.RQ4_TARGET_COL, scr["surviving_numeric"], scr["surviving_categorical"], log_transform)
     design = design.persist()
@@ -33,8 +34,10 @@ def fit_models(spark: SparkSession, sf: str, log_transform: bool = True):
 
 
 def run_rq4(spark: SparkSession, sf: str) -> dict:
-    log_fit, _ = fit_models(spark, sf, True)
-    lin_fit, _ = fit_models(spark, sf, False)
+    data = regression_inputs(spark, sf)
+    scr = O.screen_features(data)  # of both fits
+    log_fit, _ = fit_models(spark, sf, True, data, scr)
+    lin_fit, _ = fit_models(spark, sf, False, data, scr)
     return {
         "coefficients": O.coefficient_table(spark, log_fit),
         "summary": O.fit_summary(spark, log_fit),
