@@ -22,6 +22,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -61,7 +62,27 @@ def _cut(parities):
             out.append((*at, n, kind, "\n".join(held)))
 
         for batch in batches:
-            counts = pc.count_substring(batch.column("value"), '"').to_pylist()
+            counts = pc.count_substring(batch.column("value"), '"')
+            if not parity and batch.num_rows and not (counts.to_numpy() & 1).any():
+                # every line closes its own quotes: records are the lines as they are
+                blocks, files = batch.column("block").to_numpy(), batch.column("file").dictionary_encode()
+                code = files.indices.to_numpy()
+                start = np.flatnonzero(np.r_[True, (blocks[1:] != blocks[:-1]) | (code[1:] != code[:-1])])
+                ats = [(files.dictionary[code[i]].as_py(), int(blocks[i])) for i in start.tolist()]
+                gone = [a for a in ats if a not in parities.value]
+                if gone:
+                    raise ValueError(f"{gone[0][0]} was split anew between two reads; read it with one setting")
+                if not any(parities.value[a] for a in ats[ats[0] == at:]):
+                    first = np.zeros(len(start), np.int64)
+                    first[0] = n + 1 if ats[0] == at else 0
+                    size = np.diff(np.r_[start, len(blocks)])
+                    place = np.arange(len(blocks)) + np.repeat(first - start, size)
+                    at, n, held = ats[-1], int(place[-1]), []
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("file"), batch.column("block"), pa.array(place), pa.array(np.full(len(blocks), WHOLE, np.int32)),
+                         batch.column("value")], ["file", "block", "n", "kind", "record"])
+                    continue
+            counts = counts.to_pylist()
             for line, quotes, file, block in zip(batch.column("value").to_pylist(), counts, batch.column("file").to_pylist(),
                                                  batch.column("block").to_pylist()):
                 if (file, block) != at:
@@ -94,8 +115,11 @@ def _batch(rows: list) -> pa.RecordBatch:
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, n, record) of all records of the files under a path; the
     first record of a file has block 0 and n 0."""
-    lines = _lines(spark, path)
-    parities = spark.sparkContext.broadcast(block_parities(lines))  # at most MAX_BLOCKS numbers
+    return _records(_lines(spark, path), spark.sparkContext.broadcast(block_parities(_lines(spark, path))))
+
+
+def _records(lines: DataFrame, parities) -> DataFrame:
+    """``parities``: broadcast, at most ``MAX_BLOCKS`` numbers."""
     cut = lines.mapInArrow(_cut(parities), "file string, block long, n long, kind int, record string")
     pieces = cut_lineage(cut.where(F.col("kind") != WHOLE))  # at most two a block
     order = Window.partitionBy("file").orderBy("block", "n")
@@ -104,15 +128,24 @@ def records(spark: SparkSession, path: str) -> DataFrame:
               .select("file", F.expr("p[0].block").alias("block"), F.expr("p[0].n").alias("n"),
                       F.expr("array_join(transform(p, x -> x.record), '\\n')").alias("record")))
     whole = cut.where(F.col("kind") == WHOLE).select("file", "block", "n", "record")
-    return (whole.union(joined).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
-            .where(F.trim(F.regexp_replace("record", r"[\r\n\t]", " ")) != ""))
+    return (whole.union(joined)
+            .withColumn("record", F.when(F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)"))
+                        .otherwise(F.col("record")))
+            .where(F.col("record").rlike(r"[^ \r\n\t]")))
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Columns of the files under a path by the header of the first; strings
     without a schema."""
-    rows = records(spark, path)
-    first = rows.where("block = 0 AND n = 0").orderBy("file").select("record").first()
+    lines = _lines(spark, path)
+    found = block_parities(lines)
+    parities = spark.sparkContext.broadcast(found)
+    rows = _records(lines, parities)
+
+    def header(rows):
+        return rows.where("block = 0 AND n = 0").orderBy("file").select("record").first()
+    # the first file has it, unless it begins with a blank line
+    first = (header(_records(lines.where(F.col("file") == min(found)[0]), parities)) if found else None) or header(rows)
     if first is None:
         raise ValueError(f"no header in {path}")
     names = next(csv.reader([first[0]]))
