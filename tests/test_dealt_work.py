@@ -72,3 +72,26 @@ def test_cells_do_not_depend_on_blocks(spark):
     df = spark.range(2000).select("id", (F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("k"))
     assert SG.silhouettes(df, ["a"], {"k": 2}, "id", 4)["k"] == pytest.approx(
         SG.silhouettes(df, ["a"], {"k": 2}, "id", 2000)["k"], abs=1e-12)
+
+
+def test_lines_that_close_their_quotes_are_records(spark, tmp_path, monkeypatch):
+    """Batches of such lines are cut without a look at each line."""
+    from losslens.sources import quoted_csv as Q
+    text = "a,b\n" + "".join(f'{i},"x ""{i}"", y"\n' for i in range(3000)) + '7,"two\nlines"\n' + "8,z\r\n\n \t\n9,end"
+    (tmp_path / "t.csv").write_bytes(text.encode())
+    (tmp_path / "u.csv").write_bytes(b"a,b\n10,u\n")
+    lines = Q._lines(spark, str(tmp_path))
+    quick = Q.read_quoted_csv(spark, str(tmp_path)).collect()
+    assert lines.count() == 3009
+    want = [(str(i), f'x "{i}", y') for i in range(3000)] + [("7", "two\nlines"), ("8", "z"), ("9", "end"), ("10", "u")]
+    assert sorted(map(tuple, quick)) == sorted(want)
+
+
+def test_distinct_rows_are_grouped_once(spark):
+    from losslens.operators import quality as QL
+    df = spark.createDataFrame([(1, "a", 0.5), (1, "a", 0.5), (2, None, None), (2, None, None), (3, "c", -0.0)],
+                               "id int, s string, x double")
+    out, report = QL.detect_duplicates(df, action="remove")
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a", 0.5), (2, None, None), (3, "c", 0.0)], key=str)
+    assert tuple(report.first()) == (4, 2, 2)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
