@@ -321,14 +321,16 @@ def _s5_s7(spark, sf):
     from losslens.operators import features as FE
     out = _scratch(spark, "views")
     f = featured_items(spark, sf, ["item_returned_at", "age", "country", "traffic_source"])
-    views = {"feature_table": f,
-             "rq3_item_classification": FE.item_return_classification_base(f),
-             "rq4_returned_item_regression": FE.returned_item_regression_base(f),
-             "rq2_customer_segmentation": A.rq2_customer_segmentation_base(f.drop("profit_erosion"))}
+    views = {"feature_table": lambda f: f,
+             "rq3_item_classification": FE.item_return_classification_base,
+             "rq4_returned_item_regression": FE.returned_item_regression_base,
+             "rq2_customer_segmentation": lambda f: A.rq2_customer_segmentation_base(f.drop("profit_erosion"))}
     rows = []
-    for name, v in views.items():
+    for name, view in views.items():
         p = os.path.join(out, name)
-        v.write.mode("overwrite").parquet(p)
+        view(f).write.mode("overwrite").option("compression", "zstd").parquet(p)
+        if name == "feature_table":  # the items are joined once, the views read this table
+            f = spark.read.schema(f.schema).parquet(p)
         rows.append((name, spark.read.parquet(p).count()))
     return spark.createDataFrame(rows, "view string, rows long")
 
