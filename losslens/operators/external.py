@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from losslens.functions import exprs as X
 from losslens.operators.ordered import group_quantiles
-from losslens.session import cut_lineage
+from losslens.session import cut_lineage, stored
 
 # fixed values: loss candidates in priority order, date columns
 LOSS_CANDIDATES = ["total_loss", "gross_financial_loss", "Gross Financial Loss",
@@ -86,7 +86,7 @@ def account_features(df: DataFrame, account: str = "Bill To Act #") -> DataFrame
                   is_ret.cast("int").alias("_ret"), q("Lines Per Order").alias("_lpo"),
                   ref.alias("_ref"), q("gross_financial_loss").alias("_gfl"), price.alias("_price"),
                   q("total_loss").alias("_loss"))
-    d = cut_lineage(d)  # ten narrow columns, read by three aggregates
+    d = stored(d, "account-lines")  # ten narrow columns, read by three aggregates
     orders = d.groupBy("account_id", "_order").agg(F.sum("_ref").alias("_order_ref"))
     aov = orders.groupBy("account_id").agg(F.avg("_order_ref").alias("avg_order_value"),
                                            F.count("_order").alias("order_frequency"))

@@ -21,6 +21,7 @@ from losslens.operators import stats as S
 from losslens.plans.registry import featured_items
 from losslens.sources.adapter import DRIVER_TIERS, items
 from losslens.operators import features as FE
+from losslens.session import cut_lineage, stored
 
 
 def build_analysis_dataset(spark: SparkSession, sf: str, out_dir: str, check_unique: bool = True) -> str:
@@ -50,10 +51,13 @@ def save_cleaned(df: DataFrame, flag_cols, out_dir: str, id_col: str = "order_it
 
 def run_rq1(spark: SparkSession, sf: str, out_dir: str | None = None) -> dict:
     f = featured_items(spark, sf)
-    long = A.product_profit_erosion_metrics(f)
-    tables = {lv: A.erosion_level(long, lv) for lv in ("category", "brand", "department")}
+    # joined once: the group tables and tests read these columns
     returned = f.where(F.col("is_returned_item") == 1)
-    tests = {g: S.run_factor(returned, g) for g in ("category", "brand")}
+    f = stored(f.select("order_item_id", "is_returned_item", "category", "brand", "department", "sale_price", "item_margin",
+                        "margin_reversal", "process_cost", "profit_erosion"), "rq1-items")
+    long = cut_lineage(A.product_profit_erosion_metrics(f))  # one row a group
+    tables = {lv: A.erosion_level(long, lv) for lv in ("category", "brand", "department")}
+    tests = {g: S.run_factor(f.where(F.col("is_returned_item") == 1), g) for g in ("category", "brand")}
     summary = tests["category"][0].unionByName(tests["brand"][0])
     if out_dir:
         returned.write.mode("overwrite").parquet(os.path.join(out_dir, "returned_items"))
@@ -88,14 +92,16 @@ def build_external_artifacts(spark: SparkSession, sf: str, out_dir: str) -> dict
     from losslens.operators import external as EX
     from losslens.sources.external import external_lines
     eng = EX.preprocess(EX.load_lines(external_lines(spark, sf)))
-    base = EX.canonical_base(eng)
     paths = {}
-    for name, df in {"engineered": eng, "canonical_base": base,
-                     "returned": base.where(F.col("is_returned_item") == 1),
-                     "by_category": EX.group_metrics(base)}.items():
-        p = os.path.join(out_dir, name)
-        df.write.mode("overwrite").parquet(p)
-        paths[name] = p
+
+    def write(name, df):
+        paths[name] = os.path.join(out_dir, name)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(paths[name])
+        return spark.read.schema(df.schema).parquet(paths[name])
+    # each artifact is made from the written one before it
+    base = write("canonical_base", EX.canonical_base(write("engineered", eng)))
+    write("returned", base.where(F.col("is_returned_item") == 1))
+    write("by_category", EX.group_metrics(base))
     return paths
 
 
