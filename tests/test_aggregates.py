@@ -61,3 +61,31 @@ def test_rfm(spark):
 def test_segmentation_base_keeps_null_user(spark):
     base = A.rq2_customer_segmentation_base(_items(spark).drop("profit_erosion"))
     assert base.where(F.col("user_id").isNull()).count() == 1
+
+
+def test_headline_measures_store_the_items_once(spark, monkeypatch):
+    d = _items(spark)
+    kept, store = [], A.stored
+    monkeypatch.setattr(A, "stored", lambda df, tag: kept.append(df.columns) or store(df, tag))
+    users = d.select("user_id").distinct()
+    r = A.headline_measures(d.withColumn("product_id", F.col("brand")), {"user_id": users}).first()
+    assert (r.orders, r.customers, r.products, r.returned_items) == (4, 2, 2, 3)
+    assert (r.median_margin_all, r.median_margin_returned) == (5.0, 5.0)
+    assert r.median_erosion_returned == sorted(x.profit_erosion for x in d.where("is_returned_item = 1").collect())[1]
+    assert len(kept) == 1 and "user_id" not in kept[0]
+    empty = A.headline_measures(d.withColumn("product_id", F.col("brand")).where("sale_price < 0")).first()
+    assert tuple(empty) == (0, 0, 0, 0, None, None, None)
+
+
+def test_distinct_items_are_taken_before_the_orders(spark, tmp_path):
+    from losslens.sources.adapter import items
+    spark.createDataFrame([(1, 7)] * 3 + [(2, 8), (2, 8), (None, 9), (4, 9)], "l_orderkey long, l_partkey long") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 11, "F"), (1, 12, "F"), (2, 11, "O"), (2, None, "O"), (3, 13, "P")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string") \
+        .selectExpr("*", "current_timestamp() o_orderdate", "'x' o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    one = items(spark, str(tmp_path), ["user_id"], distinct=True)
+    assert sorted((r.user_id for r in one.collect()), key=str) == [11, 12, None]
+    assert sorted((r.order_id for r in items(spark, str(tmp_path), ["order_id"], distinct=True).collect()), key=str) == [1, 2, 4, None]
+    with pytest.raises(ValueError):
+        items(spark, str(tmp_path), ["user_id", "cost"], distinct=True)
