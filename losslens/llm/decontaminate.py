@@ -57,6 +57,7 @@ PIECE = 1 << 20  # bytes hashed at once
 BASE = 0x9E3779B97F4A7C15
 SHARED = 0.45
 HITS = 3
+PLACES = 256  # terms of a row added place by place
 PARTS = 8  # parts of Z for each core: a lost one is a small share of the pass
 LCS = 0.8
 ANSWER = 0.6
@@ -189,6 +190,20 @@ def _flat(batch: pa.RecordBatch):
         k += n
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes end to end, sizes) of runs of rows, across batches."""
+    parts, words = [], 0
+    for batch in batches:
+        for _, hashes, sizes in _flat(batch):
+            if parts and words + len(hashes) > 1 << 18:
+                yield tuple(np.concatenate(x) for x in zip(*parts))
+                parts, words = [], 0
+            parts.append((hashes, sizes))
+            words += len(hashes)
+    if parts:
+        yield tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def _passage_of(sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(number of the width-word run of each word, runs per text)."""
     runs = -(-sizes // width)
@@ -221,14 +236,25 @@ def random_basis() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((TERMS, RANK + EXTRA), np.float32)
 
 
-def _project(terms, row, rows: int, table: np.ndarray) -> np.ndarray:
-    """Sums of the table's vectors over the terms of each row (sorted rows)."""
+def _project(terms: np.ndarray, row: np.ndarray, rows: int, table: np.ndarray) -> np.ndarray:
+    """Sums of the table's vectors over the terms of each row (sorted rows).
+
+    Rows go by falling size, so the first, second, ... terms of many rows are
+    added at once; what a row has beyond PLACES terms is added by itself."""
     out = np.zeros((rows, table.shape[1]), np.float32)
-    if len(terms):
-        cuts = np.flatnonzero(np.diff(row, prepend=-1))
-        for k in range(0, len(cuts), 4096):
-            a, b = cuts[k], cuts[k + 4096] if k + 4096 < len(cuts) else len(terms)
-            out[row[cuts[k:k + 4096]]] = np.add.reduceat(table[terms[a:b]], cuts[k:k + 4096] - a, 0)
+    size = np.bincount(row, minlength=rows)
+    first = np.cumsum(size) - size
+    order = np.argsort(-size, kind="stable")[:np.count_nonzero(size)]
+    for k in range(0, len(order), 1024):
+        at, n = first[order[k:k + 1024]], size[order[k:k + 1024]]
+        sums = table[terms[at]]
+        for j in range(1, min(PLACES, int(n[0]))):
+            have = int(np.searchsorted(-n, -j))  # rows with more than j terms
+            sums[:have] += table[terms[at[:have] + j]]
+        for i in range(int(np.searchsorted(-n, -PLACES))):
+            for a in range(at[i] + PLACES, at[i] + n[i], 4096):
+                sums[i] += table[terms[a:min(a + 4096, at[i] + n[i])]].sum(0)
+        out[order[k:k + 1024]] = sums
     return out
 
 
@@ -237,20 +263,19 @@ def _sketch(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = weights.value
         table = random_basis() * weight[:, None].astype(np.float32)
-        z = np.zeros((table.shape[1], TERMS))
-        for batch in batches:
-            for _, hashes, sizes in _flat(batch):
-                terms = terms_of(hashes)
-                passage, runs = _passage_of(sizes, WINDOW)
-                on = weight[terms] > 0
-                terms, passage = terms[on], passage[on]
-                n = int(runs.sum())
-                length = np.sqrt(np.bincount(passage, weight[terms] ** 2, n)) + 1e-9
-                y = (_project(terms, passage, n, table) / (length**2)[:, None]).T.astype(np.float64, order="C")
-                words = np.bincount(passage, minlength=n)
-                for j in range(len(z)):
-                    z[j] += np.bincount(terms, np.repeat(y[j], words), TERMS)
-        z = (z * weight).T.astype(np.float32)
+        z = np.zeros(table.shape)
+        for hashes, sizes in _runs(batches):
+            terms = terms_of(hashes)
+            passage, runs = _passage_of(sizes, WINDOW)
+            on = weight[terms] > 0
+            terms, passage = terms[on], passage[on]
+            n = int(runs.sum())
+            length = np.sqrt(np.bincount(passage, weight[terms] ** 2, n)) + 1e-9
+            y = (_project(terms, passage, n, table) / (length**2)[:, None]).astype(np.float32)
+            order = np.argsort(terms.astype(np.uint16), kind="stable")  # the terms' passages, term by term
+            used, row = np.unique(terms[order], return_inverse=True)
+            z[used] += _project(passage[order], row, len(used), y)
+        z = (z * weight[:, None]).astype(np.float32)
         step = TERMS // TERM_BLOCKS
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(TERM_BLOCKS), pa.int32()), pa.array([TaskContext.get().partitionId()] * TERM_BLOCKS, pa.int32()),
@@ -372,7 +397,8 @@ class Queries:
         bits: of each window's terms; terms: of all words, TERMS for those
         without weight."""
         for k in range(0, len(windows) if len(self.item) else 0, 2048):
-            at, query = np.nonzero(_unit(windows[k:k + 2048]) @ self.vectors.T >= self.need)
+            near = _unit(windows[k:k + 2048]) @ self.vectors.T >= self.need
+            at, query = np.divmod(np.flatnonzero(near), len(self.item))  # faster than the places of a matrix
             at += k
             some = np.bitwise_count(bits[at] & self.bits[query]) >= self.least[query]
             at, query = at[some], query[some]

@@ -7,6 +7,7 @@ import re
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+from losslens.llm import decontaminate as D  # noqa: E402
 from losslens.llm import byte_bpe, pseudonyms, quality_rules, token_files, toxicity  # noqa: E402
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -281,3 +283,49 @@ def test_one_id_fills_several_shards(spark, monkeypatch):
         at += len(ids) // 4
     want = {np.array([*library.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for _, t in rows}
     assert {ids for _, _, ids in got} == want
+
+
+def test_decontaminate_sums_rows_of_any_size():
+    rng = np.random.default_rng(3)
+    sizes = [0, 3, 1, D.PLACES + 4500, 0, 8, D.PLACES, D.PLACES + 1] + [5] * 2000
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    terms = rng.integers(0, 50, len(row))
+    table = rng.integers(-9, 9, (50, 6)).astype(np.float32)  # whole numbers: sums are exact
+    want = np.zeros((len(sizes), 6), np.float32)
+    np.add.at(want, row, table[terms])
+    assert np.array_equal(D._project(terms, row, len(sizes), table), want)
+    assert not D._project(terms[:0], row[:0], 3, table).any()
+
+
+def test_decontaminate_sketches_small_batches_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 1 << 32, n, dtype=np.uint32) % 3000 for n in rng.integers(0, 90, 64)]
+    weight = np.where(np.arange(D.TERMS) % 7, 1.5, 0.0)
+
+    class Sent:
+        value = weight
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(D, "TaskContext", Task)
+    calls, project = [], D._project
+    monkeypatch.setattr(D, "_project", lambda *x: calls.append(1) or project(*x))
+
+    def z(rows):
+        batches = [pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts[k:k + rows]], pa.binary())], ["words"])
+                   for k in range(0, len(texts), rows)]
+        out = next(iter(D._sketch(Sent)(iter(batches))))
+        return np.concatenate([np.frombuffer(x, np.float32) for x in out.column("z").to_pylist()]).reshape(D.TERMS, -1)
+
+    one = z(1)
+    assert len(calls) == 2  # a matrix for all 64 batches, not one for each
+    basis, want = D.random_basis() * weight[:, None], np.zeros(one.shape)
+    for t in texts:
+        for k in range(0, len(t), D.WINDOW):
+            on = [w for w in D.terms_of(t[k:k + D.WINDOW]) if weight[w]]
+            y = basis[on].sum(0) / (1e-9 + np.sqrt(sum(weight[w] ** 2 for w in on))) ** 2
+            for w in on:
+                want[w] += y * weight[w]
+    assert np.allclose(one, want, rtol=1e-4, atol=1e-4) and np.allclose(one, z(64), rtol=1e-5, atol=1e-5)
