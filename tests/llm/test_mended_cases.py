@@ -242,6 +242,29 @@ def test_long_runs_of_one_key(spark):
     assert {r[0]: r[2] for r in whole} == {0: 3000, 1: 1500, 2: 800, 3: 0, 4: 0}
 
 
+def test_planted_passages_by_bytes(spark):
+    """Passages of over 50 words in two documents each: those of 400 bytes go whole, shorter ones and clean texts stay."""
+    from losslens.llm import exact_substrings
+    rnd = random.Random(6)
+    say = lambda n: " ".join("".join(rnd.choice("abcdef") for _ in range(rnd.randint(3, 8))) for _ in range(n))
+    docs, want = [], []
+    for k in range(40):
+        size = 399 + k % 2 if k < 20 else rnd.randint(370, 700)
+        passage = "x" + say(120)[:size - 2] + "x"
+        assert len(passage) == size and len(passage.split()) > 50
+        for edge in "<>":  # the bytes around differ
+            text = say(30) + edge + passage + edge + say(30)
+            docs.append(text)
+            want.append((len(text), size if size >= 400 else 0, int(size >= 400),
+                         hashlib.sha256((text.replace(passage, "") if size >= 400 else text).encode()).hexdigest()))
+    for _ in range(20):
+        docs.append(say(200))
+        want.append((len(docs[-1]), 0, 0, hashlib.sha256(docs[-1].encode()).hexdigest()))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = exact_substrings.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(map(tuple, got.collect())) == [(i, *w) for i, w in enumerate(want)]
+
+
 # 3 token files, index -----------------------------------------------------------------------------------------------
 
 def test_index_reads_one_key_at_a_time():
