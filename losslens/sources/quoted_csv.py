@@ -144,8 +144,10 @@ def read_quoted_csv(spark: SparkSession, path: str, schema: str | None = None) -
 
     def header(rows):
         return rows.where("block = 0 AND n = 0").orderBy("file").select("record").first()
-    # the first file has it, unless it begins with a blank line
-    first = (header(_records(lines.where(F.col("file") == min(found)[0]), parities)) if found else None) or header(rows)
+    # the first file has it, unless it begins with a blank line; Spark reads that
+    # file alone and cuts it by its own size, so its blocks are others
+    one = lines.where(F.col("file") == min(found)[0]) if found else None
+    first = (header(_records(one, spark.sparkContext.broadcast(block_parities(one)))) if found else None) or header(rows)
     if first is None:
         raise ValueError(f"no header in {path}")
     names = next(csv.reader([first[0]]))

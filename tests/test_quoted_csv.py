@@ -72,3 +72,16 @@ def test_blank_lines_marks_and_dates(spark, tmp_path):
         raw.read_csv(spark, str(tmp_path / "none.csv"))
     (tmp_path / "header.csv").write_text("a,b\n")
     assert raw.read_csv(spark, str(tmp_path / "header.csv")).count() == 0
+
+
+def test_first_file_is_cut_otherwise_when_read_alone(spark, tmp_path):
+    # Spark cuts files into parts of all bytes / cores: fewer bytes, shorter blocks
+    write(tmp_path / "a.csv", [["id", "t"], *[[str(i), "line\n" + "a" * 40] for i in range(400)]])
+    write(tmp_path / "b.csv", [["id", "t"], *[[str(i), "b" * 200] for i in range(400, 1200)]])
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r.id: r.t for r in raw.read_csv(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert got == {str(i): "line\n" + "a" * 40 if i < 400 else "b" * 200 for i in range(1200)}
