@@ -90,7 +90,7 @@ def _csv_source(spark, sf):
     path = _scratch(spark, "csv")
     cols = _P2_COLS + _S1_DATES
     items(spark, sf, cols).select(F.col(cols[0]).alias("\ufeff" + cols[0]), *[F.col(c).alias(f" {c} ") for c in cols[1:]]) \
-        .write.option("header", True).csv(path)
+        .write.option("header", True).option("compression", "gzip").csv(path)
     return raw.standardize_types(raw.read_csv(spark, path, cols, _S1_DATES)).select(*cols)
 
 
