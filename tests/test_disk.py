@@ -50,3 +50,18 @@ def test_item_table_is_compressed_as_csv_too(spark, tmp_path):
     want = spark.read.parquet(path).select(*columns)
     assert back.count() == want.count() == 2000
     assert sorted(map(str, back.collect())) == sorted(map(str, want.collect()))
+
+
+def test_accounts_are_grouped_once(spark):
+    from losslens.operators import external as EX
+    day = datetime.datetime(2020, 1, 1)
+    lines = spark.createDataFrame(
+        [(i % 3, i // 2, str(i), day + datetime.timedelta(days=i), "RETURN" if i % 4 else "ORDER", 2.0, 2, 10.0 + i, -5.0, 1.0 + i, 2.0 + i)
+         for i in range(24)],
+        "`Bill To Act #` int, `Order Number` int, `Order Line ID` string, `Booked Date` timestamp, Sales_Type string, "
+        "`Ordered Qty` double, `Lines Per Order` int, `Reference Sale Amount` double, `CreditReturn Sales` double, "
+        "gross_financial_loss double, total_loss double")
+    out = EX.account_features(lines)
+    assert {r.account_id: (r.total_items, r.return_frequency, r.total_loss) for r in out.collect()} == {
+        a: (8, sum(i % 4 > 0 for i in range(a, 24, 3)), sum(2.0 + i for i in range(a, 24, 3))) for a in range(3)}
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
